@@ -1,0 +1,24 @@
+"""Schemas of the logical tables."""
+
+from __future__ import annotations
+
+from ..functions.geo import RING
+
+GEOMETRY = f"array<{RING}>"
+
+SCHEMAS = {
+    "states": f"geoid string, code string, name string, region string, division string, geometry {GEOMETRY}",
+    "counties": f"geoid string, county string, aland double, awater double, geometry {GEOMETRY}",
+    "population": "geoid string, level string, popu long, labor long",
+    "urban_zones": "code string, name string, level string, geoid string",
+    "top_cities": "geoid string, level string, ua_code string, urba string, city string",
+    "zones": "geoid string, level string, county string, ua_code string, city string, aland double, awater double,"
+    f" popu long, labor long, geometry {GEOMETRY}",
+    "centroids": "geoid string, level string, city string, x double, y double",
+    "jobs": "geoid string, level string, kind string, njobs long",
+    "pois": "geoid string, level string, kind string, npois long",
+    "opportunities": "geoid string, level string, kind string, opport long",
+    "od": "city string, mode string, level string, src string, trg string, dist double, time_min double",
+    "access_long": "measure string, kind string, mode string, thresh int, level string, city string, geoid string,"
+    " access double",
+}

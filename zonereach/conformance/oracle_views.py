@@ -232,4 +232,5 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     if not order:
         return sql
     ctes = ",\n".join(f"{n} as materialized ({views[n]})" for n in order)
+    # A text that opens with a comma brings further (recursive) tables of its own.
     return f"with recursive {ctes}\n{sql}"

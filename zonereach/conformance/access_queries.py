@@ -187,7 +187,7 @@ CENTROID_VIEW = {
 
 
 def info_zones(i: Inputs) -> DataFrame:
-    return export.zone_info(export.with_centroid(i.zones), i.opport)
+    return export.zone_info(export.with_centroid(i.zone_shapes), i.opport)
 
 
 @query("zone_info", _INFO_SQL, CENTROID_VIEW)
@@ -227,7 +227,7 @@ def map_layer(i: Inputs) -> DataFrame:
     # Only the shown metric is pivoted, so the layer needs one column of the wide table.
     field = [r[0] for r in export.catalog_rows() if r[1:] == ("M2SFCA", "Jobs: All", "Drive", 30)]
     wide = export.access_wide(base_access(i), i.zones.select("geoid"), field)
-    return rounded(export.map_layer(wide, i.zones, "MIDDLE EAST", "BG", "M2SFCA", "Jobs: All", "Drive", 30))
+    return rounded(export.map_layer(wide, i.zone_shapes, "MIDDLE EAST", "BG", "M2SFCA", "Jobs: All", "Drive", 30))
 
 
 @query(
@@ -238,7 +238,7 @@ def map_layer(i: Inputs) -> DataFrame:
  where measure='Gravity' and kind='POIs: All' and mode='Walk' and thresh=45""",
 )
 def map_layers_all_cities(i: Inputs) -> DataFrame:
-    out = export.city_layers(level_access(i), i.zones, "Gravity", "POIs: All", "Walk", 45)
+    out = export.city_layers(level_access(i), i.zone_shapes, "Gravity", "POIs: All", "Walk", 45)
     return rounded(out, value=4)
 
 
@@ -257,7 +257,7 @@ def dashboard_extract(i: Inputs) -> DataFrame:
     fields = [r[0] for r in _DASH]
     wide = export.access_wide(base_access(i), i.zones.select("geoid"), fields)
     out = export.dashboard_extract(
-        wide, i.zones, ("ASIA", "EUROPE"), ("Jobs: All", "POIs: Medical"), ("Drive", "Walk"), (30, 60)
+        wide, i.zone_shapes, ("ASIA", "EUROPE"), ("Jobs: All", "POIs: Medical"), ("Drive", "Walk"), (30, 60)
     )
     first = F.col("geometry")[0][0]
     return out.select(

@@ -106,7 +106,7 @@ def zones_table(i: Inputs) -> DataFrame:
     CENTROID_VIEW,
 )
 def zone_centroids(i: Inputs) -> DataFrame:
-    return rounded(zn.centroids(i.zones))
+    return rounded(zn.centroids(i.zone_shapes))
 
 
 @query(
@@ -125,7 +125,7 @@ def city_region(i: Inputs) -> DataFrame:
         F.lpad((F.col("r_regionkey") + 1).cast("string"), 2, "0").alias("geoid"),
         relational.code_labels(F.col("r_regionkey") + 1, labels).alias("region"),
     )
-    return zn.city_region(i.zones, states)
+    return zn.city_region(i.zone_shapes, states)
 
 
 @query(
@@ -164,7 +164,7 @@ _MERC = """
     {"vw_merc": _MERC},
 )
 def labels_in_city_square(i: Inputs) -> DataFrame:
-    return rounded(zn.labels_in_box(i.zones), 3)
+    return rounded(zn.labels_in_box(i.zone_shapes), 3)
 
 
 _JOBS = """select substr(geoid,1,w) as geoid, level, kind, cast(sum(v) as bigint) as njobs from (
@@ -217,12 +217,12 @@ def class_tags(i: Inputs) -> DataFrame:
 
 @query("poi_counts", _poi_sql("sum"), {"vw_tags": _TAGS})
 def poi_counts(i: Inputs) -> DataFrame:
-    return opp.poi_counts(i.points, i.zones, class_tags(i), CELL["BG"])
+    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i), CELL["BG"])
 
 
 @query("poi_counts_distinct", _poi_sql("max"), {"vw_tags": _TAGS})
 def poi_counts_distinct(i: Inputs) -> DataFrame:
-    return opp.poi_counts(i.points, i.zones, class_tags(i), CELL["BG"], distinct_poi=True)
+    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i), CELL["BG"], distinct_poi=True)
 
 
 _EV = """select geoid, level, kind, cast(sum(v) as bigint) as opport from (
@@ -232,7 +232,7 @@ _EV = """select geoid, level, kind, cast(sum(v) as bigint) as opport from (
 
 @query("ev_counts", _EV)
 def ev_counts(i: Inputs) -> DataFrame:
-    return opp.ev_counts(i.ev_stations, i.zones, "1999-12-31", CELL)
+    return opp.ev_counts(i.ev_stations, i.zone_shapes, "1999-12-31", CELL)
 
 
 _UNION = """select geoid, level, 'Jobs: '||kind as kind, njobs as opport from vw_jobs where level<>'Block'
@@ -334,7 +334,7 @@ def mercator_roundtrip(i: Inputs) -> DataFrame:
 )
 def polygon_area_bounds(i: Inputs) -> DataFrame:
     flat = geo.polygon_to_mercator(F.col("geometry"))
-    out = i.zones.select(
+    out = i.zone_shapes.select(
         "geoid", "level", geo.bounds(F.col("geometry")).alias("b"), geo.area(F.col("geometry")).alias("area_deg"),
         units.sqm_to_sqmi(geo.area(flat)).alias("area_sqmi"),
     )
@@ -346,7 +346,7 @@ def polygon_area_bounds(i: Inputs) -> DataFrame:
     """select geoid, level, 1 as n_rings, 5 as n_vertices, x1/1e6 as x1, y1/1e6 as y1, x3/1e6 as x3, y3/1e6 as y3 from vw_corner""",
 )
 def wkt_rings(i: Inputs) -> DataFrame:
-    texts = i.zones.select("geoid", "level", geo.to_wkt(F.col("geometry")).alias("wkt"))
+    texts = i.zone_shapes.select("geoid", "level", geo.to_wkt(F.col("geometry")).alias("wkt"))
     g = F.col("geometry")
     return rounded(
         readers.with_geometry(texts).select(
@@ -361,7 +361,7 @@ def wkt_rings(i: Inputs) -> DataFrame:
     """select p.id, z.level, z.geoid from vw_points_at p join vw_zones z on z.geoid=substr(p.geoid,1,length(z.geoid))""",
 )
 def point_in_polygon(i: Inputs) -> DataFrame:
-    zones = i.zones.select("geoid", "level", "geometry")
+    zones = i.zone_shapes.select("geoid", "level", "geometry")
     return spatial.points_in_polygons(i.points.select("id", "lon", "lat"), zones, CELL).select("id", "level", "geoid")
 
 
@@ -375,7 +375,7 @@ _COUNTY_BOX = "select geoid, minx, miny, maxx, maxy from vw_box where level='Cou
 )
 def bbox_overlap(i: Inputs) -> DataFrame:
     b = geo.bounds(F.col("geometry"))
-    boxes = i.zones.where("level = 'County'").select("geoid", b.alias("b")).select("geoid", "b.*")
+    boxes = i.zone_shapes.where("level = 'County'").select("geoid", b.alias("b")).select("geoid", "b.*")
     return spatial.boxes_overlap(i.feeds, boxes, 4.0).select("mdb_id", "geoid")
 
 
@@ -386,7 +386,7 @@ def bbox_overlap(i: Inputs) -> DataFrame:
  on lon between minx and maxx and lat between miny and maxy""",
 )
 def clip_points(i: Inputs) -> DataFrame:
-    boxes = zn.group_bounds(i.zones.where("level = 'County'"), ["city"])
+    boxes = zn.group_bounds(i.zone_shapes.where("level = 'County'"), ["city"])
     return spatial.clip_points(i.points.select("id", "lon", "lat"), boxes, 4.0).select("id", "city")
 
 
@@ -399,7 +399,7 @@ def clip_points(i: Inputs) -> DataFrame:
     {"vw_merc": _MERC},
 )
 def city_squares(i: Inputs) -> DataFrame:
-    flat = i.zones.where("level = 'BG'").withColumn("geometry", geo.polygon_to_mercator(F.col("geometry")))
+    flat = i.zone_shapes.where("level = 'BG'").withColumn("geometry", geo.polygon_to_mercator(F.col("geometry")))
     ends = zn.group_bounds(flat, ["city"])
     return rounded(
         ends.select("city", geo.square_around(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")]).alias("s")).select(
@@ -416,7 +416,7 @@ def city_squares(i: Inputs) -> DataFrame:
   from vw_zones join vw_lattice using (geoid, level) group by 1,2) a""",
 )
 def dissolve_attributes(i: Inputs) -> DataFrame:
-    return rounded(dissolve.dissolve_attributes(i.zones, ["city", "level"], ["popu", "labor", "aland"]), area=9)
+    return rounded(dissolve.dissolve_attributes(i.zone_shapes, ["city", "level"], ["popu", "labor", "aland"]), area=9)
 
 
 @query(
@@ -428,7 +428,7 @@ def dissolve_attributes(i: Inputs) -> DataFrame:
  group by 1,2,3,4,5,6 having count(*)=1""",
 )
 def dissolve_outline(i: Inputs) -> DataFrame:
-    return dissolve.outline(i.zones, ["city", "level"])
+    return dissolve.outline(i.zone_shapes, ["city", "level"])
 
 
 @query(
@@ -445,7 +445,7 @@ select p.mode, p.trg, p.geoid, p.part, b.part_area from vw_part p join vw_best b
 )
 def contiguous_catchment(i: Inputs) -> DataFrame:
     members = i.od.where("time_min <= 30").select("mode", "trg", F.col("src").alias("geoid"))
-    parts = dissolve.contiguous_catchments(members, i.zones.where("level = 'BG'"), ["mode", "trg"])
+    parts = dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), ["mode", "trg"])
     return rounded(parts.select("mode", "trg", "geoid", "part", "part_area"), 9)
 
 
@@ -458,7 +458,7 @@ def contiguous_catchment(i: Inputs) -> DataFrame:
 )
 def catchment_outline(i: Inputs) -> DataFrame:
     members = i.od.where("time_min <= 30").select("mode", "trg", F.col("src").alias("geoid")).distinct()
-    shapes = members.join(i.zones.where("level = 'BG'").select("geoid", "geometry"), "geoid")
+    shapes = members.join(i.zone_shapes.where("level = 'BG'").select("geoid", "geometry"), "geoid")
     lines = dissolve.outline(shapes, ["mode", "trg"])
     return lines.groupBy("mode", "trg").agg(F.count("*").alias("n_segments"), F.sum("x1").alias("sum_x"))
 
@@ -473,7 +473,7 @@ def catchment_outline(i: Inputs) -> DataFrame:
 )
 def city_feeds(i: Inputs) -> DataFrame:
     b = geo.bounds(F.col("geometry"))
-    extents = i.zones.where("level = 'County'").select("city", b.alias("b")).select("city", "b.*")
+    extents = i.zone_shapes.where("level = 'County'").select("city", b.alias("b")).select("city", "b.*")
     return feeds.city_feeds(i.feeds, extents, 4.0)
 
 

@@ -43,6 +43,11 @@ def polygon_to_mercator(rings: Column) -> Column:
     return F.transform(rings, ring_to_mercator)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def ring_edges(ring: Column) -> Column:
     """Consecutive vertex pairs as ``array<struct<a,b>>``."""
     n = F.size(ring)
@@ -51,24 +56,34 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def _sum(arr: Column, term) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + term(e))
-
-
 def polygon_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, ring_edges))
 
 
-def signed_area(rings: Column) -> Column:
-    """Shoelace area around the first vertex, which keeps the cross products small."""
-    o = rings[0][0]
-    return (
-        _sum(
-            polygon_edges(rings),
-            lambda e: (e["a"]["x"] - o["x"]) * (e["b"]["y"] - o["y"]) - (e["b"]["x"] - o["x"]) * (e["a"]["y"] - o["y"]),
+def _moved_edges(rings: Column) -> Column:
+    """Edges as struct(ax, ay, bx, by) seen from the polygon's first vertex, which keeps cross products small."""
+
+    def moved(r: Column, o: Column) -> Column:
+        return F.transform(
+            polygon_edges(r),
+            lambda e: F.struct(
+                (e["a"]["x"] - o["x"]).alias("ax"),
+                (e["a"]["y"] - o["y"]).alias("ay"),
+                (e["b"]["x"] - o["x"]).alias("bx"),
+                (e["b"]["y"] - o["y"]).alias("by"),
+            ),
         )
-        / 2
-    )
+
+    return let(rings, lambda r: let(r[0][0], lambda o: moved(r, o)))
+
+
+def _cross(e: Column) -> Column:
+    return e["ax"] * e["by"] - e["bx"] * e["ay"]
+
+
+def signed_area(rings: Column) -> Column:
+    """Shoelace area; counter-clockwise rings are positive."""
+    return F.aggregate(_moved_edges(rings), F.lit(0.0), lambda acc, e: acc + _cross(e)) / 2
 
 
 def area(rings: Column) -> Column:
@@ -77,42 +92,43 @@ def area(rings: Column) -> Column:
 
 def centroid(rings: Column) -> Column:
     """Area centroid as struct(x, y); NULL for a polygon without area."""
-    o = rings[0][0]
-
-    def cross(e):
-        return (e["a"]["x"] - o["x"]) * (e["b"]["y"] - o["y"]) - (e["b"]["x"] - o["x"]) * (e["a"]["y"] - o["y"])
-
-    sums = F.aggregate(
-        polygon_edges(rings),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy")),
-        lambda acc, e: F.struct(
-            (acc["s"] + cross(e)).alias("s"),
-            (acc["cx"] + (e["a"]["x"] + e["b"]["x"] - 2 * o["x"]) * cross(e)).alias("cx"),
-            (acc["cy"] + (e["a"]["y"] + e["b"]["y"] - 2 * o["y"]) * cross(e)).alias("cy"),
-        ),
-    )
-    return F.transform(
-        F.array(sums),
-        lambda t: point(o["x"] + F.try_divide(t["cx"], 3 * t["s"]), o["y"] + F.try_divide(t["cy"], 3 * t["s"])),
-    )[0]
+
+    def of(r: Column) -> Column:
+        sums = F.aggregate(
+            _moved_edges(r),
+            F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy")),
+            lambda acc, e: F.struct(
+                (acc["s"] + _cross(e)).alias("s"),
+                (acc["cx"] + (e["ax"] + e["bx"]) * _cross(e)).alias("cx"),
+                (acc["cy"] + (e["ay"] + e["by"]) * _cross(e)).alias("cy"),
+            ),
+        )
+        return let(
+            sums,
+            lambda t: point(
+                r[0][0]["x"] + F.try_divide(t["cx"], 3 * t["s"]), r[0][0]["y"] + F.try_divide(t["cy"], 3 * t["s"])
+            ),
+        )
+
+    return let(rings, of)
 
 
 def centroid_lonlat(rings: Column) -> Column:
     """Centroid computed in Web Mercator and returned in degrees."""
-    return F.transform(
-        F.array(centroid(polygon_to_mercator(rings))), lambda p: point(lon_of(p["x"]), lat_of(p["y"]))
-    )[0]
+    return let(centroid(polygon_to_mercator(rings)), lambda p: point(lon_of(p["x"]), lat_of(p["y"])))
 
 
 def bounds(rings: Column) -> Column:
-    xs = F.transform(F.flatten(rings), lambda p: p["x"])
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("minx"),
-        F.array_min(ys).alias("miny"),
-        F.array_max(xs).alias("maxx"),
-        F.array_max(ys).alias("maxy"),
-    )
+    def ends(pts: Column) -> Column:
+        xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
+        return F.struct(
+            F.array_min(xs).alias("minx"),
+            F.array_min(ys).alias("miny"),
+            F.array_max(xs).alias("maxx"),
+            F.array_max(ys).alias("maxy"),
+        )
+
+    return let(F.flatten(rings), ends)
 
 
 def box(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -136,10 +152,10 @@ def square_around(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Col
     )
 
 
-def crossings(rings: Column, x: Column, y: Column) -> Column:
+def crossings(edges: Column, x: Column, y: Column) -> Column:
     """Edges met by the ray from (x, y) towards +x."""
     return F.aggregate(
-        polygon_edges(rings),
+        edges,
         F.lit(0),
         lambda acc, e: acc
         + F.when(
@@ -154,9 +170,9 @@ def crossings(rings: Column, x: Column, y: Column) -> Column:
     )
 
 
-def on_boundary(rings: Column, x: Column, y: Column, eps: float = 1e-12) -> Column:
+def on_boundary(edges: Column, x: Column, y: Column, eps: float = 1e-12) -> Column:
     return F.exists(
-        polygon_edges(rings),
+        edges,
         lambda e: (
             F.abs((e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"]))
             <= eps
@@ -166,10 +182,10 @@ def on_boundary(rings: Column, x: Column, y: Column, eps: float = 1e-12) -> Colu
     )
 
 
-def contains(rings: Column, x: Column, y: Column, boundary: bool = False) -> Column:
-    """Point in polygon; ``boundary`` says whether points on an edge count."""
-    inside = crossings(rings, x, y) % 2 == 1
-    edge = on_boundary(rings, x, y)
+def contains(edges: Column, x: Column, y: Column, boundary: bool = False) -> Column:
+    """Point in polygon by its ``polygon_edges``; ``boundary`` says whether points on an edge count."""
+    inside = crossings(edges, x, y) % 2 == 1
+    edge = on_boundary(edges, x, y)
     return (inside | edge) if boundary else (inside & ~edge)
 
 

@@ -32,12 +32,11 @@ def with_weights(od: DataFrame, params: DataFrame | None = None) -> DataFrame:
     params = impedance_table(od.sparkSession) if params is None else params
     by_mode = params.groupBy("mode").agg(
         *[
-            F.max(F.when(F.col("purpose") == p, F.col(c))).alias(f"_{c}_{tag}")
+            F.expr(f"max(if(purpose = '{p}', {c}, null)) as _{c}_{tag}")
             for p, tag in (("Work", "work"), ("Non-work", "non"))
             for c in ("alpha", "beta")
         ]
     )
-    out = od.join(F.broadcast(by_mode), "mode")
-    for tag in ("work", "non"):
-        out = out.withColumn(f"w_{tag}", weight(F.col("time_min"), F.col(f"_alpha_{tag}"), F.col(f"_beta_{tag}")))
-    return out.drop(*[c for c in by_mode.columns if c != "mode"])
+    return od.join(F.broadcast(by_mode), "mode").selectExpr(
+        *od.columns, *[f"exp(_alpha_{tag} * pow(time_min, _beta_{tag})) as w_{tag}" for tag in ("work", "non")]
+    )

@@ -62,7 +62,7 @@ def points_in_polygons(
 ) -> DataFrame:
     """Points joined to the zones that hold them, one row per (point, zone).
 
-    ``points``: point_key..., lon, lat. ``zones``: geoid, level, geometry, further columns pass through.
+    ``points``: point_key..., lon, lat. ``zones``: geoid, level, geometry (dropped), further columns pass through.
     ``cell`` gives a grid size in degrees per level, about the extent of one zone, so a zone covers few cells.
     ``boundary=True`` also takes points on a zone's edge.
     """
@@ -74,7 +74,8 @@ def points_in_polygons(
         .withColumn("_cell", F.explode(cells_of_box(F.col("_b.minx"), F.col("_b.miny"), F.col("_b.maxx"),
                                                     F.col("_b.maxy"), F.col("_size"))))
         .withColumns({"_cx": F.col("_cell.cx"), "_cy": F.col("_cell.cy")})
-        .drop("_size", "_cell")
+        .withColumn("_edges", geo.polygon_edges(F.col("geometry")))
+        .drop("_size", "_cell", "geometry")
     )
     levels = F.array(*[F.struct(F.lit(k).alias("level"), F.lit(float(v)).alias("size")) for k, v in cell.items()])
     placed = (
@@ -89,7 +90,7 @@ def points_in_polygons(
     x, y = F.col("lon"), F.col("lat")
     near = x.between(F.col("_b.minx"), F.col("_b.maxx")) & y.between(F.col("_b.miny"), F.col("_b.maxy"))
     joined = salted_join(placed, tiles, ["level", "_cx", "_cy"], point_key, hot_rows)
-    return joined.where(near & geo.contains(F.col("geometry"), x, y, boundary)).drop("_cx", "_cy", "_b")
+    return joined.where(near & geo.contains(F.col("_edges"), x, y, boundary)).drop("_cx", "_cy", "_b", "_edges")
 
 
 def boxes_overlap(a: DataFrame, b: DataFrame, cell: float, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -8,15 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.impedance import with_weights
-from ..functions.text import purpose_of
 
 THRESHOLDS = (15, 30, 45, 60, 90)
 MEASURES = ("Contour", "Gravity", "E2SFCA", "M2SFCA")
 UNIT = ("city", "mode", "level")
 
 
-def _within(t: int, value: Column) -> Column:
-    return F.when(F.col("time_min") <= t, value)
+def _sum_within(t: int, value: str, name: str, agg: str = "sum") -> Column:
+    return F.expr(f"{agg}(if(time_min <= {t}, {value}, null)) as {name}")
 
 
 def demand_potential(
@@ -38,17 +37,22 @@ def demand_potential(
     weighted = with_weights(od, params)
     if demand == "origin":
         weighted = weighted.join(size.withColumnRenamed("geoid", "src"), "src")
-        work, non = F.col("w_work") * F.col("labor"), F.col("w_non") * F.col("popu")
+        work, non = "w_work * labor", "w_non * popu"
     else:
-        work, non = F.col("w_work"), F.col("w_non")
-    sums = [F.sum(_within(t, v)).alias(f"{tag}_{t}") for tag, v in (("work", work), ("non", non)) for t in thresholds]
+        work, non = "w_work", "w_non"
+    sums = [_sum_within(t, v, f"{tag}_{t}") for tag, v in (("work", work), ("non", non)) for t in thresholds]
     out = weighted.groupBy(*UNIT, "trg").agg(*sums)
     if demand == "origin":
         return out
     out = out.join(size.withColumnRenamed("geoid", "trg"), "trg")
-    scaled = {f"work_{t}": F.col(f"work_{t}") * F.col("labor") for t in thresholds}
-    scaled |= {f"non_{t}": F.col(f"non_{t}") * F.col("popu") for t in thresholds}
-    return out.withColumns(scaled).drop("popu", "labor")
+    return _scaled(out, thresholds)
+
+
+def _scaled(sums: DataFrame, thresholds: Sequence[int]) -> DataFrame:
+    """Weight sums times the destination's labor (work) and population (other purposes)."""
+    done = [f"{tag}_{t} * {size} as {tag}_{t}" for tag, size in (("work", "labor"), ("non", "popu")) for t in thresholds]
+    replaced = {f"{tag}_{t}" for tag in ("work", "non") for t in thresholds}
+    return sums.selectExpr(*[c for c in sums.columns if c not in replaced | {"popu", "labor"}], *done)
 
 
 def _supply(demand: DataFrame, opport: DataFrame, thresholds: Sequence[int]) -> DataFrame:
@@ -56,18 +60,14 @@ def _supply(demand: DataFrame, opport: DataFrame, thresholds: Sequence[int]) ->
 
     ``r_T`` is NULL where either purpose has no demand within T.
     """
-    work = purpose_of(F.col("kind")) == "Work"
-    side = opport.select(F.col("geoid").alias("trg"), "level", "kind", F.col("opport").cast("double").alias("o")).where(
-        "o > 0"
-    )
-    out = demand.join(side, ["trg", "level"])
-    ratios = {}
-    for t in thresholds:
-        served = (F.col(f"work_{t}") > 0) & (F.col(f"non_{t}") > 0)
-        own = F.when(work, F.col(f"work_{t}")).otherwise(F.col(f"non_{t}"))
-        ratios[f"r_{t}"] = F.when(served, F.col("o") / own)
+    side = opport.selectExpr(
+        "geoid as trg", "level", "kind", "cast(opport as double) as o", "kind like 'Jobs%' as for_work"
+    ).where("o > 0")
+    ratios = [
+        f"if(work_{t} > 0 and non_{t} > 0, o / if(for_work, work_{t}, non_{t}), null) as r_{t}" for t in thresholds
+    ]
     unit = [c for c in UNIT if c in demand.columns]
-    return out.withColumns(ratios).select(*unit, "trg", "kind", "o", *ratios)
+    return demand.join(side, ["trg", "level"]).selectExpr(*unit, "trg", "kind", "for_work", "o", *ratios)
 
 
 def access_wide_rows(
@@ -80,36 +80,28 @@ def access_wide_rows(
 ) -> DataFrame:
     """One row per (city, mode, level, geoid, kind) with a column per measure and threshold."""
     supply = _supply(demand, opport, thresholds)
-    w = F.when(F.col("kind").startswith("Jobs"), F.col("w_work")).otherwise(F.col("w_non"))
     unit = [c for c in UNIT if c in supply.columns]
-    joined = with_weights(od, params).join(supply, [*unit, "trg"]).withColumn("w", w)
+    joined = with_weights(od, params).join(supply, [*unit, "trg"])
+    joined = joined.withColumn("w", F.expr("if(for_work, w_work, w_non)"))
     sums = []
     for t in thresholds:
-        r, o, w = F.col(f"r_{t}"), F.col("o"), F.col("w")
-        reach = o if keep_zero_demand else F.when(r.isNotNull(), o)
+        reach = "o" if keep_zero_demand else f"if(r_{t} is not null, o, null)"
         sums += [
-            F.sum(_within(t, reach)).alias(f"Contour_{t}"),
-            F.sum(_within(t, reach * w)).alias(f"Gravity_{t}"),
-            F.sum(_within(t, r)).alias(f"E2SFCA_{t}"),
-            F.sum(_within(t, r * w)).alias(f"M2SFCA_{t}"),
+            _sum_within(t, reach, f"Contour_{t}"),
+            _sum_within(t, f"{reach} * w", f"Gravity_{t}"),
+            _sum_within(t, f"r_{t}", f"E2SFCA_{t}"),
+            _sum_within(t, f"r_{t} * w", f"M2SFCA_{t}"),
         ]
     return joined.groupBy(*UNIT, F.col("src").alias("geoid"), "kind").agg(*sums)
 
 
 def to_long(wide: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
     """measure, thresh and access rows; only positive access is kept."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(m).alias("measure"), F.lit(t).alias("thresh"), F.col(f"{m}_{t}").alias("access"))
-            for m in MEASURES
-            for t in thresholds
-        ]
-    )
     keys = [*UNIT, "geoid", "kind"]
+    cells = ", ".join(f"'{m}', {t}, {m}_{t}" for m in MEASURES for t in thresholds)
     return (
-        wide.select(*keys, F.explode(cells).alias("c"))
-        .select(F.col("c.measure").alias("measure"), "kind", "mode", F.col("c.thresh").alias("thresh"), "level", "city",
-                "geoid", F.col("c.access").alias("access"))
+        wide.selectExpr(*keys, f"stack({len(MEASURES) * len(thresholds)}, {cells}) as (measure, thresh, access)")
+        .select("measure", "kind", "mode", "thresh", "level", "city", "geoid", "access")
         .where("access > 0")
     )
 
@@ -146,20 +138,13 @@ def cross_modal_access(
     """Floating catchment whose demand takes, per origin, the largest weight over all modes within T."""
     od = od.where(F.col("time_min") <= max(thresholds))
     weighted = with_weights(od, params)
+    names = [f"{tag}_{t}" for tag in ("work", "non") for t in thresholds]
     best = weighted.groupBy("city", "level", "src", "trg").agg(
-        *[
-            F.max(_within(t, F.col(f"w_{tag}"))).alias(f"{tag}_{t}")
-            for tag in ("work", "non")
-            for t in thresholds
-        ]
-    )
-    total = best.groupBy("city", "level", "trg").agg(
-        *[F.sum(f"{tag}_{t}").alias(f"{tag}_{t}") for tag in ("work", "non") for t in thresholds]
+        *[_sum_within(t, f"w_{tag}", f"{tag}_{t}", "max") for tag in ("work", "non") for t in thresholds]
     )
+    total = best.groupBy("city", "level", "trg").agg(*[F.expr(f"sum({c}) as {c}") for c in names])
     size = zones.select(F.col("geoid").alias("trg"), "popu", "labor")
-    scaled = {f"work_{t}": F.col(f"work_{t}") * F.col("labor") for t in thresholds}
-    scaled |= {f"non_{t}": F.col(f"non_{t}") * F.col("popu") for t in thresholds}
-    demand = total.join(size, "trg").withColumns(scaled).drop("popu", "labor")
+    demand = _scaled(total.join(size, "trg"), thresholds)
     long = to_long(access_wide_rows(od, opport, demand, thresholds, params=params), thresholds)
     return long.where("measure = 'M2SFCA'").withColumn("measure", F.lit("XMFCA"))
 
@@ -171,14 +156,12 @@ def contour_jobs(od: DataFrame, jobs: DataFrame, thresholds: Sequence[int] = THR
     """
     joined = od.where(F.col("time_min") <= max(thresholds)).join(jobs.withColumnRenamed("geoid", "trg"), "trg")
     wide = joined.groupBy("city", "mode", F.col("src").alias("geoid")).agg(
-        *[F.sum(_within(t, F.col("njobs"))).alias(f"c_{t}") for t in thresholds]
-    )
-    cells = F.array(*[F.struct(F.lit(t).alias("thresh"), F.col(f"c_{t}").alias("saa")) for t in thresholds])
-    return (
-        wide.select("city", "mode", "geoid", F.explode(cells).alias("c"))
-        .select("city", "mode", "geoid", "c.thresh", "c.saa")
-        .where("saa is not null")
+        *[_sum_within(t, "njobs", f"c_{t}") for t in thresholds]
     )
+    cells = ", ".join(f"{t}, c_{t}" for t in thresholds)
+    return wide.selectExpr(
+        "city", "mode", "geoid", f"stack({len(thresholds)}, {cells}) as (thresh, saa)"
+    ).where("saa is not null")
 
 
 def catchment_sets(od: DataFrame, minutes: int) -> DataFrame:

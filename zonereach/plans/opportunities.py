@@ -137,7 +137,9 @@ def city_summary(zones: DataFrame, urban: DataFrame, jobs: DataFrame, pois: Data
     def at_bg(df: DataFrame, kind: str, count: str, name: str) -> DataFrame:
         return relational.keyword_filter(df, level="BG", kind=kind).select("geoid", F.col(count).alias(name))
 
-    bg = relational.keyword_filter(zones.drop("geometry"), level="BG")
+    bg = relational.keyword_filter(zones, level="BG").select(
+        "geoid", "county", "ua_code", "city", "aland", "awater", "popu"
+    )
     bg = bg.join(urban.where("level = 'BG'").select("geoid", "name"), "geoid")
     for side in (
         at_bg(jobs, "All", "njobs", "njobs"),

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geo
 
 TRACT_CODES = 1_000_000
 
@@ -32,53 +31,42 @@ def _geoid(k: str, rk: str) -> str:
     )
 
 
-def county_origin(nk: Column) -> tuple[Column, Column]:
-    """South-west corner of a county before the shear, in micro-degrees."""
-    x = F.lit(-120_000_000) + (nk % 5) * 10_000_000
-    y = F.lit(25_000_000) + F.floor(nk / 5) * 4_000_000
-    return x, y
-
-
-def lattice_point(x: Column, y: Column) -> Column:
-    """Sheared vertex in degrees from micro-degrees (both even offsets, so the half shear is exact)."""
-    return geo.point((x + F.floor((y - 25_000_000) / 2)) / 1_000_000, y / 1_000_000)
-
-
-def lattice_ring(x: Column, y: Column, w: Column, h: Column) -> Column:
-    """Counter-clockwise closed parallelogram."""
-    return F.array(
-        lattice_point(x, y),
-        lattice_point(x + w, y),
-        lattice_point(x + w, y + h),
-        lattice_point(x, y + h),
-        lattice_point(x, y),
-    )
-
-
-def tract_cell(i: Column) -> tuple[Column, Column]:
-    """Column and row of a tract code: even decimal digits give the column, odd ones the row."""
-
-    def digit(p: int) -> Column:
-        return F.floor(i / 10**p) % 10
-
-    return digit(0) + digit(2) * 10 + digit(4) * 100, digit(1) + digit(3) * 10 + digit(5) * 100
+def tract_cell(i: str) -> tuple[str, str]:
+    """SQL of column and row of a tract code: even decimal digits give the column, odd ones the row."""
+    d = [f"({i} div {10**p}) % 10" for p in range(6)]
+    return f"{d[0]} + {d[2]} * 10 + {d[4]} * 100", f"{d[1]} + {d[3]} * 10 + {d[5]} * 100"
 
 
 def with_geometry(zones: DataFrame) -> DataFrame:
-    """Add ``geometry`` (rings) from ``geoid``: county, tract or block group by its width."""
-    nk = F.substring("geoid", 3, 3).cast("int")
-    x0, y0 = county_origin(nk)
-    col, row = tract_cell(F.substring("geoid", 6, 6).cast("int"))
-    half = F.substring("geoid", 12, 1).cast("int") - 1
-    n = F.length("geoid")
-    ring = (
-        F.when(n == 5, lattice_ring(x0, y0, F.lit(10_000_000), F.lit(4_000_000)))
-        .when(n == 11, lattice_ring(x0 + col * 10_000, y0 + row * 4_000, F.lit(10_000), F.lit(4_000)))
-        .otherwise(
-            lattice_ring(x0 + col * 10_000 + half * 5_000, y0 + row * 4_000, F.lit(5_000), F.lit(4_000))
+    """Add ``geometry`` (rings) from ``geoid``: county, tract or block group by its width.
+
+    The corner and size of the cell are integer micro-degrees; the shear adds half the northing.
+    """
+    col, row = tract_cell("_ti")
+    corners = [("_x", "_y"), ("_x + _w", "_y"), ("_x + _w", "_y + _h"), ("_x", "_y + _h"), ("_x", "_y")]
+    ring = ", ".join(
+        f"struct(({x} + ({y} - 25000000) div 2) / 1000000 as x, ({y}) / 1000000 as y)" for x, y in corners
+    )
+    return (
+        zones.selectExpr(
+            "*",
+            "cast(substring(geoid, 3, 3) as int) as _nk",
+            "if(length(geoid) >= 11, cast(substring(geoid, 6, 6) as int), 0) as _ti",
+            "if(length(geoid) = 12, cast(substring(geoid, 12, 1) as int) - 1, 0) as _half",
+            "case length(geoid) when 5 then 10000000 when 11 then 10000 else 5000 end as _w",
+            "case length(geoid) when 5 then 4000000 else 4000 end as _h",
         )
+        .selectExpr(
+            "*",
+            f"-120000000 + _nk % 5 * 10000000 + ({col}) * 10000 + _half * 5000 as _x",
+            f"25000000 + _nk div 5 * 4000000 + ({row}) * 4000 as _y",
+        )
+        .selectExpr(*zones.columns, f"array(array({ring})) as geometry")
     )
-    return zones.withColumn("geometry", F.array(ring))
+
+
+# Schemas already read, by path, so that a file's footer is read once per process.
+_SCHEMAS: dict[str, object] = {}
 
 
 class Inputs:
@@ -89,7 +77,10 @@ class Inputs:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def counties(self) -> DataFrame:
@@ -127,16 +118,19 @@ class Inputs:
 
     @cached_property
     def zones(self) -> DataFrame:
-        """Zones at three levels: geoid, level, county, ua_code, city, aland, awater (sq mi), popu, labor, geometry."""
+        """Zones at three levels: geoid, level, county, ua_code, city, aland, awater (sq mi), popu, labor."""
         from ..functions.units import sqm_to_sqmi
         from ..operators.rollup import prefix_rollup
 
         sums = ["aland", "awater", "popu", "labor"]
         flat = prefix_rollup(self.bg, sums, ("BG", "Tract", "County"), by=("county", "ua_code", "city"))
         miles = {c: sqm_to_sqmi(F.col(c)) for c in ("aland", "awater")}
-        return with_geometry(flat.withColumns(miles)).select(
-            "geoid", "level", "county", "ua_code", "city", *sums, "geometry"
-        )
+        return flat.withColumns(miles).select("geoid", "level", "county", "ua_code", "city", *sums)
+
+    @cached_property
+    def zone_shapes(self) -> DataFrame:
+        """``zones`` with their polygons."""
+        return with_geometry(self.zones)
 
     @cached_property
     def wac(self) -> DataFrame:
@@ -308,11 +302,12 @@ class Inputs:
 
     def _place(self, f: DataFrame) -> DataFrame:
         """Turn (nk, ti, fx, fy) into lon/lat at odd micro-degree offsets from the tract corner (never on an edge)."""
-        x0, y0 = county_origin(F.col("nk"))
-        col, row = tract_cell(F.col("ti"))
-        x = x0 + col * 10_000 + F.col("fx") * 2 + 1
-        y = y0 + row * 4_000 + F.col("fy") * 2 + 1
-        return f.withColumn("lon", (x + (y - 25_000_000) / 2) / 1_000_000).withColumn("lat", y / 1_000_000)
+        col, row = tract_cell("ti")
+        return f.selectExpr(
+            "*",
+            f"-120000000 + nk % 5 * 10000000 + ({col}) * 10000 + fx * 2 + 1 as x",
+            f"25000000 + nk div 5 * 4000000 + ({row}) * 4000 + fy * 2 + 1 as y",
+        ).selectExpr("*", "(x + (y - 25000000) / 2) / 1000000 as lon", "y / 1000000 as lat")
 
     @cached_property
     def ev_stations(self) -> DataFrame:

@@ -201,8 +201,8 @@ def wide_table(i: Inputs) -> DataFrame:
 
 def _wide_rounded(df: DataFrame) -> DataFrame:
     digits = {f: 4 if f[:2] in ("Co", "Gr") else 6 for f, *_ in export.catalog_rows()}
-    return df.select(
-        *[F.round(c, digits.get(c, 6)).alias(c) if t in ("double", "float") else c for c, t in df.dtypes]
+    return df.selectExpr(
+        *[f"round({c}, {digits.get(c, 6)}) as {c}" if t in ("double", "float") else c for c, t in df.dtypes]
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import ranking, relational, stats
 from ..operators.relational import keyword_filter
 from ..plans import travel, validation as val
+from ..session import cut_lineage
 from ..sources.fixtures import Inputs
 from .access_queries import base_access, level_access, r5_times
 from .registry import query, rounded
@@ -340,7 +341,7 @@ def city_access_boxes(i: Inputs) -> DataFrame:
   select city, cast(sum(popu) as double) as p from vw_xs group by 1) s on s.city=x.city"""},
 )
 def city_access_boxes_per_capita(i: Inputs) -> DataFrame:
-    sized = gravity_slice(i).join(i.bg.select("geoid", "popu"), "geoid")
+    sized = cut_lineage(gravity_slice(i).join(i.bg.select("geoid", "popu"), "geoid"))  # passes twice
     totals = sized.groupBy("city").agg(F.sum("popu").alias("city_popu"))
     return rounded(ranking.box_stats(val.per_capita(sized, "access", totals, ["city"], "city_popu"), "access", ["city"]))
 

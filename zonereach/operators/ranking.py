@@ -93,6 +93,7 @@ def with_average_rank(
     **split,
 ) -> DataFrame:
     """Attach the average rank (or, with ``pct``, average rank / rows x 100) of ``value``; NULL stays NULL."""
+    df = cut_lineage(df)  # passes twice: for the counts and for the rows
     oc = ordered_counts(df, value, by, **split)
     rank = average_rank(oc, ascending)
     rank = rank / F.col("n") * 100 if pct else rank

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def through_origin_fit(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     """Least squares without intercept per group: n, slope and uncentred R2."""
@@ -72,9 +74,10 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def normalized_rmse(df: DataFrame, a: str, b: str, by: Sequence[str]) -> DataFrame:
     """Root mean square difference of the min-max normalised columns per group.
 
-    With d = A (b - b0) - B (a - a0) every sum is algebraic once the group's ends are known; the ends come back
-    by a join on the group.
+    The rows pass twice, once for the ends of each group and once for the differences, so they are cut first. The
+    one-pass form by sums of squares is avoided: it cancels badly where values lie far from zero.
     """
+    df = cut_lineage(df)
     ends = df.groupBy(*by).agg(
         F.min(a).alias("_a0"), F.max(a).alias("_a1"), F.min(b).alias("_b0"), F.max(b).alias("_b1")
     )

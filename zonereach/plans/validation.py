@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import ranking, relational, stats
 from ..operators.ranking import with_average_rank
+from ..session import cut_lineage
 
 RURAL_CODES = (0, 99998, 99999)
 
@@ -62,25 +63,27 @@ def scale_pairs(
     key = ["measure", "kind", "mode", "thresh"]
     xs = access.where(F.col("kind").isin(list(kinds)) & F.col("thresh").isin(list(thresholds))).withColumn(
         "kind", F.split("kind", ":")[0]
-    ).select(*key, "level", "geoid", "access")
-    scales = F.array(
-        *[
-            F.struct(F.lit(big).alias("lbig"), F.lit(small).alias("lsmall"))
-            for big, small in (("County", "Tract"), ("Tract", "BG"))
-        ]
     )
-    tagged = xs.withColumn("_s", F.explode(scales)).withColumns({"lbig": F.col("_s.lbig"), "lsmall": F.col("_s.lsmall")})
-    big = tagged.where("level = lbig").select(*key, "lbig", "lsmall", "geoid", F.col("access").alias("xsbig"))
-    parent = F.when(F.col("lbig") == "County", text.prefix(F.col("geoid"), "County")).otherwise(
-        text.prefix(F.col("geoid"), "Tract")
+    # A row is the parent of one scale and the child of another; both roles meet in one grouping, so the access
+    # table passes once and nothing is joined.
+    scales = (("County", "Tract"), ("Tract", "BG"))
+    roles = ", ".join(
+        f"struct('{big}' as lbig, '{small}' as lsmall, level = '{big}' as parent,"
+        f" substring(geoid, 1, {text.LEVEL_WIDTH[big]}) as geoid)"
+        for big, small in scales
     )
-    small = (
-        tagged.where("level = lsmall")
-        .groupBy(*key, "lbig", "lsmall", parent.alias("geoid"))
-        .agg(F.avg("access").alias("Mean"), F.median("access").alias("Median"))
+    role = (
+        xs.selectExpr(*key, "level", "access", f"explode(array({roles})) as r")
+        .where("level = r.lbig or level = r.lsmall")
+        .selectExpr(*key, "access", "r.*")
+    )
+    both = role.groupBy(*key, "lbig", "lsmall", "geoid").agg(
+        F.expr("max(if(parent, access, null)) as xsbig"),
+        F.expr("avg(if(parent, null, access)) as Mean"),
+        F.expr("median(if(parent, null, access)) as Median"),
     )
     return (
-        big.join(small, [*key, "lbig", "lsmall", "geoid"])
+        both.where("xsbig is not null and Mean is not null")
         .unpivot([*key, "lbig", "lsmall", "geoid", "xsbig"], ["Mean", "Median"], "aggfunc", "xssmall")
         .select(*key, "aggfunc", "lbig", "lsmall", "geoid", "xsbig", "xssmall")
     )
@@ -140,7 +143,7 @@ def per_capita(df: DataFrame, value: str, totals: DataFrame, by: Sequence[str],
 
 def city_access_boxes(access: DataFrame, popu: DataFrame) -> DataFrame:
     """Access distribution of every city next to its population and population rank."""
-    sized = access.join(popu.select("geoid", "popu"), "geoid")
+    sized = cut_lineage(access.join(popu.select("geoid", "popu"), "geoid"))  # passes twice below
     boxes = ranking.box_stats(sized, "access", ["city"], mean=True)
     totals = sized.groupBy("city").agg(F.sum("popu").alias("popu"))
     return ranking.positional_rank(boxes.join(totals, "city"), [F.desc("popu"), F.col("city")])

@@ -171,51 +171,43 @@ class Inputs:
     @cached_property
     def pairs(self) -> DataFrame:
         """Distinct (src, trg) block-group pairs inside a city: base tenth-minutes and metres."""
+        # Zone numbers repeat with the id space, so pairs are made distinct on two numbers before ids are spelt out.
+        space = 50 * TRACT_CODES
         near = self.counties.select(F.col("nk").alias("nk_s"), F.col("rk").alias("rk_s"), "city")
         far = self.counties.select(F.col("nk").alias("nk_t"), F.col("rk").alias("rk_t"))
         seen = (
             self.table("lineitem")
             .selectExpr("l_partkey div 20 as a", "l_suppkey as b")
-            .selectExpr("a", "b", "cast((a div 2) % 25 as int) as nk_s", "cast((b div 2) % 25 as int) as nk_t")
+            .selectExpr(
+                f"a % {space} as za", f"b % {space} as zb", "if(a = b, 0L, (a * 31 + b * 17) % 1200) as base",
+                "(a * 13 + b * 7) % 5000 * 10 as dist", "cast((a div 2) % 25 as int) as nk_s",
+                "cast((b div 2) % 25 as int) as nk_t",
+            )
             .join(near, "nk_s")
             .join(far, "nk_t")
             .where("rk_s = rk_t")
+            .select("city", "rk_s", "za", "zb", "base", "dist")
+        )
+        own = (
+            self.table("supplier")
             .selectExpr(
-                "city",
-                f"{_geoid('a', 'rk_s')} as src",
-                f"{_geoid('b', 'rk_t')} as trg",
-                "case when a = b then 0 else (a * 31 + b * 17) % 1200 end as base",
-                "(a * 13 + b * 7) % 5000 * 10 as dist",
+                f"s_suppkey % {space} as za", f"s_suppkey % {space} as zb", "0L as base",
+                "s_suppkey * 20 % 5000 * 10 as dist", "cast((s_suppkey div 2) % 25 as int) as nk_s",
             )
+            .join(near, "nk_s")
+            .select("city", "rk_s", "za", "zb", "base", "dist")
         )
-        own = self.bg.selectExpr("city", "geoid as src", "geoid as trg", "0L as base", "k * 20 % 5000 * 10 as dist")
         return (
             seen.unionByName(own)
-            .groupBy("city", "src", "trg")
+            .groupBy("city", "rk_s", "za", "zb")
             .agg(F.min("base").alias("base"), F.min("dist").alias("dist"))
+            .selectExpr("city", f"{_geoid('za', 'rk_s')} as src", f"{_geoid('zb', 'rk_s')} as trg", "base", "dist")
         )
 
     def _modes(self, pairs: DataFrame) -> DataFrame:
-        return pairs.select(
-            "city",
-            "level",
-            "src",
-            "trg",
-            "dist",
-            "base",
-            F.explode(
-                F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(f).alias("f")) for m, f in
-                          (("Drive", 1), ("Bike", 2), ("Walk", 3))])
-            ).alias("m"),
-        ).select(
-            "city",
-            F.col("m.mode").alias("mode"),
-            "level",
-            "src",
-            "trg",
-            "dist",
-            (F.col("base") * F.col("m.f")).alias("tenths"),
-        )
+        return pairs.selectExpr(
+            "city", "level", "src", "trg", "dist", "base", "stack(3, 'Drive', 1, 'Bike', 2, 'Walk', 3) as (mode, f)"
+        ).selectExpr("city", "mode", "level", "src", "trg", "dist", "base * f as tenths")
 
     @cached_property
     def od_tenths(self) -> DataFrame:

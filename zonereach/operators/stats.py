@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,9 +108,14 @@ def regression_table(df: DataFrame, features: Sequence[str], target: str, interc
     s = model.summary
     terms = list(features) + (["(intercept)"] if intercept else [])
     coefs = list(model.coefficients) + ([model.intercept] if intercept else [])
+    try:
+        errors = list(zip(s.coefficientStandardErrors, s.tValues, s.pValues))
+    except UnsupportedOperationException:
+        # Collinear or too few rows: the solver gives coefficients but no errors.
+        errors = [(None, None, None)] * len(terms)
     rows = [
-        (t, float(c), float(e), float(tv), float(p), float(s.r2))
-        for t, c, e, tv, p in zip(terms, coefs, s.coefficientStandardErrors, s.tValues, s.pValues)
+        (t, float(c), *[None if v is None else float(v) for v in e], float(s.r2))
+        for t, c, e in zip(terms, coefs, errors)
     ]
     return df.sparkSession.createDataFrame(
         rows, "term string, coefficient double, std_error double, t double, p double, r2 double"

@@ -51,7 +51,7 @@ def fits(i: Inputs) -> DataFrame:
 
 @query("origin_ols", "select city, mode, n, round(slope,6) as slope, round(r2,6) as r2 from vw_fits", _R | {"vw_fits": _FITS})
 def origin_ols(i: Inputs) -> DataFrame:
-    return rounded(fits(i))
+    return rounded(fits(i).drop("x_max"))
 
 
 @query(
@@ -61,8 +61,7 @@ def origin_ols(i: Inputs) -> DataFrame:
     _R | {"vw_fits": _FITS},
 )
 def fitted_lines(i: Inputs) -> DataFrame:
-    tops = routers(i).groupBy("city", "mode").agg(F.max("r5").alias("top"))
-    lines = stats.fitted_line(fits(i).join(tops, ["city", "mode"]), F.col("top"), 100)
+    lines = stats.fitted_line(fits(i), F.col("x_max"), 100)
     return rounded(lines.select("city", "mode", "step", "x", "y"), 4)
 
 
@@ -76,7 +75,7 @@ def router_means(i: Inputs) -> DataFrame:
     sums = routers(i).groupBy("mode", "city").agg(
         F.sum("osrm").alias("a"), F.sum("r5").alias("b"), F.count("*").alias("n")
     )
-    both = sums.unionByName(sums.withColumn("city", F.lit("all cities")))
+    both = sums.withColumn("city", F.explode(F.array("city", F.lit("all cities"))))
     out = both.groupBy("mode", "city").agg(
         (F.sum("a") / F.sum("n")).alias("osrm"), (F.sum("b") / F.sum("n")).alias("r5")
     )
@@ -172,7 +171,8 @@ def mode_cohorts(i: Inputs) -> DataFrame:
     _X,
 )
 def external_slopes(i: Inputs) -> DataFrame:
-    return rounded(stats.through_origin_fit(keyword_filter(ratios(i), thresh=30), "saa", "aaa", ["city", "mode"]))
+    fit = stats.through_origin_fit(keyword_filter(ratios(i), thresh=30), "saa", "aaa", ["city", "mode"])
+    return rounded(fit.drop("x_max"))
 
 
 @query(

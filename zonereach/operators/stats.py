@@ -12,7 +12,7 @@ from ..session import cut_lineage
 
 
 def through_origin_fit(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
-    """Least squares without intercept per group: n, slope and uncentred R2."""
+    """Least squares without intercept per group: n, slope, uncentred R2 and the largest x."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
     sums = (
         df.where(xs.isNotNull() & ys.isNotNull())
@@ -22,6 +22,7 @@ def through_origin_fit(df: DataFrame, x: str, y: str, by: Sequence[str]) -> Data
             F.sum(xs * ys).alias("_xy"),
             F.sum(xs * xs).alias("_xx"),
             F.sum(ys * ys).alias("_yy"),
+            F.max(xs).alias("x_max"),
         )
     )
     return sums.select(
@@ -29,11 +30,12 @@ def through_origin_fit(df: DataFrame, x: str, y: str, by: Sequence[str]) -> Data
         "n",
         F.try_divide(F.col("_xy"), F.col("_xx")).alias("slope"),
         F.try_divide(F.col("_xy") * F.col("_xy"), F.col("_xx") * F.col("_yy")).alias("r2"),
+        "x_max",
     )
 
 
 def fitted_line(fits: DataFrame, top: Column, steps: int) -> DataFrame:
-    """Points (x, y = slope x) on an even grid from 0 to ``top``."""
+    """Points (x, y = slope x) on an even grid from 0 to ``top`` (such as the group's ``x_max``)."""
     grid = F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))
     return (
         fits.withColumn("_top", top)

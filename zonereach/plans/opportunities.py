@@ -76,27 +76,30 @@ def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, cell
     """geoid, level, kind, npois: all points of interest per zone and, per class, the flag sums of their tags.
 
     A point's (tag, value) counts once per matching industry code, or once at all with ``distinct_poi``. The
-    industry codes are summed per (tag, value) first, so points never fan out over a long code list.
+    industry codes are summed per (tag, value) first, so points never fan out over a long code list. A point of
+    interest has at least one tag of the list; its first such tag carries the count of the point itself.
     """
     agg = F.max if distinct_poi else F.sum
     per_value = tags.groupBy("tag", "value").agg(*[agg(F.col(c).cast("long")).alias(c) for c in POI_CLASSES])
-    tag_names = tags.select("tag").distinct()
-    tagged = points.select("id", "lon", "lat", F.explode("tags").alias("tag", "value")).join(
-        tag_names, "tag", "left_semi"
+    # At most the nine allowed tags.
+    names = sorted(r.tag for r in tags.where(F.col("tag").isin(list(ALLOWED_TAGS))).select("tag").distinct().collect())
+    listed = points.select(
+        "id", "lon", "lat", F.map_filter("tags", lambda k, v: k.isin(names) & v.isNotNull()).alias("tags")
+    ).where(F.size("tags") > 0)
+    placed = spatial.points_in_polygons(
+        listed, block_groups.where("level = 'BG'").select("geoid", "level", "geometry"), {"BG": cell}, boundary=True
     )
-    # One row per point: how many points it is (1) and its class counts.
-    classed = (
-        tagged.join(per_value, ["tag", "value"], "left")
-        .groupBy("id", "lon", "lat")
-        .agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in POI_CLASSES])
+    tagged = placed.select("geoid", F.posexplode(F.map_entries("tags")).alias("pos", "e")).selectExpr(
+        "geoid", "if(pos = 0, 1L, 0L) as `All`", "e.key as tag", "e.value as value"
     )
-    placed = spatial.points_in_polygons(
-        classed, block_groups.where("level = 'BG'").select("geoid", "level", "geometry"), {"BG": cell}, boundary=True
+    columns = ["All", *POI_CLASSES]
+    # Counting per (zone, tag, value) before the classes are looked up keeps a hot tag to one row per zone.
+    per_tag = tagged.groupBy("geoid", "tag", "value").agg(F.sum("All").alias("All"), F.count("*").alias("_n"))
+    classed = per_tag.join(per_value, ["tag", "value"], "left").select(
+        "geoid", "All", *[(F.coalesce(F.col(c), F.lit(0)) * F.col("_n")).alias(c) for c in POI_CLASSES]
     )
-    names = ["All", *POI_CLASSES]
-    per_bg = placed.withColumn("All", F.lit(1)).groupBy("geoid").agg(*[F.sum(c).alias(c) for c in names])
-    wide = rollup.prefix_rollup(per_bg, names, ("BG", "Tract", "County"))
-    return wide.unpivot(["geoid", "level"], names, "kind", "npois")
+    wide = rollup.prefix_rollup(classed, columns, ("BG", "Tract", "County"))
+    return wide.unpivot(["geoid", "level"], columns, "kind", "npois")
 
 
 def ev_counts(stations: DataFrame, zones: DataFrame, asof: str, cell: dict[str, float]) -> DataFrame:

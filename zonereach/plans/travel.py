@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import units
 from ..operators.ranking import id_positions
+from ..session import cut_lineage
 
 OSRM_MODES = ("bike", "drive", "walk")
 R5_MODES = ("bike", "drive", "transit", "walk")
@@ -91,8 +92,11 @@ def od_from_r5(raw: DataFrame) -> DataFrame:
 
 def compact_codes(od: DataFrame) -> DataFrame:
     """city, mode, level, from_id, to_id, time: ids as dense codes per unit and side, minutes cut to int."""
-    src = id_positions(od, UNIT, "src", "from_id")
-    trg = id_positions(od, UNIT, "trg", "to_id")
+    ids = od.selectExpr(*UNIT, "stack(2, 'src', src, 'trg', trg) as (side, id)")
+    # One pass finds the ids of both sides; the finished dictionary is small next to the pairs and used twice.
+    codes = cut_lineage(id_positions(ids, [*UNIT, "side"], "id", "code"))
+    src = codes.where("side = 'src'").selectExpr(*UNIT, "id as src", "code as from_id")
+    trg = codes.where("side = 'trg'").selectExpr(*UNIT, "id as trg", "code as to_id")
     return (
         od.join(src, [*UNIT, "src"])
         .join(trg, [*UNIT, "trg"])

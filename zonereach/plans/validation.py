@@ -45,6 +45,7 @@ def exclude_mode_cities(df: DataFrame, mode: str, cities: Sequence[str]) -> Data
 
 def mode_cohorts(ratios: DataFrame, mode: str = "Drive") -> DataFrame:
     """Rows tagged by whether their city has data for ``mode``."""
+    ratios = cut_lineage(ratios)  # passes twice
     having = ratios.where(F.col("mode") == mode).select("city").distinct().withColumn("_has", F.lit(True))
     return ratios.join(having, "city", "left").withColumn(
         "cohort", F.when(F.col("_has"), F.lit(f"with {mode}")).otherwise(F.lit(f"without {mode}"))
@@ -128,10 +129,13 @@ def road_segments(hpms: DataFrame, zones: DataFrame) -> DataFrame:
 def norm_gravity(access: DataFrame, popu: DataFrame) -> DataFrame:
     """Access rows plus gravity per person as a measure of its own."""
     sized = access.join(popu.select("geoid", "popu"), "geoid")
-    extra = sized.where("measure = 'Gravity'").withColumns(
-        {"access": F.try_divide(F.col("access"), F.col("popu").cast("double")), "measure": F.lit("Norm Gravity")}
+    # Gravity rows come out twice, so the access table passes once.
+    both = (
+        "explode(if(measure = 'Gravity', array(struct(measure, access), struct('Norm Gravity' as measure,"
+        " try_divide(access, cast(popu as double)) as access)), array(struct(measure, access)))) as _m"
     )
-    return sized.unionByName(extra)
+    rest = [c for c in sized.columns if c not in ("measure", "access")]
+    return sized.selectExpr(*rest, both).select("_m.measure", "_m.access", *rest)
 
 
 def per_capita(df: DataFrame, value: str, totals: DataFrame, by: Sequence[str], total: str) -> DataFrame:

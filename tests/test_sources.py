@@ -136,3 +136,17 @@ def test_request_blocks(spark):
     index = spark.createDataFrame([("c", "BG", i) for i in range(7)] + [("one", "BG", 0)], "city string, level string, idx long")
     got = sorted(tuple(r) for r in travel.request_blocks(index, 3).collect())
     assert got == [("c", "BG", 0, 0, 2, 3, 3), ("c", "BG", 1, 3, 5, 3, 3), ("c", "BG", 2, 6, 6, 1, 3)]
+
+
+def test_state_filter(spark):
+    df = spark.createDataFrame([("181", "182"), ("181", "171"), ("171", "172")], "src string, trg string")
+    assert df.where(travel.both_ends_in_state("18")).count() == 1
+    assert df.where(travel.both_ends_in_state()).count() == 2
+
+
+def test_compact_codes(spark):
+    rows = [("c", "Walk", "BG", s, t, m) for s, t, m in (("010010000021", "010010000011", 3.9), ("010010000011", "010030000011", 90.0),
+                                                         ("010010000021", "010030000011", 0.0))]
+    od = spark.createDataFrame(rows, "city string, mode string, level string, src string, trg string, time_min double")
+    got = sorted((r.from_id, r.to_id, r.time) for r in travel.compact_codes(od).collect())
+    assert got == [(0, 1, 90), (1, 0, 3), (1, 1, 0)]

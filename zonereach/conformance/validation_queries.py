@@ -33,11 +33,12 @@ def router_compare(i: Inputs) -> DataFrame:
 
 @query(
     "router_compare_state",
-    "select city, mode, src, trg, round(osrm,6) as osrm, r5 from vw_routers where src like '02%' and trg like '02%'",
+    """select substr(src,1,2) as state, city, mode, src, trg, round(osrm,6) as osrm, r5 from vw_routers
+ where substr(src,1,2)=substr(trg,1,2)""",
     _R,
 )
 def router_compare_state(i: Inputs) -> DataFrame:
-    return rounded(routers(i, travel.both_ends_in_state("02")).drop("level"))
+    return rounded(routers(i, travel.both_ends_in_state()).drop("level").withColumn("state", F.substring("src", 1, 2)))
 
 
 _FITS = """select city, mode, count(*) as n, sum(r5*osrm)/sum(r5*r5) as slope, sum(r5*osrm)*sum(r5*osrm)/(sum(r5*r5)*sum(osrm*osrm)) as r2
@@ -178,12 +179,11 @@ def external_slopes(i: Inputs) -> DataFrame:
 @query(
     "zone_lookup",
     """select r.geoid, r.city, r.mode, round(saa/1e6,9) as saa_m, round(aaa/1e6,9) as aaa_m, popu from vw_ratio r join fx_bg b on b.geoid=r.geoid
- where thresh=30 and county='NATION_7'""",
+ where thresh=30""",
     _X,
 )
 def zone_lookup(i: Inputs) -> DataFrame:
-    here = keyword_filter(i.bg.select("geoid", "county", "popu"), county="NATION_7")
-    one = keyword_filter(ratios(i), thresh=30).join(here, "geoid")
+    one = keyword_filter(ratios(i), thresh=30).join(i.bg.select("geoid", "popu"), "geoid")
     out = one.select("geoid", "city", "mode", (F.col("saa") / 1e6).alias("saa_m"), (F.col("aaa") / 1e6).alias("aaa_m"), "popu")
     return rounded(out, 9)
 

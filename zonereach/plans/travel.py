@@ -118,5 +118,8 @@ def compare_routers(a: DataFrame, b: DataFrame, name_a: str, name_b: str, where:
     )
 
 
-def both_ends_in_state(state: str) -> Column:
+def both_ends_in_state(state: str | None = None) -> Column:
+    """Both ends in the named state, or in the same state whichever it is."""
+    if state is None:
+        return F.substring("src", 1, 2) == F.substring("trg", 1, 2)
     return F.col("src").startswith(state) & F.col("trg").startswith(state)

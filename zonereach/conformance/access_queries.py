@@ -98,7 +98,7 @@ def demand_potential(i: Inputs) -> DataFrame:
 
 @query(
     "contour_jobs_r5",
-    """select city, mode, src as geoid, thresh, cast(sum(opport) as bigint) as saa
+    """select city, mode, src as geoid, thresh, cast(sum(opport) as bigint) as own
  from fx_od_r5 join fx_opport_bg on geoid=trg and kind='Jobs: All' join fx_t on travel_time<=thresh group by 1,2,3,4""",
 )
 def contour_jobs_r5(i: Inputs) -> DataFrame:

@@ -101,13 +101,13 @@ def joint_histogram(i: Inputs) -> DataFrame:
 
 # External data ------------------------------------------------------------------------------------------------
 
-_SAA = """select city, mode, src as geoid, thresh, cast(sum(opport) as bigint) as saa
+_OWN = """select city, mode, src as geoid, thresh, cast(sum(opport) as bigint) as own
  from fx_od_r5 join fx_opport_bg on geoid=trg and kind='Jobs: All' join fx_t on travel_time<=thresh group by 1,2,3,4"""
-_AAA = """select s.mode, s.thresh, s.city, s.geoid, case when k%31=0 then 0 else floor(saa*(80+k%40)/100) end as aaa
- from vw_saa s join fx_bg b on b.geoid=s.geoid where thresh<=60 and not (mode='Drive' and s.city in ('ASIA'))"""
-_RATIO = """select s.geoid, s.city, s.mode, s.thresh, saa, aaa, saa/aaa as ratio from vw_saa s join vw_aaa a
- on a.geoid=s.geoid and a.city=s.city and a.mode=s.mode and a.thresh=s.thresh where aaa>0"""
-_X = {"vw_saa": _SAA, "vw_aaa": _AAA, "vw_ratio": _RATIO}
+_EXT = """select s.mode, s.thresh, s.city, s.geoid, case when k%31=0 then 0 else floor(own*(80+k%40)/100) end as ext
+ from vw_own s join fx_bg b on b.geoid=s.geoid where thresh<=60 and not (mode='Drive' and s.city in ('ASIA'))"""
+_RATIO = """select s.geoid, s.city, s.mode, s.thresh, own, ext, own/ext as ratio from vw_own s join vw_ext a
+ on a.geoid=s.geoid and a.city=s.city and a.mode=s.mode and a.thresh=s.thresh where ext>0"""
+_X = {"vw_own": _OWN, "vw_ext": _EXT, "vw_ratio": _RATIO}
 
 
 def own_contour(i: Inputs) -> DataFrame:
@@ -115,22 +115,22 @@ def own_contour(i: Inputs) -> DataFrame:
     return acc.contour_jobs(r5_times(i), jobs)
 
 
-def external(i: Inputs, saa: DataFrame) -> DataFrame:
+def external(i: Inputs, own: DataFrame) -> DataFrame:
     """A published table with its own quirks: ids as numbers, lower-case modes, a 90-minute row to be left out."""
-    raw = saa.join(i.bg.select("geoid", "k"), "geoid").selectExpr(
+    raw = own.join(i.bg.select("geoid", "k"), "geoid").selectExpr(
         "cast(geoid as bigint) as id", "thresh as threshold", "lower(mode) as mode",
-        "if(k % 31 = 0, 0D, cast(saa * (80 + k % 40) div 100 as double)) as total_jobs", "city",
+        "if(k % 31 = 0, 0D, cast(own * (80 + k % 40) div 100 as double)) as total_jobs", "city",
     )
     raw = raw.where("not (mode = 'drive' and city in ('ASIA'))").drop("city")
     return val.external_tidy(raw, "total_jobs", i.bg)
 
 
 def ratios(i: Inputs) -> DataFrame:
-    saa = own_contour(i)
-    return val.external_ratio(saa, external(i, saa))
+    own = own_contour(i)
+    return val.external_ratio(own, external(i, own))
 
 
-@query("external_ratio", "select geoid, city, mode, thresh, saa, aaa, round(ratio,6) as ratio from vw_ratio", _X)
+@query("external_ratio", "select geoid, city, mode, thresh, own, ext, round(ratio,6) as ratio from vw_ratio", _X)
 def external_ratio(i: Inputs) -> DataFrame:
     return rounded(ratios(i))
 
@@ -167,24 +167,24 @@ def mode_cohorts(i: Inputs) -> DataFrame:
 
 @query(
     "external_slopes",
-    """select city, mode, count(*) as n, round(sum(saa*aaa)/sum(saa*saa),6) as slope, round(sum(saa*aaa)*sum(saa*aaa)/(sum(saa*saa)*sum(aaa*aaa)),6) as r2
- from (select city, mode, cast(saa as double) as saa, aaa from vw_ratio where thresh=30) a group by 1,2""",
+    """select city, mode, count(*) as n, round(sum(own*ext)/sum(own*own),6) as slope, round(sum(own*ext)*sum(own*ext)/(sum(own*own)*sum(ext*ext)),6) as r2
+ from (select city, mode, cast(own as double) as own, ext from vw_ratio where thresh=30) a group by 1,2""",
     _X,
 )
 def external_slopes(i: Inputs) -> DataFrame:
-    fit = stats.through_origin_fit(keyword_filter(ratios(i), thresh=30), "saa", "aaa", ["city", "mode"])
+    fit = stats.through_origin_fit(keyword_filter(ratios(i), thresh=30), "own", "ext", ["city", "mode"])
     return rounded(fit.drop("x_max"))
 
 
 @query(
     "zone_lookup",
-    """select r.geoid, r.city, r.mode, round(saa/1e6,9) as saa_m, round(aaa/1e6,9) as aaa_m, popu from vw_ratio r join fx_bg b on b.geoid=r.geoid
+    """select r.geoid, r.city, r.mode, round(own/1e6,9) as own_m, round(ext/1e6,9) as ext_m, popu from vw_ratio r join fx_bg b on b.geoid=r.geoid
  where thresh=30""",
     _X,
 )
 def zone_lookup(i: Inputs) -> DataFrame:
     one = keyword_filter(ratios(i), thresh=30).join(i.bg.select("geoid", "popu"), "geoid")
-    out = one.select("geoid", "city", "mode", (F.col("saa") / 1e6).alias("saa_m"), (F.col("aaa") / 1e6).alias("aaa_m"), "popu")
+    out = one.select("geoid", "city", "mode", (F.col("own") / 1e6).alias("own_m"), (F.col("ext") / 1e6).alias("ext_m"), "popu")
     return rounded(out, 9)
 
 

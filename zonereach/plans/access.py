@@ -160,8 +160,8 @@ def contour_jobs(od: DataFrame, jobs: DataFrame, thresholds: Sequence[int] = THR
     )
     cells = ", ".join(f"{t}, c_{t}" for t in thresholds)
     return wide.selectExpr(
-        "city", "mode", "geoid", f"stack({len(thresholds)}, {cells}) as (thresh, saa)"
-    ).where("saa is not null")
+        "city", "mode", "geoid", f"stack({len(thresholds)}, {cells}) as (thresh, own)"
+    ).where("own is not null")
 
 
 def catchment_sets(od: DataFrame, minutes: int) -> DataFrame:

@@ -16,26 +16,26 @@ RURAL_CODES = (0, 99998, 99999)
 
 
 def external_tidy(raw: DataFrame, value: str, block_groups: DataFrame, thresholds=(15, 30, 45, 60)) -> DataFrame:
-    """External access rows (id, threshold, mode, value) as mode, thresh, city, geoid, aaa."""
+    """External access rows (id, threshold, mode, value) as mode, thresh, city, geoid, ext."""
     return (
         raw.where(F.col("threshold").isin(list(thresholds)))
         .select(
             F.initcap("mode").alias("mode"),
             F.col("threshold").alias("thresh"),
             text.zero_pad(F.col("id"), 12).alias("geoid"),
-            F.col(value).alias("aaa"),
+            F.col(value).alias("ext"),
         )
         .join(block_groups.select("geoid", "city"), "geoid")
-        .select("mode", "thresh", "city", "geoid", "aaa")
+        .select("mode", "thresh", "city", "geoid", "ext")
     )
 
 
-def external_ratio(saa: DataFrame, aaa: DataFrame) -> DataFrame:
+def external_ratio(own: DataFrame, ext: DataFrame) -> DataFrame:
     """Own and external access of the same zone, mode and threshold with their ratio."""
     return (
-        saa.join(aaa, ["geoid", "city", "mode", "thresh"])
-        .where("aaa > 0")
-        .withColumn("ratio", F.try_divide(F.col("saa").cast("double"), F.col("aaa").cast("double")))
+        own.join(ext, ["geoid", "city", "mode", "thresh"])
+        .where("ext > 0")
+        .withColumn("ratio", F.try_divide(F.col("own").cast("double"), F.col("ext").cast("double")))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +46,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own; any other session must name one, because
+    a folder on the driver's disk is out of the executors' reach.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -52,7 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
     active = spark.sparkContext.getCheckpointDir()
     if active:
         return active
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="zonereach-ckpt-"))
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    own = tempfile.mkdtemp(prefix="zonereach-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()
 
 

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
 from .base import Scratch, documents
+from .codes import TokenFiles
 from .exact_dedup import DigestIndex, resolve
 from .kd_shards import kd_shards
 from .mixing import mix
+from .packing import pack_documents
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END = 2
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +31,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), Scratch(spark, "op1"), TOKENIZER, END, 1024)
+
+
 @query("op2_kd_shards")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(documents(spark, sf_dir), Scratch(spark, "op2"), shards=24)
@@ -95,3 +106,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex.temporary(spark)
     found = resolve(index, documents(spark, sf_dir), Scratch(spark, "op7"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op9_token_codes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = TokenFiles(spark, Scratch(spark, "op9").path("tokens"))
+    files.write(documents(spark, sf_dir), TOKENIZER, END)
+    return files.documents().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

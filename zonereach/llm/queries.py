@@ -13,9 +13,11 @@ from .exact_dedup import DigestIndex, resolve
 from .kd_shards import kd_shards
 from .mixing import mix
 from .packing import pack_documents
+from .simhash import hex_digits, near_groups
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
+SHINGLE, RADIUS = 3, 2
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +96,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_simhash_groups")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(documents(spark, sf_dir), Scratch(spark, "op6"), SHINGLE, RADIUS)
+    return groups.select("doc_id", hex_digits().alias("fingerprint"), "component_id")
+
+
 @query(
     "op7_exact_dedup",
     """

@@ -126,18 +126,17 @@ class Forest:
 
 
 def _stars(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Smallest label of each node's component under the links a-b; ``label`` starts as the node's own rank."""
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
-        on = label[a] != label[b]
-        a, b = a[on], b[on]
-    return label
+    """Smallest label of each node's component after the links a-b; a label names the root, and roots name themselves."""
+    while True:
+        one, two = label[a], label[b]
+        on = one != two
+        if not on.any():
+            return label
+        a, b, one, two = a[on], b[on], one[on], two[on]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def _links(radius: int):
@@ -150,9 +149,7 @@ def _links(radius: int):
         nodes, queries = np.flatnonzero(is_node), np.flatnonzero(is_query)
         trees = Forest(values[nodes], tile[nodes])
         for q, v in trees.search(values[queries], tile[queries], radius):
-            a, b = at[queries[q]], at[nodes[v]]
-            on = label[a] != label[b]
-            label = _stars(a[on], b[on], label)
+            label = _stars(at[queries[q]], at[nodes[v]], label)
         linked = label != np.arange(len(own))
         return pa.RecordBatch.from_arrays([pa.array(own[linked]), pa.array(own[label[linked]])], ["a", "b"])
 

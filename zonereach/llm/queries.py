@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
+from .backoff import backoff_scores
 from .base import Scratch, documents
 from .codes import TokenFiles
 from .exact_dedup import DigestIndex, resolve
@@ -121,3 +122,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = TokenFiles(spark, Scratch(spark, "op9").path("tokens"))
     files.write(documents(spark, sf_dir), TOKENIZER, END)
     return files.documents().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_backoff_scores")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(documents(spark, sf_dir))

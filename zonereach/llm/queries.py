@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
+from . import importance, toxicity
 from .backoff import backoff_scores
 from .base import Scratch, documents
 from .codes import TokenFiles
@@ -53,6 +54,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold() == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "language",
+    )
+
+
 @query(
     "op5_source_mix",
     """
@@ -117,6 +131,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query("op8_importance_resampling")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return importance.resample(docs, Scratch(spark, "op8"), importance.learn(docs, labels))
+
+
 @query("op9_token_codes")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = TokenFiles(spark, Scratch(spark, "op9").path("tokens"))

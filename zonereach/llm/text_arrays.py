@@ -11,6 +11,12 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+LETTER = np.zeros(256, bool)
+LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
+DIGIT = np.zeros(256, bool)
+DIGIT[ord("0") : ord("9") + 1] = True
+# Blank 0, letters 1 (every byte of other scripts too), digits 2, other signs 3.
+KIND = np.where(BLANK, 0, np.where(LETTER, 1, np.where(DIGIT, 2, 3))).astype(np.uint8)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,32 +37,46 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column with a blank after each text, and the first byte of each text; null is empty."""
+    column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
+    data = data[offsets[0] : offsets[-1]]
+    ends = offsets[1:] - offsets[0]
+    return np.insert(data, ends, 0x20), np.append(0, ends + np.arange(1, len(column) + 1))
+
+
 class Words:
-    """The words of a run of texts: ``data`` (all bytes, a blank after each text), starts, ends, and first word a text."""
-
-    def __init__(self, column: pa.Array, lower: bool):
-        column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
-        data = data[offsets[0] : offsets[-1]]
-        ends_of_texts = offsets[1:] - offsets[0]
-        # Null slots have no bytes, so they are empty texts here.
-        self.data = np.insert(data, ends_of_texts, 0x20)
+    """Words of a run of texts: ``data`` (all bytes, a blank after each text), starts, ends, and each text's first word.
+
+    Words are what stands between blanks; with ``runs`` they are runs of letters, of digits and of other signs.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool, runs: bool = False):
+        self.data, edges = _flat(column)
         if lower:
             self.data = LOWER[self.data]
-        blank = BLANK[self.data]
-        before = np.append(True, blank[:-1])
-        self.starts = np.flatnonzero(~blank & before)
-        self.ends = np.flatnonzero(blank & ~before)
-        edges = np.append(0, ends_of_texts + np.arange(1, len(column) + 1))
+        kind = KIND[self.data] if runs else (~BLANK[self.data]).astype(np.uint8)
+        change = np.append(kind, 0) != np.append(0, kind)
+        self.starts = np.flatnonzero(change[:-1] & (kind > 0))
+        self.ends = np.flatnonzero(change & (np.append(0, kind) > 0))
+        self.kind = kind[self.starts]
         self.first = np.searchsorted(self.starts, edges)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.data)
         up, down = _powers(1 << max(16, n.bit_length()))
         total = np.empty(n + 1, np.uint64)
         total[0] = 0
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * down[self.starts]
-        return mixed(h ^ (self.ends - self.starts).astype(np.uint64))
+        return total, down
+
+    def hashes(self, *prefixes: int):
+        """A 64-bit hash of each word, and of its first bytes for each of ``prefixes``."""
+        total, down = self._sums()
+        out = []
+        for ends in [self.ends, *(np.minimum(self.starts + p, self.ends) for p in prefixes)]:
+            h = (total[ends] - total[self.starts]) * down[self.starts]
+            out.append(mixed(h ^ (ends - self.starts).astype(np.uint64)))
+        return out if prefixes else out[0]

@@ -11,6 +11,7 @@ from . import importance, toxicity
 from .backoff import backoff_scores
 from .base import Scratch, documents
 from .codes import TokenFiles
+from .cover_tree import similarity_links
 from .exact_dedup import DigestIndex, resolve
 from .kd_shards import kd_shards
 from .mixing import mix
@@ -20,6 +21,7 @@ from .simhash import hex_digits, near_groups
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
 SHINGLE, RADIUS = 3, 2
+COSINE = 0.93
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +56,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_cover_tree_links",
+    """
+    with recursive usable as (
+        select vec_id, label, embedding::double[] as v from embeddings
+        where label is not null and len(embedding) = list_count(embedding)
+            and isfinite(list_sum(embedding::double[])) and (list_max(embedding) <> 0 or list_min(embedding) <> 0)),
+    links as (
+        select a.vec_id as a, b.vec_id as b from usable a join usable b
+            on a.label = b.label and a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.93),
+    reached as (
+        select vec_id as a, vec_id as b from embeddings
+        union select r.a, l.b from reached r join links l on r.b = l.a)
+    select e.vec_id, coalesce(any_value(d.n), 0)::bigint as n_links, min(r.b) as component_id, min(r.b) = e.vec_id as kept
+    from embeddings e join reached r on r.a = e.vec_id
+        left join (select a, count(*) as n from links group by a) d on d.a = e.vec_id
+    group by e.vec_id
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "op3"), COSINE)
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")

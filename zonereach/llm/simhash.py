@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .base import Scratch, components
 from .text_arrays import Words
 from .tokens import slices
+from .unions import stars
 
 BITS = 64
 SEED = 42
@@ -125,20 +126,6 @@ class Forest:
             node = np.concatenate([x for _, x in ahead])
 
 
-def _stars(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Smallest label of each node's component after the links a-b; a label names the root, and roots name themselves."""
-    while True:
-        one, two = label[a], label[b]
-        on = one != two
-        if not on.any():
-            return label
-        a, b, one, two = a[on], b[on], one[on], two[on]
-        label = label.copy()
-        np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
-        while (label[label] != label).any():
-            label = label[label]
-
-
 def _links(radius: int):
     """For partitions of (shard key, tile, node, query, fingerprint, node_id): links as stars inside each forest."""
 
@@ -149,7 +136,7 @@ def _links(radius: int):
         nodes, queries = np.flatnonzero(is_node), np.flatnonzero(is_query)
         trees = Forest(values[nodes], tile[nodes])
         for q, v in trees.search(values[queries], tile[queries], radius):
-            label = _stars(at[queries[q]], at[nodes[v]], label)
+            label = stars(at[queries[q]], at[nodes[v]], label)
         linked = label != np.arange(len(own))
         return pa.RecordBatch.from_arrays([pa.array(own[linked]), pa.array(own[label[linked]])], ["a", "b"])
 

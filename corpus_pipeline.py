@@ -7,16 +7,49 @@ from pyspark.sql import DataFrame, SparkSession
 from zonereach.llm.base import Scratch, documents
 from zonereach.llm.exact_dedup import DigestIndex
 from zonereach.llm.exact_dedup import exact_dedup as drop_copies
+from zonereach.llm.importance import keep_good
+from zonereach.llm.mixing import mixed
+from zonereach.llm.packing import pack_documents
+from zonereach.llm.queries import END, RADIUS, SHINGLE, TOKENIZER
+from zonereach.llm.simhash import near_dedup as drop_near_copies
 from zonereach.session import configure
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents that the draw leaves out go."""
+    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return keep_good(spark, docs, labels, Scratch(spark, "quality"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: one document of each text stays."""
+    """Operator 7: of equal texts the one with the largest doc_id stays."""
     configure(spark)
     return drop_copies(DigestIndex.temporary(spark), docs, Scratch(spark, "dedup"))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: one document of each group of near-duplicates stays."""
+    return drop_near_copies(docs, Scratch(configure(spark), "near"), SHINGLE, RADIUS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: a row for each time the mix takes a document."""
+    return mixed(docs, Scratch(configure(spark), "mix"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the token pieces and their places in sequences of 1024."""
+    return pack_documents(docs, Scratch(configure(spark), "pack"), TOKENIZER, END, 1024)
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", near_dedup),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
+# Random numbers, hashes and a tokenizer decide; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -111,3 +111,14 @@ def mix(
             "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs", "key"
         )
     )
+
+
+def mixed(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **names) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as its epochs say, with all columns. Rows that repeat an id, and
+    rows without one, are taken as often as the least taken of them."""
+    chosen = mix(docs, scratch, doc_id, **names).groupBy("doc_id").agg(F.min("epochs").alias("_epochs")).where("_epochs > 0")
+    chosen = scratch.table(chosen.withColumnRenamed("doc_id", "_mixed_id"), "epochs")
+    taken = docs.join(chosen, docs[doc_id].eqNullSafe(F.col("_mixed_id")))
+    return taken.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_epochs")))).select(
+        *[docs[c] for c in docs.columns]
+    )

@@ -26,7 +26,7 @@ DISCOUNT = 0.6
 # Pseudo-counts of a context seen c times: how many different words follow grows like a power of c.
 PSEUDO, GROWTH = 2.0, 0.9
 RUN = 256
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 
 
 def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -57,7 +57,7 @@ def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _bytes(x: np.ndarray, kind: str) -> bytes:
     """Byte by byte of all numbers, so that what they share lies together and packs well."""
-    return x.astype(kind).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return x.astype(kind).view(np.uint8).reshape(len(x), np.dtype(kind).itemsize).T.tobytes()
 
 
 def _numbers(data: bytes, kind: str) -> np.ndarray:
@@ -156,9 +156,9 @@ class Automaton:
         for step in range(int(lengths.max()) if len(lengths) else 0):
             live = int(np.searchsorted(-lengths, -step, side="left"))
             w, s = word[starts[:live] + step], state[:live]
-            arc = np.searchsorted(self.pairs, pair_keys(self.state_hash[s], self.words[w]))
-            arc = np.minimum(arc, len(self.pairs) - 1)
-            count = np.where((s > 0) & (self.pairs[arc] == pair_keys(self.state_hash[s], self.words[w])), self.pair_counts[arc], 0)
+            key = pair_keys(self.state_hash[s], self.words[w])
+            arc = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            count = np.where((s > 0) & (self.pairs[arc] == key), self.pair_counts[arc], 0)
             failed = count == 0
             gain = np.empty(live)
             # No arc: over the failure arc to the root, and from there.

@@ -132,5 +132,13 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

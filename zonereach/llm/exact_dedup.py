@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .base import Scratch
+from .base import Scratch, unused
 
 
 class DigestIndex:
@@ -58,9 +58,9 @@ class DigestIndex:
         )
 
 
-def digest(text: str) -> F.Column:
+def digest(text: F.Column) -> F.Column:
     """SHA-256 of the whole text in UTF-8, as 32 bytes; null counts as the empty text."""
-    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -75,7 +75,7 @@ def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str =
     Hot groups are counted before the shuffle; the way back to the rows is a sort-merge join that the adaptive plan
     splits by size.
     """
-    rows = scratch.table(docs.select(F.col(doc_id).cast("long").alias("doc_id"), digest(text).alias("digest")), "digests")
+    rows = scratch.table(docs.select(F.col(doc_id).cast("long").alias("doc_id"), digest(F.col(text)).alias("digest")), "digests")
     groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     index.add(groups)
     # What the index holds for each digest of the batch; its own file, so that both sides below may be split.
@@ -102,11 +102,11 @@ def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str =
 def exact_dedup(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; cases as in ``resolve``."""
     verdicts = scratch.table(resolve(index, docs, scratch, doc_id, text), "verdicts")
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
-    out = docs.join(
-        kept, docs[doc_id].cast("long").eqNullSafe(F.col("_kept_id")) & (digest(text) == F.col("_kept_digest")), "left_semi"
-    )
+    kept = verdicts.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    same = docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]) & (digest(docs[text]) == kept["kept_digest"])
+    out = docs.join(kept, same, "left_semi")
     repeated = verdicts.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count()
     if not repeated:
         return out
-    return out.withColumn("_digest", digest(text)).dropDuplicates([doc_id, "_digest"]).drop("_digest")
+    own = unused(docs, "digest")
+    return out.withColumn(own, digest(F.col(text))).dropDuplicates([doc_id, own]).drop(own)

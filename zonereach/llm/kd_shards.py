@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, running
+from .base import Scratch, running, unused
 
 DIMENSIONS = ("length", "source", "lang")
 # A group of equal texts above this part of a shard's bytes is cut into pieces of about that size.
@@ -161,6 +161,8 @@ def kd_shards(
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, doc_id: str = "doc_id") -> None:
     """Write the documents as Parquet, a folder per shard, in slot order."""
-    where = placed.select(F.col("doc_id").alias("_doc_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    out = docs.join(where, docs[doc_id] == F.col("_doc_id")).drop("_doc_id")
-    out.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    shard, slot = unused(docs, "shard"), unused(docs, "slot")
+    out = docs.join(placed, docs[doc_id] == placed["doc_id"]).select(
+        *[docs[c] for c in docs.columns], placed["shard"].alias(shard), placed["slot"].alias(slot)
+    )
+    out.sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import WORD, Scratch, running
+from .base import WORD, Scratch, running, unused
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
@@ -116,9 +116,9 @@ def mix(
 def mixed(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **names) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as its epochs say, with all columns. Rows that repeat an id, and
     rows without one, are taken as often as the least taken of them."""
-    chosen = mix(docs, scratch, doc_id, **names).groupBy("doc_id").agg(F.min("epochs").alias("_epochs")).where("_epochs > 0")
-    chosen = scratch.table(chosen.withColumnRenamed("doc_id", "_mixed_id"), "epochs")
-    taken = docs.join(chosen, docs[doc_id].eqNullSafe(F.col("_mixed_id")))
-    return taken.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_epochs")))).select(
-        *[docs[c] for c in docs.columns]
-    )
+    chosen = mix(docs, scratch, doc_id, **names).groupBy("doc_id").agg(F.min("epochs").alias("epochs")).where("epochs > 0")
+    chosen = scratch.table(chosen.withColumnRenamed("doc_id", "mixed_id"), "epochs")
+    taken = docs.join(chosen, docs[doc_id].eqNullSafe(chosen["mixed_id"]))
+    epoch = unused(docs, "epoch")
+    times = F.explode(F.sequence(F.lit(1).cast("long"), chosen["epochs"])).alias(epoch)
+    return taken.select(*[docs[c] for c in docs.columns], times).drop(epoch)

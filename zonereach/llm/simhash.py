@@ -251,9 +251,9 @@ def near_dedup(docs: DataFrame, scratch: Scratch, shingle: int, radius: int, doc
     """
     groups = scratch.table(near_groups(docs, scratch, shingle, radius, doc_id, text), "groups")
     kept = groups.where("doc_id is null or doc_id = component_id").groupBy("doc_id").count()
-    kept = scratch.table(kept.select(F.col("doc_id").alias("_kept_id"), F.col("count").alias("_rows")), "kept")
-    out = docs.join(kept.select("_kept_id"), docs[doc_id].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    if not kept.where("_rows > 1 and _kept_id is not null").limit(1).count():
+    kept = scratch.table(kept.select(F.col("doc_id").alias("kept_id"), F.col("count").alias("rows")), "kept")
+    out = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    if not kept.where("rows > 1 and kept_id is not null").limit(1).count():
         return out
     return out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(out.where(F.col(doc_id).isNull()))
 

@@ -17,6 +17,7 @@ DIGIT = np.zeros(256, bool)
 DIGIT[ord("0") : ord("9") + 1] = True
 # Blank 0, letters 1 (every byte of other scripts too), digits 2, other signs 3.
 KIND = np.where(BLANK, 0, np.where(LETTER, 1, np.where(DIGIT, 2, 3))).astype(np.uint8)
+RUN_BYTES = 1 << 19
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,19 +65,23 @@ class Words:
         self.kind = kind[self.starts]
         self.first = np.searchsorted(self.starts, edges)
 
-    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
-        n = len(self.data)
-        up, down = _powers(1 << max(16, n.bit_length()))
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        return total, down
-
     def hashes(self, *prefixes: int):
-        """A 64-bit hash of each word, and of its first bytes for each of ``prefixes``."""
-        total, down = self._sums()
-        out = []
-        for ends in [self.ends, *(np.minimum(self.starts + p, self.ends) for p in prefixes)]:
-            h = (total[ends] - total[self.starts]) * down[self.starts]
-            out.append(mixed(h ^ (ends - self.starts).astype(np.uint64)))
+        """A 64-bit hash of each word, and of its first bytes for each of ``prefixes``.
+
+        Sums over the bytes are built up for a run of words at a time, which bounds what they take.
+        """
+        out = [np.empty(len(self.starts), np.uint64) for _ in range(1 + len(prefixes))]
+        cuts = np.searchsorted(self.starts, np.arange(0, len(self.data) + RUN_BYTES, RUN_BYTES))
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            if a == b:
+                continue
+            low = int(self.starts[a])
+            own = self.data[low : int(self.ends[b - 1])]
+            up, down = _powers(1 << max(20, len(own).bit_length()))
+            total = np.empty(len(own) + 1, np.uint64)
+            total[0] = 0
+            np.cumsum((own.astype(np.uint64) + np.uint64(1)) * up[: len(own)], out=total[1:])
+            starts, all_ends = self.starts[a:b] - low, self.ends[a:b] - low
+            for found, ends in zip(out, [all_ends, *(np.minimum(starts + p, all_ends) for p in prefixes)]):
+                found[a:b] = mixed((total[ends] - total[starts]) * down[starts] ^ (ends - starts).astype(np.uint64))
         return out if prefixes else out[0]

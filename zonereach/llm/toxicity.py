@@ -39,7 +39,8 @@ class Settings:
 
 
 class Texts:
-    """Bucket numbers of a run of texts: one row a word (itself and its prefixes), with blanks after each text."""
+    """Bucket numbers of a run of texts: one row a word (itself and its prefixes), with blanks before each text, so that
+    no window reaches from one text into another."""
 
     def __init__(self, column: pa.Array, settings: Settings):
         words = Words(column, lower=True, runs=True)
@@ -53,7 +54,7 @@ class Texts:
         n = np.diff(kept)
         self.first = np.append(0, np.cumsum(n + gap))
         self.ids = np.zeros((int(self.first[-1]), ids.shape[1]), np.int64)
-        self.ids[np.arange(len(ids)) + gap * np.repeat(np.arange(len(n)), n)] = ids
+        self.ids[np.arange(len(ids)) + gap * np.repeat(np.arange(1, len(n) + 1), n)] = ids
         self.language = _languages(words, len(n))
 
 
@@ -160,6 +161,7 @@ def train(column: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
             back = delta[:, None] * model.weights * (raw > 0)
             f, d = settings.filters, settings.dimension
             rows, vectors = [], []
+            below = np.vstack([texts.ids, np.zeros((max(settings.widths), texts.ids.shape[1]), np.int64)])
             for i, (w, at, window) in enumerate(zip(settings.widths, where, windows)):
                 g = back[:, i * f : (i + 1) * f]
                 chosen = window[at]  # texts x filters x (w * d)
@@ -167,9 +169,8 @@ def train(column: pa.Array, labels: np.ndarray, settings: Settings) -> Model:
                 grads[len(settings.widths) + i] = g.sum(axis=0)
                 into = g[:, :, None] * model.kernels[i].T[None]
                 for k in range(w):
-                    place = np.minimum(at + k, len(texts.ids) - 1)
-                    for j in range(texts.ids.shape[1]):
-                        rows.append(texts.ids[place, j].ravel())
+                    for j in range(below.shape[1]):
+                        rows.append(below[at + k, j].ravel())
                         vectors.append(into[:, :, k * d : (k + 1) * d].reshape(-1, d))
             rows, vectors = np.concatenate(rows), np.concatenate(vectors)
             real = (rows > 0) & (vectors != 0).any(axis=1)

@@ -119,13 +119,15 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_byte
     model, held = good[np.arange(len(good)) % 4 != 0], good[np.arange(len(good)) % 4 == 0]
     if not len(model):
         return Weights(np.zeros(BUCKETS), -np.inf)
-    target = Grams(texts.take(pa.array(model))).counts()
+    own = texts.take(pa.array(model))
+    target = sum((Grams(own.slice(a, b - a)).counts() for a, b in slices(own)), np.zeros(BUCKETS, np.int64))
     raw = corpus_counts(docs)
     # The target's own texts are in the raw counts too; smoothing in proportion to them keeps rare buckets near 0.
     blended = (target + 8.0 * raw / raw.sum() * BUCKETS) / (target.sum() + 8.0 * BUCKETS)
     ratio = np.log(np.maximum(blended, 1e-300)) - np.log(np.maximum(raw / raw.sum(), 1e-300))
     ratio[raw == 0] = 0.0
-    held_weights = Grams(texts.take(pa.array(held))).sums(ratio)
+    own = texts.take(pa.array(held))
+    held_weights = np.concatenate([Grams(own.slice(a, b - a)).sums(ratio) for a, b in slices(own)] or [np.zeros(1)])
     return Weights(ratio, min(0.0, float(np.quantile(held_weights, loss))) - MARGIN)
 
 

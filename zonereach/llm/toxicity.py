@@ -28,13 +28,13 @@ SAMPLE_BYTES = 20_000
 
 @dataclass
 class Settings:
-    buckets: int = 1 << 16
+    buckets: int = 1 << 18
     dimension: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8
-    epochs: int = 8
+    epochs: int = 12
     batch: int = 64
-    rate: float = 0.01
+    rate: float = 0.03
     seed: int = 7
 
 
@@ -203,11 +203,13 @@ def calibrate(model: Model, column: pa.Array, labels: np.ndarray, rows: np.ndarr
         padded = np.concatenate([[logit[0] - 1], logit, [logit[-1] + 1]])
         return (padded[i] + padded[i + 1]) / 2
 
-    texts = Texts(column.take(pa.array(rows)), model.settings)
-    logit, y = model.logits(texts), labels[rows]
+    taken = column.take(pa.array(rows))
+    parts = [Texts(taken.slice(a, b - a), model.settings) for a, b in slices(taken)]
+    language = np.concatenate([p.language for p in parts])
+    logit, y = np.concatenate([model.logits(p) for p in parts]), labels[rows]
     common = cut(logit, y)
     for i in range(len(LANGUAGES)):
-        own = texts.language == i
+        own = language == i
         enough = min((y[own] == 1).sum(), (y[own] == 0).sum()) >= 10
         model.thresholds[i] = cut(logit[own], y[own]) if enough else common
 

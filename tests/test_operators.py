@@ -18,10 +18,9 @@ def skewed(n=3000, seed=1):
     )
 
 
-@pytest.mark.parametrize("split", [{}, {"split_values": 50, "splits": 8}])
-def test_average_rank_is_the_same_split_or_whole(spark, split):
+def test_average_rank_is_the_same_split_or_whole(spark):
     pdf = skewed()
-    got = ranking.with_average_rank(spark.createDataFrame(pdf), "v", ["g"], ascending=False, **split).toPandas()
+    got = ranking.with_average_rank(spark.createDataFrame(pdf), "v", ["g"], ascending=False).toPandas()
     want = pdf.assign(rank=pdf.groupby("g").v.rank(ascending=False))
     key = ["g", "v", "rank"]
     pd.testing.assert_frame_equal(
@@ -29,19 +28,17 @@ def test_average_rank_is_the_same_split_or_whole(spark, split):
     )
 
 
-@pytest.mark.parametrize("split", [{}, {"split_values": 50, "splits": 8}])
-def test_percentile_rank_without_groups(spark, split):
+def test_percentile_rank_without_groups(spark):
     pdf = skewed(800)
-    got = ranking.with_average_rank(spark.createDataFrame(pdf), "v", pct=True, **split).toPandas()
+    got = ranking.with_average_rank(spark.createDataFrame(pdf), "v", pct=True).toPandas()
     want = (pdf.v.rank(pct=True) * 100).sort_values().to_numpy()
     np.testing.assert_allclose(got["rank"].sort_values().to_numpy(), want)
 
 
-@pytest.mark.parametrize("split", [{}, {"split_values": 50, "splits": 8}])
-def test_box_stats(spark, split):
+def test_box_stats(spark):
     pdf = skewed()
     pdf.loc[:20, "v"] = 5000.0  # outliers
-    got = ranking.box_stats(spark.createDataFrame(pdf), "v", ["g"], mean=True, **split).toPandas().set_index("g")
+    got = ranking.box_stats(spark.createDataFrame(pdf), "v", ["g"], mean=True).toPandas().set_index("g")
     for g, s in pdf.groupby("g").v:
         q1, q2, q3 = s.quantile([0.25, 0.5, 0.75])
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)

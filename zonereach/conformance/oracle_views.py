@@ -51,10 +51,13 @@ VIEWS: dict[str, str] = {
         as ua from fx_wac) join region on r_regionkey=ua""",
     "fx_pairs": f"""
  select city, src, trg, min(base) as base, min(dist) as dist from (
-  select ca.city, {_geoid('a', 'ca.rk')} as src, {_geoid('b', 'cb.rk')} as trg,
+  select city, {_geoid('a', 'rk')} as src, {_geoid('b', 'rk')} as trg,
     case when a=b then 0 else (a*31+b*17)%1200 end as base, (a*13+b*7)%5000*10 as dist
-  from (select l_partkey//20 as a, l_suppkey as b from lineitem) l
-  join fx_county ca on ca.nk=(a//2)%25 join fx_county cb on cb.nk=(b//2)%25 and ca.rk=cb.rk
+  from (select a, rk, city, (c//50*25+nk_t)*2+c%2 as b from (
+     select l_partkey//20 as a, l_suppkey as c, s.rk, s.city, (l_suppkey//2)%25%s.m as pos
+     from lineitem join (select *, count(*) over (partition by rk) as m from fx_county) s on s.nk=(l_partkey//20//2)%25) l
+    join (select nk as nk_t, rk as rk_t, row_number() over (partition by rk order by nk)-1 as pos_t from fx_county) t
+     on rk_t=rk and pos_t=pos) ca
   union all select city, geoid, geoid, 0, k*20%5000*10 from fx_bg) p
  group by 1,2,3""",
     "fx_mode": """

@@ -25,7 +25,7 @@ def weight(t: Column, alpha: Column, beta: Column) -> Column:
 
 
 def with_weights(od: DataFrame, params: DataFrame | None = None) -> DataFrame:
-    """Add ``w_work`` and ``w_non``; modes without parameters drop out.
+    """Add ``w_work`` and ``w_non``; both are NULL for modes without parameters (see ``modes_without_weights``).
 
     The parameter side has one row per mode (an enumeration of four modes at most), so it is broadcast.
     """
@@ -37,6 +37,13 @@ def with_weights(od: DataFrame, params: DataFrame | None = None) -> DataFrame:
             for c in ("alpha", "beta")
         ]
     )
-    return od.join(F.broadcast(by_mode), "mode").selectExpr(
+    return od.join(F.broadcast(by_mode), "mode", "left").selectExpr(
         *od.columns, *[f"exp(_alpha_{tag} * pow(time_min, _beta_{tag})) as w_{tag}" for tag in ("work", "non")]
     )
+
+
+def modes_without_weights(od: DataFrame, params: DataFrame | None = None) -> DataFrame:
+    """Modes of the travel times that have no parameters, with their pairs: only unweighted measures exist for them."""
+    params = impedance_table(od.sparkSession) if params is None else params
+    counts = od.groupBy("mode").agg(F.count("*").alias("pairs"))
+    return counts.join(F.broadcast(params.select("mode").distinct()), "mode", "left_anti")

@@ -68,7 +68,7 @@ def zone_links(zones: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Nodes of an edge list (a, b) with the smallest node of their component: node, component.
 
     Alternates two steps until the edges stop changing: every node sends its larger neighbours to its smallest
@@ -95,15 +95,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         moved = e.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return moved.unionByName(m.select("u", F.col("m").alias("v"))).distinct()
 
-    before = signature(edges)
-    for _ in range(max_rounds):
+    before = None
+    after = signature(edges)
+    while after != before:
+        before = after
         edges = cut_lineage(small_star(large_star(edges)))
         after = signature(edges)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.unionByName(roots)

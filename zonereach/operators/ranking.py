@@ -14,55 +14,23 @@ from pyspark.sql import functions as F
 from ..functions.text import LEVEL_WIDTH
 from ..session import cut_lineage
 
-# A group is split once it has more distinct values than this.
-SPLIT_VALUES = 1_000_000
-# At most this many groups are split; a group outside the largest 1000 holds under 1/1000 of all rows.
-MAX_SPLIT_GROUPS = 1000
-SPLITS = 256
 
-
-def ordered_counts(
-    df: DataFrame, value: str, by: Sequence[str] = (), split_values: int = SPLIT_VALUES, splits: int = SPLITS
-) -> DataFrame:
+def ordered_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows (by..., value, cnt, below, n): rows with the value, rows under it, rows in the group.
 
-    Counting per distinct value first makes every hot value one row. A group with many distinct values is cut
-    into value ranges at approximate quantiles; a range's offset is the count of the ranges before it, so
-    each task orders one range only. The cut points are fixed literals (at most 1000 groups x 256), the
-    counts lie in the checkpoint folder, so a lost executor cannot shift them.
+    Counting per distinct value first makes every hot value one row. The distinct values of all groups are then dealt
+    by range over (group, value), so a group of any size lies in as many ranges as its part of the data needs; each
+    task orders its own ranges and adds the counts of the group's ranges before. The ranges are fixed by writing them
+    to the checkpoint folder, so a lost executor cannot shift them.
     """
     by = list(by)
     keys = by or ["_all"]
     base = df.where(F.col(value).isNotNull())
     if not by:
         base = base.withColumn("_all", F.lit(0))
-    counts = cut_lineage(base.groupBy(*keys, value).agg(F.count("*").alias("cnt")))
-    large = (
-        counts.groupBy(*keys)
-        .agg(F.count("*").alias("_m"))
-        .where(F.col("_m") > split_values)
-        .orderBy(F.desc("_m"))
-        .limit(MAX_SPLIT_GROUPS)
-        .drop("_m")
-        .collect()
-    )
-    if large:
-        spark = df.sparkSession
-        schema = counts.select(*keys).schema
-        picked = F.broadcast(spark.createDataFrame(large, schema))
-        probs = [i / splits for i in range(1, splits)]
-        cuts = (
-            counts.join(picked, keys)
-            .groupBy(*keys)
-            .agg(F.percentile_approx(value, probs, 10_000).alias("_cuts"))
-        )
-        cuts = F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
-        ranged = counts.join(cuts, keys, "left").withColumn(
-            "_range", F.coalesce(F.size(F.filter("_cuts", lambda b: b < F.col(value))), F.lit(0))
-        ).drop("_cuts")
-    else:
-        ranged = counts.withColumn("_range", F.lit(0))
-    # At most ``splits`` rows per group from here.
+    counts = base.groupBy(*keys, value).agg(F.count("*").alias("cnt"))
+    ranged = cut_lineage(counts.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id()))
+    # One row per group and range it lies in; a group has at most as many as there are partitions.
     per_range = ranged.groupBy(*keys, "_range").agg(F.sum("cnt").alias("_c"))
     w = Window.partitionBy(*keys)
     offsets = per_range.select(
@@ -89,12 +57,11 @@ def average_rank(oc: DataFrame, ascending: bool = True) -> Column:
 
 
 def with_average_rank(
-    df: DataFrame, value: str, by: Sequence[str] = (), ascending: bool = True, name: str = "rank", pct: bool = False,
-    **split,
+    df: DataFrame, value: str, by: Sequence[str] = (), ascending: bool = True, name: str = "rank", pct: bool = False
 ) -> DataFrame:
     """Attach the average rank (or, with ``pct``, average rank / rows x 100) of ``value``; NULL stays NULL."""
     df = cut_lineage(df)  # passes twice: for the counts and for the rows
-    oc = ordered_counts(df, value, by, **split)
+    oc = ordered_counts(df, value, by)
     rank = average_rank(oc, ascending)
     rank = rank / F.col("n") * 100 if pct else rank
     ranks = oc.select(*by, value, rank.alias(name))
@@ -102,10 +69,10 @@ def with_average_rank(
 
 
 def quantiles(
-    df: DataFrame, value: str, by: Sequence[str], probs: dict[str, float], oc: DataFrame | None = None, **split
+    df: DataFrame, value: str, by: Sequence[str], probs: dict[str, float], oc: DataFrame | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group: by..., n and one column per named probability."""
-    oc = ordered_counts(df, value, by, **split) if oc is None else oc
+    oc = ordered_counts(df, value, by) if oc is None else oc
     n, below, cnt = F.col("n"), F.col("below"), F.col("cnt")
     aggs = []
     for name, q in probs.items():
@@ -122,9 +89,9 @@ def quantiles(
     return out.select(*by, "n", *cols)
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str], mean: bool = False, **split) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: Sequence[str], mean: bool = False) -> DataFrame:
     """q1, median, q3, whisker ends inside 1.5 IQR and outlier count per group (plus ``mean``)."""
-    oc = ordered_counts(df, value, by, **split)
+    oc = ordered_counts(df, value, by)
     q = quantiles(df, value, by, {"q1": 0.25, "median": 0.5, "q3": 0.75}, oc=oc)
     v, cnt = F.col(value), F.col("cnt")
     spread = 1.5 * (F.col("q3") - F.col("q1"))

@@ -11,8 +11,6 @@ from ..functions import geo
 
 # A cell with more points than this is spread over several tasks.
 HOT_ROWS = 1_000_000
-# Only the largest cells are spread; a cell outside the largest 1000 holds under 1/1000 of the points.
-MAX_HOT = 1000
 
 
 def cells_of_box(minx: Column, miny: Column, maxx: Column, maxy: Column, size: Column) -> Column:
@@ -33,19 +31,17 @@ def salted_join(
 ) -> DataFrame:
     """Inner join in which the keys that are hot in ``many`` are split over several tasks.
 
-    The hot list is limited to 1000 keys, which bounds its broadcast. The salt is a hash of ``salt_from``, so a
-    recomputed task gives the same rows; ``few`` is repeated only for hot keys.
+    Every key with more than ``hot_rows`` rows is split into parts of about that size. The list of such keys is joined
+    without a hint, as its length grows with the data. The salt is a hash of ``salt_from``, so a recomputed task gives
+    the same rows; ``few`` is repeated only for hot keys.
     """
     on = list(on)
     hot = (
         many.groupBy(*on)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT)
         .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
-    hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     left = many.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_from), salts).cast("int"))
     right = few.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
@@ -67,9 +63,9 @@ def points_in_polygons(
     ``boundary=True`` also takes points on a zone's edge.
     """
     size = F.create_map(*[F.lit(x) for kv in cell.items() for x in kv])
+    unknown = F.raise_error(F.concat(F.lit("no cell size for level "), F.coalesce("level", F.lit("null")))).cast("double")
     tiles = (
-        zones.withColumn("_size", size[F.col("level")])
-        .where("_size is not null")
+        zones.withColumn("_size", F.coalesce(size[F.col("level")], unknown))
         .withColumn("_b", geo.bounds(F.col("geometry")))
         .withColumn("_cell", F.explode(cells_of_box(F.col("_b.minx"), F.col("_b.miny"), F.col("_b.maxx"),
                                                     F.col("_b.maxy"), F.col("_size"))))

@@ -18,6 +18,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 TRACT_CODES = 1_000_000
@@ -173,20 +174,25 @@ class Inputs:
         """Distinct (src, trg) block-group pairs inside a city: base tenth-minutes and metres."""
         # Zone numbers repeat with the id space, so pairs are made distinct on two numbers before ids are spelt out.
         space = 50 * TRACT_CODES
-        near = self.counties.select(F.col("nk").alias("nk_s"), F.col("rk").alias("rk_s"), "city")
-        far = self.counties.select(F.col("nk").alias("nk_t"), F.col("rk").alias("rk_t"))
+        # 25 counties. The second end moves to the county of the first end's city that its own county number names.
+        own_city = Window.partitionBy("rk")
+        placed = self.counties.select(
+            "nk", "rk", "city", (F.row_number().over(own_city.orderBy("nk")) - 1).alias("pos"), F.count("*").over(own_city).alias("m")
+        )
+        near = placed.select(F.col("nk").alias("nk_s"), F.col("rk").alias("rk_s"), "city", "m")
+        far = placed.select(F.col("nk").alias("nk_t"), F.col("rk").alias("rk_t"), F.col("pos").alias("pos_t"))
         seen = (
             self.table("lineitem")
-            .selectExpr("l_partkey div 20 as a", "l_suppkey as b")
+            .selectExpr("l_partkey div 20 as a", "l_suppkey as c")
+            .selectExpr("a", "c", "cast((a div 2) % 25 as int) as nk_s")
+            .join(near, "nk_s")
+            .withColumn("pos", F.expr("(c div 2) % 25 % m"))
+            .join(far, F.expr("rk_s = rk_t and pos = pos_t"))
+            .selectExpr("city", "rk_s", "a", "(c div 50 * 25 + nk_t) * 2 + c % 2 as b")
             .selectExpr(
-                f"a % {space} as za", f"b % {space} as zb", "if(a = b, 0L, (a * 31 + b * 17) % 1200) as base",
-                "(a * 13 + b * 7) % 5000 * 10 as dist", "cast((a div 2) % 25 as int) as nk_s",
-                "cast((b div 2) % 25 as int) as nk_t",
+                "city", "rk_s", f"a % {space} as za", f"b % {space} as zb", "if(a = b, 0L, (a * 31 + b * 17) % 1200) as base",
+                "(a * 13 + b * 7) % 5000 * 10 as dist",
             )
-            .join(near, "nk_s")
-            .join(far, "nk_t")
-            .where("rk_s = rk_t")
-            .select("city", "rk_s", "za", "zb", "base", "dist")
         )
         own = (
             self.table("supplier")

@@ -103,8 +103,8 @@ def test_catalog(spark):
 
 def test_wide_export_fills_zero(tables, spark):
     od, opport, zones = tables
-    long = acc.access(od, opport, zones)
-    wide = export.access_wide(long, zones.select("geoid"), ["Co_jobTot_Wa_15", "Co_poiTot_Wa_90"]).collect()
+    rows = acc.access(od, opport, zones, wide=True)
+    wide = export.access_wide(rows, zones.select("geoid"), ["Co_jobTot_Wa_15", "Co_poiTot_Wa_90"]).collect()
     got = {r.geoid: (r.Co_jobTot_Wa_15, r.Co_poiTot_Wa_90) for r in wide}
     assert got["z1"] == (35.0, 6.0) and got["z5"] == (0.0, 6.0)
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonereach.functions import geo, text, units
-from zonereach.functions.impedance import IMPEDANCE, with_weights
+from zonereach.functions.impedance import IMPEDANCE, modes_without_weights, with_weights
 
 
 def test_slug_and_back(spark):
@@ -48,7 +48,8 @@ def test_units_invert(spark):
 def test_weights(spark):
     od = spark.createDataFrame([("Drive", 0.0), ("Bike", 20.0), ("Hover", 5.0)], "mode string, time_min double")
     rows = {r["mode"]: r for r in with_weights(od).collect()}
-    assert set(rows) == {"Drive", "Bike"}
+    assert rows["Hover"]["w_work"] is None and rows["Hover"]["w_non"] is None
+    assert [tuple(r) for r in modes_without_weights(od).collect()] == [("Hover", 1)]
     assert rows["Drive"]["w_work"] == rows["Drive"]["w_non"] == 1.0
     a, b = next((a, b) for m, p, a, b in IMPEDANCE if (m, p) == ("Bike", "Non-work"))
     assert rows["Bike"]["w_non"] == pytest.approx(math.exp(a * 20.0**b), rel=1e-14)

@@ -126,10 +126,11 @@ def test_unit_checks(spark):
 
 def test_matrix_ingest(spark):
     index = spark.createDataFrame([("c", "BG", i, f"z{i}") for i in range(4)], "city string, level string, idx long, geoid string")
-    body = '{"distances": [[0, 10, null], [5, 7, 9]], "durations": [[0, 600, null], [5400, 5401, 60]]}'
-    m = spark.createDataFrame([("c", "Walk", "BG", 2, 0, body)], "city string, mode string, level string, src_off long, trg_off long, response string")
-    got = {(r.src, r.trg): (r.dist, r.time_min) for r in travel.od_from_matrices(m, index).collect()}
-    assert got == {("z2", "z0"): (0.0, 0.0), ("z2", "z1"): (10.0, 10.0), ("z3", "z0"): (5.0, 90.0), ("z3", "z2"): (9.0, 1.0)}
+    body = '{"distances": [[0, 10, 3], [5, 7]], "durations": [[0, 600, 1], [5400, 5401]]}'
+    other = '{"distances": [[4], [1]], "durations": [[120, 60], [null]]}'
+    m = spark.createDataFrame([("c", "Walk", "BG", 2, 0, body), ("c", "Walk", "BG", 2, 2, other)], "city string, mode string, level string, src_off long, trg_off long, response string")
+    got = {(r.src, r.trg): (r.dist, r.time_min) for r in travel.od_from_matrices(m, travel.id_blocks(index, 2)).collect()}
+    assert got == {("z2", "z0"): (0.0, 0.0), ("z2", "z1"): (10.0, 10.0), ("z3", "z0"): (5.0, 90.0), ("z2", "z2"): (4.0, 2.0), ("z2", "z3"): (None, 1.0)}
 
 
 def test_request_blocks(spark):

@@ -315,14 +315,13 @@ def poi_source_delta(i: Inputs) -> DataFrame:
 @query(
     "mercator_roundtrip",
     """select id, round(6378137.0*radians(lon),3) as mx, round(6378137.0*ln(tan(pi()/4+radians(lat)/2)),3) as my,
-  round(lon,6) as lon_back, round(lat,6) as lat_back from fx_points""",
+  round(lon,8) as lon_back, round(lat,8) as lat_back from fx_points""",
 )
 def mercator_roundtrip(i: Inputs) -> DataFrame:
-    # The seventh digit of lon is a 5, so the returned degrees are compared after a nudge off the tie.
-    p = i.points.select("id", geo.mercator_x(F.col("lon")).alias("mx"), geo.mercator_y(F.col("lat")).alias("my"), "lon")
+    # lon has seven digits, the last one a 5, so eight digits have no ties.
+    p = i.points.select("id", geo.mercator_x(F.col("lon")).alias("mx"), geo.mercator_y(F.col("lat")).alias("my"))
     back = p.withColumns({"lon_back": geo.lon_of(F.col("mx")), "lat_back": geo.lat_of(F.col("my"))})
-    exact = F.when(F.abs(F.col("lon_back") - F.col("lon")) < 1e-9, F.col("lon")).otherwise(F.col("lon_back"))
-    return rounded(back.withColumn("lon_back", exact).drop("lon"), mx=3, my=3)
+    return rounded(back, 8, mx=3, my=3)
 
 
 @query(
@@ -480,35 +479,29 @@ def city_feeds(i: Inputs) -> DataFrame:
 # Travel-time ingest -------------------------------------------------------------------------------------------
 
 
-def matrices(i: Inputs, index: DataFrame) -> DataFrame:
-    """Router responses for the (source tract, target tract) blocks of the travel times, in seconds.
+BATCH = 4
+
 
-    A tract has two block groups at most, so a response is a 2 x 2 matrix; unknown pairs are null.
-    """
-    od = i.od_tenths.withColumns(
-        {"st": F.substring("src", 1, 11), "tt": F.substring("trg", 1, 11),
-         "si": F.substring("src", 12, 1), "ti": F.substring("trg", 12, 1)}
+def matrices(i: Inputs, index: DataFrame) -> DataFrame:
+    """Router responses of the requested blocks of four sources and four targets, in seconds; unknown pairs are null."""
+    at = index.select("city", "level", F.col("geoid").alias("id"), "idx")
+    od = (
+        i.od_tenths.join(at.withColumnsRenamed({"id": "src", "idx": "si"}), ["city", "level", "src"])
+        .join(at.withColumnsRenamed({"id": "trg", "idx": "ti"}), ["city", "level", "trg"])
+        .withColumns({"src_off": F.expr(f"si div {BATCH} * {BATCH}"), "trg_off": F.expr(f"ti div {BATCH} * {BATCH}")})
     )
 
     def matrix(value):
         def cell(a, b):
-            return F.max(F.when((F.col("si") == a) & (F.col("ti") == b), value.cast("double")))
+            return F.max(F.when((F.col("si") % BATCH == a) & (F.col("ti") % BATCH == b), value.cast("double")))
 
-        return F.array(*[F.array(*[cell(a, b) for b in "12"]) for a in "12"])
+        return F.array(*[F.array(*[cell(a, b) for b in range(BATCH)]) for a in range(BATCH)])
 
-    blocks = od.groupBy("city", "mode", "level", "st", "tt").agg(
+    return od.groupBy("city", "mode", "level", "src_off", "trg_off").agg(
         matrix(F.col("dist")).alias("distances"), matrix(F.col("tenths") * 6).alias("durations")
-    )
-    # Offsets count from the first id a tract could hold, so a tract without its first zone keeps its columns.
-    first = index.select(
-        "city", "level", F.substring("geoid", 1, 11).alias("t"),
-        (F.col("idx") - F.substring("geoid", 12, 1).cast("int") + 1).alias("off"),
-    ).groupBy("city", "level", "t").agg(F.max("off").alias("off"))
-    return (
-        blocks.join(first.withColumnsRenamed({"t": "st", "off": "src_off"}), ["city", "level", "st"])
-        .join(first.withColumnsRenamed({"t": "tt", "off": "trg_off"}), ["city", "level", "tt"])
-        .select("city", "mode", "level", "src_off", "trg_off",
-                F.to_json(F.struct("distances", "durations"), {"ignoreNullFields": "false"}).alias("response"))
+    ).select(
+        "city", "mode", "level", "src_off", "trg_off",
+        F.to_json(F.struct("distances", "durations"), {"ignoreNullFields": "false"}).alias("response"),
     )
 
 
@@ -523,7 +516,7 @@ def bg_index(i: Inputs) -> DataFrame:
 )
 def od_matrix_ingest(i: Inputs) -> DataFrame:
     index = bg_index(i)
-    return rounded(travel.od_from_matrices(matrices(i, index), index))
+    return rounded(travel.od_from_matrices(matrices(i, index), travel.id_blocks(index, BATCH)))
 
 
 @query(
@@ -563,11 +556,11 @@ def od_compact_codes(i: Inputs) -> DataFrame:
 
 @query(
     "od_missing_units",
-    """select distinct city, mode, level from fx_od where (city, mode) not in (select city, mode from fx_od_r5 where travel_time>=370)""",
+    """select distinct city, mode, level from fx_od where (length(city)+length(mode))%3=0""",
 )
 def od_missing_units(i: Inputs) -> DataFrame:
     wanted = travel.known_units(i.od).select("city", "mode", "level").distinct()
-    return travel.missing_units(wanted, i.od_r5.where("travel_time >= 370"))
+    return travel.missing_units(wanted, i.od_r5.where("(length(city) + length(mode)) % 3 <> 0"))
 
 
 @query(
@@ -609,10 +602,11 @@ def source_fallback_year(i: Inputs) -> DataFrame:
 @query(
     "source_years_absent",
     """select distinct substr(geoid,1,5) as county_id from fx_bg where substr(geoid,1,5) not in (
-  select substr(geoid,1,5) from fx_wac where substr(geoid,15,1)='1' and c000>120)""",
+  select substr(geoid,1,5) from fx_wac where substr(geoid,15,1)='1' and cast(substr(geoid,5,1) as int)%3<>1)""",
 )
 def source_years_absent(i: Inputs) -> DataFrame:
-    rows = i.wac.where("c000 > 120").select(
+    # Counties whose number ends in 1, 4 or 7 have published no first year.
+    rows = i.wac.where("cast(substring(geoid, 5, 1) as int) % 3 <> 1").select(
         F.substring("geoid", 1, 5).alias("county_id"), F.substring("geoid", 15, 1).cast("int").alias("year")
     )
     wanted = i.bg.select("county_id").distinct()

@@ -18,6 +18,28 @@ def _sum_within(t: int, value: str, name: str, agg: str = "sum") -> Column:
     return F.expr(f"{agg}(if(time_min <= {t}, {value}, null)) as {name}")
 
 
+# Travel-time pairs of one unit that one task should hold.
+BLOCK_PAIRS = 2_000_000
+
+
+def spread_pairs(od: DataFrame, params: DataFrame | None = None, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+    """Weighted pairs, dealt out by (city, mode, level, block of targets).
+
+    A unit's targets are cut into as many blocks as its pairs need, so a task holds many targets of one unit: sums
+    by destination need no further shuffle, and sums by source combine many targets before they are shuffled. The
+    weights are computed here once, for the demand and for the access pass. The list of units that is broadcast has a
+    row per city, mode and level: at most 100,000 five-digit cities times four modes times three levels.
+    """
+    units = od.groupBy(*UNIT).agg(F.ceil(F.count("*") / block_pairs).alias("_blocks"))
+    return (
+        with_weights(od, params)
+        .join(F.broadcast(units), list(UNIT))
+        .withColumn("block", F.pmod(F.xxhash64("trg"), F.col("_blocks")).cast("int"))
+        .select(*UNIT, "block", "src", "trg", "time_min", "w_work", "w_non")
+        .repartition(*UNIT, "block")
+    )
+
+
 def demand_potential(
     od: DataFrame,
     zones: DataFrame,
@@ -29,19 +51,22 @@ def demand_potential(
 
     Columns ``work_T`` and ``non_T``: demand from labor and from population within T minutes. With
     ``demand='destination'`` the destination's own size scales the sum of weights, so the sum needs no join;
-    with ``'origin'`` every origin brings its own size.
+    with ``'origin'`` every origin brings its own size. Modes without weights have no demand (NULL).
     """
+    return _demand(spread_pairs(od, params), zones, thresholds, demand).drop("block")
+
+
+def _demand(pairs: DataFrame, zones: DataFrame, thresholds: Sequence[int], demand: str) -> DataFrame:
     if demand not in ("destination", "origin"):
         raise ValueError(f"demand must be 'destination' or 'origin', not {demand!r}")
     size = zones.select("geoid", "popu", "labor")
-    weighted = with_weights(od, params)
     if demand == "origin":
-        weighted = weighted.join(size.withColumnRenamed("geoid", "src"), "src")
+        pairs = pairs.join(size.withColumnRenamed("geoid", "src"), "src")
         work, non = "w_work * labor", "w_non * popu"
     else:
         work, non = "w_work", "w_non"
     sums = [_sum_within(t, v, f"{tag}_{t}") for tag, v in (("work", work), ("non", non)) for t in thresholds]
-    out = weighted.groupBy(*UNIT, "trg").agg(*sums)
+    out = pairs.groupBy(*UNIT, "block", "trg").agg(*sums)
     if demand == "origin":
         return out
     out = out.join(size.withColumnRenamed("geoid", "trg"), "trg")
@@ -56,51 +81,57 @@ def _scaled(sums: DataFrame, thresholds: Sequence[int]) -> DataFrame:
 
 
 def _supply(demand: DataFrame, opport: DataFrame, thresholds: Sequence[int]) -> DataFrame:
-    """Per destination and kind: opportunities ``o`` and, per threshold, ``r_T`` = o / demand.
+    """One row per destination with ``kinds``, an array over the kinds it has: opportunities ``o`` and, per threshold,
+    ``r_T`` = o / demand.
 
     ``r_T`` is NULL where either purpose has no demand within T.
     """
-    side = opport.selectExpr(
-        "geoid as trg", "level", "kind", "cast(opport as double) as o", "kind like 'Jobs%' as for_work"
-    ).where("o > 0")
-    ratios = [
-        f"if(work_{t} > 0 and non_{t} > 0, o / if(for_work, work_{t}, non_{t}), null) as r_{t}" for t in thresholds
-    ]
-    unit = [c for c in UNIT if c in demand.columns]
-    return demand.join(side, ["trg", "level"]).selectExpr(*unit, "trg", "kind", "for_work", "o", *ratios)
+    side = opport.where("opport > 0").groupBy(F.col("geoid").alias("trg"), "level").agg(
+        F.collect_list(F.struct("kind", F.col("opport").cast("double").alias("o"), F.col("kind").startswith("Jobs").alias("for_work"))).alias("_side")
+    )
+    ratios = ", ".join(
+        f"if(work_{t} > 0 and non_{t} > 0, x.o / if(x.for_work, work_{t}, non_{t}), null) as r_{t}" for t in thresholds
+    )
+    unit = [c for c in (*UNIT, "block") if c in demand.columns]
+    return demand.join(side, ["trg", "level"]).selectExpr(
+        *unit, "trg", f"transform(_side, x -> struct(x.kind as kind, x.o as o, x.for_work as for_work, {ratios})) as kinds"
+    )
 
 
-def access_wide_rows(
-    od: DataFrame,
-    opport: DataFrame,
-    demand: DataFrame,
-    thresholds: Sequence[int] = THRESHOLDS,
-    keep_zero_demand: bool = False,
-    params: DataFrame | None = None,
+def _access_rows(
+    pairs: DataFrame, opport: DataFrame, demand: DataFrame, thresholds: Sequence[int], keep_zero_demand: bool
 ) -> DataFrame:
-    """One row per (city, mode, level, geoid, kind) with a column per measure and threshold."""
+    """One row per (city, mode, level, geoid, kind) with a column per measure and threshold.
+
+    A pair meets one supply row; the kinds are taken apart after that join and summed in the same task. A mode without
+    weights has a contour only.
+    """
     supply = _supply(demand, opport, thresholds)
-    unit = [c for c in UNIT if c in supply.columns]
-    joined = with_weights(od, params).join(supply, [*unit, "trg"])
+    if "block" in supply.columns:
+        supply = supply.repartition(*UNIT, "block")  # to where the pairs lie, not the pairs to it
+    on = [c for c in (*UNIT, "block", "trg") if c in supply.columns]
+    joined = pairs.join(supply, on).selectExpr(*UNIT, "src as geoid", "time_min", "w_work", "w_non", "inline(kinds)")
     joined = joined.withColumn("w", F.expr("if(for_work, w_work, w_non)"))
     sums = []
     for t in thresholds:
-        reach = "o" if keep_zero_demand else f"if(r_{t} is not null, o, null)"
+        reach = "o" if keep_zero_demand else f"if(r_{t} is not null or w is null, o, null)"
         sums += [
             _sum_within(t, reach, f"Contour_{t}"),
             _sum_within(t, f"{reach} * w", f"Gravity_{t}"),
             _sum_within(t, f"r_{t}", f"E2SFCA_{t}"),
             _sum_within(t, f"r_{t} * w", f"M2SFCA_{t}"),
         ]
-    return joined.groupBy(*UNIT, F.col("src").alias("geoid"), "kind").agg(*sums)
+    return joined.groupBy(*UNIT, "geoid", "kind").agg(*sums)
 
 
-def to_long(wide: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
+def to_long(
+    wide: DataFrame, thresholds: Sequence[int] = THRESHOLDS, measures: Sequence[str] = MEASURES
+) -> DataFrame:
     """measure, thresh and access rows; only positive access is kept."""
     keys = [*UNIT, "geoid", "kind"]
-    cells = ", ".join(f"'{m}', {t}, {m}_{t}" for m in MEASURES for t in thresholds)
+    cells = ", ".join(f"'{m}', {t}, {m}_{t}" for m in measures for t in thresholds)
     return (
-        wide.selectExpr(*keys, f"stack({len(MEASURES) * len(thresholds)}, {cells}) as (measure, thresh, access)")
+        wide.selectExpr(*keys, f"stack({len(measures) * len(thresholds)}, {cells}) as (measure, thresh, access)")
         .select("measure", "kind", "mode", "thresh", "level", "city", "geoid", "access")
         .where("access > 0")
     )
@@ -115,20 +146,19 @@ def access(
     keep_zero_demand: bool = False,
     params: DataFrame | None = None,
     wide: bool = False,
+    measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
     """Access of every zone for all modes, levels, kinds, thresholds and measures in one plan.
 
     ``od``: city, mode, level, src, trg, time_min. ``opport``: geoid, level, kind, opport. ``zones``: geoid,
-    popu, labor. The travel times pass twice: once grouped by destination (demand), once joined to the
-    destinations' supply and grouped by origin. Both groupings combine map-side, and every threshold is a
-    conditional sum in the same pass, so rows multiply only by the kinds a destination really has. No side
-    is hinted: small supplies are broadcast on their measured size, others join on ``trg`` where the
-    adaptive skew join splits a hot destination.
+    popu, labor. The pairs are shuffled once, by unit and block of targets (``spread_pairs``); the demand is summed
+    where they lie, and the destinations' supply comes to them as one row per destination. Every threshold is a
+    conditional sum in the same pass. With ``wide`` the rows keep a column per measure and threshold.
     """
     od = od.where(F.col("time_min") <= max(thresholds))
-    needed = demand_potential(od, zones, thresholds, demand, params)
-    rows = access_wide_rows(od, opport, needed, thresholds, keep_zero_demand, params)
-    return rows if wide else to_long(rows, thresholds)
+    pairs = spread_pairs(od, params)
+    rows = _access_rows(pairs, opport, _demand(pairs, zones, thresholds, demand), thresholds, keep_zero_demand)
+    return rows if wide else to_long(rows, thresholds, measures)
 
 
 def cross_modal_access(
@@ -145,8 +175,9 @@ def cross_modal_access(
     total = best.groupBy("city", "level", "trg").agg(*[F.expr(f"sum({c}) as {c}") for c in names])
     size = zones.select(F.col("geoid").alias("trg"), "popu", "labor")
     demand = _scaled(total.join(size, "trg"), thresholds)
-    long = to_long(access_wide_rows(od, opport, demand, thresholds, params=params), thresholds)
-    return long.where("measure = 'M2SFCA'").withColumn("measure", F.lit("XMFCA"))
+    return to_long(_access_rows(weighted, opport, demand, thresholds, False), thresholds, ("M2SFCA",)).withColumn(
+        "measure", F.lit("XMFCA")
+    )
 
 
 def contour_jobs(od: DataFrame, jobs: DataFrame, thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:

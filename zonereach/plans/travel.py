@@ -49,35 +49,40 @@ def request_blocks(index: DataFrame, batch_size: int = 3000) -> DataFrame:
     )
 
 
+def id_blocks(index: DataFrame, batch_size: int = 3000) -> DataFrame:
+    """The ids of each request block in index order: city, level, off (index of the first), ids (at most a batch)."""
+    block = F.floor(F.col("idx") / batch_size) * batch_size
+    ids = F.sort_array(F.collect_list(F.struct("idx", "geoid")))["geoid"]
+    return index.groupBy("city", "level", block.alias("off")).agg(ids.alias("ids"))
+
+
 def od_from_matrices(
-    matrices: DataFrame, index: DataFrame, max_time: float = 90, to_minutes=units.seconds_to_minutes
+    matrices: DataFrame, blocks: DataFrame, max_time: float = 90, to_minutes=units.seconds_to_minutes
 ) -> DataFrame:
     """Router matrices to travel-time rows.
 
     ``matrices``: city, mode, level, src_off, trg_off, response (JSON with ``distances`` and ``durations``); a
-    response covers one block of sources and targets, so its size is bounded by the request. ``index``: city,
-    level, idx, geoid.
+    response covers one block of sources and targets, so its size is bounded by the request. ``blocks``: the ids of the
+    requested blocks (``id_blocks``). Both id lists come to the matrix as arrays, one row each, so the cells are taken
+    apart after the last shuffle.
     """
     schema = "distances array<array<double>>, durations array<array<double>>"
-    rows = matrices.select(
-        *UNIT, "src_off", "trg_off", F.from_json("response", schema).alias("r")
-    ).select(
-        *UNIT, "src_off", "trg_off", F.posexplode(F.arrays_zip("r.distances", "r.durations")).alias("i", "row")
-    ).select(
-        *UNIT, (F.col("src_off") + F.col("i")).alias("src_i"), "trg_off",
-        F.posexplode(F.arrays_zip("row.distances", "row.durations")).alias("j", "cell"),
-    ).select(
-        *UNIT, "src_i", (F.col("trg_off") + F.col("j")).alias("trg_i"),
-        F.col("cell.distances").alias("dist"), to_minutes(F.col("cell.durations")).alias("time_min"),
-    ).where(F.col("time_min").between(0, max_time))
-    ids = index.select("city", "level", "idx", "geoid")
-    src = ids.withColumnsRenamed({"idx": "src_i", "geoid": "src"})
-    trg = ids.withColumnsRenamed({"idx": "trg_i", "geoid": "trg"})
-    return (
-        rows.join(src, ["city", "level", "src_i"])
-        .join(trg, ["city", "level", "trg_i"])
-        .select(*UNIT, "src", "trg", "dist", "time_min")
+    src = blocks.withColumnsRenamed({"off": "src_off", "ids": "src_ids"})
+    trg = blocks.withColumnsRenamed({"off": "trg_off", "ids": "trg_ids"})
+    rows = (
+        matrices.join(src, ["city", "level", "src_off"])
+        .join(trg, ["city", "level", "trg_off"])
+        .select(*UNIT, "src_ids", "trg_ids", F.from_json("response", schema).alias("r"))
+        .select(*UNIT, "src_ids", "trg_ids", F.posexplode(F.arrays_zip("r.distances", "r.durations")).alias("i", "row"))
+        .select(
+            *UNIT, F.get("src_ids", F.col("i")).alias("src"), "trg_ids",
+            F.posexplode(F.arrays_zip("row.distances", "row.durations")).alias("j", "cell"),
+        )
     )
+    return rows.select(
+        *UNIT, "src", F.get("trg_ids", F.col("j")).alias("trg"),
+        F.col("cell.distances").alias("dist"), to_minutes(F.col("cell.durations")).alias("time_min"),
+    ).where(F.col("time_min").between(0, max_time) & F.col("src").isNotNull() & F.col("trg").isNotNull())
 
 
 def od_from_r5(raw: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     # Also split a hot key where the next grouping is on the join key; one more shuffle of partial sums is cheaper.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join may use a side that lies by some of its keys already (pairs by unit and block of targets).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -78,11 +78,13 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"stream": [TaskContext.get().partitionId() % PARTIAL_SUMS], "counts": [total.tobytes()]})
 
     def add(batches):
-        total = np.zeros(BUCKETS, np.int64)
+        total = None
         for batch in batches:
             for x in batch.column(1):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_pydict({"stream": [0], "counts": [total.tobytes()]})
+                own = np.frombuffer(x.as_py(), np.int64)
+                total = own.copy() if total is None else total + own
+        if total is not None:  # an empty partition has nothing to send
+            yield pa.RecordBatch.from_pydict({"stream": [0], "counts": [total.tobytes()]})
 
     schema = "stream long, counts binary"
     parts = docs.select(_texts(docs, text)).mapInArrow(count, schema)

@@ -148,23 +148,6 @@ def access_incremental(i: Inputs) -> DataFrame:
     return rounded(out, 2)
 
 
-@query(
-    "catalog_coverage",
-    """select field, measure, c.kind, c.mode, thresh, coalesce(n,0) as n_zones, m as max_access from (
-  select ms.c||'_'||k.c||'_'||md.c||'_'||t.thresh as field, ms.n as measure, k.n as kind, md.n as mode, t.thresh||' min' as thresh,
-   t.thresh as t
-  from (values ('Co','Contour'),('Gr','Gravity'),('E2','E2SFCA'),('M2','M2SFCA')) ms(c,n),
-   (values ('jobTot','Jobs: All'),('jobEdu','Jobs: Low edu'),('jobWag','Jobs: Low wage'),('jobPOC','Jobs: POC'),
-    ('poiTot','POIs: All'),('poiEdu','POIs: Education'),('poiGro','POIs: Groceries'),('poiMed','POIs: Medical'),
-    ('poiSoc','POIs: Social Support'),('evStat','EVCI: Stations'),('evseL2','EVCI: Level 2'),('evseDC','EVCI: Fast DC')) k(c,n),
-   (values ('Dr','Drive'),('Bi','Bike'),('Wa','Walk')) md(c,n), fx_t t where k.n not like 'EVCI%' or md.n='Drive') c
- left join (select measure as ms, kind, mode, thresh as th, count(*) as n, round(max(access),4) as m from vw_access group by 1,2,3,4) a
-  on a.ms=c.measure and a.kind=c.kind and a.mode=c.mode and a.th=c.t""",
-)
-def catalog_coverage(i: Inputs) -> DataFrame:
-    return rounded(export.catalog_coverage(base_access(i)), 4)
-
-
 def _wide_sql(rows, digits=None) -> str:
     return ",\n ".join(
         f"coalesce(max(case when measure='{m}' and kind='{k}' and mode='{md}' and thresh={t} then"

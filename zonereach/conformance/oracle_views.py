@@ -95,10 +95,11 @@ VIEWS: dict[str, str] = {
   select *, {_X0}+{_COL}*10000+fx*2+1 as x, {_Y0}+{_ROW}*4000+fy*2+1 as y from (
    select c_custkey as id, c_nationkey as nk, (c_custkey//750)%1000000 as ti,
     130+c_custkey*7919%9700 as fx, 110+c_custkey*10473%2900 as fy,
-    case c_custkey%4 when 0 then 'amenity' when 1 then 'shop' when 2 then 'healthcare' else 'craft' end as tag,
+    case c_custkey%4 when 0 then 'amenity' when 1 then 'shop' when 2 then 'healthcare'
+     else case when c_custkey%8=7 then 'social_facility' else 'craft' end end as tag,
     case c_custkey%4 when 0 then case when c_custkey%12=0 then 'school' else 'hospital' end
      when 1 then case when c_custkey%5=0 then 'supermarket' else 'books' end
-     when 2 then 'doctor' else 'bakery' end as value,
+     when 2 then 'doctor' else case when c_custkey%8=7 then 'food_bank' else 'bakery' end end as value,
     c_custkey%12=4 as two_tags from customer) c) d""",
     "fx_ev": f"""
  select id, nk, ti, fx, fy, (x+(y-25000000)/2)/1000000 as lon, y/1000000 as lat, open_date, l2, fdc from (
@@ -112,7 +113,7 @@ VIEWS: dict[str, str] = {
  select p_partkey as naics, p_name as description,
   case p_partkey%7 when 0 then 'amenity=school OR amenity=kindergarten' when 1 then 'amenity=hospital OR healthcare=doctor'
    when 2 then 'healthcare=doctor' when 3 then 'shop=supermarket' when 4 then 'shop=books OR office=company'
-   when 5 then 'healthcare:speciality=chiropractic' else null end as osm from part""",
+   when 5 then 'healthcare:speciality=chiropractic' else case when p_partkey%2=0 then 'social_facility=food_bank' end end as osm from part""",
     "fx_feeds": """
  select p_partkey as mdb_id, case when p_partkey%4=0 then 'CA' else 'US' end as country_code,
   case p_partkey%5 when 0 then 'inactive' when 1 then 'deprecated' when 2 then 'active' else null end as status,
@@ -164,7 +165,7 @@ def _demand(w: str, demand: str = "destination") -> str:
  from {w} w join fx_t on time_min<=thresh join fx_size z on z.geoid={end} and z.level=w.level group by 1,2,3,4,5"""
 
 
-def _access(w: str, d: str, zero: bool = False) -> str:
+def _access(w: str, d: str, zero: bool = False, opport: str = "fx_opport") -> str:
     served = "d_work>0 and d_non>0"
     keep = "" if zero else f"and {served}"
     return f"""
@@ -173,7 +174,7 @@ def _access(w: str, d: str, zero: bool = False) -> str:
   select kind, w.mode, d.thresh, w.level, w.city, src as geoid, cast(sum(opport) as double) as co, sum(opport*wt) as gr,
    sum(case when {served} then opport/dd end) as e2, sum(case when {served} then opport*wt/dd end) as m2
   from (select *, case when kind like 'Jobs%' then w_work else w_non end as wt from {w} w
-        join fx_opport o on o.geoid=w.trg and o.level=w.level) w
+        join {opport} o on o.geoid=w.trg and o.level=w.level) w
   join (select d.*, p.purpose, case when purpose='Work' then d_work else d_non end as dd
         from {d} d, (values ('Work'),('Non-work')) p(purpose)) d
    on d.trg=w.trg and d.mode=w.mode and d.level=w.level and d.thresh>=time_min {keep}

@@ -83,7 +83,12 @@ def router_means(i: Inputs) -> DataFrame:
     return rounded(out)
 
 
-@query("pair_sample")
+@query(
+    "pair_sample",
+    """select city, mode, src, trg, round(osrm,6) as osrm, r5 from vw_routers
+ order by md5('1234|'||mode||'|'||src||'|'||trg), mode, src, trg limit 500""",
+    _R,
+)
 def pair_sample(i: Inputs) -> DataFrame:
     return rounded(relational.shuffled_head(routers(i).drop("level"), ["mode", "src", "trg"], 1234, 500))
 
@@ -318,9 +323,10 @@ _XS = {"vw_xs": f"select a.city, a.geoid, access, popu, labor, county_id, county
 
 
 def gravity_slice(i: Inputs) -> DataFrame:
-    return keyword_filter(base_access(i), measure="Gravity", kind="Jobs: All", mode="Drive", thresh=45).select(
-        "city", "geoid", "access"
-    )
+    """One metric: the thresholds and measures asked for, the mode and the kind reach the scans."""
+    jobs = i.opport_bg.where("kind = 'Jobs: All'")
+    one = acc.access(i.od.where("mode = 'Drive'"), jobs, i.zones, thresholds=(45,), measures=("Gravity",))
+    return one.select("city", "geoid", "access")
 
 
 @query(
@@ -353,7 +359,8 @@ def city_access_boxes_per_capita(i: Inputs) -> DataFrame:
   where measure in ('M2SFCA','Gravity') and kind='Jobs: All' and mode='Drive' and thresh=45 group by 1,2) s""",
 )
 def city_access_weighted(i: Inputs) -> DataFrame:
-    xs = keyword_filter(base_access(i), kind="Jobs: All", mode="Drive", thresh=45).where("measure in ('M2SFCA', 'Gravity')")
+    jobs = i.opport_bg.where("kind = 'Jobs: All'")
+    xs = acc.access(i.od.where("mode = 'Drive'"), jobs, i.zones, thresholds=(45,), measures=("M2SFCA", "Gravity"))
     sized = xs.where(relational.finite(F.col("access"))).join(i.bg.select("geoid", "popu"), "geoid")
     return rounded(stats.weighted_means(sized, ["access"], "popu", ["measure", "city"]))
 
@@ -428,7 +435,34 @@ def multi_ols_no_intercept(i: Inputs) -> DataFrame:
     return rounded(table.select("term", "coefficient", "r2"), coefficient=4)
 
 
-@query("multi_ols_summary")
+def _summary_sql(y: str, x: str, z: str, source: str) -> str:
+    """Coefficients, errors, t and R2 of a fit without intercept on two features, by the normal equations."""
+    return f"""select term, round(coefficient,9) as coefficient, round(std_error,9) as std_error, round(coefficient/std_error,6) as t, round(r2,6) as r2
+ from (select unnest(['{x}','{z}']) as term, unnest([b1,b2]) as coefficient, unnest([sqrt(s2*szz/det),sqrt(s2*sxx/det)]) as std_error, (b1*syx+b2*syz)/syy as r2
+  from (select *, (syx*szz-syz*sxz)/det as b1, (syz*sxx-syx*sxz)/det as b2, (syy-((syx*szz-syz*sxz)*syx+(syz*sxx-syx*sxz)*syz)/det)/(n-2) as s2
+   from (select *, sxx*szz-sxz*sxz as det from (
+    select count(*) as n, sum({y}*{x}) as syx, sum({y}*{z}) as syz, sum({x}*{z}) as sxz, sum({x}*{x}) as sxx, sum({z}*{z}) as szz, sum({y}*{y}) as syy
+    from {source}) m) d) e) f"""
+
+
+_COUNTY_XS = """select c.*, cast(c.popu as double) as popu_d, a.access from vw_county c join (
+  select county_id, sum(access)/nullif(sum(popu),0) as access from vw_xs group by 1) a on a.county_id=c.county_id"""
+
+
+@query("multi_ols_summary", _summary_sql("access", "p_poc", "m_income", "vw_cxs"), _SES | _XS | {"vw_cxs": _COUNTY_XS})
 def multi_ols_summary(i: Inputs) -> DataFrame:
     data = val.county_access_ses(gravity_slice(i), i.bg, i.ses, FEATURES)
-    return rounded(stats.regression_table(data, FEATURES, "access", intercept=False))
+    table = stats.regression_table(data, ["p_poc", "m_income"], "access", intercept=False).drop("p")
+    return rounded(table, coefficient=9, std_error=9)
+
+
+@query(
+    "multi_ols_population",
+    _summary_sql("access", "p_poc", "popu", "(select access, p_poc, popu_d as popu from vw_cxs)"),
+    _SES | _XS | {"vw_cxs": _COUNTY_XS},
+)
+def multi_ols_population(i: Inputs) -> DataFrame:
+    """The variant that keeps the population among the features."""
+    data = val.county_access_ses(gravity_slice(i), i.bg, i.ses, FEATURES)
+    table = stats.regression_table(data, ["p_poc", "popu"], "access", intercept=False).drop("p")
+    return rounded(table, coefficient=9, std_error=9)

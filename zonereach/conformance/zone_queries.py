@@ -182,7 +182,7 @@ _TAGS = """select naics, description, tag, value,
   tag='shop' and value in ('convenience','department_store','greengrocer','grocery','health_food','supermarket') as Groceries,
   tag='amenity' and value in ('school','kindergarten') as Education,
   (tag='amenity' and value='hospital') or (tag='healthcare' and value in ('doctor','hospital')) as Medical,
-  false as "Social Support"
+  tag='social_facility' and value='food_bank' as "Social Support"
  from (select naics, description, split_part(trim(p),'=',1) as tag, split_part(trim(p),'=',2) as value
   from (select naics, description, unnest(string_split(osm,'OR')) as p from fx_tag_list where osm is not null) a) b
  where tag in ('amenity','clothes','craft','fast_food','healthcare','second_hand','shop','social_facility:for','social_facility')"""
@@ -430,22 +430,48 @@ def dissolve_outline(i: Inputs) -> DataFrame:
     return dissolve.outline(i.zone_shapes, ["city", "level"])
 
 
-@query(
-    "contiguous_catchment",
-    """, vw_member as materialized (select distinct city, mode, trg, src as geoid from fx_od where time_min<=30),
+_CONTIGUOUS = """, vw_member as materialized (select distinct city, mode, trg, src as geoid from fx_od where time_min<=30),
  vw_link as materialized (select a.geoid as a, b.geoid as b from vw_lattice a join vw_lattice b on a.level='BG' and b.level='BG'
    and a.county_id=b.county_id and abs((a.cc*2+a.half)-(b.cc*2+b.half))+abs(a.rr-b.rr)=1),
  vw_reach as (select mode, trg, geoid as a, geoid as b from vw_member union
   select r.mode, r.trg, r.a, l.b from vw_reach r join vw_link l on l.a=r.b join vw_member m on m.mode=r.mode and m.trg=r.trg and m.geoid=l.b),
  vw_part as materialized (select mode, trg, a as geoid, min(b) as part from vw_reach group by 1,2,3),
- vw_size as materialized (select mode, trg, part, round(sum((w/1e6)*(h/1e6)),9) as part_area, count(*) as n from vw_part join vw_lattice using (geoid) where level='BG' group by 1,2,3),
- vw_best as (select *, row_number() over (partition by mode, trg order by part_area desc, part) as rn from vw_size)
-select p.mode, p.trg, p.geoid, p.part, b.part_area from vw_part p join vw_best b on b.mode=p.mode and b.trg=p.trg and b.part=p.part where rn=1""",
+ vw_size as materialized (select mode, trg, part, sum(6378137.0*radians(w/1e6)*(by1-by0)) as part_area
+   from vw_part join vw_lattice using (geoid) join vw_merc using (geoid, level) where level='BG' group by 1,2,3),
+ vw_best as materialized (select *, row_number() over (partition by mode, trg order by round(part_area) desc, part) as rn from vw_size)
+"""
+
+
+@query(
+    "contiguous_catchment",
+    _CONTIGUOUS + """select p.mode, p.trg, p.geoid, p.part, round(b.part_area) as part_area from vw_part p
+ join vw_best b on b.mode=p.mode and b.trg=p.trg and b.part=p.part where rn=1""",
+    {"vw_merc": _MERC},
 )
 def contiguous_catchment(i: Inputs) -> DataFrame:
+    return rounded(largest_parts(i).select("mode", "trg", "geoid", "part", "part_area"), 0)
+
+
+def largest_parts(i: Inputs) -> DataFrame:
     members = i.od.where("time_min <= 30").select("mode", "trg", F.col("src").alias("geoid"))
-    parts = dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), ["mode", "trg"])
-    return rounded(parts.select("mode", "trg", "geoid", "part", "part_area"), 9)
+    return dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), ["mode", "trg"])
+
+
+@query(
+    "contiguous_outline",
+    _CONTIGUOUS + """select mode, trg, count(*) as n_segments, cast(sum(x1) as bigint) as sum_x, cast(sum(y1) as bigint) as sum_y from (
+  select mode, trg, case when swap then x2 else x1 end as x1, case when swap then y2 else y1 end as y1,
+   case when swap then x1 else x2 end as x2, case when swap then y1 else y2 end as y2
+  from (select p.mode, p.trg, e.*, x2<x1 or (x2=x1 and y2<y1) as swap from vw_part p
+    join vw_best b on b.mode=p.mode and b.trg=p.trg and b.part=p.part and rn=1 join vw_edge e on e.geoid=p.geoid and e.level='BG') a
+  group by 1,2,3,4,5,6 having count(*)=1) s group by 1,2""",
+    {"vw_merc": _MERC},
+)
+def contiguous_outline(i: Inputs) -> DataFrame:
+    """Outline of the largest contiguous part of every catchment."""
+    parts = largest_parts(i).select("mode", "trg", "geoid")
+    lines = dissolve.outline(parts.join(i.zone_shapes.where("level = 'BG'").select("geoid", "geometry"), "geoid"), ["mode", "trg"])
+    return lines.groupBy("mode", "trg").agg(F.count("*").alias("n_segments"), F.sum("x1").alias("sum_x"), F.sum("y1").alias("sum_y"))
 
 
 @query(
@@ -465,15 +491,15 @@ def catchment_outline(i: Inputs) -> DataFrame:
 @query(
     "city_feeds",
     """select mdb_id, url, f.minx, f.miny, f.maxx, f.maxy, list_sort(list(distinct city)) as city from fx_feeds f
-  join (select city, b.* from vw_zones join vw_box b using (geoid, level) where level='County') b
+  join (select city, b.* from vw_zones join vw_box b using (geoid, level) where level='Tract') b
    on f.minx<=b.maxx and f.maxx>=b.minx and f.miny<=b.maxy and f.maxy>=b.miny
  where country_code='US' and url like '%.zip' and (status is null or status not in ('inactive','deprecated'))
   and f.maxx-f.minx<=3 and f.maxy-f.miny<=3 group by 1,2,3,4,5,6""",
 )
 def city_feeds(i: Inputs) -> DataFrame:
     b = geo.bounds(F.col("geometry"))
-    extents = i.zone_shapes.where("level = 'County'").select("city", b.alias("b")).select("city", "b.*")
-    return feeds.city_feeds(i.feeds, extents, 4.0)
+    extents = i.zone_shapes.where("level = 'Tract'").select("city", b.alias("b")).select("city", "b.*")
+    return feeds.city_feeds(i.feeds, extents)
 
 
 # Travel-time ingest -------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import cut_lineage
+from ..session import Scratch
 
 # Coordinates are compared on this grid (micro-degrees), so equal vertices get equal keys.
 GRID = 1_000_000
@@ -73,9 +73,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until the edges stop changing: every node sends its larger neighbours to its smallest
     neighbour, then its smaller ones. Each step is a min aggregate and a join, the number of rounds grows with
-    the logarithm of the node count, and each round's edges go to the checkpoint folder.
+    the logarithm of the node count. Each round's edges are a table in the shared folder, which the next round removes.
     """
-    edges = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    scratch = Scratch(edges.sparkSession, "components")
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = scratch.table(links, "edges")
 
     def signature(df: DataFrame):
         # Two independent order-free sums; each hash is widened so that the sums cannot overflow.
@@ -99,7 +101,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     after = signature(edges)
     while after != before:
         before = after
-        edges = cut_lineage(small_star(large_star(edges)))
+        moved = scratch.table(small_star(large_star(edges)), "edges")
+        scratch.drop(edges)
+        edges = moved
         after = signature(edges)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
@@ -111,7 +115,7 @@ def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str
 
     ``members``: by..., geoid; ``zones``: geoid, level, geometry. Catchments of all destinations are solved
     together: a node is (catchment, zone), and an edge needs both zones in the catchment. The part with the
-    largest area wins, ties go to the smallest part label.
+    largest area in Web Mercator (square metres) wins, ties go to the smallest part label.
     """
     by = list(by)
     catchment = F.concat_ws("|", *by)
@@ -127,10 +131,10 @@ def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str
     sized = (
         base.join(parts, "_node", "left")
         .withColumn("part", F.element_at(F.split(F.coalesce("component", "_node"), r"\|"), -1))
-        .join(zones.select("geoid", geo.area(F.col("geometry")).alias("_area")), "geoid")
+        .join(zones.select("geoid", geo.area(geo.polygon_to_mercator(F.col("geometry"))).alias("_area")), "geoid")
     )
     totals = sized.groupBy(*by, "part").agg(F.sum("_area").alias("part_area"))
     best = totals.groupBy(*by).agg(
-        F.min(F.struct((-F.round("part_area", 9)).alias("neg"), "part", "part_area")).alias("_best")
+        F.min(F.struct((-F.round("part_area")).alias("neg"), "part", "part_area")).alias("_best")
     ).select(*by, F.col("_best.part").alias("part"), F.col("_best.part_area").alias("part_area"))
     return sized.select(*by, "geoid", "part").join(best, [*by, "part"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,35 +93,77 @@ def normalized_rmse(df: DataFrame, a: str, b: str, by: Sequence[str]) -> DataFra
     )
 
 
-def multiple_regression(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True):
-    """Fitted linear model (normal equations, computed on the executors); ``.summary`` has errors, t, p and R2."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in (*features, target)]).dropna()
-    )
-    return LinearRegression(labelCol=target, fitIntercept=intercept, solver="normal").fit(ready)
+def _student_p(t: float, freedom: int) -> float:
+    """Two-sided p of Student's t: the incomplete beta function by its continued fraction."""
+    x, a, b = freedom / (freedom + t * t), freedom / 2, 0.5
+    if x in (0.0, 1.0):
+        return x
+    flip = x >= (a + 1) / (a + b + 2)
+    if flip:
+        x, a, b = 1 - x, b, a
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    c, d = 1.0, 1 / max(1 - (a + b) * x / (a + 1), tiny)
+    value = d
+    for m in range(1, 300):
+        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / ((1 + step * d) or tiny)
+            c = (1 + step / c) or tiny
+            value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return 1 - front * value if flip else front * value
 
 
 def regression_table(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True) -> DataFrame:
-    """One row per coefficient: term, coefficient, std_error, t, p and the model's R2."""
-    model = multiple_regression(df, features, target, intercept)
-    s = model.summary
-    terms = list(features) + (["(intercept)"] if intercept else [])
-    coefs = list(model.coefficients) + ([model.intercept] if intercept else [])
-    try:
-        errors = list(zip(s.coefficientStandardErrors, s.tValues, s.pValues))
-    except UnsupportedOperationException:
-        # Collinear or too few rows: the solver gives coefficients but no errors.
-        errors = [(None, None, None)] * len(terms)
-    rows = [
-        (t, float(c), *[None if v is None else float(v) for v in e], float(s.r2))
-        for t, c, e in zip(terms, coefs, errors)
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "term string, coefficient double, std_error double, t double, p double, r2 double"
-    )
+    """Least squares, one row per coefficient: term, coefficient, std_error, t, p and the model's R2.
+
+    One pass of the rows gives counts, means and covariances; the driver solves a system as large as the number of
+    features. Without intercept the moments are taken around zero and R2 is uncentred. Collinear features or too few
+    rows give coefficients (of the smallest norm) but no errors. Rows with a null are left out.
+    """
+    import numpy as np
+
+    names = [*features, target]
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    got = rows.agg(
+        F.count("*").alias("n"),
+        *[F.avg(c).alias(f"mean|{c}") for c in names],
+        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs],
+    ).first()
+    n, k = got["n"], len(features)
+    schema = "term string, coefficient double, std_error double, t double, p double, r2 double"
+    terms = [*features, *(["(intercept)"] if intercept else [])]
+    if not n:
+        return df.sparkSession.createDataFrame([(t, *[None] * 5) for t in terms], schema)
+    mean = np.array([got[f"mean|{c}"] for c in names])
+    moments = np.zeros((k + 1, k + 1))
+    for a, b in pairs:
+        i, j = names.index(a), names.index(b)
+        moments[i, j] = moments[j, i] = got[f"{a}|{b}"] + (0.0 if intercept else mean[i] * mean[j])
+    xx, xy, yy = moments[:k, :k], moments[:k, k], moments[k, k]
+    # Features may differ by orders of magnitude; scaled ones keep the system well conditioned.
+    scale = np.sqrt(np.diag(xx))
+    scale[scale == 0] = 1.0
+    scaled = xx / np.outer(scale, scale)
+    inverse = np.linalg.pinv(scaled, hermitian=True) / np.outer(scale, scale)
+    beta = inverse @ xy
+    freedom = n - k - intercept
+    r2 = float(beta @ xy / yy) if yy > 0 else None
+    errors = np.full(len(terms), np.nan)
+    if freedom > 0 and np.linalg.matrix_rank(scaled, hermitian=True) == k:
+        variance = max(0.0, float(yy - beta @ xy)) * n / freedom
+        errors[:k] = np.sqrt(variance * np.diag(inverse) / n)
+        if intercept:
+            errors[k] = np.sqrt(variance * (1 / n + mean[:k] @ inverse @ mean[:k] / n))
+    coefficients = [*beta, *([mean[k] - beta @ mean[:k]] if intercept else [])]
+    table = []
+    for term, c, e in zip(terms, map(float, coefficients), map(float, errors)):
+        known = e > 0
+        t = c / e if known else None
+        table.append((term, c, e if known else None, t, _student_p(t, freedom) if known else None, r2))
+    return df.sparkSession.createDataFrame(table, schema)
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str], lo: float, hi: float, bins: int) -> DataFrame:

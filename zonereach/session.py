@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,10 +66,41 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+class Scratch:
+    """Parquet tables under the shared folder; a written table cuts the lineage and survives lost executors.
+
+    ``drop`` removes a table nothing reads any more. Tables a returned DataFrame still reads go when the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark = spark
+        self.root = f"{shared_dir(spark)}/zonereach-{what}-{uuid.uuid4().hex[:12]}"
+        self.count = 0
+        atexit.register(remove, spark, self.root)
+
+    def path(self, name: str) -> str:
+        self.count += 1
+        return f"{self.root}/{self.count:03d}-{name}"
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._zonereach_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            remove(self.spark, t._zonereach_path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back."""
+    return Scratch(df.sparkSession, "cut").table(df, "rows")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; after the session has ended there is nothing to ask any more."""
+    if spark.sparkContext._jsc is not None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

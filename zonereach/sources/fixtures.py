@@ -286,10 +286,12 @@ class Inputs:
             f"({key} div 750) % {TRACT_CODES} as ti",
             f"130 + {key} * 7919 % 9700 as fx",
             f"110 + {key} * 10473 % 2900 as fy",
-            f"case {key} % 4 when 0 then 'amenity' when 1 then 'shop' when 2 then 'healthcare' else 'craft' end as tag",
+            f"case {key} % 4 when 0 then 'amenity' when 1 then 'shop' when 2 then 'healthcare'"
+            f" else if({key} % 8 = 7, 'social_facility', 'craft') end as tag",
             f"case {key} % 4 when 0 then case when {key} % 12 = 0 then 'school' else 'hospital' end"
             f" when 1 then case when {key} % 5 = 0 then 'supermarket' else 'books' end"
-            " when 2 then 'doctor' else 'bakery' end as value",
+            " when 2 then 'doctor'"
+            f" else if({key} % 8 = 7, 'food_bank', 'bakery') end as value",
             f"{key} % 12 = 4 as two_tags",
         )
         return self._place(f).select(
@@ -332,7 +334,8 @@ class Inputs:
             "case p_partkey % 7 when 0 then 'amenity=school OR amenity=kindergarten'"
             " when 1 then 'amenity=hospital OR healthcare=doctor' when 2 then 'healthcare=doctor'"
             " when 3 then 'shop=supermarket' when 4 then 'shop=books OR office=company'"
-            " when 5 then 'healthcare:speciality=chiropractic' else null end as osm",
+            " when 5 then 'healthcare:speciality=chiropractic'"
+            " else if(p_partkey % 2 = 0, 'social_facility=food_bank', null) end as osm",
         )
 
     @cached_property

@@ -56,8 +56,8 @@ def census_population(df: DataFrame, col: str, rename: dict[str, str]) -> DataFr
 
 
 def with_path_parts(df: DataFrame, pattern: str, names: Sequence[str]) -> DataFrame:
-    """Attributes carried by the file name, e.g. ``([^_/]+)_([^_/]+)_([^_/.]+)[.]`` for city, mode, level."""
-    name = F.col("_metadata.file_name")
+    """Attributes carried by the path, e.g. ``([^_/]+)_([^_/]+)_([^_/.]+)[.]`` for city, mode, level."""
+    name = F.col("_metadata.file_path")
     return df.select(
         "*", *[F.regexp_extract(name, pattern, i + 1).alias(n) for i, n in enumerate(names)]
     )

@@ -27,14 +27,25 @@ def parquet(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overw
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def csv(df: DataFrame, path: str, gzip: bool = False, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, header=True, compression="gzip" if gzip else "none")
+def csv(df: DataFrame, path: str, by: Sequence[str] = (), gzip: bool = False, mode: str = "overwrite", **options) -> None:
+    """Text table with a header; with ``by`` a folder per value, each written by one task unless it is large.
+
+    The rebalancing hint gathers a folder's rows in one task and splits it where they exceed the advisory size.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
+    writer = df.write.mode(mode)
+    writer = writer.partitionBy(*by) if by else writer
+    writer.csv(path, header=True, compression="gzip" if gzip else "none", **options)
 
 
 def existing_units(spark, path: str, by: Sequence[str] = UNIT) -> DataFrame | None:
+    """Units that have a folder, or None where there is no table; any other error shows."""
     try:
         return spark.read.parquet(path).select(*by).distinct()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -43,11 +54,12 @@ def incremental(
 ) -> DataFrame:
     """Compute and write the units whose partition is absent; ``compute`` gets the units to do.
 
-    All absent units run as one job. Dynamic partition overwrite leaves the other partitions alone.
+    All absent units run as one job, whose rows are gathered by unit (large ones split by size), so a unit gets few
+    files. Dynamic partition overwrite leaves the other partitions alone.
     """
     spark = units.sparkSession
     by = units.columns
     done = existing_units(spark, path, by)
     todo = units if done is None else missing_units(units, done, overwrite)
-    parquet(compute(todo), path, by)
+    parquet(compute(todo).hint("rebalance", *by), path, by)
     return spark.read.parquet(path)

@@ -1,56 +1,17 @@
-"""Helpers of the operators: tables in the shared folder, running positions, connected components."""
+"""Helpers of the operators: running positions, connected components, names."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import shared_dir
+from ..session import Scratch
 
 # A word: anything between blanks, as Java, RE2 and Python read it alike.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-class Scratch:
-    """Parquet tables under the shared folder; a written table cuts the lineage and survives lost executors.
-
-    ``drop`` removes a table nothing reads any more. Tables a returned DataFrame still reads go when the driver ends.
-    """
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/zonereach-{what}-{uuid.uuid4().hex[:12]}"
-        self.count = 0
-        atexit.register(self._remove, self.root)
-
-    def path(self, name: str) -> str:
-        self.count += 1
-        return f"{self.root}/{self.count:03d}-{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._zonereach_path = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            self._remove(t._zonereach_path)
-
-    def _remove(self, path: str) -> None:
-        try:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # at exit the session may be gone already; left-over tables are only disk space
-            if self.spark.sparkContext._jsc is not None:
-                raise
-
-
 def running(
     scratch: Scratch, df: DataFrame, within: list[str], by: list[str], amount: Column | None = None, name: str = "position"
 ) -> DataFrame:

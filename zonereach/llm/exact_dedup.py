@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-from .base import Scratch, unused
+from ..session import Scratch, remove, shared_dir
+from .base import unused
 
 
 class DigestIndex:
@@ -33,7 +33,7 @@ class DigestIndex:
     def temporary(cls, spark: SparkSession, buckets: int = 64) -> DigestIndex:
         """An empty index for one run; its table goes when the driver ends."""
         index = cls(spark, f"digest_index_{uuid.uuid4().hex[:12]}", buckets=buckets)
-        Scratch(spark, "index").root = index.path
+        atexit.register(remove, spark, index.path)
         atexit.register(index.drop)
         return index
 

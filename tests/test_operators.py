@@ -132,11 +132,35 @@ def test_points_in_polygons_with_hot_cells(spark):
     pts = [(i, *((0.5, 0.5) if i % 3 == 0 else (rnd.uniform(-1, 5), rnd.uniform(-1, 5)))) for i in range(600)]
     points = spark.createDataFrame(pts, "id int, lon double, lat double")
     want = sorted((i, f"{int(x):02d}{int(y):02d}") for i, x, y in pts if x > 0 and y > 0 and (int(x), int(y)) in cells)
-    for hot in (20, 10**6):
-        got = spatial.points_in_polygons(points, grid(spark, cells), {"BG": 0.8}, hot_rows=hot).select("id", "geoid")
+    for size in (0.3, 0.8, 7.0):
+        got = spatial.points_in_polygons(points, grid(spark, cells), {"BG": size}).select("id", "geoid")
         assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_points_in_irregular_shapes(spark):
+    """Stars with holes, on grids finer and coarser than they are, against the ray through all edges."""
+    rnd = random.Random(4)
+
+    def star(x, y, r, n):
+        ends = [(x + r * rnd.uniform(0.3, 1) * math.cos(2 * math.pi * k / n), y + r * rnd.uniform(0.3, 1) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        return [{"x": a, "y": b} for a, b in [*ends, ends[0]]]
+
+    shapes = [(f"s{k}", "A", [star(k, k % 3, 1.4, 17), star(k, k % 3, 0.3, 5)[::-1], star(k + 9, 1, 0.8, 9)]) for k in range(6)]
+    zones = spark.createDataFrame(shapes, f"geoid string, level string, geometry array<{geo.RING}>")
+    points = spark.createDataFrame([(i, rnd.uniform(-2, 16), rnd.uniform(-2, 5)) for i in range(1500)], "id int, lon double, lat double")
+    x, y = F.col("lon"), F.col("lat")
+    want = points.crossJoin(zones).where(geo.contains(geo.polygon_edges(F.col("geometry")), x, y)).select("id", "geoid").collect()
+    for size in (0.15, 1.0, 30.0):
+        got = spatial.points_in_polygons(points, zones, {"A": size}).select("id", "geoid").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 100
+
+
+def test_levels_without_a_size_are_an_error(spark):
+    points = spark.createDataFrame([(1, 1.0, 0.5)], "id int, lon double, lat double")
+    with pytest.raises(Exception, match="no cell size for level BG"):
+        spatial.points_in_polygons(points, grid(spark, [(0, 0)]), {"Tract": 1.0}).collect()
+
+
 def test_edge_points_belong_to_both_or_none(spark):
     points = spark.createDataFrame([(1, 1.0, 0.5)], "id int, lon double, lat double")
     zones = grid(spark, [(0, 0), (1, 0)])

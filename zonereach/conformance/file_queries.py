@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from ..operators import relational, rollup
+from ..operators import dissolve, relational, rollup, spatial
 from ..plans import access as acc
 from ..plans import export
 from ..plans import opportunities as opp
@@ -217,3 +217,51 @@ def zone_boxes(i: Inputs) -> DataFrame:
     box = b.select("geoid", "level", geo.box(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")]).alias("box"))
     out = box.select("geoid", "level", geo.area(F.col("box")).alias("area"), geo.centroid(F.col("box")).alias("c"))
     return rounded(out.select("geoid", "level", "area", F.col("c.x").alias("cx"), F.col("c.y").alias("cy")), area=9)
+
+
+# Shapes of several parts --------------------------------------------------------------------------------------
+
+
+def lots(i: Inputs) -> DataFrame:
+    return readers.with_geometry(i.lot_shapes)
+
+
+@query(
+    "multipolygon_measures",
+    """select distinct lot, 3 as n_rings, 2 as n_parts, round((8000*3000-2000*1000+900*900)/1e12,12) as area,
+  round(x/1e6,6) as minx, round(y/1e6,6) as miny, round((x+9900)/1e6,6) as maxx, round((y+3000)/1e6,6) as maxy,
+  round((x+(24e6*4000-2e6*3000+81e4*9450)/(24e6-2e6+81e4))/1e6,6) as cx,
+  round((y+(24e6*1500-2e6*1500+81e4*450)/(24e6-2e6+81e4))/1e6,6) as cy, true as same from fx_lots""",
+)
+def multipolygon_measures(i: Inputs) -> DataFrame:
+    """Rings, parts, area, box and centroid of shapes with a hole and two parts, and whether their text reads back."""
+    g = F.col("geometry")
+    out = lots(i).select(
+        "lot", F.size(g).alias("n_rings"), F.size(geo.polygon_parts(g)).alias("n_parts"), geo.area(g).alias("area"),
+        geo.bounds(g).alias("b"), geo.centroid(g).alias("c"), (geo.parse_wkt(geo.to_wkt(g)) == g).alias("same"),
+    )
+    return rounded(
+        out.select("lot", "n_rings", "n_parts", "area", "b.*", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"), "same"), area=12
+    )
+
+
+@query(
+    "points_in_multipolygons",
+    """select id, lot from fx_lots where (dx<8000 and dy<3000 and not (dx>2000 and dx<4000 and dy>1000 and dy<2000))
+  or (dx>9000 and dx<9900 and dy<900)""",
+)
+def points_in_multipolygons(i: Inputs) -> DataFrame:
+    """Points in the parts and not in the hole, on a grid finer than the shapes."""
+    zones = lots(i).select(F.col("lot"), F.lit("Lot").alias("level"), "geometry")
+    return spatial.points_in_polygons(i.lot_points, zones, {"Lot": 0.0017}).select("id", "lot")
+
+
+@query(
+    "multipolygon_outline",
+    """select nk, 12*count(*) as n_segments, sum(8000*2+3000*2+2000*2+1000*2+900*4)::bigint as length from (select distinct nk, lot from fx_lots) a group by 1""",
+)
+def multipolygon_outline(i: Inputs) -> DataFrame:
+    """Outer and inner outline segments of all parts per county number, with their total length."""
+    lines = dissolve.outline(lots(i).select("nk", "geometry"), ["nk"])
+    length = F.sum(F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1")))
+    return lines.groupBy("nk").agg(F.count("*").alias("n_segments"), length.alias("length"))

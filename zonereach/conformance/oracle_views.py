@@ -101,6 +101,9 @@ VIEWS: dict[str, str] = {
      when 1 then case when c_custkey%5=0 then 'supermarket' else 'books' end
      when 2 then 'doctor' else case when c_custkey%8=7 then 'food_bank' else 'bakery' end end as value,
     c_custkey%12=4 as two_tags from customer) c) d""",
+    "fx_lots": f"""
+ select id, nk||'-'||ti as lot, nk, {_X0}+{_COL}*10000 as x, {_Y0}+{_ROW}*4000 as y, id*7919%9999+0.5 as dx, id*10473%3999+0.5 as dy
+ from (select c_custkey as id, c_nationkey as nk, (c_custkey//750)%1000000 as ti from customer) c""",
     "fx_ev": f"""
  select id, nk, ti, fx, fy, (x+(y-25000000)/2)/1000000 as lon, y/1000000 as lat, open_date, l2, fdc from (
   select *, {_X0}+{_COL}*10000+fx*2+1 as x, {_Y0}+{_ROW}*4000+fy*2+1 as y from (

@@ -1,7 +1,7 @@
 """Planar geometry on rings: a ring is ``array<struct<x:double,y:double>>``, closed (last vertex = first).
 
-A polygon is an ``array`` of rings; the shell runs counter-clockwise and holes clockwise, so signed sums
-subtract the holes.
+A polygon is an ``array`` of rings; shells run counter-clockwise and holes clockwise, so signed sums
+subtract the holes. Several parts are several shells, each followed by its holes.
 """
 
 from __future__ import annotations
@@ -189,27 +189,84 @@ def contains(edges: Column, x: Column, y: Column, boundary: bool = False) -> Col
     return (inside | edge) if boundary else (inside & ~edge)
 
 
+def crossed(edges: Column, x: Column, y: Column, rx: Column, ry: Column) -> Column:
+    """Edges that the segment from (x, y) to (rx, ry) crosses; a vertex on its line counts to one side throughout."""
+
+    def left(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
+        return (bx - ax) * (py - ay) - (by - ay) * (px - ax) > 0
+
+    def meets(e: Column) -> Column:
+        ends = [(e[v]["x"], e[v]["y"]) for v in ("a", "b")]
+        sides = [left(x, y, rx, ry, *p) for p in ends]
+        return (sides[0] != sides[1]) & (left(*ends[0], *ends[1], x, y) != left(*ends[0], *ends[1], rx, ry))
+
+    return F.size(F.filter(edges, meets))
+
+
+def _ring_area(ring: Column) -> Column:
+    """Signed shoelace sum of one ring, seen from its first vertex."""
+    return F.aggregate(
+        ring_edges(ring),
+        F.lit(0.0),
+        lambda acc, e: acc
+        + (e["a"]["x"] - ring[0]["x"]) * (e["b"]["y"] - ring[0]["y"])
+        - (e["b"]["x"] - ring[0]["x"]) * (e["a"]["y"] - ring[0]["y"]),
+    )
+
+
 def parse_wkt(wkt: Column) -> Column:
-    """``POLYGON ((x y, ...), (...))`` text to rings."""
-    body = F.regexp_replace(F.regexp_replace(wkt, r"(?i)^\s*polygon\s*\(\s*\(", ""), r"\)\s*\)\s*$", "")
-    return F.transform(
-        F.split(body, r"\)\s*,\s*\("),
-        lambda ring: F.transform(
-            F.split(ring, r"\s*,\s*"),
-            lambda v: point(F.split(F.trim(v), r"\s+")[0].cast("double"), F.split(F.trim(v), r"\s+")[1].cast("double")),
+    """``POLYGON`` or ``MULTIPOLYGON`` text to rings; NULL for an empty one.
+
+    Shells are turned counter-clockwise and holes clockwise, whatever the text has, so the rings of all parts stand
+    in one array: a shell opens a part and its holes follow. Sums, bounds and containment need no more than that.
+    """
+    body = F.regexp_replace(wkt, r"(?i)^\s*(multipolygon\s*\(|polygon)\s*\(\s*\(", "")
+    body = F.regexp_replace(body, r"\)\s*\)(\s*\))?\s*$", "")
+
+    def ring_of(text: Column) -> Column:
+        return F.transform(
+            F.split(text, r"\s*,\s*"),
+            lambda v: let(F.split(F.trim(v), r"\s+"), lambda n: point(n[0].cast("double"), n[1].cast("double"))),
+        )
+
+    def turned(ring: Column, hole: Column) -> Column:
+        return F.when((_ring_area(ring) < 0) != hole, F.reverse(ring)).otherwise(ring)
+
+    parts = F.transform(
+        F.split(body, r"\)\s*\)\s*,\s*\(\s*\("),
+        lambda part: F.transform(
+            F.split(part, r"\)\s*,\s*\("), lambda text, i: let(ring_of(text), lambda ring: turned(ring, i > 0))
         ),
     )
+    return F.when(~F.lower(wkt).rlike(r"empty\s*$"), F.flatten(parts))
+
+
+def polygon_parts(rings: Column) -> Column:
+    """Rings grouped by part: every shell with its holes."""
+    shells = F.filter(F.transform(rings, lambda r, i: F.when(_ring_area(r) > 0, i)), lambda i: i.isNotNull())
+    return F.transform(
+        shells,
+        lambda at, k: F.slice(rings, at + 1, F.coalesce(F.get(shells, k + 1), F.size(rings)) - at),
+    )
 
 
 def to_wkt(rings: Column) -> Column:
-    ring_text = F.transform(
-        rings,
-        lambda ring: F.concat(
-            F.lit("("),
-            F.array_join(
-                F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "
+    def text(part: Column) -> Column:
+        ring_text = F.transform(
+            part,
+            lambda ring: F.concat(
+                F.lit("("),
+                F.array_join(
+                    F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "
+                ),
+                F.lit(")"),
             ),
-            F.lit(")"),
+        )
+        return F.concat(F.lit("("), F.array_join(ring_text, ", "), F.lit(")"))
+
+    return let(
+        F.transform(polygon_parts(rings), text),
+        lambda parts: F.when(F.size(parts) > 1, F.concat(F.lit("MULTIPOLYGON ("), F.array_join(parts, ", "), F.lit(")"))).otherwise(
+            F.concat(F.lit("POLYGON "), F.get(parts, F.lit(0)))
         ),
     )
-    return F.concat(F.lit("POLYGON ("), F.array_join(ring_text, ", "), F.lit(")"))

@@ -48,31 +48,59 @@ def salted_join(
     return left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"]).drop("_salt")
 
 
+# Where a cell's reference point lies in it: off the corners, centre lines and diagonals that borders tend to follow.
+REFERENCE = (0.512345, 0.487123)
+
+
+def clipped_cells(zones: DataFrame, size: Column) -> DataFrame:
+    """Grid cells of each zone that it reaches into: the zone's other columns, _cx, _cy, _inside and _edges.
+
+    A cell carries only the edges that touch it, and whether its reference point is in the zone. Cells without edges
+    are wholly in or wholly out; those out are left. What a cell carries is bounded by its own edges, however many
+    vertices the zone has.
+    """
+
+    def cell(c: Column, edges: Column, s: Column) -> Column:
+        x, y = (c["cx"] + REFERENCE[0]) * s, (c["cy"] + REFERENCE[1]) * s
+        eps = 1e-9
+
+        def touches(e: Column) -> Column:
+            (ax, ay), (bx, by) = ((e[v]["x"], e[v]["y"]) for v in ("a", "b"))
+            return (
+                (F.least(ax, bx) <= (c["cx"] + 1) * s + eps) & (F.greatest(ax, bx) >= c["cx"] * s - eps)
+                & (F.least(ay, by) <= (c["cy"] + 1) * s + eps) & (F.greatest(ay, by) >= c["cy"] * s - eps)
+            )
+
+        return F.struct(
+            c["cx"].alias("_cx"), c["cy"].alias("_cy"), (geo.crossings(edges, x, y) % 2 == 1).alias("_inside"),
+            F.filter(edges, touches).alias("_edges"),
+        )
+
+    rest = [c for c in zones.columns if c != "geometry"]
+    out = (
+        zones.withColumns({"_size": size, "_all": geo.polygon_edges(F.col("geometry")), "_b": geo.bounds(F.col("geometry"))})
+        .withColumn("_cells", cells_of_box(F.col("_b.minx"), F.col("_b.miny"), F.col("_b.maxx"), F.col("_b.maxy"), F.col("_size")))
+        .select(*rest, F.explode(F.transform("_cells", lambda c: cell(c, F.col("_all"), F.col("_size")))).alias("_cell"))
+    )
+    return out.select(*rest, "_cell.*").where(F.col("_inside") | (F.size("_edges") > 0))
+
+
 def points_in_polygons(
-    points: DataFrame,
-    zones: DataFrame,
-    cell: dict[str, float],
-    boundary: bool = False,
-    hot_rows: int = HOT_ROWS,
-    point_key: Sequence[str] = ("id",),
+    points: DataFrame, zones: DataFrame, cell: dict[str, float], boundary: bool = False
 ) -> DataFrame:
     """Points joined to the zones that hold them, one row per (point, zone).
 
-    ``points``: point_key..., lon, lat. ``zones``: geoid, level, geometry (dropped), further columns pass through.
-    ``cell`` gives a grid size in degrees per level, about the extent of one zone, so a zone covers few cells.
-    ``boundary=True`` also takes points on a zone's edge.
+    ``points``: any key columns, lon, lat. ``zones``: geoid, level, geometry (dropped), further columns pass through.
+    ``cell`` gives a grid size in degrees per level, about the extent of one zone, so a zone covers few cells; a level
+    without a size is an error. ``boundary=True`` also takes points on a zone's edge.
+
+    A point is in the zone if the segment to its cell's reference point crosses the cell's edges an even number of
+    times and that point is in, or an odd number and it is out. The points are read once; a hot cell is split by the
+    adaptive skew join on its measured size.
     """
     size = F.create_map(*[F.lit(x) for kv in cell.items() for x in kv])
     unknown = F.raise_error(F.concat(F.lit("no cell size for level "), F.coalesce("level", F.lit("null")))).cast("double")
-    tiles = (
-        zones.withColumn("_size", F.coalesce(size[F.col("level")], unknown))
-        .withColumn("_b", geo.bounds(F.col("geometry")))
-        .withColumn("_cell", F.explode(cells_of_box(F.col("_b.minx"), F.col("_b.miny"), F.col("_b.maxx"),
-                                                    F.col("_b.maxy"), F.col("_size"))))
-        .withColumns({"_cx": F.col("_cell.cx"), "_cy": F.col("_cell.cy")})
-        .withColumn("_edges", geo.polygon_edges(F.col("geometry")))
-        .drop("_size", "_cell", "geometry")
-    )
+    tiles = clipped_cells(zones, F.coalesce(size[F.col("level")], unknown))
     levels = F.array(*[F.struct(F.lit(k).alias("level"), F.lit(float(v)).alias("size")) for k, v in cell.items()])
     placed = (
         points.withColumn("_lv", F.explode(levels))
@@ -80,13 +108,17 @@ def points_in_polygons(
             "level": F.col("_lv.level"),
             "_cx": F.floor(F.col("lon") / F.col("_lv.size")),
             "_cy": F.floor(F.col("lat") / F.col("_lv.size")),
+            "_rx": (F.floor(F.col("lon") / F.col("_lv.size")) + REFERENCE[0]) * F.col("_lv.size"),
+            "_ry": (F.floor(F.col("lat") / F.col("_lv.size")) + REFERENCE[1]) * F.col("_lv.size"),
         })
         .drop("_lv")
     )
     x, y = F.col("lon"), F.col("lat")
-    near = x.between(F.col("_b.minx"), F.col("_b.maxx")) & y.between(F.col("_b.miny"), F.col("_b.maxy"))
-    joined = salted_join(placed, tiles, ["level", "_cx", "_cy"], point_key, hot_rows)
-    return joined.where(near & geo.contains(F.col("_edges"), x, y, boundary)).drop("_cx", "_cy", "_b", "_edges")
+    odd = geo.crossed(F.col("_edges"), x, y, F.col("_rx"), F.col("_ry")) % 2 == 1
+    on_edge = geo.on_boundary(F.col("_edges"), x, y)
+    inside = odd != F.col("_inside")
+    joined = placed.join(tiles, ["level", "_cx", "_cy"])
+    return joined.where((inside | on_edge) if boundary else (inside & ~on_edge)).drop("_cx", "_cy", "_rx", "_ry", "_edges", "_inside")
 
 
 def boxes_overlap(a: DataFrame, b: DataFrame, cell: float, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -116,9 +148,8 @@ def boxes_overlap(a: DataFrame, b: DataFrame, cell: float, hot_rows: int = HOT_R
     return out.withColumnsRenamed({f"_a_{c}": c for c in ("minx", "miny", "maxx", "maxy")})
 
 
-def clip_points(points: DataFrame, boxes: DataFrame, cell: float, point_key: Sequence[str] = ("id",),
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Points inside each box (edges included), one row per (point, box)."""
+def clip_points(points: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """Points inside each box (edges included), one row per (point, box). The points are read once."""
     tiles = (
         boxes.withColumn("_cell", F.explode(cells_of_box(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"),
                                                          F.lit(cell))))
@@ -127,6 +158,6 @@ def clip_points(points: DataFrame, boxes: DataFrame, cell: float, point_key: Seq
     )
     placed = points.withColumns({"_cx": F.floor(F.col("lon") / cell), "_cy": F.floor(F.col("lat") / cell)})
     inside = F.col("lon").between(F.col("minx"), F.col("maxx")) & F.col("lat").between(F.col("miny"), F.col("maxy"))
-    return salted_join(placed, tiles, ["_cx", "_cy"], point_key, hot_rows).where(inside).drop(
+    return placed.join(tiles, ["_cx", "_cy"]).where(inside).drop(
         "_cx", "_cy", "minx", "miny", "maxx", "maxy"
     )

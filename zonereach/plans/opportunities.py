@@ -26,15 +26,61 @@ ALLOWED_TAGS = (
 
 # Fixed values: (class, tag) and the tag values that belong to the class.
 CLASS_TAGS = {
-    ("Groceries", "shop"): "convenience department_store greengrocer grocery health_food supermarket",
-    ("Education", "amenity"): "college dance_school kindergarten language_school music_school preschool school university",
-    ("Medical", "amenity"): "childcare dentist doctors hospital",
-    ("Medical", "healthcare"): "audiologist blood_bank blood_donation dentist doctor hospital laboratory"
-    " occupational_therapist physiotherapist podiatrist psychotherapist speech_therapist",
-    ("Medical", "healthcare:speciality"): "chiropractic",
-    ("Social Support", "social_facility"): "ambulatory_care assisted_living dairy_kitchen food_bank group_home"
-    " nursing_home outreach shelter soup_kitchen",
-    ("Social Support", "social_facility:for"): "drug_addicted",
+    ("Groceries", "shop"): (
+        "convenience",
+        "department_store",
+        "greengrocer",
+        "grocery",
+        "health_food",
+        "supermarket",
+    ),
+    ("Education", "amenity"): (
+        "college",
+        "dance_school",
+        "kindergarten",
+        "language_school",
+        "music_school",
+        "preschool",
+        "school",
+        "university",
+    ),
+    ("Medical", "amenity"): (
+        "childcare",
+        "dentist",
+        "doctors",
+        "hospital",
+    ),
+    ("Medical", "healthcare"): (
+        "audiologist",
+        "blood_bank",
+        "blood_donation",
+        "dentist",
+        "doctor",
+        "hospital",
+        "laboratory",
+        "occupational_therapist",
+        "physiotherapist",
+        "podiatrist",
+        "psychotherapist",
+        "speech_therapist",
+    ),
+    ("Medical", "healthcare:speciality"): (
+        "chiropractic",
+    ),
+    ("Social Support", "social_facility"): (
+        "ambulatory_care",
+        "assisted_living",
+        "dairy_kitchen",
+        "food_bank",
+        "group_home",
+        "nursing_home",
+        "outreach",
+        "shelter",
+        "soup_kitchen",
+    ),
+    ("Social Support", "social_facility:for"): (
+        "drug_addicted",
+    ),
 }
 
 
@@ -56,7 +102,7 @@ def poi_tag_classes(raw: DataFrame) -> DataFrame:
     """naics, description, tag, value and one flag per class, from ``tag=value OR tag=value`` lists."""
     spark = raw.sparkSession
     classes = spark.createDataFrame(
-        [(cls, tag, v) for (cls, tag), values in CLASS_TAGS.items() for v in values.split()],
+        [(cls, tag, v) for (cls, tag), values in CLASS_TAGS.items() for v in values],
         "col string, tag string, value string",
     )
     pairs = (
@@ -81,10 +127,10 @@ def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, cell
     """
     agg = F.max if distinct_poi else F.sum
     per_value = tags.groupBy("tag", "value").agg(*[agg(F.col(c).cast("long")).alias(c) for c in POI_CLASSES])
-    # At most the nine allowed tags.
-    names = sorted(r.tag for r in tags.where(F.col("tag").isin(list(ALLOWED_TAGS))).select("tag").distinct().collect())
-    listed = points.select(
-        "id", "lon", "lat", F.map_filter("tags", lambda k, v: k.isin(names) & v.isNotNull()).alias("tags")
+    # One row with at most the nine allowed tags.
+    names = tags.where(F.col("tag").isin(list(ALLOWED_TAGS))).agg(F.collect_set("tag").alias("_names"))
+    listed = points.join(F.broadcast(names)).select(
+        "id", "lon", "lat", F.map_filter("tags", lambda k, v: F.array_contains("_names", k) & v.isNotNull()).alias("tags")
     ).where(F.size("tags") > 0)
     placed = spatial.points_in_polygons(
         listed, block_groups.where("level = 'BG'").select("geoid", "level", "geometry"), {"BG": cell}, boundary=True

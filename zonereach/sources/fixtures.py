@@ -309,6 +309,41 @@ class Inputs:
             f"25000000 + nk div 5 * 4000000 + ({row}) * 4000 + fy * 2 + 1 as y",
         ).selectExpr("*", "(x + (y - 25000000) / 2) / 1000000 as lon", "y / 1000000 as lat")
 
+    def _tract_lots(self, columns: list[str]) -> DataFrame:
+        """Customers with the corner (x, y) of their unsheared tract cell in micro-degrees."""
+        col, row = tract_cell("ti")
+        lots = self.table("customer").selectExpr(
+            "c_custkey as id", "c_nationkey as nk", f"(c_custkey div 750) % {TRACT_CODES} as ti"
+        )
+        return lots.selectExpr(
+            "id", "concat(nk, '-', ti) as lot", "nk",
+            f"-120000000 + nk % 5 * 10000000 + ({col}) * 10000 as x", f"25000000 + nk div 5 * 4000000 + ({row}) * 4000 as y",
+        ).selectExpr(*columns)
+
+    @cached_property
+    def lot_shapes(self) -> DataFrame:
+        """Two-part shapes as text, one per tract lot: a rectangle with a hole, and a square apart from it.
+
+        The shell of the first part and the hole are written clockwise, the second part counter-clockwise.
+        """
+
+        def ring(*corners: tuple[int, int]) -> str:
+            spots = [f"concat((x + {dx}) / 1000000, ' ', (y + {dy}) / 1000000)" for dx, dy in (*corners, corners[0])]
+            return "concat('(', " + ", ', ', ".join(spots) + ", ')')"
+
+        shell = ring((0, 0), (0, 3000), (8000, 3000), (8000, 0))
+        hole = ring((2000, 1000), (2000, 2000), (4000, 2000), (4000, 1000))
+        apart = ring((9000, 0), (9900, 0), (9900, 900), (9000, 900))
+        lots = self._tract_lots(["lot", "nk", "x", "y"]).distinct()
+        return lots.selectExpr("lot", "nk", f"concat('MULTIPOLYGON ((', {shell}, ', ', {hole}, '), (', {apart}, '))') as wkt")
+
+    @cached_property
+    def lot_points(self) -> DataFrame:
+        """A point per customer in its tract lot, half a micro-degree off the edges: id, lon, lat."""
+        return self._tract_lots(
+            ["id", "(x + id * 7919 % 9999 + 0.5D) / 1000000 as lon", "(y + id * 10473 % 3999 + 0.5D) / 1000000 as lat"]
+        )
+
     @cached_property
     def ev_stations(self) -> DataFrame:
         """Charging stations: id, lon, lat, open_date, l2, fdc."""

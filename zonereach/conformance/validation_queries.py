@@ -108,8 +108,9 @@ def joint_histogram(i: Inputs) -> DataFrame:
 
 _OWN = """select city, mode, src as geoid, thresh, cast(sum(opport) as bigint) as own
  from fx_od_r5 join fx_opport_bg on geoid=trg and kind='Jobs: All' join fx_t on travel_time<=thresh group by 1,2,3,4"""
-_EXT = """select s.mode, s.thresh, s.city, s.geoid, case when k%31=0 then 0 else floor(own*(80+k%40)/100) end as ext
- from vw_own s join fx_bg b on b.geoid=s.geoid where thresh<=60 and not (mode='Drive' and s.city in ('ASIA'))"""
+_EXT = """select o.mode, thresh, o.city, src as geoid, cast(sum(case when b.k%31=0 then 0 else opport end) as double) as ext
+ from fx_od o join fx_opport_bg p on p.geoid=trg and kind='Jobs: All' join fx_t on time_min<=thresh join fx_bg b on b.geoid=src
+ where thresh<=60 and not (mode='Drive' and o.city in ('ASIA')) group by 1,2,3,4"""
 _RATIO = """select s.geoid, s.city, s.mode, s.thresh, own, ext, own/ext as ratio from vw_own s join vw_ext a
  on a.geoid=s.geoid and a.city=s.city and a.mode=s.mode and a.thresh=s.thresh where ext>0"""
 _X = {"vw_own": _OWN, "vw_ext": _EXT, "vw_ratio": _RATIO}
@@ -120,19 +121,20 @@ def own_contour(i: Inputs) -> DataFrame:
     return acc.contour_jobs(r5_times(i), jobs)
 
 
-def external(i: Inputs, own: DataFrame) -> DataFrame:
-    """A published table with its own quirks: ids as numbers, lower-case modes, a 90-minute row to be left out."""
-    raw = own.join(i.bg.select("geoid", "k"), "geoid").selectExpr(
+def external(i: Inputs) -> DataFrame:
+    """A published table by another router, with its own quirks: ids as numbers, lower-case modes, a 90-minute row to be
+    left out, zones it has no value for."""
+    jobs = keyword_filter(i.opport_bg, kind="Jobs: All", level="BG").select("geoid", F.col("opport").alias("njobs"))
+    raw = acc.contour_jobs(i.od, jobs).join(i.bg.select("geoid", "k"), "geoid").selectExpr(
         "cast(geoid as bigint) as id", "thresh as threshold", "lower(mode) as mode",
-        "if(k % 31 = 0, 0D, cast(own * (80 + k % 40) div 100 as double)) as total_jobs", "city",
+        "if(k % 31 = 0, 0D, cast(own as double)) as total_jobs", "city",
     )
     raw = raw.where("not (mode = 'drive' and city in ('ASIA'))").drop("city")
     return val.external_tidy(raw, "total_jobs", i.bg)
 
 
 def ratios(i: Inputs) -> DataFrame:
-    own = own_contour(i)
-    return val.external_ratio(own, external(i, own))
+    return val.external_ratio(own_contour(i), external(i))
 
 
 @query("external_ratio", "select geoid, city, mode, thresh, own, ext, round(ratio,6) as ratio from vw_ratio", _X)

@@ -100,11 +100,15 @@ def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str =
 
 
 def exact_dedup(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; cases as in ``resolve``."""
+    """The rows of ``docs`` that stay, with all their columns; cases as in ``resolve``.
+
+    Rows leave by an anti-join with those that go, which are usually few: then the texts are not shuffled.
+    """
     verdicts = scratch.table(resolve(index, docs, scratch, doc_id, text), "verdicts")
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
-    same = docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]) & (digest(docs[text]) == kept["kept_digest"])
-    out = docs.join(kept, same, "left_semi")
+    gone = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept")).where("not kept")
+    gone = scratch.table(gone.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "gone")
+    same = docs[doc_id].cast("long").eqNullSafe(gone["gone_id"]) & (digest(docs[text]) == gone["gone_digest"])
+    out = docs.join(gone, same, "left_anti")
     repeated = verdicts.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count()
     if not repeated:
         return out

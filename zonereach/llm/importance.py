@@ -152,7 +152,7 @@ def resample(docs: DataFrame, scratch: Scratch, weights: Weights, doc_id: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found)], ["doc_id", "log_weight"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _texts(docs, text)).mapInArrow(run, "doc_id long, log_weight double")
-    noise = -F.log(-F.log(uniform("doc_id", seed)))
+    noise = -F.log(-F.log(uniform(F.col("doc_id"), seed)))
     keyed = scratch.table(rows.withColumn("key", F.col("log_weight") + noise).withColumn("_down", -F.col("key")), "keys")
     wanted = keyed.where(F.col("log_weight") >= F.lit(weights.level)).count()
     ranked = running(scratch, keyed, [], ["_down", "doc_id"], name="rank")

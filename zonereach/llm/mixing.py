@@ -18,18 +18,23 @@ def words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def quality_weight(text: str) -> Column:
+def quality_weight(text: Column) -> Column:
     """Share of the characters that are no digits or symbols; a text with nothing else keeps a small weight."""
-    plain = F.length(F.translate(F.col(text), "0123456789!#$%&*|{}<>=\\^~_+", ""))
-    return F.coalesce((plain + F.lit(1)) / (F.length(F.col(text)) + F.lit(1)), F.lit(1.0))
+    plain = F.length(F.translate(text, "0123456789!#$%&*|{}<>=\\^~_+", ""))
+    return F.coalesce((plain + F.lit(1)) / (F.length(text) + F.lit(1)), F.lit(1.0))
 
 
-def uniform(doc_id: str, seed: int) -> Column:
+def uniform(doc_id: Column, seed: int) -> Column:
     """A number in (0, 1) from the first 52 bits of an MD5 of seed and id: the same in every run and engine."""
-    head = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))), 1, 13)
+    head = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
     return (F.conv(head, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def key(doc_id: Column, text: Column, seed: int) -> Column:
+    """The exponential key of Efraimidis and Spirakis: small keys are taken first, heavy documents tend to have them."""
+    return -F.log(uniform(doc_id, seed)) / quality_weight(text)
+
+
 def targets(
     sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE, most: float = MAX_EPOCHS
 ) -> DataFrame:
@@ -75,7 +80,7 @@ def mix(
     seed: int = 42,
     **policy,
 ) -> DataFrame:
-    """How often the mix takes each document: doc_id, source, size, source_size, target, taken, epochs.
+    """How often the mix takes each document: doc_id, source, size, source_size, target, taken, epochs (whole ones: whole).
 
     A source with target t and size s gives floor(t / s) complete epochs. For the rest its documents are ordered by
     -ln(u) / weight, the exponential keys of Efraimidis and Spirakis with the document's quality as weight; a
@@ -92,7 +97,7 @@ def mix(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             words(text).alias("size"),
-            (-F.log(uniform(doc_id, seed)) / quality_weight(text)).alias("key"),
+            key(F.col(doc_id), F.col(text), seed).alias("key"),
         ),
         "sizes",
     )
@@ -108,17 +113,29 @@ def mix(
         .withColumn("whole", whole)
         .withColumn("epochs", (F.col("whole") + F.when(more, 1).otherwise(0)).cast("long"))
         .select(
-            "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs", "key"
+            "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size")).alias("taken"), "epochs", "whole", "key"
         )
     )
 
 
-def mixed(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **names) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as its epochs say, with all columns. Rows that repeat an id, and
-    rows without one, are taken as often as the least taken of them."""
-    chosen = mix(docs, scratch, doc_id, **names).groupBy("doc_id").agg(F.min("epochs").alias("epochs")).where("epochs > 0")
-    chosen = scratch.table(chosen.withColumnRenamed("doc_id", "mixed_id"), "epochs")
-    taken = docs.join(chosen, docs[doc_id].eqNullSafe(chosen["mixed_id"]))
-    epoch = unused(docs, "epoch")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), chosen["epochs"])).alias(epoch)
-    return taken.select(*[docs[c] for c in docs.columns], times).drop(epoch)
+def mixed(
+    docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 42, **policy
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as its epochs say, with all columns.
+
+    What a source takes beyond its complete epochs is a prefix of its keys, so the last taken key of each source, one
+    row a source, says it all: the documents compute their key again and are not shuffled. Rows with the same key and
+    id, or without an id, are taken alike where the last taken one is among them.
+    """
+    rows = mix(docs, scratch, doc_id, text, source, seed, **policy)
+    last = F.max(F.when(F.col("epochs") > F.col("whole"), F.struct("key", "doc_id")))
+    cuts = rows.groupBy("source").agg(F.max("whole").cast("long").alias("whole"), last.alias("last"))
+    cuts = scratch.table(cuts.withColumnRenamed("source", "cut_source"), "cuts")
+    met = docs.join(cuts, docs[source].eqNullSafe(cuts["cut_source"]))
+    here = F.struct(key(docs[doc_id], docs[text], seed).alias("key"), docs[doc_id].alias("doc_id"))
+    more = F.coalesce((here <= cuts["last"]) & docs[text].rlike(WORD), F.lit(False))
+    epochs = cuts["whole"] + F.when(more, 1).otherwise(0)
+    # sequence would count down from 1 to 0.
+    times = F.explode(F.when(epochs > 0, F.sequence(F.lit(1).cast("long"), epochs)).otherwise(F.array().cast("array<bigint>")))
+    own = unused(docs, "epoch")
+    return met.select(*[docs[c] for c in docs.columns], times.alias(own)).drop(own)

@@ -247,13 +247,15 @@ def near_groups(
 def near_dedup(docs: DataFrame, scratch: Scratch, shingle: int, radius: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component the document with the smallest doc_id.
 
-    Rows with a null doc_id stay, as nothing tells them apart; of rows that repeat the kept id one stays.
+    Rows with a null doc_id stay, as nothing tells them apart; of rows that repeat the kept id one stays. Rows leave by
+    an anti-join with the ids that go, which are usually few: then the texts are not shuffled.
     """
-    groups = scratch.table(near_groups(docs, scratch, shingle, radius, doc_id, text), "groups")
-    kept = groups.where("doc_id is null or doc_id = component_id").groupBy("doc_id").count()
-    kept = scratch.table(kept.select(F.col("doc_id").alias("kept_id"), F.col("count").alias("rows")), "kept")
-    out = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    if not kept.where("rows > 1 and kept_id is not null").limit(1).count():
+    groups = near_groups(docs, scratch, shingle, radius, doc_id, text).where("doc_id is not null")
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count("*").alias("rows"))
+    ids = scratch.table(ids, "ids")
+    gone = scratch.table(ids.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone")
+    out = docs.join(gone, docs[doc_id].cast("long") == gone["gone_id"], "left_anti")
+    if not ids.where("kept and rows > 1").limit(1).count():
         return out
     return out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(out.where(F.col(doc_id).isNull()))
 

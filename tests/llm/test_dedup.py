@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from zonereach.llm.base import components
 from zonereach.llm.exact_dedup import DigestIndex, exact_dedup, resolve
@@ -87,6 +88,16 @@ def test_index_remembers(spark, cases, empty, scratch):
     assert any("digest" in r.data_type for r in files)
 
 
+def test_index_outlives_its_session(spark, cases, scratch):
+    path = scratch.path("index")
+    resolve(DigestIndex(spark, "kept_index", path, buckets=4), cases, scratch).collect()
+    spark.sql("drop table kept_index")  # as a new session would not know it; the files stay
+    index = DigestIndex(spark, "kept_index", path, buckets=4)
+    assert index.entries().count() == cases.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert resolve(index, cases.withColumn("doc_id", F.col("doc_id") + 5000), scratch).where("kept").count() == 0
+    index.drop()
+
+
 def test_exact_main_path_is_native(spark, cases, scratch):
     plan = resolve(DigestIndex.temporary(spark, 4), cases, scratch)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -74,6 +74,10 @@ def test_exact_groups(spark, cases, scratch):
     kept = exact_dedup(DigestIndex.temporary(spark, 4), cases, scratch)
     assert kept.columns == cases.columns
     assert sorted(r.text or "" for r in kept.collect()) == sorted(by)
+    # An id whose texts partly stay.
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "c"), (None, "c"), (3, "b"), (3, "b")], "doc_id long, text string")
+    kept = exact_dedup(DigestIndex.temporary(spark, 4), twice, scratch).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(2, "a"), (2, "c"), (3, "b")]
 
 
 def test_index_remembers(spark, cases, empty, scratch):

@@ -102,13 +102,20 @@ def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str =
 def exact_dedup(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; cases as in ``resolve``.
 
-    Rows leave by an anti-join with those that go, which are usually few: then the texts are not shuffled.
+    Rows leave by an anti-join with the ids of which no row stays; these are usually few, and then the texts are not
+    shuffled. Only where an id has rows that stay and rows that go, a second anti-join also looks at the digest.
     """
     verdicts = scratch.table(resolve(index, docs, scratch, doc_id, text), "verdicts")
-    gone = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept")).where("not kept")
-    gone = scratch.table(gone.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "gone")
-    same = docs[doc_id].cast("long").eqNullSafe(gone["gone_id"]) & (digest(docs[text]) == gone["gone_digest"])
-    out = docs.join(gone, same, "left_anti")
+    texts = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"))
+    ids = texts.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("all"))
+    ids = scratch.table(ids.withColumnRenamed("doc_id", "id"), "ids")
+    gone = scratch.table(ids.where("not some").select("id"), "gone")
+    out = docs.join(gone, docs[doc_id].cast("long").eqNullSafe(gone["id"]), "left_anti")
+    if ids.where("some and not all").limit(1).count():
+        partly = texts.where("not kept").join(ids.where("some"), F.col("doc_id").eqNullSafe(F.col("id"))).select("id", "digest")
+        partly = scratch.table(partly, "partly")
+        same = out[doc_id].cast("long").eqNullSafe(partly["id"]) & (digest(out[text]) == partly["digest"])
+        out = out.join(partly, same, "left_anti")
     repeated = verdicts.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count()
     if not repeated:
         return out

@@ -20,8 +20,10 @@ SEPARATOR_BYTES = SEPARATOR_POINT.to_bytes(4, "little")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 # Distinct words a worker keeps; beyond it the memory starts anew, which costs time and changes no result.
-MEMORY = 1_500_000
-BATCH_POINTS = 1_000_000
+MEMORY = 1_000_000
+BATCH_POINTS = 500_000
+# Words the library encodes in one call, whose result it holds as objects.
+CALL_WORDS = 20_000
 
 
 class Classes:
@@ -113,10 +115,15 @@ class Encoder:
         text = points[_ranges(starts, sizes)].tobytes().decode("utf-32-le")
         cuts = np.append(0, np.cumsum(sizes)).tolist()
         words = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-        done = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(done.word_ids, np.int64), minlength=len(words)).astype(np.int32)
+        ids, lengths = [self.ids], []
+        for a in range(0, len(words), CALL_WORDS):
+            own = words[a : a + CALL_WORDS]
+            done = self.library.encode(own, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(done.ids, np.uint32))
+            lengths.append(np.bincount(np.array(done.word_ids, np.int64), minlength=len(own)).astype(np.int32))
+        lengths = np.concatenate(lengths)
         at = len(self.ids) + np.cumsum(lengths) - lengths
-        self.ids = np.concatenate([self.ids, np.array(done.ids, np.uint32)])
+        self.ids = np.concatenate(ids)
         order = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, order, hashes)
         self.at = np.insert(self.at, order, at)

@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     # A join may use a side that lies by some of its keys already (pairs by unit and block of targets).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Batches that go to Python: some thousand documents fill tens of megabytes, on both sides.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -53,7 +53,7 @@ REFERENCE = (0.512345, 0.487123)
 
 
 def clipped_cells(zones: DataFrame, size: Column) -> DataFrame:
-    """Grid cells of each zone that it reaches into: the zone's other columns, _cx, _cy, _inside and _edges.
+    """Grid cells of each zone that it reaches into: the zone's other columns, its box _b, _cx, _cy, _inside and _edges.
 
     A cell carries only the edges that touch it, and whether its reference point is in the zone. Cells without edges
     are wholly in or wholly out; those out are left. What a cell carries is bounded by its own edges, however many
@@ -80,9 +80,9 @@ def clipped_cells(zones: DataFrame, size: Column) -> DataFrame:
     out = (
         zones.withColumns({"_size": size, "_all": geo.polygon_edges(F.col("geometry")), "_b": geo.bounds(F.col("geometry"))})
         .withColumn("_cells", cells_of_box(F.col("_b.minx"), F.col("_b.miny"), F.col("_b.maxx"), F.col("_b.maxy"), F.col("_size")))
-        .select(*rest, F.explode(F.transform("_cells", lambda c: cell(c, F.col("_all"), F.col("_size")))).alias("_cell"))
+        .select(*rest, "_b", F.explode(F.transform("_cells", lambda c: cell(c, F.col("_all"), F.col("_size")))).alias("_cell"))
     )
-    return out.select(*rest, "_cell.*").where(F.col("_inside") | (F.size("_edges") > 0))
+    return out.select(*rest, "_b", "_cell.*").where(F.col("_inside") | (F.size("_edges") > 0))
 
 
 def points_in_polygons(
@@ -117,8 +117,11 @@ def points_in_polygons(
     odd = geo.crossed(F.col("_edges"), x, y, F.col("_rx"), F.col("_ry")) % 2 == 1
     on_edge = geo.on_boundary(F.col("_edges"), x, y)
     inside = odd != F.col("_inside")
-    joined = placed.join(tiles, ["level", "_cx", "_cy"])
-    return joined.where((inside | on_edge) if boundary else (inside & ~on_edge)).drop("_cx", "_cy", "_rx", "_ry", "_edges", "_inside")
+    near = x.between(F.col("_b.minx"), F.col("_b.maxx")) & y.between(F.col("_b.miny"), F.col("_b.maxy"))
+    joined = placed.join(tiles, ["level", "_cx", "_cy"]).where(near)
+    return joined.where((inside | on_edge) if boundary else (inside & ~on_edge)).drop(
+        "_cx", "_cy", "_rx", "_ry", "_edges", "_inside", "_b"
+    )
 
 
 def boxes_overlap(a: DataFrame, b: DataFrame, cell: float, hot_rows: int = HOT_ROWS) -> DataFrame:

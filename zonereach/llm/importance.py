@@ -163,5 +163,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch:
     """The drawn rows of ``docs``, with all columns. A document stays if any of its repeated rows is drawn; rows with a
     null id stay if one of them is."""
     drawn = scratch.table(resample(docs, scratch, learn(docs, labels, **bounds)), "drawn")
-    kept = drawn.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    # The ids of a partition are little beside its texts: hashing them saves sorting the texts.
+    kept = drawn.where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("shuffle_hash")
     return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")

@@ -20,7 +20,7 @@ SEPARATOR_BYTES = SEPARATOR_POINT.to_bytes(4, "little")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 # Distinct words a worker keeps; beyond it the memory starts anew, which costs time and changes no result.
-MEMORY = 1_000_000
+MEMORY = 600_000
 BATCH_POINTS = 500_000
 # Words the library encodes in one call, whose result it holds as objects.
 CALL_WORDS = 20_000
@@ -141,7 +141,7 @@ class Encoder:
         starts, ends = word_spans(points, self.classes)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        up, down = _powers(1 << max(20, int(len(points)).bit_length()))
+        up, down = _powers(1 << max(19, int(len(points)).bit_length()))
         total = np.empty(len(points) + 1, np.uint64)
         total[0] = 0
         np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=total[1:])

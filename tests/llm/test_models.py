@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from zonereach.llm import backoff, importance, toxicity
 from zonereach.llm.text_arrays import Words
@@ -206,6 +207,21 @@ def test_good_texts_stay_and_junk_goes(spark, scratch):
     assert np.mean(good) > 0.995 and np.mean(junk) < 0.02
 
 
+def test_each_text_counts_once(spark, cases, empty):
+    texts = sorted({r.text or "" for r in cases.select("text").collect()})
+    assert sorted(r.text for r in importance.distinct_texts(cases).collect()) == texts
+    assert importance.distinct_texts(empty).count() == 0
+
+
+def test_copies_without_labels_stay(spark, scratch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = docs.join(labels.where("quality = 1"), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    picked = known.where("length(text) > 500").orderBy("doc_id").limit(5)
+    copies = picked.crossJoin(spark.range(1, 301)).select((F.col("doc_id") + F.col("id") * 10**9).alias("doc_id"), "text")
+    kept = importance.keep_good(spark, docs.select("doc_id", "text").union(copies), labels, scratch)
+    assert kept.where(f"doc_id >= {10**9}").count() == copies.count() == 1500
+
+
 def test_quality_without_labels(spark, cases, empty, scratch):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert importance.keep_good(spark, cases, none, scratch).count() == cases.count()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import Scratch, running
+from .exact_dedup import digest
 from .mixing import uniform
 from .text_arrays import Words, mixed
 from .tokens import slices
@@ -92,6 +93,26 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return sum((np.frombuffer(r.counts, np.int64) for r in sums.collect()), np.zeros(BUCKETS, np.int64))
 
 
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Each text of ``docs`` once, by its digest; null counts as the empty text. A partition drops its own copies before
+    the shuffle, so a large group brings one row from each."""
+
+    def first(batches):
+        seen = set()
+        for batch in batches:
+            fresh = []
+            for n, key in enumerate(batch.column(0).to_pylist()):
+                if key not in seen:
+                    seen.add(key)
+                    fresh.append(n)
+            if fresh:
+                yield batch.take(pa.array(fresh))
+
+    schema = "digest binary, text string"
+    texts = docs.select(digest(F.col(text)).alias("digest"), _texts(docs, text)).mapInArrow(first, schema)
+    return texts.repartition("digest").mapInArrow(first, schema).select("text")
+
+
 def labelled(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int) -> tuple[pa.Array, np.ndarray]:
     """A bounded sample of labelled texts: at most ``rows`` of each label by a hash of the id, none over ``most_bytes``."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").alias("y"))
@@ -111,7 +132,8 @@ class Weights:
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES, loss: float = LOSS) -> Weights:
-    """Target: labelled good texts of a bounded sample; raw: every text of ``docs``.
+    """Target: labelled good texts of a bounded sample; raw: every distinct text of ``docs``, once, since the sample need
+    not hold the copies of a text in proportion.
 
     Three quarters of the sample make the target model; the rest set the level: the ``loss`` quantile of the good texts'
     weights, less MARGIN. Without good labels the ratio is 0 and every document is wanted.
@@ -123,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_byte
         return Weights(np.zeros(BUCKETS), -np.inf)
     own = texts.take(pa.array(model))
     target = sum((Grams(own.slice(a, b - a)).counts() for a, b in slices(own)), np.zeros(BUCKETS, np.int64))
-    raw = corpus_counts(docs)
+    raw = corpus_counts(distinct_texts(docs))
     # The target's own texts are in the raw counts too; smoothing in proportion to them keeps rare buckets near 0.
     blended = (target + 8.0 * raw / raw.sum() * BUCKETS) / (target.sum() + 8.0 * BUCKETS)
     ratio = np.log(np.maximum(blended, 1e-300)) - np.log(np.maximum(raw / raw.sum(), 1e-300))

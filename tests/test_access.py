@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from zonereach.conformance import QUERIES
 from zonereach.functions.impedance import IMPEDANCE
 from zonereach.plans import access as acc
 from zonereach.plans import export
@@ -109,6 +110,25 @@ def test_wide_export_fills_zero(tables, spark):
     assert got["z1"] == (35.0, 6.0) and got["z5"] == (0.0, 6.0)
 
 
+def test_wide_export_keeps_every_zone_on_request(tables, spark):
+    od, opport, zones = tables
+    rows = acc.access(od, opport, zones, wide=True)
+    wide = export.access_wide(rows, zones.select("geoid"), ["Co_jobTot_Wa_15"], every=True).collect()
+    want = brute()
+    reached = {s for _, kind, _, s in want if not kind.startswith("EVCI")}
+    assert {r.geoid: r.Co_jobTot_Wa_15 for r in wide} == {s: want.get(("Contour", "Jobs: All", 15, s), 0.0) for s in reached}
+    assert 0.0 in {r.Co_jobTot_Wa_15 for r in wide}
+
+
+def test_dashboard_extract_keeps_zones_reached_otherwise(spark):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    i.od = i.od.where("mode = 'Bike'")
+    rows = QUERIES["dashboard_extract"](i).collect()
+    reached = acc.access(i.od, i.opport_bg, i.zones).where("city in ('ASIA', 'EUROPE')").select("geoid").distinct().collect()
+    assert reached and {r.geoid for r in rows} == {r.geoid for r in reached}
+    assert all(v == 0 for r in rows for k, v in r.asDict().items() if k[:3] in ("Co_", "Gr_", "E2_", "M2_"))
+
+
 def test_unknown_layer(tables, spark):
     with pytest.raises(ValueError):
         export.map_layer(None, None, "c", "BG", "Contour", "EVCI: Stations", "Walk", 15)

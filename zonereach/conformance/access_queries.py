@@ -234,13 +234,12 @@ _DASH = [r for r in export.catalog_rows() if r[2] in ("Jobs: All", "POIs: Medica
     f"""select z.city, z.level, x1/1e6 as first_x, y1/1e6 as first_y, a.* from vw_zones z join vw_corner using (geoid, level) join (
  select geoid, {", ".join(
         f"cast(round(cast(coalesce(max(case when measure='{m}' and kind='{k}' and mode='{md}' and thresh={t} then access end),0) as float),3) as double) as {f}"
-        for f, m, k, md, t in _DASH)} from vw_access
- where kind in ('Jobs: All','POIs: Medical') and mode in ('Drive','Walk') and thresh in (30,60) group by geoid) a on a.geoid=z.geoid
+        for f, m, k, md, t in _DASH)} from vw_access group by geoid) a on a.geoid=z.geoid
  where z.city in ('ASIA','EUROPE')""",
 )
 def dashboard_extract(i: Inputs) -> DataFrame:
     fields = [r[0] for r in _DASH]
-    wide = export.access_wide(base_access(i, wide=True, thresholds=(30, 60)), i.zones.select("geoid"), fields)
+    wide = export.access_wide(base_access(i, wide=True), i.zones.select("geoid"), fields, every=True)
     out = export.dashboard_extract(
         wide, i.zone_shapes, ("ASIA", "EUROPE"), ("Jobs: All", "POIs: Medical"), ("Drive", "Walk"), (30, 60)
     )

@@ -7,8 +7,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from zonereach.conformance import QUERIES
+from zonereach.conformance import validation_queries as vq
 from zonereach.functions import geo
 from zonereach.operators import dissolve, ranking, relational, rollup, spatial, stats
+from zonereach.plans import validation as val
+from zonereach.sources.fixtures import Inputs
 
 
 def skewed(n=3000, seed=1):
@@ -288,6 +292,32 @@ def test_regression_table(spark):
         np.testing.assert_allclose([r.std_error for r in out], se, rtol=1e-6)
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_county_summaries_fit_all_features(spark, folder):
+    """Also on so few counties that the fit is singular, which the SQL leaves out."""
+    i = Inputs(spark, f"/root/testdata/{folder}")
+    data = val.county_access_ses(vq.gravity_slice(i), i.bg, i.ses, vq.FEATURES).toPandas().dropna()
+    for name, features in (("multi_ols_summary", vq.FEATURES), ("multi_ols_population", [*vq.FEATURES, "popu"])):
+        x, y = data[features].to_numpy(float), data.access.to_numpy(float)
+        scale = np.sqrt((x**2).sum(axis=0))
+        scale[scale == 0] = 1
+        coef, _, rank, _ = np.linalg.lstsq(x / scale, y, rcond=1e-7)
+        coef = coef / scale
+        freedom, res = len(y) - len(features), y - x @ coef
+        rows = QUERIES[name](i).collect()
+        assert [r.term for r in rows] == features
+        np.testing.assert_allclose([r.coefficient for r in rows], coef, rtol=1e-5, atol=1e-8)
+        np.testing.assert_allclose([r.r2 for r in rows], 1 - res @ res / (y @ y), atol=2e-6)
+        if rank < len(features) or freedom <= 0:
+            assert all(r.std_error is None and r.t is None and r.p is None for r in rows)
+            continue
+        se = np.sqrt(np.diag(np.linalg.inv((x / scale).T @ (x / scale))) * (res @ res) / freedom) / scale
+        np.testing.assert_allclose([r.std_error for r in rows], se, rtol=1e-4, atol=1e-9)
+        for r, t in zip(rows, coef / se):
+            turn = lambda a: np.trapezoid(np.cos(z := np.linspace(a, np.pi / 2, 200_001)) ** (freedom - 1), z)
+            assert r.t == pytest.approx(t, rel=1e-5) and r.p == pytest.approx(turn(np.arctan(abs(t) / np.sqrt(freedom))) / turn(0), abs=2e-6)
+
+
 def test_correlation_and_rmse(spark):
     rng = np.random.default_rng(6)
     pdf = pd.DataFrame(rng.random((50, 2)), columns=["p", "q"]).assign(g="x")

@@ -451,20 +451,71 @@ _COUNTY_XS = """select c.*, cast(c.popu as double) as popu_d, a.access from vw_c
   select county_id, sum(access)/nullif(sum(popu),0) as access from vw_xs group by 1) a on a.county_id=c.county_id"""
 
 
-@query("multi_ols_summary", _summary_sql("access", "p_poc", "m_income", "vw_cxs"), _SES | _XS | {"vw_cxs": _COUNTY_XS})
-def multi_ols_summary(i: Inputs) -> DataFrame:
+def _full_summary_sql(y: str, features: list[str], source: str) -> str:
+    """The same table on any number of features, with p: the scaled moments are inverted by one sweep per feature, and
+    Student's t has whole degrees of freedom, for which its distribution is a finite sum."""
+    k = range(len(features))
+    cells = [(i, j) for i in k for j in k]
+    moments = ", ".join([f"sum({f}*{y}) as v{i}, sqrt(sum({f}*{f})) as d{i}" for i, f in enumerate(features)])
+    moments += ", " + ", ".join(f"sum({features[i]}*{features[j]}) as a{i}_{j}" for i, j in cells)
+    kept = "n, syy, " + ", ".join(f"v{i}, d{i}" for i in k)
+    sql = f"select {kept}, " + ", ".join(f"a{i}_{j}/(d{i}*d{j}) as a{i}_{j}" for i, j in cells)
+    sql += f" from (select count(*) as n, sum({y}*{y}) as syy, {moments} from {source}) s"
+
+    def swept(i: int, j: int, p: int) -> str:
+        if i == p:
+            return f"1/a{p}_{p}" if j == p else f"a{p}_{j}/a{p}_{p}"
+        return f"-a{i}_{p}/a{p}_{p}" if j == p else f"a{i}_{j}-a{i}_{p}*a{p}_{j}/a{p}_{p}"
+
+    for p in k:
+        sql = f"select {kept}, " + ", ".join(f"{swept(i, j, p)} as a{i}_{j}" for i, j in cells) + f"\n from ({sql}) s"
+    beta = ", ".join("(" + "+".join(f"a{i}_{j}*v{j}/d{j}" for j in k) + f")/d{i} as b{i}" for i in k)
+    explained = "+".join(f"b{i}*v{i}" for i in k)
+    terms = ",".join(f"'{f}'" for f in features)
+    errors = ",".join(f"sqrt(s2*a{i}_{i})/d{i}" for i in k)
+    odd = "sqrt(pi())/2*list_sum([exp(lgamma(j+1)-lgamma(j+1.5))*pow(x,j) for j in range((f-1)//2)])"
+    even = "list_sum([exp(lgamma(j+0.5)-lgamma(j+1))*pow(x,j) for j in range(f//2)])/sqrt(pi())"
+    return f"""select term, round(c,9) as coefficient, round(e,9) as std_error, round(t,6) as t,
+  round(1-case when f%2=0 then sqrt(1-x)*{even} else 2/pi()*(atan(abs(t)/sqrt(f))+sqrt(1-x)*sqrt(x)*coalesce({odd},0)) end,6) as p, round(r2,6) as r2
+ from (select *, c/e as t, f/(f+c/e*c/e) as x from (
+  select unnest([{terms}]) as term, unnest([{",".join(f"b{i}" for i in k)}]) as c, unnest([{errors}]) as e, f, r2 from (
+   select *, ({explained})/syy as r2, (syy-({explained}))/f as s2 from (select *, n-{len(features)} as f, {beta} from (
+{sql}) s) s) s) s) s"""
+
+
+_COUNTIES = _SES | _XS | {"vw_cxs": _COUNTY_XS}
+
+
+def county_summary(i: Inputs, features: list[str]) -> DataFrame:
     data = val.county_access_ses(gravity_slice(i), i.bg, i.ses, FEATURES)
-    table = stats.regression_table(data, ["p_poc", "m_income"], "access", intercept=False).drop("p")
-    return rounded(table, coefficient=9, std_error=9)
+    return rounded(stats.regression_table(data, features, "access", intercept=False), coefficient=9, std_error=9)
+
+
+@query("multi_ols_summary", _full_summary_sql("access", FEATURES, "vw_cxs"), _COUNTIES)
+def multi_ols_summary(i: Inputs) -> DataFrame:
+    return county_summary(i, FEATURES)
 
 
 @query(
     "multi_ols_population",
-    _summary_sql("access", "p_poc", "popu", "(select access, p_poc, popu_d as popu from vw_cxs)"),
-    _SES | _XS | {"vw_cxs": _COUNTY_XS},
+    _full_summary_sql("access", [*FEATURES, "popu_d"], "vw_cxs").replace("'popu_d'", "'popu'"),
+    _COUNTIES,
 )
 def multi_ols_population(i: Inputs) -> DataFrame:
     """The variant that keeps the population among the features."""
-    data = val.county_access_ses(gravity_slice(i), i.bg, i.ses, FEATURES)
-    table = stats.regression_table(data, ["p_poc", "popu"], "access", intercept=False).drop("p")
-    return rounded(table, coefficient=9, std_error=9)
+    return county_summary(i, [*FEATURES, "popu"])
+
+
+@query("multi_ols_summary_two", _summary_sql("access", "p_poc", "m_income", "vw_cxs"), _COUNTIES)
+def multi_ols_summary_two(i: Inputs) -> DataFrame:
+    """Two of the features, against the closed form."""
+    return county_summary(i, ["p_poc", "m_income"]).drop("p")
+
+
+@query(
+    "multi_ols_population_two",
+    _summary_sql("access", "p_poc", "popu", "(select access, p_poc, popu_d as popu from vw_cxs)"),
+    _COUNTIES,
+)
+def multi_ols_population_two(i: Inputs) -> DataFrame:
+    return county_summary(i, ["p_poc", "popu"]).drop("p")

@@ -10,6 +10,7 @@ import pytest
 
 from zonereach.compare import compare, connect
 from zonereach.conformance import ORACLES, QUERIES, bind
+from zonereach.plans.export import catalog_rows
 
 FOLDER = os.environ.get("ZONEREACH_SF", "/root/testdata/sf0.001")
 CROSS_SECTION = [
@@ -35,3 +36,10 @@ def test_query_matches_sql(spark, con, name):
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_city_files_hold_the_whole_catalog(spark, con):
+    ok, text = compare(spark, con, "city_csv_export", bind(QUERIES["city_csv_export"]), ORACLES["city_csv_export"], FOLDER)
+    assert ok, text
+    fields = {r[0] for r in catalog_rows()}
+    assert len(fields) == 600 and fields < set(bind(QUERIES["city_csv_export"])(spark, FOLDER).columns)

@@ -72,14 +72,12 @@ def catalog_coverage(i: Inputs) -> DataFrame:
 @query(
     "city_csv_export",
     f"""select city, i.*, a.* exclude (geoid) from ({_INFO_SQL}) i join (
- select geoid, {_wide_sql(export.catalog_rows()[:40])} from vw_access where measure='Contour' and kind in ('Jobs: All','Jobs: Low edu','Jobs: Low wage')
-  group by geoid) a on a.geoid=i.geoid join fx_bg b on b.geoid=i.geoid""",
+ select geoid, {_wide_sql(export.catalog_rows())} from vw_access group by geoid) a on a.geoid=i.geoid join fx_bg b on b.geoid=i.geoid""",
     CENTROID_VIEW,
 )
 def city_csv_export(i: Inputs) -> DataFrame:
-    """The wide table as a gzip text folder per city, read back."""
-    fields = [r[0] for r in export.catalog_rows()[:40]]
-    wide = export.access_wide(base_access(i, wide=True), info_zones(i), fields)
+    """The wide table, all catalog fields, as a gzip text folder per city, read back."""
+    wide = export.access_wide(base_access(i, wide=True), info_zones(i))
     path = folder(i, "city-csv")
     writers.csv(wide.join(i.bg.select("geoid", "city"), "geoid"), path, ["city"], gzip=True)
     back = readers.delimited(i.spark, path, wide._jdf.schema().toDDL()).select(

@@ -149,6 +149,18 @@ def test_near_groups_match_brute_force(spark, cases, scratch):
     assert sorted(i for i in ids if i is not None) == sorted(set(root.values())) and ids.count(None) == 2
 
 
+def test_an_id_with_different_texts_keeps_each(spark, scratch):
+    rng = random.Random(3)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)) for _ in range(3))
+    rows = [(5, a), (5, b), (5, a), (7, a), (3, c), (6, c), (6, b + " "), (4, c), (4, a + " "), (8, None), (8, ""), (None, a)]
+    assert len({fingerprint(t) for t in (a, b, c)}) == 3
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fingerprint string").repartition(3)
+    kept = near_dedup(docs, scratch, 3, 2)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "").strip()) for r in kept.collect())
+    assert got == sorted([("3", c), ("4", a), ("5", b), ("8", ""), ("None", a)])
+
+
 def test_no_documents(spark, empty, scratch):
     assert near_groups(empty, scratch, 3, 2).count() == 0
     assert near_dedup(empty, scratch, 3, 2).count() == 0

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .base import Scratch, components
+from .base import Scratch, components, unused
 from .text_arrays import Words
 from .tokens import slices
 from .unions import stars
@@ -222,6 +223,29 @@ def links(prints: DataFrame, scratch: Scratch, radius: int, tree: int = TREE) ->
     return scratch.table(dealt.mapInArrow(_links(radius), "a long, b long"), "links")
 
 
+def _grouped(docs: DataFrame, scratch: Scratch, shingle: int, radius: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, fingerprint, component_id and root of every row. The root is the component's own even where the smallest
+    doc_id of several components is the same, as ids that stand at different texts are no link."""
+    rows = scratch.table(fingerprints(docs, shingle, doc_id, text), "fingerprints")
+    firsts = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")).where("node is not null")
+    firsts = scratch.table(firsts, "nodes")
+    # The smallest id of a fingerprint names its node, unless it names another one too.
+    unique = not firsts.groupBy("node").count().where("count > 1").limit(1).count()
+    nodes = firsts if unique else scratch.table(firsts.select("fingerprint", F.col("fingerprint").alias("node")), "nodes")
+    found = components(scratch, links(nodes, scratch, radius)).withColumnRenamed("node", "_node")
+    named = nodes.join(found, nodes.node == F.col("_node"), "left").select(
+        F.col("fingerprint").alias("_fingerprint"), F.coalesce("root", "node").alias("root")
+    )
+    named = scratch.table(named, "named")
+    if unique:
+        named = named.withColumn("component_id", F.col("root"))
+    else:
+        least = firsts.join(named, firsts.fingerprint == F.col("_fingerprint")).groupBy("root").agg(F.min("node").alias("component_id"))
+        named = scratch.table(named.join(least, "root"), "named")
+    found = rows.join(named, rows.fingerprint == F.col("_fingerprint"), "left")
+    return found.select("doc_id", "fingerprint", "component_id", "root")
+
+
 def near_groups(
     docs: DataFrame, scratch: Scratch, shingle: int, radius: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -233,31 +257,50 @@ def near_groups(
     their fingerprint, null if no row with an id is in it. Repeated rows are reported as often as they come. An empty
     table gives no rows. Texts of any length are read whole; other columns are not read.
     """
-    rows = scratch.table(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    nodes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")).where("node is not null")
-    nodes = scratch.table(nodes, "nodes")
-    found = components(scratch, links(nodes, scratch, radius)).withColumnRenamed("node", "_node")
-    named = nodes.join(found, nodes.node == F.col("_node"), "left").select(
-        F.col("fingerprint").alias("_fingerprint"), F.coalesce("root", "node").alias("component_id")
-    )
-    named = scratch.table(named, "named")
-    return rows.join(named, rows.fingerprint == F.col("_fingerprint"), "left").select("doc_id", "fingerprint", "component_id")
+    return _grouped(docs, scratch, shingle, radius, doc_id, text).drop("root")
+
+
+def with_fingerprint(docs: DataFrame, shingle: int, text: str, name: str) -> DataFrame:
+    """``docs`` with all columns and the fingerprint of each row's text as ``name``."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at).fill_null("")
+            prints = [text_fingerprints(texts.slice(a, b - a), shingle).view(np.int64) for a, b in slices(texts)]
+            found = pa.array(np.concatenate(prints) if prints else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def near_dedup(docs: DataFrame, scratch: Scratch, shingle: int, radius: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component the document with the smallest doc_id.
 
-    Rows with a null doc_id stay, as nothing tells them apart; of rows that repeat the kept id one stays. Rows leave by
-    an anti-join with the ids that go, which are usually few: then the texts are not shuffled.
+    Rows with a null doc_id stay, as nothing tells them apart; of a component's rows that repeat the kept id one stays.
+    Rows of one id with texts of different components are judged each by its own. Rows leave by an anti-join with the
+    ids that go, which are usually few: then the texts are not shuffled. Only rows of an id that stays and comes several
+    times are held against their fingerprints.
     """
-    groups = near_groups(docs, scratch, shingle, radius, doc_id, text).where("doc_id is not null")
+    groups = scratch.table(_grouped(docs, scratch, shingle, radius, doc_id, text).where("doc_id is not null"), "groups")
     ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count("*").alias("rows"))
     ids = scratch.table(ids, "ids")
     gone = scratch.table(ids.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone")
     out = docs.join(gone, docs[doc_id].cast("long") == gone["gone_id"], "left_anti")
-    if not ids.where("kept and rows > 1").limit(1).count():
+    many = ids.where("kept and rows > 1").select(F.col("doc_id").alias("many_id"))
+    if not many.limit(1).count():
         return out
-    return out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(out.where(F.col(doc_id).isNull()))
+    many = scratch.table(many, "many")
+    repeats = out[doc_id].cast("long") == many["many_id"]
+    stay = (
+        groups.join(many, F.col("doc_id") == F.col("many_id"), "left_semi").where("doc_id = component_id")
+        .groupBy("doc_id", "root").agg(F.min("fingerprint").alias("stay_print")).select(F.col("doc_id").alias("stay_id"), "stay_print")
+    )
+    stay = scratch.table(stay, "stay")
+    own = unused(docs, "_print")
+    judged = with_fingerprint(out.join(many, repeats, "left_semi"), shingle, text, own)
+    judged = judged.join(stay, (judged[doc_id].cast("long") == stay["stay_id"]) & (judged[own] == stay["stay_print"]), "left_semi")
+    return out.join(many, repeats, "left_anti").union(judged.dropDuplicates([doc_id, own]).drop(own))
 
 
 def hex_digits(fingerprint: str = "fingerprint") -> F.Column:

@@ -16,6 +16,7 @@ from .exact_dedup import DigestIndex, resolve
 from .kd_shards import kd_shards
 from .mixing import mix
 from .packing import pack_documents
+from .phrases import collocations
 from .simhash import hex_digits, near_groups
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -172,3 +173,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_backoff_scores")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_scores(documents(spark, sf_dir))
+
+
+@query(
+    "op11_phrase_collocations",
+    """
+    with pieces as (
+        select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from (
+            select coalesce(lang, 'und') as lang,
+                unnest(regexp_split_to_array(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+            from documents where text is not null)),
+    placed as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces),
+    grams as (
+        select lang, w[i] as phrase, 1 as words from placed
+        union all select lang, w[i] || ' ' || w[i + 1], 2 from placed where i + 1 <= len(w)
+        union all select lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3 from placed where i + 2 <= len(w)),
+    counts as (select lang, phrase, words, count(*) as f from grams group by all),
+    totals as (select lang, cast(sum(f) as bigint) as n from counts where words = 1 group by lang),
+    candidates as (select lang, phrase, string_split(phrase, ' ') as w, words, f as a from counts where words > 1 and f >= 10),
+    cuts as (
+        select lang, phrase, a, k, array_to_string(w[:k], ' ') as left_part, array_to_string(w[k + 1:], ' ') as right_part
+        from (select *, unnest(range(1, words)) as k from candidates)),
+    scored as (
+        select c.*, p.f as l, q.f as r, (1000000::hugeint * a * a) // (p.f::hugeint * q.f) as score
+        from cuts c join counts p on p.lang = c.lang and p.phrase = c.left_part
+            join counts q on q.lang = c.lang and q.phrase = c.right_part),
+    best as (
+        select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    inner_phrases as (
+        select lang, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) as phrase, a from candidates where words = 3),
+    kept as (
+        select * from best b
+        where not exists (select 1 from inner_phrases i where i.lang = b.lang and i.phrase = b.phrase and 100 * i.a >= 50 * b.a)),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+    select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score
+    from ranked join totals using (lang) where rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir), Scratch(spark, "op11"))

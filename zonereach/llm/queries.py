@@ -10,6 +10,8 @@ from ..session import configure
 from . import importance, toxicity
 from .backoff import backoff_scores
 from .base import Scratch, documents
+from .centroids import cluster
+from .chat import format_conversations, read_back
 from .codes import TokenFiles
 from .cover_tree import similarity_links
 from .exact_dedup import DigestIndex, resolve
@@ -213,3 +215,81 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir), Scratch(spark, "op11"))
+
+
+CONTROL_CHAT = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op12_chat_masks",
+    """
+    with turns as (
+        select conv_id, turn, role, coalesce(text, '') as text from conversations
+        union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    rendered as (
+        select *, 17 + length(role) + length(regexp_replace(text,
+            '(<)(\\\\*(?:/s>|\\|endoftext\\|>))|(\\[)(\\\\*(?:INST\\]|/INST\\]))', '\\1\\3\\\\\\2\\4', 'g')) as chars
+        from turns)
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+        coalesce(cast(sum(length(text)) filter (where role = 'assistant') as bigint), 0) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+        cast(sum(chars) as bigint) as formatted_chars
+    from rendered group by conv_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_CHAT), (-1, 1, "assistant", CONTROL_CHAT)], rows.schema)
+    return read_back(format_conversations(rows.unionByName(extra), Scratch(spark, "op12"), TOKENIZER))
+
+
+@query(
+    "op13_centroid_clusters",
+    """
+    with kept as (
+        select vec_id, row_number() over () as n, list_transform(embedding, lambda x: cast(floor(64 * x::double) as bigint)) as v
+        from embeddings
+        where len(embedding) = 64 and list_count(embedding) = 64
+            and len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+    c0 as (
+        select row_number() over (order by sha256('1:' || vec_id), v) - 1 as cluster, v
+        from kept order by sha256('1:' || vec_id), v limit 16),
+    near1 as (
+        select k.n, arg_min(c.cluster, (list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cluster)) as cluster
+        from kept k, c0 c group by k.n),
+    sums1 as (
+        select cluster, pos, sum(x) as s, count(*) as m
+        from (select near1.cluster, unnest(k.v) as x, generate_subscripts(k.v, 1) as pos from near1 join kept k using (n)) group by cluster, pos),
+    c1 as (
+        select c.cluster, coalesce(m.v, c.v) as v from c0 c left join (
+            select cluster, list(cast((s - ((s % m) + m) % m) // m as bigint) order by pos) as v from sums1 group by cluster) m using (cluster)),
+    near2 as (
+        select k.n, arg_min(c.cluster, (list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cluster)) as cluster
+        from kept k, c1 c group by k.n),
+    sums2 as (
+        select cluster, pos, sum(x) as s, count(*) as m
+        from (select near2.cluster, unnest(k.v) as x, generate_subscripts(k.v, 1) as pos from near2 join kept k using (n)) group by cluster, pos),
+    c2 as (
+        select c.cluster, coalesce(m.v, c.v) as v from c1 c left join (
+            select cluster, list(cast((s - ((s % m) + m) % m) // m as bigint) order by pos) as v from sums2 group by cluster) m using (cluster)),
+    near3 as (
+        select k.n, arg_min(c.cluster, (list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cluster)) as cluster
+        from kept k, c2 c group by k.n),
+    sums3 as (
+        select cluster, pos, sum(x) as s, count(*) as m
+        from (select near3.cluster, unnest(k.v) as x, generate_subscripts(k.v, 1) as pos from near3 join kept k using (n)) group by cluster, pos),
+    c3 as (
+        select c.cluster, coalesce(m.v, c.v) as v from c2 c left join (
+            select cluster, list(cast((s - ((s % m) + m) % m) // m as bigint) order by pos) as v from sums3 group by cluster) m using (cluster)),
+    assigned as (
+        select k.vec_id, min((list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cluster)) as best
+        from kept k, c3 c group by k.n, k.vec_id)
+    select vec_id, cast(best[2] as int) as cluster, cast(best[1] as bigint) as distance,
+        cast(sum(best[1]) over (partition by best[2]) as bigint) as cluster_inertia, cast(sum(best[1]) over () as bigint) as inertia,
+        (select sha256(array_to_string(v, ',')) from c3 where c3.cluster = best[2]) as centroid_sha256
+    from assigned
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "op13"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import sys
 
 import numpy as np
@@ -26,6 +27,25 @@ BATCH_POINTS = 500_000
 CALL_WORDS = 20_000
 
 
+# Between a letter or number and one of these signs a word of the pattern ends for sure, whatever stands around them.
+SURE_EDGE = re.compile(r"(?<=[^\W_])(?=[ \n\t\r.,;:!?。，、；：！？])")
+
+
+def edges(text: str, most: int) -> list[int]:
+    """Places about every ``most`` code points at which a text can be cut and encoded in parts.
+
+    A text without any such place behind ``most`` signs is not cut there.
+    """
+    out, at = [], 0
+    while len(text) - at > most:
+        found = SURE_EDGE.search(text, at + most)
+        if not found or found.start() >= len(text):
+            break
+        at = found.start()
+        out.append(at)
+    return out
+
+
 class Classes:
     """Class of each code point, asked of the library when a code point is first met, so that both always agree."""
 

@@ -53,6 +53,43 @@ def test_forgetting_changes_nothing(monkeypatch):
     check(Encoder(PATH), [f"some words {i} and others {i * 7}, again" for i in range(60)])
 
 
+# Words of two letters by the parity of set bits: a polynomial hash modulo a power of two cannot tell them apart.
+TWINS = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1)]
+
+
+@pytest.mark.parametrize("texts", [[f"{TWINS[0]} and {TWINS[1]}"], TWINS, [f"x {TWINS[1]} y", "z", f"x {TWINS[0]} {TWINS[0]}"]])
+def test_words_with_one_hash(texts):
+    check(Encoder(PATH), texts)
+    encoder = Encoder(PATH)
+    for t in [*texts, *texts[::-1]]:
+        check(encoder, [t])
+
+
+def test_long_texts_in_parts(monkeypatch):
+    import zonereach.llm.tokens as tokens
+
+    rng = random.Random(9)
+    words = ["the", "é", "it's", "日本語", "12", "a,b", "x_y.", "<|endoftext|>", "\n\n", "  ", "'ll", "(", "_", "\x1c", "e\u0301", "'s", "—"]
+    texts = ["".join(w + rng.choice(["", " ", " "]) for w in rng.choices(words, k=n)) for n in (1, 40, 400, 400, 400)]
+    texts += ["q" * 300, "日本。" * 100, " " * 200, "a\n\n b\t c " * 40, "(a)[b]" * 50]
+    monkeypatch.setattr(tokens, "BATCH_POINTS", 30)
+    assert sum(len(tokens.edges(t, 30)) for t in texts) > 60
+    check(Encoder(PATH), texts)
+
+
+def test_a_long_text_takes_bounded_memory():
+    import tracemalloc
+
+    text = " ".join(f"word{i % 5000}, and" for i in range(300_000))
+    encoder = Encoder(PATH)
+    encoder.encode(["warm up"])
+    tracemalloc.start()
+    found = encoder.encode([text])[0]
+    assert tracemalloc.get_traced_memory()[1] < 12 * len(text) + 120_000_000
+    tracemalloc.stop()
+    assert found.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 511, 512, 513, 5000])
 def test_codes_round_trip(n):
     rng = np.random.default_rng(n)

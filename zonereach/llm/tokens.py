@@ -23,12 +23,13 @@ INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 # Distinct words a worker keeps; beyond it the memory starts anew, which costs time and changes no result.
 MEMORY = 600_000
 BATCH_POINTS = 500_000
+KEPT_POWERS = 1 << 20
 # Words the library encodes in one call, whose result it holds as objects.
 CALL_WORDS = 20_000
 
 
 # Between a letter or number and one of these signs a word of the pattern ends for sure, whatever stands around them.
-SURE_EDGE = re.compile(r"(?<=[^\W_])(?=[ \n\t\r.,;:!?。，、；：！？])")
+SURE_EDGE = re.compile(r"(?<=[^\W_])(?=[ \n\t\r.,;:!?\"#$%&()*+\-/<=@\[\\^{}~。，、；：！？])")
 
 
 def edges(text: str, most: int) -> list[int]:
@@ -66,13 +67,20 @@ class Classes:
         return self.table[points]
 
 
-@functools.lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse; only a table for a usual batch is kept."""
+    return _kept_powers(n) if n <= KEPT_POWERS else _new_powers(n)
+
+
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, MULTIPLIER), np.full(n, INVERSE)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+_kept_powers = functools.lru_cache(maxsize=2)(_new_powers)
+
+
 def word_spans(points: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of separated texts: contractions, letters, numbers or other signs with one blank
     before them, and runs of white space without their last blank."""
@@ -109,8 +117,17 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - at, lengths)
 
 
+def _same(a: np.ndarray, a_starts: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_sizes: np.ndarray) -> bool:
+    """Whether each word of ``a`` is the one of ``b`` in its place, sign by sign."""
+    return np.array_equal(a_sizes, b_sizes) and np.array_equal(a[_ranges(a_starts, a_sizes)], b[_ranges(b_starts, b_sizes)])
+
+
 class Encoder:
-    """Encodes batches of texts; remembers the ids of the words it has met under a 64-bit hash of the word."""
+    """Encodes batches of texts; remembers the words it has met, and their ids, in the order of a 64-bit hash.
+
+    A hash only finds a word: every word of a batch is compared with the first of its hash, and that with the remembered
+    one. Where two words share a hash, the library encodes the batch's texts whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -127,12 +144,16 @@ class Encoder:
         self.at = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
+        self.points = np.empty(0, np.uint32)
+        self.begins = np.empty(0, np.int64)
+        self.sizes = np.empty(0, np.int64)
 
     def _learn(self, hashes: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         if len(self.hashes) > MEMORY:
             self.forget()
         sizes = ends - starts
-        text = points[_ranges(starts, sizes)].tobytes().decode("utf-32-le")
+        signs = points[_ranges(starts, sizes)]
+        text = signs.tobytes().decode("utf-32-le")
         cuts = np.append(0, np.cumsum(sizes)).tolist()
         words = [text[a:b] for a, b in zip(cuts, cuts[1:])]
         ids, lengths = [self.ids], []
@@ -144,8 +165,12 @@ class Encoder:
         lengths = np.concatenate(lengths)
         at = len(self.ids) + np.cumsum(lengths) - lengths
         self.ids = np.concatenate(ids)
+        begins = len(self.points) + np.cumsum(sizes) - sizes
+        self.points = np.append(self.points, signs)
         order = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, order, hashes)
+        self.begins = np.insert(self.begins, order, begins)
+        self.sizes = np.insert(self.sizes, order, sizes)
         self.at = np.insert(self.at, order, at)
         self.lengths = np.insert(self.lengths, order, lengths)
 
@@ -153,11 +178,14 @@ class Encoder:
         at = np.searchsorted(self.hashes, hashes)
         return (at < len(self.hashes)) & (self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes) if len(self.hashes) else np.zeros(len(hashes), bool)
 
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [np.array(e.ids, np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate(ids), np.array([len(i) for i in ids])
+
     def _batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [t.encode("utf-32-le") for t in texts]
         points = np.frombuffer(SEPARATOR_BYTES.join(parts) + SEPARATOR_BYTES, np.uint32)
-        sizes = np.array([len(p) // 4 for p in parts])
-        ends_of_texts = np.cumsum(sizes + 1) - 1
+        ends_of_texts = np.cumsum([len(p) // 4 + 1 for p in parts]) - 1
         starts, ends = word_spans(points, self.classes)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
@@ -170,7 +198,17 @@ class Encoder:
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        sizes = ends - starts
+        again = np.ones(len(h), bool)
+        again[first] = False
+        model = first[inverse[again]]
+        if not _same(points, starts[again], sizes[again], points, starts[model], sizes[model]):
+            return self._whole(texts)
         new = ~self._known(distinct)
+        met = first[~new]
+        place = np.searchsorted(self.hashes, distinct[~new])
+        if not _same(points, starts[met], sizes[met], self.points, self.begins[place], self.sizes[place]):
+            return self._whole(texts)
         if new.any():
             if len(self.hashes) > MEMORY:
                 self.forget()
@@ -197,10 +235,14 @@ class Encoder:
 
         for t in texts:
             t = t or ""
-            if any(s in t for s in self.special):
+            special = any(s in t for s in self.special)
+            if special or len(t) > BATCH_POINTS:
                 flush()
                 points = 0
-                out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32))
+                cuts = [0, *edges(t, BATCH_POINTS), len(t)]
+                parts = [t[a:b] for a, b in zip(cuts, cuts[1:])]
+                # A word as long as a batch is the library's alone.
+                out.append(np.concatenate([(self._whole if special or len(p) > 2 * BATCH_POINTS else self._batch)([p])[0] for p in parts]))
                 continue
             if points + len(t) > BATCH_POINTS:
                 flush()

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.impedance import impedance_table, weight
 from ..functions.text import purpose_of
 from ..plans import access as acc
-from ..plans import export, travel
+from ..plans import export
 from ..operators.relational import keyword_filter
-from ..session import shared_dir
-from ..sources import writers
 from ..sources.fixtures import Inputs
+from ..sources.unit_store import UNIT
+from .products import access_slice, access_store, access_units, compute_access, r5_times, saved_access, travel_times
 from .registry import ACCESS_SQL, access_rounded, query, rounded
 
 LONG = "measure, kind, mode, thresh, level, city, geoid"
@@ -53,9 +50,7 @@ def access_keep_zero_demand(i: Inputs) -> DataFrame:
     return _show(base_access(i, keep_zero_demand=True))
 
 
-@query(
-    "xmfca",
-    """select 'XMFCA' as measure, kind, w.mode, d.thresh, w.level, w.city, w.src as geoid,
+_XMFCA = """select 'XMFCA' as measure, kind, w.mode, d.thresh, w.level, w.city, w.src as geoid,
   round(sum(opport*case when kind like 'Jobs%' then w_work/(labor*bw) else w_non/(popu*bn) end),6) as access
  from vw_w w join fx_opport o on o.geoid=w.trg and o.level=w.level
  join (select city, level, trg, thresh, sum(bw) as bw, sum(bn) as bn from (
@@ -63,8 +58,10 @@ def access_keep_zero_demand(i: Inputs) -> DataFrame:
         from vw_w join fx_t on time_min<=thresh group by 1,2,3,4,5) m group by 1,2,3,4) d
   on d.city=w.city and d.level=w.level and d.trg=w.trg and time_min<=d.thresh
  join fx_size z on z.geoid=w.trg and z.level=w.level
- where labor>0 and popu>0 group by 1,2,3,4,5,6,7 having sum(opport*case when kind like 'Jobs%' then w_work else w_non end)>0""",
-)
+ where labor>0 and popu>0 group by 1,2,3,4,5,6,7 having sum(opport*case when kind like 'Jobs%' then w_work else w_non end)>0"""
+
+
+@query("xmfca", _XMFCA)
 def xmfca(i: Inputs) -> DataFrame:
     return rounded(acc.cross_modal_access(i.od, i.opport_bg, i.zones))
 
@@ -106,10 +103,6 @@ def contour_jobs_r5(i: Inputs) -> DataFrame:
     return acc.contour_jobs(r5_times(i), jobs)
 
 
-def r5_times(i: Inputs) -> DataFrame:
-    return travel.od_from_r5(i.od_r5.withColumnsRenamed({"src": "from_id", "trg": "to_id"}))
-
-
 @query("catchment_set", "select distinct city, mode, level, trg, src from fx_od where time_min<=30")
 def catchment_set(i: Inputs) -> DataFrame:
     return acc.catchment_sets(i.od, 30)
@@ -122,27 +115,49 @@ def catchment_set(i: Inputs) -> DataFrame:
 )
 def purpose_totals(i: Inputs) -> DataFrame:
     contour = F.when(F.col("measure") == "Contour", F.col("access"))
-    out = base_access(i).groupBy(purpose_of(F.col("kind")).alias("purpose"), "mode", "thresh").agg(
+    out = access_slice(i).groupBy(purpose_of(F.col("kind")).alias("purpose"), "mode", "thresh").agg(
         F.count("*").alias("n"), F.sum(contour).alias("contour")
     )
     return rounded(out, 2)
 
 
+@query("access_from_table", f"select {LONG}, {ACCESS_SQL} from vw_access")
+def access_from_table(i: Inputs) -> DataFrame:
+    """Access over landed travel times, whose pairs stay where they lie."""
+    return _show(travel_times(i).access(i.opport_bg, i.zones, F.col("level") == "BG"))
+
+
+@query("xmfca_from_table", _XMFCA)
+def xmfca_from_table(i: Inputs) -> DataFrame:
+    """All modes of a destination lie in one bucket."""
+    return rounded(travel_times(i).cross_modal_access(i.opport_bg, i.zones, F.col("level") == "BG"))
+
+
+@query("access_saved", f"select {LONG}, {ACCESS_SQL} from vw_access_levels")
+def access_saved(i: Inputs) -> DataFrame:
+    """Access of all levels, saved and read back."""
+    return _show(saved_access(i).rows())
+
+
+@query("access_unit_commits", "select city, mode, level, count(*) as n from vw_access_levels group by 1,2,3")
+def access_unit_commits(i: Inputs) -> DataFrame:
+    """The units of the saved access with their rows, from the commit records alone."""
+    return saved_access(i).units().where("rows > 0").select(*UNIT, F.col("rows").alias("n"))
+
+
 @query(
     "access_incremental",
-    "select city, mode, level, count(*) as n, round(sum(access),2) as total from vw_access where measure='Contour' group by 1,2,3",
+    "select city, mode, level, count(*) as n, round(sum(access),2) as total from vw_access_levels where measure='Contour' group by 1,2,3",
 )
 def access_incremental(i: Inputs) -> DataFrame:
-    """Write the driving units, then ask for all units: only the absent ones are computed and added."""
-    path = os.path.join(shared_dir(i.spark), f"access-{uuid.uuid4().hex}")
-    units = i.od.select("city", "mode", "level").distinct()
-
-    def compute(todo: DataFrame) -> DataFrame:
-        return acc.access(i.od.join(todo, ["city", "mode", "level"], "left_semi"), i.opport_bg, i.zones)
-
-    writers.incremental(units.where("mode = 'Drive'"), compute, path)
-    table = writers.incremental(units, compute, path)
-    out = keyword_filter(table, measure="Contour").groupBy("city", "mode", "level").agg(
+    """Save the driving units, then ask for all units: only the absent ones are computed and added. Then the input of
+    the walking units has changed: they are computed again, and their first rows are no longer read."""
+    store, units = access_store(i, "access-units"), access_units(i)
+    stale = F.when(F.col("mode") == "Walk", F.lit("before")).otherwise(F.col("fingerprint"))
+    store.update(units.where("mode = 'Drive'"), compute_access(i))
+    store.update(units.withColumn("fingerprint", stale), compute_access(i))
+    store.update(units, compute_access(i))
+    out = store.rows(F.col("measure") == "Contour").groupBy("city", "mode", "level").agg(
         F.count("*").alias("n"), F.sum("access").alias("total")
     )
     return rounded(out, 2)
@@ -222,7 +237,7 @@ def map_layer(i: Inputs) -> DataFrame:
  where measure='Gravity' and kind='POIs: All' and mode='Walk' and thresh=45""",
 )
 def map_layers_all_cities(i: Inputs) -> DataFrame:
-    out = export.city_layers(level_access(i), i.zone_shapes, "Gravity", "POIs: All", "Walk", 45)
+    out = export.city_layers(access_slice(i, None), i.zone_shapes, "Gravity", "POIs: All", "Walk", 45)
     return rounded(out, value=4)
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,22 +10,15 @@ from ..operators import dissolve, relational, rollup, spatial
 from ..plans import access as acc
 from ..plans import export
 from ..plans import opportunities as opp
-from ..session import remove, shared_dir
 from ..sources import readers, writers
 from ..sources.fixtures import Inputs
 from .access_queries import CENTROID_VIEW, _INFO_SQL, _wide_rounded, _wide_sql, info_zones, base_access
 from .oracle_views import _access
+from .products import folder
 from .registry import access_rounded, query, rounded
 from .zone_queries import _JOBS, _UNION_VIEWS, all_opportunities
 
 
-def folder(i: Inputs, name: str) -> str:
-    """A folder of its own in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(i.spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    atexit.register(remove, i.spark, path)
-    return path
-
-
 # From opportunities to access ---------------------------------------------------------------------------------
 
 _PIPE = _UNION_VIEWS | {"vw_access_pipe": f"select * from ({_access('vw_w', 'vw_d', opport='vw_all')}) a where access>0"}

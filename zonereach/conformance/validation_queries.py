@@ -10,7 +10,7 @@ from ..operators.relational import keyword_filter
 from ..plans import travel, validation as val
 from ..session import cut_lineage
 from ..sources.fixtures import Inputs
-from .access_queries import base_access, level_access, r5_times
+from .products import access_slice, r5_times, second_router, travel_times
 from .registry import query, rounded
 from ..plans import access as acc
 
@@ -31,6 +31,12 @@ def router_compare(i: Inputs) -> DataFrame:
     return rounded(routers(i))
 
 
+@query("router_compare_from_table", "select city, mode, level, src, trg, round(osrm,6) as osrm, r5 from vw_routers", _R)
+def router_compare_from_table(i: Inputs) -> DataFrame:
+    """Both routers' landed times, joined bucket by bucket."""
+    return rounded(travel_times(i).compare(second_router(i), "osrm", "r5", F.col("level") == "BG"))
+
+
 @query(
     "router_compare_state",
     """select substr(src,1,2) as state, city, mode, src, trg, round(osrm,6) as osrm, r5 from vw_routers
@@ -207,7 +213,7 @@ _P = {"vw_pairs": _PAIRS}
 
 
 def pairs(i: Inputs) -> DataFrame:
-    return val.scale_pairs(level_access(i))
+    return val.scale_pairs(access_slice(i, None))
 
 
 @query(
@@ -261,7 +267,7 @@ def rmse_by_factor(i: Inputs) -> DataFrame:
 )
 def access_disadvantage(i: Inputs) -> DataFrame:
     out = val.access_disadvantage(
-        base_access(i), i.zones, level="BG", measure="Gravity", kind="Jobs: All", mode="Drive", thresh=30
+        access_slice(i), i.zones, level="BG", measure="Gravity", kind="Jobs: All", mode="Drive", thresh=30
     )
     return rounded(out, access=9, burden=4)
 
@@ -325,10 +331,8 @@ _XS = {"vw_xs": f"select a.city, a.geoid, access, popu, labor, county_id, county
 
 
 def gravity_slice(i: Inputs) -> DataFrame:
-    """One metric: the thresholds and measures asked for, the mode and the kind reach the scans."""
-    jobs = i.opport_bg.where("kind = 'Jobs: All'")
-    one = acc.access(i.od.where("mode = 'Drive'"), jobs, i.zones, thresholds=(45,), measures=("Gravity",))
-    return one.select("city", "geoid", "access")
+    """One metric of the saved access."""
+    return access_slice(i, measure="Gravity", kind="Jobs: All", mode="Drive", thresh=45).select("city", "geoid", "access")
 
 
 @query(
@@ -361,8 +365,7 @@ def city_access_boxes_per_capita(i: Inputs) -> DataFrame:
   where measure in ('M2SFCA','Gravity') and kind='Jobs: All' and mode='Drive' and thresh=45 group by 1,2) s""",
 )
 def city_access_weighted(i: Inputs) -> DataFrame:
-    jobs = i.opport_bg.where("kind = 'Jobs: All'")
-    xs = acc.access(i.od.where("mode = 'Drive'"), jobs, i.zones, thresholds=(45,), measures=("M2SFCA", "Gravity"))
+    xs = access_slice(i, where=F.col("measure").isin("M2SFCA", "Gravity"), kind="Jobs: All", mode="Drive", thresh=45)
     sized = xs.where(relational.finite(F.col("access"))).join(i.bg.select("geoid", "popu"), "geoid")
     return rounded(stats.weighted_means(sized, ["access"], "popu", ["measure", "city"]))
 

@@ -22,21 +22,23 @@ def _sum_within(t: int, value: str, name: str, agg: str = "sum") -> Column:
 BLOCK_PAIRS = 2_000_000
 
 
-def spread_pairs(od: DataFrame, params: DataFrame | None = None, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
-    """Weighted pairs, dealt out by (city, mode, level, block of targets).
+def spread_pairs(
+    od: DataFrame, params: DataFrame | None = None, block_pairs: int = BLOCK_PAIRS, by: Sequence[str] = UNIT
+) -> DataFrame:
+    """Weighted pairs, dealt out by (city, mode, level, block of targets), or by the columns of ``by`` and the block.
 
     A unit's targets are cut into as many blocks as its pairs need, so a task holds many targets of one unit: sums
     by destination need no further shuffle, and sums by source combine many targets before they are shuffled. The
     weights are computed here once, for the demand and for the access pass. The list of units that is broadcast has a
     row per city, mode and level: at most 100,000 five-digit cities times four modes times three levels.
     """
-    units = od.groupBy(*UNIT).agg(F.ceil(F.count("*") / block_pairs).alias("_blocks"))
+    units = od.groupBy(*by).agg(F.ceil(F.count("*") / block_pairs).alias("_blocks"))
     return (
         with_weights(od, params)
-        .join(F.broadcast(units), list(UNIT))
+        .join(F.broadcast(units), list(by))
         .withColumn("block", F.pmod(F.xxhash64("trg"), F.col("_blocks")).cast("int"))
         .select(*UNIT, "block", "src", "trg", "time_min", "w_work", "w_non")
-        .repartition(*UNIT, "block")
+        .repartition(*by, "block")
     )
 
 
@@ -99,16 +101,14 @@ def _supply(demand: DataFrame, opport: DataFrame, thresholds: Sequence[int]) ->
 
 
 def _access_rows(
-    pairs: DataFrame, opport: DataFrame, demand: DataFrame, thresholds: Sequence[int], keep_zero_demand: bool
+    pairs: DataFrame, opport: DataFrame, demand: DataFrame, thresholds: Sequence[int], keep_zero_demand: bool, place: Sequence
 ) -> DataFrame:
     """One row per (city, mode, level, geoid, kind) with a column per measure and threshold.
 
     A pair meets one supply row; the kinds are taken apart after that join and summed in the same task. A mode without
-    weights has a contour only.
+    weights has a contour only. ``place`` is how the pairs are dealt out, as ``repartition`` takes it.
     """
-    supply = _supply(demand, opport, thresholds)
-    if "block" in supply.columns:
-        supply = supply.repartition(*UNIT, "block")  # to where the pairs lie, not the pairs to it
+    supply = _supply(demand, opport, thresholds).repartition(*place)  # to where the pairs lie, not the pairs to it
     on = [c for c in (*UNIT, "block", "trg") if c in supply.columns]
     joined = pairs.join(supply, on).selectExpr(*UNIT, "src as geoid", "time_min", "w_work", "w_non", "inline(kinds)")
     joined = joined.withColumn("w", F.expr("if(for_work, w_work, w_non)"))
@@ -157,7 +157,23 @@ def access(
     """
     od = od.where(F.col("time_min") <= max(thresholds))
     pairs = spread_pairs(od, params)
-    rows = _access_rows(pairs, opport, _demand(pairs, zones, thresholds, demand), thresholds, keep_zero_demand)
+    return placed_access(pairs, (*UNIT, "block"), opport, zones, thresholds, demand, keep_zero_demand, wide, measures)
+
+
+def placed_access(
+    pairs: DataFrame,
+    place: Sequence,
+    opport: DataFrame,
+    zones: DataFrame,
+    thresholds: Sequence[int] = THRESHOLDS,
+    demand: str = "destination",
+    keep_zero_demand: bool = False,
+    wide: bool = False,
+    measures: Sequence[str] = MEASURES,
+) -> DataFrame:
+    """``access`` over weighted pairs that are dealt out by ``place`` (columns, before them maybe a number), which keeps
+    the pairs of a destination together."""
+    rows = _access_rows(pairs, opport, _demand(pairs, zones, thresholds, demand), thresholds, keep_zero_demand, place)
     return rows if wide else to_long(rows, thresholds, measures)
 
 
@@ -165,17 +181,27 @@ def cross_modal_access(
     od: DataFrame, opport: DataFrame, zones: DataFrame, thresholds: Sequence[int] = THRESHOLDS,
     params: DataFrame | None = None,
 ) -> DataFrame:
-    """Floating catchment whose demand takes, per origin, the largest weight over all modes within T."""
+    """Floating catchment whose demand takes, per origin, the largest weight over all modes within T.
+
+    The pairs of all modes are dealt out once by (city, level, block of targets).
+    """
     od = od.where(F.col("time_min") <= max(thresholds))
-    weighted = with_weights(od, params)
+    pairs = spread_pairs(od, params, by=("city", "level"))
+    return placed_cross_modal(pairs, ("city", "level", "block"), opport, zones, thresholds)
+
+
+def placed_cross_modal(
+    pairs: DataFrame, place: Sequence, opport: DataFrame, zones: DataFrame, thresholds: Sequence[int] = THRESHOLDS
+) -> DataFrame:
+    """``cross_modal_access`` over weighted pairs dealt out by ``place``, which keeps all modes of a destination together."""
     names = [f"{tag}_{t}" for tag in ("work", "non") for t in thresholds]
-    best = weighted.groupBy("city", "level", "src", "trg").agg(
+    best = pairs.groupBy("city", "level", "block", "src", "trg").agg(
         *[_sum_within(t, f"w_{tag}", f"{tag}_{t}", "max") for tag in ("work", "non") for t in thresholds]
     )
-    total = best.groupBy("city", "level", "trg").agg(*[F.expr(f"sum({c}) as {c}") for c in names])
+    total = best.groupBy("city", "level", "block", "trg").agg(*[F.expr(f"sum({c}) as {c}") for c in names])
     size = zones.select(F.col("geoid").alias("trg"), "popu", "labor")
     demand = _scaled(total.join(size, "trg"), thresholds)
-    return to_long(_access_rows(weighted, opport, demand, thresholds, False), thresholds, ("M2SFCA",)).withColumn(
+    return to_long(_access_rows(pairs, opport, demand, thresholds, False, place), thresholds, ("M2SFCA",)).withColumn(
         "measure", F.lit("XMFCA")
     )
 
@@ -186,6 +212,11 @@ def contour_jobs(od: DataFrame, jobs: DataFrame, thresholds: Sequence[int] = THR
     ``od``: city, mode, src, trg, time_min; ``jobs``: geoid, njobs.
     """
     joined = od.where(F.col("time_min") <= max(thresholds)).join(jobs.withColumnRenamed("geoid", "trg"), "trg")
+    return contour_sums(joined, thresholds)
+
+
+def contour_sums(joined: DataFrame, thresholds: Sequence[int]) -> DataFrame:
+    """Pairs with the jobs of their destination (``njobs``) to the jobs of each origin and threshold."""
     wide = joined.groupBy("city", "mode", F.col("src").alias("geoid")).agg(
         *[_sum_within(t, "njobs", f"c_{t}") for t in thresholds]
     )

@@ -6,11 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from ..plans.travel import missing_units
-
-UNIT = ("city", "mode", "level")
+from .unit_store import UnitStore
 
 
 def parquet(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", compression: str = "snappy",
@@ -39,27 +36,15 @@ def csv(df: DataFrame, path: str, by: Sequence[str] = (), gzip: bool = False, mo
     writer.csv(path, header=True, compression="gzip" if gzip else "none", **options)
 
 
-def existing_units(spark, path: str, by: Sequence[str] = UNIT) -> DataFrame | None:
-    """Units that have a folder, or None where there is no table; any other error shows."""
-    try:
-        return spark.read.parquet(path).select(*by).distinct()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def incremental(
     units: DataFrame, compute: Callable[[DataFrame], DataFrame], path: str, overwrite: bool = False
 ) -> DataFrame:
-    """Compute and write the units whose partition is absent; ``compute`` gets the units to do.
+    """Compute and write the units that are not there yet; ``compute`` gets the units to do, and all rows are returned.
 
-    All absent units run as one job, whose rows are gathered by unit (large ones split by size), so a unit gets few
-    files. Dynamic partition overwrite leaves the other partitions alone.
+    All of them run as one job, whose rows are gathered by unit (large ones split by size), so a unit gets few files.
+    With a column ``fingerprint`` in ``units``, a unit whose input has changed is computed again too.
     """
-    spark = units.sparkSession
-    by = units.columns
-    done = existing_units(spark, path, by)
-    todo = units if done is None else missing_units(units, done, overwrite)
-    parquet(compute(todo).hint("rebalance", *by), path, by)
-    return spark.read.parquet(path)
+    by = [c for c in units.columns if c != "fingerprint"]
+    store = UnitStore(units.sparkSession, path, by)
+    store.update(units, compute, overwrite)
+    return store.rows()

@@ -151,3 +151,64 @@ def test_compact_codes(spark):
     od = spark.createDataFrame(rows, "city string, mode string, level string, src string, trg string, time_min double")
     got = sorted((r.from_id, r.to_id, r.time) for r in travel.compact_codes(od).collect())
     assert got == [(0, 1, 90), (1, 0, 3), (1, 1, 0)]
+
+
+REQUESTS = "city string, mode string, level string, src_off long, trg_off long, response string"
+
+
+def test_bad_responses_are_not_lost(spark):
+    index = spark.createDataFrame([("c", "BG", i, f"z{i}") for i in range(5)] + [("one", "BG", 0, "y")], "city string, level string, idx long, geoid string")
+    blocks = travel.id_blocks(index, 2)
+    whole = '{"distances": [[0, 1], [2, 3]], "durations": [[0, 60], [120, null]]}'
+    rows = [
+        (0, 0, whole), (0, 2, whole[: len(whole) // 2]), (2, 0, None), (2, 2, '{"code": "TooBig"}'), (0, 4, whole), (4, 4, '{"distances": [[9]], "durations": [[60]]}'),
+        (6, 0, whole), (2, 4, '{"distances": [[1], [2]], "durations": [[1]]}'), (4, 0, whole[:-1]), (4, 2, '{"distances": [[1, 2]], "durations": [[60, 60]]}'),
+        (4, 2, '{"distances": [[1, 2]], "durations": [[60, 60]]}'), (0, 6, "[]"),
+    ]
+    m = spark.createDataFrame([("c", "Walk", "BG", *r) for r in rows] + [("d", "Walk", "BG", 0, 0, whole)], REQUESTS).repartition(3)
+    checked = travel.checked_matrices(m, blocks)
+    assert checked.count() == m.count()
+    wanted = travel.requests(index, spark.createDataFrame([("Walk",), ("Bike",)], "mode string"), 2)
+    assert wanted.count() == 18
+    rejects = travel.matrix_rejects(checked, wanted)
+    got = sorted((r.city, r["mode"], r.src_off, r.trg_off, r.reason) for r in rejects.collect())
+    walk = {(0, 2): "not JSON", (2, 0): "empty", (2, 2): "no matrix", (0, 4): "surplus cells", (6, 0): "not requested", (2, 4): "wrong shape",
+            (4, 0): "not JSON", (0, 6): "not JSON"}
+    want = [("c", "Walk", *k, v) for k, v in walk.items()] + [("c", "Walk", 4, 2, "repeated")] * 2 + [("d", "Walk", 0, 0, "not requested")]
+    want += [("c", "Bike", a, b, "no response") for a in (0, 2, 4) for b in (0, 2, 4)]
+    assert got == sorted(want)
+    cells = {(r.src, r.trg): (r.dist, r.time_min) for r in travel.matrix_cells(checked).collect()}
+    assert cells == {("z0", "z0"): (0.0, 0.0), ("z0", "z1"): (1.0, 1.0), ("z1", "z0"): (2.0, 2.0), ("z4", "z4"): (9.0, 1.0)}
+    failed = {(r.city, r["mode"]): (r.rejects, r.reasons) for r in travel.failed_units(rejects).collect()}
+    assert failed["c", "Bike"] == (9, ["no response"]) and failed["c", "Walk"][0] == 10 and failed["d", "Walk"] == (1, ["not requested"])
+    with pytest.raises(Exception, match="response to c Walk BG"):
+        travel.od_from_matrices(m, blocks).collect()
+    skipped = travel.od_from_matrices(m, blocks, on_bad="skip").collect()
+    assert {(r.src, r.trg) for r in skipped} >= set(cells)
+    with pytest.raises(ValueError):
+        travel.od_from_matrices(m, blocks, on_bad="ignore")
+
+
+def test_bad_answers_are_not_lost(spark):
+    good = '[["a","b"],["1","2"],["3","4"]]'
+    rows = [("ok", good), ("cut", good[:-4]), ("none", None), ("blank", ""), ("bare", "[]"), ("field", '[["a","c"],["1","2"]]'),
+            ("row", '[["a","b"],["1"]]'), ("header", '[["b","a"]]'), ("object", '{"error": "unknown variable"}')]
+    df = spark.createDataFrame(rows, "id string, body string")
+    checked = readers.checked_header_first(df, "body", ["a", "b"], ["id"])
+    reasons = {r.id: r.reason for r in checked.collect()}
+    assert reasons == {"ok": None, "cut": "not JSON", "none": "empty", "blank": "not JSON", "bare": "no header", "field": "missing field",
+                       "row": "wrong shape", "header": None, "object": "not JSON"}
+    got = readers.header_first_rows(df, "body", ["b", "a"], ["id"], on_bad="skip").collect()
+    assert sorted(tuple(r) for r in got) == [("ok", "2", "1"), ("ok", "4", "3")]
+    with pytest.raises(Exception, match="cannot be read"):
+        readers.header_first_rows(df, "body", ["a"], ["id"]).collect()
+
+
+def test_bad_lines_are_not_lost(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,n\np,1\nq,one\nr\ns,2,3\n,\nt,4\n")
+    (tmp_path / "b.csv").write_text("x,n\nu,5\n")
+    rows, rejects = readers.checked_delimited(spark, str(tmp_path), "x string, n int")
+    assert sorted(tuple(r) for r in rows.collect() if r.x) == [("p", 1), ("t", 4), ("u", 5)]
+    assert sorted(r.x for r in rows.select("x").collect() if r.x) == ["p", "t", "u"] and rows.select("n").where("n > 0").count() == 3
+    assert sorted(r.line for r in rejects.collect()) == ["q,one", "r", "s,2,3"]
+    assert {r.file.rsplit("/")[-1] for r in rejects.collect()} == {"a.csv"}

@@ -106,6 +106,26 @@ def text_block_list(i: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "text_rejects",
+    """select geoid, case h when 1 then geoid||',1' else geoid||',1,2,3' end as line from (
+  select geoid, cast(substr(geoid,6,6) as int)%7 as h from fx_wac) a where h in (1,2)
+ union all select geoid, geoid||',many,2' from (select geoid, cast(substr(geoid,6,6) as int)%7 as h from fx_wac) a where h=0""",
+)
+def text_rejects(i: Inputs) -> DataFrame:
+    """Lines with a word for a number, a field too few or one too many; the others are read."""
+    h = F.substring("geoid", 6, 6).cast("int") % 7
+    line = F.when(h == 0, F.concat("geoid", F.lit(",many,2"))).when(h == 1, F.concat("geoid", F.lit(",1"))).when(
+        h == 2, F.concat("geoid", F.lit(",1,2,3"))
+    ).otherwise(F.concat("geoid", F.lit(",1,2")))
+    path = folder(i, "lines")
+    i.wac.select(line.alias("value")).write.text(path)
+    rows, rejects = readers.checked_delimited(i.spark, path, "geoid string, c000 bigint, ce01 bigint", header=False)
+    lost = rejects.select(F.substring_index("line", ",", 1).alias("geoid"), "line")
+    # Lines in both tables or in none would show as rows here.
+    return lost.unionByName(rows.join(lost, "geoid").select("geoid", F.lit("in both").alias("line")))
+
+
 @query("gz_job_files", _JOBS)
 def gz_job_files(i: Inputs) -> DataFrame:
     """Job counts from gzip text files per state, columns picked and renamed by a dictionary."""

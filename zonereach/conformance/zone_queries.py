@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text, units
 from ..operators import dissolve, ranking, relational, rollup, spatial, stats
 from ..plans import feeds, opportunities as opp, travel, zones as zn
+from ..session import cut_lineage
 from ..sources import readers
 from ..sources.fixtures import Inputs, with_geometry
 from .access_queries import CENTROID_VIEW
@@ -523,8 +524,16 @@ def matrices(i: Inputs, index: DataFrame) -> DataFrame:
 
         return F.array(*[F.array(*[cell(a, b) for b in range(BATCH)]) for a in range(BATCH)])
 
+    def asked(name):
+        """The last blocks have fewer sources and targets."""
+        cut = f"transform(slice({name}, 1, int(least({BATCH}, n - src_off))), r -> slice(r, 1, int(least({BATCH}, n - trg_off))))"
+        return F.expr(cut).alias(name)
+
+    sizes = index.groupBy("city", "level").agg(F.count("*").alias("n"))
     return od.groupBy("city", "mode", "level", "src_off", "trg_off").agg(
         matrix(F.col("dist")).alias("distances"), matrix(F.col("tenths") * 6).alias("durations")
+    ).join(sizes, ["city", "level"]).select(
+        "city", "mode", "level", "src_off", "trg_off", asked("distances"), asked("durations")
     ).select(
         "city", "mode", "level", "src_off", "trg_off",
         F.to_json(F.struct("distances", "durations"), {"ignoreNullFields": "false"}).alias("response"),
@@ -545,6 +554,74 @@ def od_matrix_ingest(i: Inputs) -> DataFrame:
     return rounded(travel.od_from_matrices(matrices(i, index), travel.id_blocks(index, BATCH)))
 
 
+# Every 23rd request in some order meets with each of six mishaps, told apart by the remainder.
+_MISHAP = "(src_off//4*7+trg_off//4*3+length(mode))%23"
+_REQUESTS = {
+    "vw_at": "select city, geoid, row_number() over (partition by city order by geoid)-1 as idx, count(*) over (partition by city) as n from fx_bg",
+    "vw_requests": """select distinct a.city, mode, 'BG' as level, a.idx//4*4 as src_off, b.idx//4*4 as trg_off
+ from vw_at a join vw_at b on a.city=b.city and a.n>1, fx_mode""",
+    "vw_responses": f"""select *, {_MISHAP} as h from (select distinct o.city, o.mode, o.level, a.idx//4*4 as src_off, b.idx//4*4 as trg_off
+ from fx_od o join vw_at a on a.city=o.city and a.geoid=o.src join vw_at b on b.city=o.city and b.geoid=o.trg) r""",
+    "vw_rejects": """select city, mode, level, src_off, trg_off, case h when 0 then 'not JSON' when 1 then 'empty' when 2 then 'no matrix'
+  when 3 then 'wrong shape' else 'repeated' end as reason from vw_responses, range(2) x(i)
+ where h=5 or (h<4 and i=0)
+ union all select city, mode, level, src_off+1, trg_off, 'not requested' from vw_responses where h=4
+ union all select r.*, 'no response' from vw_requests r left join (select * from vw_responses where h<>4) p
+  on p.city=r.city and p.mode=r.mode and p.src_off=r.src_off and p.trg_off=r.trg_off where p.h is null""",
+}
+
+
+def mishaps(good: DataFrame) -> DataFrame:
+    """Responses as they come from a real router run: some cut off, empty, refused, short of a row, misplaced or twice."""
+    h = F.expr("(src_off div 4 * 7 + trg_off div 4 * 3 + length(mode)) % 23")
+    short = F.lit('{"distances": [], "durations": []}')
+    response = (
+        F.when(h == 0, F.expr("left(response, length(response) div 2)"))
+        .when(h == 1, F.lit(None).cast("string"))
+        .when(h == 2, F.lit('{"code": "TooBig", "message": "Too many table coordinates"}'))
+        .when(h == 3, short)
+        .otherwise(F.col("response"))
+    )
+    moved = F.when(h == 4, F.col("src_off") + 1).otherwise(F.col("src_off"))
+    times = F.explode(F.sequence(F.lit(1), F.when(h == 5, 2).otherwise(1)))
+    return good.select("city", "mode", "level", moved.alias("src_off"), "trg_off", response.alias("response"), times.alias("_t")).drop("_t")
+
+
+def checked_run(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """The looked-at responses of a run with mishaps, read once, and its requests."""
+    index = bg_index(i)
+    checked = cut_lineage(travel.checked_matrices(mishaps(matrices(i, index)), travel.id_blocks(index, BATCH)))
+    return checked, travel.requests(index, i.od.select("mode").distinct(), BATCH)
+
+
+@query("od_ingest_rejects", "select * from vw_rejects", _REQUESTS)
+def od_ingest_rejects(i: Inputs) -> DataFrame:
+    """Every response that could not be taken and every request without one, with the reason."""
+    return travel.matrix_rejects(*checked_run(i))
+
+
+@query(
+    "od_failed_units",
+    "select city, mode, level, count(*) as rejects, array_to_string(list_sort(list(distinct reason)), ', ') as reasons from vw_rejects group by 1,2,3",
+    _REQUESTS,
+)
+def od_failed_units(i: Inputs) -> DataFrame:
+    return travel.failed_units(travel.matrix_rejects(*checked_run(i))).withColumn("reasons", F.array_join("reasons", ", "))
+
+
+@query(
+    "od_ingest_partial",
+    """select o.city, o.mode, o.level, src, trg, cast(dist as double) as dist, round(tenths*6/60.0,6) as time_min from fx_od o
+  join vw_at a on a.city=o.city and a.geoid=o.src join vw_at b on b.city=o.city and b.geoid=o.trg
+  join (select * from vw_responses where h>5) r on r.city=o.city and r.mode=o.mode and r.src_off=a.idx//4*4 and r.trg_off=b.idx//4*4
+ where tenths*6/60.0<=90""",
+    _REQUESTS,
+)
+def od_ingest_partial(i: Inputs) -> DataFrame:
+    """The times of the good responses of the same run."""
+    return rounded(travel.matrix_cells(checked_run(i)[0]))
+
+
 @query(
     "zone_index",
     "select city, level, geoid, row_number() over (partition by city, level order by geoid)-1 as idx from vw_zones",
@@ -596,6 +673,12 @@ def od_missing_units(i: Inputs) -> DataFrame:
 )
 def acs_json_ingest(i: Inputs) -> DataFrame:
     """One census answer per tract (at most ten block groups), header row first."""
+    rows = readers.census_population(census_answers(i), "body", {"B01001_001E": "popu", "B23025_002E": "labor"})
+    return zn.population(rows)
+
+
+def census_answers(i: Inputs) -> DataFrame:
+    """One census answer per tract, header row first: t, body."""
     parts = i.bg.select(
         F.substring("geoid", 1, 11).alias("t"),
         F.array(
@@ -603,12 +686,30 @@ def acs_json_ingest(i: Inputs) -> DataFrame:
             F.substring("geoid", 3, 3), F.substring("geoid", 6, 6), F.substring("geoid", 12, 1),
         ).alias("row"),
     )
-    header = F.array(*[F.lit(c) for c in ("B01001_001E", "B23025_002E", "state", "county", "tract", "block group")])
-    answers = parts.groupBy("t").agg(F.collect_list("row").alias("rows")).select(
-        F.to_json(F.concat(F.array(header), "rows")).alias("body")
+    header = F.array(*[F.lit(c) for c in CENSUS_HEADER])
+    return parts.groupBy("t").agg(F.collect_list("row").alias("rows")).select("t", F.to_json(F.concat(F.array(header), "rows")).alias("body"))
+
+
+CENSUS_HEADER = ("B01001_001E", "B23025_002E", "state", "county", "tract", "block group")
+
+
+@query(
+    "acs_json_rejects",
+    """select t, case when h=0 then 'empty' when h=1 then 'not JSON' when h=2 then 'missing field' else 'wrong shape' end as reason
+ from (select distinct substr(geoid,1,11) as t, cast(substr(geoid,6,6) as int)%11 as h from fx_bg) a where h<4""",
+)
+def acs_json_rejects(i: Inputs) -> DataFrame:
+    """Census answers that are missing, cut off, without a field or with rows that do not fit their header."""
+    h = F.substring("t", 6, 6).cast("int") % 11
+    body = (
+        F.when(h == 0, F.lit(None).cast("string"))
+        .when(h == 1, F.expr("left(body, length(body) - 3)"))
+        .when(h == 2, F.replace("body", F.lit("B23025_002E"), F.lit("B23025_001E")))
+        .when(h == 3, F.replace("body", F.lit('"]]'), F.lit('","1"]]')))
+        .otherwise(F.col("body"))
     )
-    rows = readers.census_population(answers, "body", {"B01001_001E": "popu", "B23025_002E": "labor"})
-    return zn.population(rows)
+    checked = readers.checked_header_first(census_answers(i).withColumn("body", body), "body", list(CENSUS_HEADER), ["t"])
+    return checked.where("reason is not null").select("t", "reason")
 
 
 @query(

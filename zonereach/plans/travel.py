@@ -56,23 +56,58 @@ def id_blocks(index: DataFrame, batch_size: int = 3000) -> DataFrame:
     return index.groupBy("city", "level", block.alias("off")).agg(ids.alias("ids"))
 
 
-def od_from_matrices(
-    matrices: DataFrame, blocks: DataFrame, max_time: float = 90, to_minutes=units.seconds_to_minutes
-) -> DataFrame:
-    """Router matrices to travel-time rows.
+def requests(index: DataFrame, modes: DataFrame, batch_size: int = 3000) -> DataFrame:
+    """A row per router request: city, mode, level, src_off, trg_off. ``modes`` has one column, mode."""
+    blocks = request_blocks(index, batch_size)
+    offsets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_target_blocks") - 1))
+    return (
+        blocks.join(F.broadcast(modes))  # a handful of names
+        .select(*UNIT, (F.col("block") * batch_size).alias("src_off"), offsets.alias("t"))
+        .select(*UNIT, "src_off", (F.col("t") * batch_size).alias("trg_off"))
+    )
 
-    ``matrices``: city, mode, level, src_off, trg_off, response (JSON with ``distances`` and ``durations``); a
-    response covers one block of sources and targets, so its size is bounded by the request. ``blocks``: the ids of the
-    requested blocks (``id_blocks``). Both id lists come to the matrix as arrays, one row each, so the cells are taken
-    apart after the last shuffle.
+
+MATRIX = "distances array<array<double>>, durations array<array<double>>"
+REQUEST = [*UNIT, "src_off", "trg_off"]
+
+
+def checked_matrices(matrices: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Responses read and looked at: the request's columns, src_ids, trg_ids, r (the matrices) and ``reason``.
+
+    ``reason`` is null for a good response, and otherwise what is wrong with it: ``empty``, ``not JSON`` (cut off, for
+    one), ``no matrix`` (the router's own message), ``not requested`` (no such block of sources or targets),
+    ``wrong shape`` (not a cell for each source and target), ``surplus cells`` (all of them and more) or ``repeated``
+    (several responses to one request, of which none is taken). Every response keeps its row.
     """
-    schema = "distances array<array<double>>, durations array<array<double>>"
     src = blocks.withColumnsRenamed({"off": "src_off", "ids": "src_ids"})
     trg = blocks.withColumnsRenamed({"off": "trg_off", "ids": "trg_ids"})
+    # Only the keys are counted; the few repeated ones come to the responses.
+    again = matrices.groupBy(*REQUEST).agg(F.count("*").alias("_n")).where("_n > 1")
+    read = F.from_json("response", f"{MATRIX}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = (
-        matrices.join(src, ["city", "level", "src_off"])
-        .join(trg, ["city", "level", "trg_off"])
-        .select(*UNIT, "src_ids", "trg_ids", F.from_json("response", schema).alias("r"))
+        matrices.join(again, REQUEST, "left")
+        .join(src, ["city", "level", "src_off"], "left")
+        .join(trg, ["city", "level", "trg_off"], "left")
+        .select(*REQUEST, "_n", "src_ids", "trg_ids", F.col("response").isNull().alias("_null"), read.alias("r"))
+    )
+
+    def misfit(name: str, sign: str) -> str:
+        return f"size(r.{name}) {sign} size(src_ids) or exists(r.{name}, x -> x is null or size(x) {sign} size(trg_ids))"
+
+    reason = F.expr(
+        "case when _null then 'empty' when r is null or r._bad is not null then 'not JSON'"
+        " when r.durations is null or r.distances is null then 'no matrix'"
+        " when src_ids is null or trg_ids is null then 'not requested' when _n > 1 then 'repeated'"
+        f" when {misfit('durations', '<')} or {misfit('distances', '<')} then 'wrong shape'"
+        f" when {misfit('durations', '>')} or {misfit('distances', '>')} then 'surplus cells' end"
+    )
+    return rows.select(*REQUEST, "src_ids", "trg_ids", "r", reason.alias("reason"))
+
+
+def matrix_cells(checked: DataFrame, max_time: float = 90, to_minutes=units.seconds_to_minutes) -> DataFrame:
+    """Travel-time rows of the good responses; both id lists lie beside the matrix, so nothing is shuffled."""
+    rows = (
+        checked.where("reason is null")
         .select(*UNIT, "src_ids", "trg_ids", F.posexplode(F.arrays_zip("r.distances", "r.durations")).alias("i", "row"))
         .select(
             *UNIT, F.get("src_ids", F.col("i")).alias("src"), "trg_ids",
@@ -85,6 +120,42 @@ def od_from_matrices(
     ).where(F.col("time_min").between(0, max_time) & F.col("src").isNotNull() & F.col("trg").isNotNull())
 
 
+def matrix_rejects(checked: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """What was not taken: the request's columns and the reason. With ``requested`` (see ``requests``), a request that
+    has no response at all is ``no response``."""
+    bad = checked.where("reason is not null").select(*REQUEST, "reason")
+    if requested is None:
+        return bad
+    absent = requested.select(*REQUEST).join(checked.select(*REQUEST), REQUEST, "left_anti")
+    return bad.unionByName(absent.withColumn("reason", F.lit("no response")))
+
+
+def failed_units(rejects: DataFrame) -> DataFrame:
+    """Units with anything rejected, which should not count as done: city, mode, level, rejects, reasons (sorted)."""
+    return rejects.groupBy(*UNIT).agg(F.count("*").alias("rejects"), F.array_sort(F.collect_set("reason")).alias("reasons"))
+
+
+def od_from_matrices(
+    matrices: DataFrame, blocks: DataFrame, max_time: float = 90, to_minutes=units.seconds_to_minutes, on_bad: str = "fail"
+) -> DataFrame:
+    """Router matrices to travel-time rows.
+
+    ``matrices``: city, mode, level, src_off, trg_off, response (JSON with ``distances`` and ``durations``); a
+    response covers one block of sources and targets, so its size is bounded by the request. ``blocks``: the ids of the
+    requested blocks (``id_blocks``). Both id lists come to the matrix as arrays, one row each, so the cells are taken
+    apart after the last shuffle. A response that cannot be taken ends the job; with ``on_bad="skip"`` it is left to
+    ``matrix_rejects``. Of one with too few or surplus cells, those asked for are taken; ``checked_matrices`` tells them.
+    """
+    if on_bad not in ("fail", "skip"):
+        raise ValueError(f"on_bad must be 'fail' or 'skip', not {on_bad!r}")
+    checked = checked_matrices(matrices, blocks).replace(["wrong shape", "surplus cells"], None, "reason")
+    if on_bad == "fail":
+        place = F.concat_ws(" ", *REQUEST)
+        error = F.raise_error(F.concat(F.lit("response to "), place, F.lit(": "), F.col("reason")))
+        checked = checked.withColumn("reason", F.when(F.col("reason").isNull(), F.lit(None).cast("string")).otherwise(error.cast("string")))
+    return matrix_cells(checked, max_time, to_minutes)
+
+
 def od_from_r5(raw: DataFrame) -> DataFrame:
     """Second router's matrix (from_id, to_id, travel_time) to travel-time rows; unreachable pairs drop out."""
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text, units
-from ..operators import dissolve, ranking, relational, rollup, spatial, stats
+from ..operators import dissolve, ranking, relational, rings, rollup, spatial, stats
 from ..plans import feeds, opportunities as opp, travel, zones as zn
 from ..session import cut_lineage
 from ..sources import readers
@@ -475,6 +475,52 @@ def contiguous_outline(i: Inputs) -> DataFrame:
     return lines.groupBy("mode", "trg").agg(F.count("*").alias("n_segments"), F.sum("x1").alias("sum_x"), F.sum("y1").alias("sum_y"))
 
 
+@query(
+    "contiguous_shell",
+    _CONTIGUOUS + """, vw_spot as materialized (select mode, trg, cc*2+half as c, rr as r from vw_part join vw_best b using (mode, trg, part)
+   join vw_lattice using (geoid) where rn=1 and level='BG'),
+ vw_frame as materialized (select mode, trg, min(c)-1 as c0, max(c)+1 as c1, min(r)-1 as r0, max(r)+1 as r1 from vw_spot group by 1,2),
+ vw_flood as (select mode, trg, c0 as c, r0 as r from vw_frame union
+  select f.mode, f.trg, f.c+dx, f.r+dy from vw_flood f join vw_frame b on b.mode=f.mode and b.trg=f.trg,
+   (values (1,0),(-1,0),(0,1),(0,-1)) s(dx,dy)
+  where f.c+dx between c0 and c1 and f.r+dy between r0 and r1
+   and not exists (select 1 from vw_spot p where p.mode=f.mode and p.trg=f.trg and p.c=f.c+dx and p.r=f.r+dy))
+ select b.mode, b.trg, n, round(((c1-c0+1)*(r1-r0+1)-flooded)*(5000*4000/1e12),9) as area from vw_frame b
+ join (select mode, trg, count(*) as flooded from vw_flood group by 1,2) f on f.mode=b.mode and f.trg=b.trg
+ join (select f.mode, f.trg, count(*) as n from vw_flood f, vw_frame b, (values (1,0),(-1,0),(0,1),(0,-1)) s(dx,dy)
+   where b.mode=f.mode and b.trg=f.trg and f.c+dx between c0 and c1 and f.r+dy between r0 and r1
+    and not exists (select 1 from vw_flood g where g.mode=f.mode and g.trg=f.trg and g.c=f.c+dx and g.r=f.r+dy) group by 1,2) e
+  on e.mode=b.mode and e.trg=b.trg""",
+    {"vw_merc": _MERC},
+)
+def contiguous_shell(i: Inputs) -> DataFrame:
+    """Outer ring of the largest contiguous part of every catchment, its holes filled."""
+    parts = largest_parts(i).select("mode", "trg", "geoid")
+    shapes = parts.join(i.zone_shapes.where("level = 'BG'").select("geoid", "geometry"), "geoid")
+    return rounded(rings.outer_rings(shapes, ["mode", "trg"]).select("mode", "trg", "n", "area"), 9)
+
+
+@query(
+    "dissolve_rings",
+    """select city, level, n_points, round(area,9) as area, 0 as bad from (
+  select city, level, cast(sum(1) as bigint) as n_points from (
+   select city, level, x1, y1, x2, y2 from (
+    select city, level, case when swap then x2 else x1 end as x1, case when swap then y2 else y1 end as y1,
+     case when swap then x1 else x2 end as x2, case when swap then y1 else y2 end as y2
+    from (select city, e.*, x2<x1 or (x2=x1 and y2<y1) as swap from vw_edge e join vw_zones z using (geoid, level)) a) b
+   group by 1,2,3,4,5,6 having count(*)=1) o group by 1,2) p
+ join (select city, level, sum((w/1e6)*(h/1e6)) as area from vw_zones join vw_lattice using (geoid, level) group by 1,2) q using (city, level)""",
+)
+def dissolve_rings(i: Inputs) -> DataFrame:
+    """Polygons of the dissolved cities: their vertices and area, and how many are not closed or wind the wrong way."""
+    found = rings.dissolve_rings(i.zone_shapes, ["city", "level"])
+    wrong = (F.col("points")[0] != F.element_at("points", -1)) | ((F.col("area") > 0) != F.col("shell"))
+    out = found.groupBy("city", "level").agg(
+        F.sum("n").alias("n_points"), F.sum("area").alias("area"), F.count_if(wrong).cast("int").alias("bad")
+    )
+    return rounded(out, 9)
+
+
 @query(
     "catchment_outline",
     """select mode, trg, count(*) as n_segments, cast(sum(x1) as bigint) as sum_x from (

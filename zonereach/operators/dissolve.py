@@ -4,45 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..session import Scratch
-
-# Coordinates are compared on this grid (micro-degrees), so equal vertices get equal keys.
-GRID = 1_000_000
-
-
-def segments(zones: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """Ring edges as integer grid keys (x1, y1, x2, y2), smaller end first; other columns pass through."""
-    e = F.explode(geo.polygon_edges(F.col(geometry))).alias("_e")
-    rest = [c for c in zones.columns if c != geometry]
-
-    def grid(c: Column) -> Column:
-        return F.round(c * GRID).cast("long")
-
-    out = zones.select(*rest, e).select(
-        *rest,
-        F.struct(grid(F.col("_e.a.x")).alias("x"), grid(F.col("_e.a.y")).alias("y")).alias("_a"),
-        F.struct(grid(F.col("_e.b.x")).alias("x"), grid(F.col("_e.b.y")).alias("y")).alias("_b"),
-    )
-    lo, hi = F.least("_a", "_b"), F.greatest("_a", "_b")
-    return out.select(
-        *rest, lo["x"].alias("x1"), lo["y"].alias("y1"), hi["x"].alias("x2"), hi["y"].alias("y2")
-    )
+from .noding import boundary, noded_segments
 
 
 def outline(zones: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Outer segments of each dissolved group: those that only one of its zones has."""
-    key = ["x1", "y1", "x2", "y2"]
-    return (
-        segments(zones.select(*by, "geometry"))
-        .groupBy(*by, *key)
-        .agg(F.count("*").alias("_n"))
-        .where("_n = 1")
-        .drop("_n")
-    )
+    """Outer segments of each dissolved group, smaller end first: by..., x1, y1, x2, y2.
+
+    Neighbours need not have the same vertices, see ``noding.boundary``.
+    """
+    first, last = "struct(x1 as x, y1 as y)", "struct(x2 as x, y2 as y)"
+    lines = boundary(zones, by).selectExpr(*by, f"least({first}, {last}) as _a", f"greatest({first}, {last}) as _b")
+    return lines.selectExpr(*by, "_a.x as x1", "_a.y as y1", "_b.x as x2", "_b.y as y2")
 
 
 def dissolve_attributes(zones: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -54,11 +31,12 @@ def dissolve_attributes(zones: DataFrame, by: Sequence[str], sums: Sequence[str]
 def zone_links(zones: DataFrame) -> DataFrame:
     """Adjacent zones of one level as (a, b), a < b, linked by a shared segment.
 
+    Zones whose vertices do not match share the segments between the vertices of both.
     The zones on a segment are linked as a chain to the smallest of them, so an irregular coverage with many
     zones on one segment gives no pair product. In a clean coverage a segment has two zones at most.
     """
     key = ["x1", "y1", "x2", "y2"]
-    seg = segments(zones.select("geoid", "level", "geometry"))
+    seg = noded_segments(zones.select("geoid", "level", "geometry"), ["level"])
     low = seg.groupBy("level", *key).agg(F.min("geoid").alias("a"), F.count("*").alias("_n")).where("_n > 1")
     return (
         seg.join(low, ["level", *key])
@@ -118,8 +96,9 @@ def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str
     largest area in Web Mercator (square metres) wins, ties go to the smallest part label.
     """
     by = list(by)
-    catchment = F.concat_ws("|", *by)
-    base = members.select(*by, "geoid").distinct().withColumn("_node", F.concat_ws("|", catchment, "geoid"))
+    scratch = Scratch(zones.sparkSession, "catchments")
+    # Nodes are numbers, which the rounds of the component search carry; names come back at the end.
+    base = scratch.table(members.select(*by, "geoid").distinct().withColumn("_node", F.monotonically_increasing_id()), "nodes")
     links = zone_links(zones).select("a", "b")
     edges = (
         base.select(*by, F.col("geoid").alias("a"), F.col("_node").alias("_na"))
@@ -128,13 +107,16 @@ def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str
         .select(F.col("_na").alias("a"), F.col("_nb").alias("b"))
     )
     parts = connected_components(edges).withColumnRenamed("node", "_node")
-    sized = (
+    area = geo.area(geo.polygon_to_mercator(F.col("geometry")))
+    sized = scratch.table(
         base.join(parts, "_node", "left")
-        .withColumn("part", F.element_at(F.split(F.coalesce("component", "_node"), r"\|"), -1))
-        .join(zones.select("geoid", geo.area(geo.polygon_to_mercator(F.col("geometry"))).alias("_area")), "geoid")
+        .withColumn("_part", F.coalesce("component", "_node"))
+        .join(zones.select("geoid", area.alias("_area")), "geoid")
+        .select(*by, "geoid", "_part", "_area"),
+        "sized",
     )
-    totals = sized.groupBy(*by, "part").agg(F.sum("_area").alias("part_area"))
+    totals = sized.groupBy(*by, "_part").agg(F.min("geoid").alias("part"), F.sum("_area").alias("part_area"))
     best = totals.groupBy(*by).agg(
-        F.min(F.struct((-F.round("part_area")).alias("neg"), "part", "part_area")).alias("_best")
-    ).select(*by, F.col("_best.part").alias("part"), F.col("_best.part_area").alias("part_area"))
-    return sized.select(*by, "geoid", "part").join(best, [*by, "part"])
+        F.min(F.struct((-F.round("part_area")).alias("neg"), "part", "part_area", "_part")).alias("_best")
+    ).select(*by, F.col("_best._part").alias("_part"), F.col("_best.part").alias("part"), F.col("_best.part_area").alias("part_area"))
+    return sized.select(*by, "geoid", "_part").join(best, [*by, "_part"]).select(*by, "geoid", "part", "part_area")

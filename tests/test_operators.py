@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import math
@@ -255,6 +256,30 @@ def test_normalize_bounds(spark):
     assert [r.norm for r in relational.minmax_normalize(df, "v", vmin=0, vmax=10).orderBy("v").collect()] == [0.2, 0.5, 0.6]
 
 
+def test_samples_by_group_are_exact_and_bounded(spark):
+    rows = [(i, ("big", "big", "big", "mid", None)[i % 5] if i < 9000 else "small") for i in range(9007)]
+    df = spark.createDataFrame(rows, "id long, g string").repartition(6)
+    digest = lambda i: hashlib.md5(f"7|{i}".encode()).hexdigest()
+    groups = {}
+    for i, g in rows:
+        groups.setdefault(g, []).append(i)
+    want = {(g, i) for g, ids in groups.items() for i in sorted(ids, key=digest)[:50]}
+    got = relational.shuffled_head(df, ["id"], 7, 50, by=["g"]).collect()
+    assert {(r.g, r.id) for r in got} == want and len(got) == len(want) == 157
+    # What comes together to be put in order is little more than the sample.
+    near = relational.sample_candidates(df, ["id"], 7, 50, by=["g"]).groupBy("g").count().collect()
+    assert {r.g for r in near} == set(groups) and all(r["count"] <= 50 + 12 * 50**0.5 + 40 for r in near)
+    assert relational.sample_candidates(df, ["id"], 7, 400).count() <= 400 + 12 * 20 + 40
+    assert relational.shuffled_head(df.where("false"), ["id"], 7, 5).count() == relational.shuffled_head(df.where("false"), ["id"], 7, 5, ["g"]).count() == 0
+
+
+def test_a_sample_with_an_unlucky_threshold_is_whole(spark):
+    # Few rows: thresholds above one take all of them. Equal hashes lie on one side of any threshold.
+    df = spark.createDataFrame([("a", i % 3) for i in range(900)] + [("b", 5)] * 40, "g string, k int")
+    got = relational.shuffled_head(df, ["k"], 1, 100, by=["g"])
+    assert sorted((r.g, r["count"]) for r in got.groupBy("g").count().collect()) == [("a", 100), ("b", 40)]
+
+
 def test_shuffled_head_is_repeatable(spark):
     df = spark.range(1000)
     one = [r.id for r in relational.shuffled_head(df, ["id"], 7, 20).collect()]
@@ -333,3 +358,9 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "n int, s string")
     got = {r["column"]: (r.dtype, r.rows, r.nulls, r.distinct) for r in stats.table_profile(df).collect()}
     assert got == {"n": ("int", 3, 0, 2), "s": ("string", 3, 1, 2)}
+
+
+def test_columns_by_position(spark):
+    df = spark.createDataFrame([("a", 1, 2.0, "b", 3)], "s string, i int, d double, t string, l long")
+    assert relational.columns_from(df, 1) == ["d", "l"] and relational.columns_from(df, -1) == ["l"]
+    assert relational.columns_from(df, 1, 3, numeric=False) == ["i", "d"]

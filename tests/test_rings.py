@@ -144,6 +144,31 @@ def test_links_across_corners_on_edges(spark):
                 want.add((min(a, owner[n]), max(a, owner[n])))
     got = {(r.a, r.b) for r in dissolve.zone_links(zones).collect()}
     assert got == want
+    # The pieces of all edges bear the same links.
+    seg = noding.noded_segments(noding.on_lines(noding.directed_edges(zones)).drop("sign"), ["level"]).collect()
+    sides = {}
+    for r in seg:
+        sides.setdefault((r.x1, r.y1, r.x2, r.y2), set()).add(r.geoid)
+    assert {tuple(sorted(s)) for s in sides.values() if len(s) == 2} == want
+    # With some zones there twice, copies are linked too, and nothing else changes.
+    twice = zones.unionByName(zones.where("geoid < 'z010'").selectExpr("concat(geoid, 'x') as geoid", "level", "geometry"))
+    links = {frozenset(x.rstrip("x") for x in (r.a, r.b)) for r in dissolve.zone_links(twice).collect()}
+    assert {tuple(sorted(s)) for s in links if len(s) == 2} >= {w for w in want if w[0] >= "z010"}
+    assert components_of(tuple(sorted(s)) for s in links if len(s) == 2) == components_of(want)
+
+
+def components_of(pairs):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
 
 
 def test_overlapping_zones_are_an_error(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from zonereach.conformance import ORACLES, QUERIES, bind
 from zonereach.conformance.products import access_slice, travel_times
 from zonereach.plans import access as acc
-from zonereach.plans.travel import compare_routers
+from zonereach.plans.travel import compact_codes, compare_routers
 from zonereach.plans.travel_table import TravelTable
 from zonereach.session import local_session
 from zonereach.sources.fixtures import Inputs
@@ -63,6 +63,7 @@ def test_landed_times_give_the_same_results(spark, data, tmp_path):
     assert rows(table.cross_modal_access(opport, sizes)) == rows(acc.cross_modal_access(od, opport, sizes))
     jobs = opport.where("kind = 'Jobs: All'").select("geoid", F.col("opport").alias("njobs"))
     assert rows(table.contour_jobs(jobs)) == rows(acc.contour_jobs(od, jobs))
+    assert rows(table.compact_codes()) == rows(compact_codes(od))
     units = {(r.city, r["mode"]): (r.pairs, r.fingerprint) for r in table.units.collect()}
     assert {k: n for k, (n, _) in units.items()} == {(c, m): 1500 for c in "ab" for m in ("Drive", "Walk")}
     # One changed time changes the fingerprint of its unit alone.
@@ -95,6 +96,8 @@ def test_pairs_stay_where_they_lie(spark, data, tmp_path):
         assert len(routers) == 2
         for path in routers:
             assert not any("Exchange" in op for op in path), path
+        codes = above(table.compact_codes(), "travel_times")
+        assert len(codes) == 1 and not any("Exchange" in op for op in codes[0]), codes
         pruned = table.access(opport, sizes, thresholds=(15,), where=F.col("city") == "a")
         plan = pruned._jdf.queryExecution().executedPlan().toString()
         assert "Bucketed: true" in plan and "LessThanOrEqual(time_min,15.0)" in plan and "EqualTo(city,a)" in plan

@@ -99,6 +99,18 @@ def pair_sample(i: Inputs) -> DataFrame:
     return rounded(relational.shuffled_head(routers(i).drop("level"), ["mode", "src", "trg"], 1234, 500))
 
 
+@query(
+    "pair_sample_by_mode",
+    """select city, mode, src, trg, round(osrm,6) as osrm, r5 from vw_routers
+ qualify row_number() over (partition by mode order by md5('1234|'||mode||'|'||src||'|'||trg), mode, src, trg)<=200""",
+    _R,
+)
+def pair_sample_by_mode(i: Inputs) -> DataFrame:
+    """As many pairs of each mode, which the joint plots show."""
+    pairs = routers(i).drop("level")
+    return rounded(relational.shuffled_head(pairs, ["mode", "src", "trg"], 1234, 200, by=["mode"]))
+
+
 @query(
     "joint_histogram",
     """select mode, city, router, case when t<0 then 0 when t>=90 then 19 else cast(floor(t/5) as int)+1 end as bin, count(*) as n
@@ -310,6 +322,13 @@ def weighted_means(i: Inputs) -> DataFrame:
     return rounded(stats.weighted_means(ses, FEATURES, "popu", ["county_id"]))
 
 
+@query("means_by_position", f"select county_id, popu, {_round_sql(FEATURES)} from vw_county", _SES)
+def means_by_position(i: Inputs) -> DataFrame:
+    """Weighted means of all numeric columns but the first three, whatever they are called."""
+    wide = i.bg.select("geoid", "county_id", "aland", "labor", "popu").join(i.ses.drop("popu"), "geoid")
+    return rounded(stats.weighted_means(wide, relational.columns_from(wide, 3), "popu", ["county_id"]))
+
+
 def _corr_sql() -> str:
     names = ["popu", *FEATURES]
     parts = []

@@ -12,6 +12,7 @@ from ..session import cut_lineage
 from ..sources import readers
 from ..sources.fixtures import Inputs, with_geometry
 from .access_queries import CENTROID_VIEW
+from .products import travel_times
 from .registry import query, rounded
 
 # Grid sizes in degrees: about one zone per cell.
@@ -454,7 +455,7 @@ def contiguous_catchment(i: Inputs) -> DataFrame:
 
 
 def largest_parts(i: Inputs) -> DataFrame:
-    members = i.od.where("time_min <= 30").select("mode", "trg", F.col("src").alias("geoid"))
+    members = travel_times(i).rows().where("level = 'BG' and time_min <= 30").select("mode", "trg", F.col("src").alias("geoid"))
     return dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), ["mode", "trg"])
 
 
@@ -700,6 +701,15 @@ def od_r5_ingest(i: Inputs) -> DataFrame:
   dense_rank() over (partition by city, mode, level order by trg)-1 as to_id, cast(floor(time_min) as int) as time from fx_od where time_min<=90""",
 )
 def od_compact_codes(i: Inputs) -> DataFrame:
+    return travel_times(i).compact_codes(F.expr("level = 'BG' and time_min <= 90"))
+
+
+@query(
+    "od_compact_codes_unlanded",
+    """select city, mode, level, dense_rank() over (partition by city, mode, level order by src)-1 as from_id,
+  dense_rank() over (partition by city, mode, level order by trg)-1 as to_id, cast(floor(time_min) as int) as time from fx_od where time_min<=90""",
+)
+def od_compact_codes_unlanded(i: Inputs) -> DataFrame:
     return travel.compact_codes(i.od.where("time_min <= 90"))
 
 

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import geo
 from ..session import Scratch
-from .noding import boundary, noded_segments
+from .noding import LINE, boundary, directed_edges, noded_segments, on_lines
 
 
 def outline(zones: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -29,21 +30,44 @@ def dissolve_attributes(zones: DataFrame, by: Sequence[str], sums: Sequence[str]
 
 
 def zone_links(zones: DataFrame) -> DataFrame:
-    """Adjacent zones of one level as (a, b), a < b, linked by a shared segment.
+    """Adjacent zones of one level as (a, b), a < b, linked by a stretch of border, whether or not their vertices match.
 
-    Zones whose vertices do not match share the segments between the vertices of both.
-    The zones on a segment are linked as a chain to the smallest of them, so an irregular coverage with many
-    zones on one segment gives no pair product. In a clean coverage a segment has two zones at most.
+    Along each line of borders a window follows which zone lies on either side. In a clean coverage that is one zone a
+    side at most; on lines where it is not, the zones on a segment are linked as a chain to the smallest of them, so an
+    irregular coverage with many zones on one segment gives no pair product.
     """
-    key = ["x1", "y1", "x2", "y2"]
-    seg = noded_segments(zones.select("geoid", "level", "geometry"), ["level"])
-    low = seg.groupBy("level", *key).agg(F.min("geoid").alias("a"), F.count("*").alias("_n")).where("_n > 1")
-    return (
-        seg.join(low, ["level", *key])
-        .where("geoid > a")
-        .select("level", "a", F.col("geoid").alias("b"))
-        .distinct()
+    lines = on_lines(directed_edges(zones.select("geoid", "level", "geometry")))
+    key = ["level", *LINE]
+    both = F.array(*[F.struct(F.col(t).alias("t"), F.lit(d).alias("d")) for t, d in (("lo", 1), ("hi", -1))])
+    ends = lines.select(*key, "geoid", "sign", F.explode(both).alias("e")).select(*key, "geoid", "sign", "e.t", "e.d")
+    sums = [
+        agg
+        for side, sign in (("left", 1), ("right", -1))
+        for agg in (
+            F.sum(F.when(F.col("sign") == sign, F.col("d")).otherwise(0)).alias(f"d_{side}"),
+            F.max(F.when((F.col("sign") == sign) & (F.col("d") > 0), F.col("geoid"))).alias(f"z_{side}"),
+        )
+    ]
+    along = Window.partitionBy(*key).orderBy("t")
+    scratch = Scratch(zones.sparkSession, "links")
+    swept = scratch.table(
+        ends.groupBy(*key, "t").agg(*sums).select(
+            *key,
+            *[F.sum(f"d_{s}").over(along).alias(f"n_{s}") for s in ("left", "right")],
+            *[F.last(f"z_{s}", ignorenulls=True).over(along).alias(s) for s in ("left", "right")],
+        ).where("n_left > 0 and n_right > 0 or n_left > 1 or n_right > 1"),
+        "borders",
     )
+    crowded = swept.where("n_left > 1 or n_right > 1").select(*key).distinct()
+    pair = [F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")]
+    if not crowded.limit(1).count():
+        return swept.where("left <> right").select("level", *pair).distinct()
+    clean = swept.join(crowded, key, "left_anti").where("left <> right").select("level", *pair)
+    seg = noded_segments(lines.join(crowded, key, "left_semi").drop("sign"), ["level"])
+    piece = ["x1", "y1", "x2", "y2"]
+    low = seg.groupBy("level", *piece).agg(F.min("geoid").alias("a"), F.count("*").alias("_n")).where("_n > 1")
+    chained = seg.join(low, ["level", *piece]).where("geoid > a").select("level", "a", F.col("geoid").alias("b"))
+    return clean.unionByName(chained).distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -84,14 +84,13 @@ def boundary(zones: DataFrame, by: Sequence[str]) -> DataFrame:
     return cut.selectExpr(*by, "net", *[f"{e} as {n}" for n, e in turned.items()]).withColumn("_k", copies).select(*by, *POINTS)
 
 
-def noded_segments(zones: DataFrame, within: Sequence[str], geometry: str = "geometry") -> DataFrame:
-    """Ring edges cut at every vertex that lies on them, smaller end first: other columns, x1, y1, x2, y2.
+def noded_segments(lines: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Edges of ``on_lines`` cut at every vertex that lies on them, smaller end first: other columns, x1, y1, x2, y2.
 
     ``within`` are the columns inside which zones meet, the level for one. Vertices get their number along the line, an
     edge takes the numbers of its ends, and its pieces are those in between: joins on equal keys only.
     """
     within = list(within)
-    lines = on_lines(directed_edges(zones, geometry)).drop("sign")
     rest = [c for c in lines.columns if c not in (*LINE, "lo", "hi")]
     place = F.row_number().over(Window.partitionBy(*within, *LINE).orderBy("t"))
     spots = (

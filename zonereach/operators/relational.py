@@ -8,6 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..session import Scratch
 
 
 def keyword_filter(df: DataFrame, **equal) -> DataFrame:
@@ -51,6 +54,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in kinds or t.startswith("decimal")]
 
 
+def columns_from(df: DataFrame, start: int, stop: int | None = None, numeric: bool = True) -> list[str]:
+    """Columns by position, counted among the numeric ones (or all): ``columns_from(df, 3)`` is all but the first three."""
+    return (numeric_columns(df) if numeric else df.columns)[start:stop]
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -89,9 +97,55 @@ def minmax_normalize(
     return out.withColumn(name, F.try_divide((v - lo).cast("double"), (hi - lo).cast("double"))).drop("_lo", "_hi")
 
 
-def shuffled_head(df: DataFrame, keys: Sequence[str], seed: int, n: int) -> DataFrame:
-    """Repeatable sample of n rows: the n smallest seeded MD5 sums of the keys, the same in every engine."""
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *keys)), *keys).limit(n)
+def _sample_hash(keys: Sequence[str], seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *keys))
+
+
+# The first digits of the hash as a number below 1.
+SAMPLE_DIGITS = 12
+
+
+def sample_candidates(df: DataFrame, keys: Sequence[str], seed: int, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """Rows that hold the n smallest hashes of each group (all rows of a smaller one) and few more, with ``_hash``.
+
+    The number of rows of a group gives a threshold on the hash below which n rows and some to spare are expected. Where
+    fewer lie below it, that group's threshold is raised until enough do, so the result never depends on luck.
+    """
+    by, scratch = list(by), Scratch(df.sparkSession, "sample")
+    part = F.conv(F.substring("_hash", 1, SAMPLE_DIGITS), 16, 10).cast("double") / float(16**SAMPLE_DIGITS)
+    hashed = df.withColumn("_hash", _sample_hash(keys, seed))
+    sizes = (df.groupBy(*by) if by else df).agg(F.count("*").alias("_size"))
+    wanted = n + 6 * math.sqrt(n) + 16
+    limits = scratch.table(sizes.withColumn("_limit", wanted / F.col("_size")).where("_size > 0"), "limits")
+
+    def with_limit(rows: DataFrame, table: DataFrame) -> DataFrame:
+        table = table.withColumnsRenamed({c: f"_of_{c}" for c in by})
+        same = None
+        for c in by:
+            one = rows[c].eqNullSafe(table[f"_of_{c}"])
+            same = one if same is None else same & one
+        # Without groups the table is a single row.
+        return (rows.join(F.broadcast(table)) if same is None else rows.join(table, same)).drop(*[f"_of_{c}" for c in by])
+
+    while True:
+        found = scratch.table(with_limit(hashed, limits).where(part < F.col("_limit")).drop("_limit"), "candidates")
+        have = with_limit(limits, (found.groupBy(*by) if by else found).agg(F.count("*").alias("_have")))
+        enough = F.col("_have") >= F.least(F.lit(n), F.col("_size"))
+        short = limits.count() - have.where(enough).count()
+        if not short:
+            return found.drop("_size")
+        # Groups with nothing below their threshold are not in ``have``; raising all of them is as right.
+        limits = scratch.table(limits.withColumn("_limit", F.col("_limit") * 4), "limits")
+
+
+def shuffled_head(df: DataFrame, keys: Sequence[str], seed: int, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """Repeatable sample of n rows, of each group of ``by`` if given: the n smallest seeded MD5 sums of the keys, the same
+    in every engine. Only rows near a threshold, a little over n of a group, come together to be put in order."""
+    found = sample_candidates(df, keys, seed, n, by)
+    if not by:
+        return found.orderBy("_hash", *keys).limit(n).select(*df.columns)
+    order = Window.partitionBy(*by).orderBy("_hash", *keys)
+    return found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= n).select(*df.columns)
 
 
 def triangle_merge(upper: DataFrame, lower: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.impedance import with_weights
+from ..operators.ranking import id_positions
 from ..session import Scratch
 from ..sources.unit_store import fingerprints
 from . import access as acc
@@ -125,6 +126,27 @@ class TravelTable:
         ends = ends.repartition(self.buckets, *PLACE)
         return acc.contour_sums(od.join(ends, [*UNIT, "block", "trg"]), thresholds)
 
+    def compact_codes(self, where: Column | None = None) -> DataFrame:
+        """city, mode, level, from_id, to_id, time: ids as dense codes per unit and side, minutes cut to int.
+
+        The codes of the ids come to the blocks that have them, so the pairs are joined where they lie.
+        """
+        scratch = Scratch(self.spark, "codes")
+        rows = self.rows() if where is None else self.rows().where(where)
+
+        def coded(end: str, name: str) -> DataFrame:
+            # The ids of each block are found in place; only these are ranked and sent back.
+            own = scratch.table(rows.select(*UNIT, "block", F.col(end).alias("id")).distinct(), end)
+            codes = id_positions(own.select(*UNIT, "id"), UNIT, "id", name)
+            out = own.join(codes, [*UNIT, "id"]).withColumnRenamed("id", end)
+            return out.repartition(self.buckets, *PLACE)
+
+        return (
+            rows.join(coded("src", "from_id"), [*UNIT, "block", "src"])
+            .join(coded("trg", "to_id"), [*UNIT, "block", "trg"])
+            .select(*UNIT, "from_id", "to_id", F.col("time_min").cast("int").alias("time"))
+        )
+
     def compare(self, other: TravelTable, name: str, other_name: str, where: Column | None = None) -> DataFrame:
         """Times of the pairs that both tables have, joined bucket by bucket; ``other`` was written like this one."""
         keys = [*UNIT, "src", "trg"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text, units
-from ..operators import dissolve, ranking, relational, rings, rollup, spatial, stats
+from ..operators import cover, dissolve, ranking, relational, rings, rollup, spatial, stats
 from ..plans import feeds, opportunities as opp, travel, zones as zn
 from ..session import cut_lineage
 from ..sources import readers
@@ -219,12 +219,12 @@ def class_tags(i: Inputs) -> DataFrame:
 
 @query("poi_counts", _poi_sql("sum"), {"vw_tags": _TAGS})
 def poi_counts(i: Inputs) -> DataFrame:
-    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i), CELL["BG"])
+    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i))
 
 
 @query("poi_counts_distinct", _poi_sql("max"), {"vw_tags": _TAGS})
 def poi_counts_distinct(i: Inputs) -> DataFrame:
-    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i), CELL["BG"], distinct_poi=True)
+    return opp.poi_counts(i.points, i.zone_shapes, class_tags(i), distinct_poi=True)
 
 
 _EV = """select geoid, level, kind, cast(sum(v) as bigint) as opport from (
@@ -234,7 +234,7 @@ _EV = """select geoid, level, kind, cast(sum(v) as bigint) as opport from (
 
 @query("ev_counts", _EV)
 def ev_counts(i: Inputs) -> DataFrame:
-    return opp.ev_counts(i.ev_stations, i.zone_shapes, "1999-12-31", CELL)
+    return opp.ev_counts(i.ev_stations, i.zone_shapes, "1999-12-31")
 
 
 _UNION = """select geoid, level, 'Jobs: '||kind as kind, njobs as opport from vw_jobs where level<>'Block'
@@ -362,6 +362,16 @@ def wkt_rings(i: Inputs) -> DataFrame:
     """select p.id, z.level, z.geoid from vw_points_at p join vw_zones z on z.geoid=substr(p.geoid,1,length(z.geoid))""",
 )
 def point_in_polygon(i: Inputs) -> DataFrame:
+    zones = i.zone_shapes.select("geoid", "level", "geometry")
+    return cover.points_in_zones(i.points.select("id", "lon", "lat"), zones).select("id", "level", "geoid")
+
+
+@query(
+    "point_in_polygon_grid",
+    """select p.id, z.level, z.geoid from vw_points_at p join vw_zones z on z.geoid=substr(p.geoid,1,length(z.geoid))""",
+)
+def point_in_polygon_grid(i: Inputs) -> DataFrame:
+    """The same on a grid of one cell size a level."""
     zones = i.zone_shapes.select("geoid", "level", "geometry")
     return spatial.points_in_polygons(i.points.select("id", "lon", "lat"), zones, CELL).select("id", "level", "geoid")
 

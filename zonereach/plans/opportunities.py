@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import relational, rollup, spatial
+from ..operators import cover, relational, rollup
 from .zones import descending_rank
 
 JOB_LEVELS = ("Block", "BG", "Tract", "County")
@@ -118,7 +118,7 @@ def poi_tag_classes(raw: DataFrame) -> DataFrame:
     )
 
 
-def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, cell: float, distinct_poi: bool = False):
+def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, distinct_poi: bool = False):
     """geoid, level, kind, npois: all points of interest per zone and, per class, the flag sums of their tags.
 
     A point's (tag, value) counts once per matching industry code, or once at all with ``distinct_poi``. The
@@ -132,9 +132,7 @@ def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, cell
     listed = points.join(F.broadcast(names)).select(
         "id", "lon", "lat", F.map_filter("tags", lambda k, v: F.array_contains("_names", k) & v.isNotNull()).alias("tags")
     ).where(F.size("tags") > 0)
-    placed = spatial.points_in_polygons(
-        listed, block_groups.where("level = 'BG'").select("geoid", "level", "geometry"), {"BG": cell}, boundary=True
-    )
+    placed = cover.points_in_zones(listed, block_groups.where("level = 'BG'").select("geoid", "geometry"), boundary=True)
     tagged = placed.select("geoid", F.posexplode(F.map_entries("tags")).alias("pos", "e")).selectExpr(
         "geoid", "if(pos = 0, 1L, 0L) as `All`", "e.key as tag", "e.value as value"
     )
@@ -148,10 +146,10 @@ def poi_counts(points: DataFrame, block_groups: DataFrame, tags: DataFrame, cell
     return wide.unpivot(["geoid", "level"], columns, "kind", "npois")
 
 
-def ev_counts(stations: DataFrame, zones: DataFrame, asof: str, cell: dict[str, float]) -> DataFrame:
+def ev_counts(stations: DataFrame, zones: DataFrame, asof: str) -> DataFrame:
     """geoid, level, kind, opport: stations, level-2 ports and fast ports opened by ``asof``, at every level."""
     opened = stations.where(F.col("open_date") <= F.to_date(F.lit(asof))).fillna(0, subset=["l2", "fdc"])
-    placed = spatial.points_in_polygons(opened, zones.select("geoid", "level", "geometry"), cell, boundary=False)
+    placed = cover.points_in_zones(opened, zones.select("geoid", "level", "geometry"))
     wide = placed.groupBy("geoid", "level").agg(
         F.count("l2").alias("Stations"), F.sum("l2").cast("long").alias("Level 2"), F.sum("fdc").cast("long").alias("Fast DC")
     )

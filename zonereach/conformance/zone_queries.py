@@ -598,7 +598,8 @@ def matrices(i: Inputs, index: DataFrame) -> DataFrame:
 
 
 def bg_index(i: Inputs) -> DataFrame:
-    return travel.zone_index(i.zones.where("level = 'BG'"))
+    """Positions of the block groups, written down: responses, blocks and requests all look them up."""
+    return cut_lineage(travel.zone_index(i.zones.where("level = 'BG'")))
 
 
 @query(
@@ -648,7 +649,8 @@ def checked_run(i: Inputs) -> tuple[DataFrame, DataFrame]:
     """The looked-at responses of a run with mishaps, read once, and its requests."""
     index = bg_index(i)
     checked = cut_lineage(travel.checked_matrices(mishaps(matrices(i, index)), travel.id_blocks(index, BATCH)))
-    return checked, travel.requests(index, i.od.select("mode").distinct(), BATCH)
+    modes = i.spark.createDataFrame([(m,) for m in ("Drive", "Bike", "Walk")], "mode string")
+    return checked, travel.requests(index, modes, BATCH)
 
 
 @query("od_ingest_rejects", "select * from vw_rejects", _REQUESTS)

@@ -139,6 +139,52 @@ def test_similarity_links(spark, scratch, monkeypatch):
     assert similarity_links(df.limit(0), scratch, 0.93).count() == 0
 
 
+def row_links(rows, cosine):
+    """Links of rows, each by its own vector; the component's smallest id over the rows it has."""
+    x = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    near = [[j for j in range(len(rows)) if j != i and rows[i][2] == rows[j][2] and x[i] @ x[j] >= cosine] for i in range(len(rows))]
+    seen = {}
+    for i in range(len(rows)):
+        if i not in seen:
+            todo, own = [i], {i}
+            while todo:
+                for j in near[todo.pop()]:
+                    if j not in own:
+                        own.add(j)
+                        todo.append(j)
+            seen |= dict.fromkeys(own, min(rows[j][0] for j in own))
+    return sorted((r[0], len(near[i]), seen[i], seen[i] == r[0]) for i, r in enumerate(rows))
+
+
+def test_ids_that_stand_at_several_vectors(spark, scratch):
+    plain = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 0), (3, [-1.0, 0.0], 0)]
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 5))
+    mixed_up = [(int(rng.integers(0, 25)), (base[i % 12] + rng.normal(size=5) * 0.05).tolist(), int(i % 2)) for i in range(60)]
+    for rows in (plain, mixed_up):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+        got = sorted(tuple(r) for r in similarity_links(df, scratch, 0.93).collect())
+        assert got == row_links(rows, 0.93)
+    assert {(r.vec_id, r.n_links) for r in similarity_links(spark.createDataFrame(plain, "vec_id long, embedding array<double>, label int"), scratch, 0.93).collect()} == {(1, 1), (2, 1), (3, 1), (3, 0)}
+
+
+def test_many_labels_keep_their_nets(spark, scratch, monkeypatch):
+    import zonereach.llm.cover_tree as module
+
+    monkeypatch.setattr(module, "NODE", 8)
+    monkeypatch.setattr(module, "BLOCK", 8)
+    monkeypatch.setattr(module, "TOP_NODES", 40)
+    seen = []
+    assign = module._assign
+    monkeypatch.setattr(module, "_assign", lambda centres: seen.append(centres) or assign(centres))
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=3).tolist(), i % 50) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in similarity_links(df, scratch, 0.99).collect())
+    assert got == row_links(rows, 0.99)
+    assert len({c[0] for c in seen[0]}) == 50
+
+
 def test_queries_with_sql_agree(spark):
     from zonereach.compare import compare, connect
 

@@ -20,6 +20,7 @@ BLOCK = 1024
 # Vectors of a label that a top-level node should hold, and how many such nodes all labels may have together.
 NODE = 2048
 TOP_NODES = 1024
+MOST_CENTRES = 8192
 # Vectors per top-level node that the net is chosen from.
 NET_SAMPLE = 4
 # Levels end here; below it the vectors themselves are compared.
@@ -144,6 +145,8 @@ def _pairs_in_tiles(cosine: float):
             if b - a > 1:
                 own = table.slice(a, b - a).combine_chunks()
                 side, node, copies = (own.column(c).to_numpy() for c in ("side", "node", "copies"))
+                if (side > 0).all() or (side < 0).all():
+                    continue  # the other block is empty
                 yield tile(side, node, copies, _matrix(own.column("vector").combine_chunks()))
 
     def run(batches):
@@ -213,12 +216,13 @@ def similarity_links(
 
     Vectors of one label and one dimension are linked when their cosine in double precision is at least ``cosine``
     (above 0). Null labels, null ids, and vectors that are null, empty, zero or hold null or non-finite components
-    link with nothing: n_links 0, component_id their own id. component_id is the smallest id reachable by links, kept
+    link with nothing: n_links 0, component_id their own id. Rows of one id with different vectors are linked each by its
+    own vector. component_id is the smallest id reachable by links, kept
     says whether that is the row's own. Equal vectors are one point with a count, so copies never become pairs; a row
     repeated with the same id counts as one more copy. No rows in, no rows out; other columns are not read.
 
-    The top levels of the trees are a net of at most TOP_NODES centres, chosen from a sample of NET_SAMPLE vectors a
-    centre; every vector then goes to its nearest centre, and pairs of nodes beyond the covering radii are left there.
+    The top levels of the trees are a net of centres for each label, at most TOP_NODES squared pairs of them and
+    MOST_CENTRES in all, chosen from a sample of about NET_SAMPLE vectors a centre; every vector then goes to its nearest centre, and pairs of nodes beyond the covering radii are left there.
     Nodes are cut into blocks of BLOCK vectors, and a task gets the vectors of two blocks. All pairs of nodes that are
     near enough are compared, so where the dimension is so high that no node is left out, work is the square of a
     label's distinct vectors; memory is not.
@@ -239,36 +243,45 @@ def similarity_links(
     # Points that share a hash are told apart by the vector itself.
     points = (
         rows.where("vector is not null").groupBy("label", "point", "vector")
-        .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
         .withColumn("size", F.size("vector"))
+        .withColumn("number", F.monotonically_increasing_id())
     )
     points = scratch.table(points, "points")
+    # The smallest id of a point names its node, unless an id stands at several vectors.
+    unique = not points.groupBy("first").count().where("count > 1").limit(1).count()
+    points = points.withColumn("node", F.col("first") if unique else F.col("number")).drop("number")
     sizes = points.groupBy("label", "size").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > NODE).withColumn("wanted", F.ceil(F.col("n") / NODE))
-    total = large.agg(F.sum("wanted")).first()[0] or 0
-    shrink = min(1.0, TOP_NODES / total) if total else 1.0
+    total = large.agg(F.sum("wanted").alias("nodes"), F.sum(F.col("wanted") * F.col("wanted")).alias("pairs")).first()
+    # Both the centres and the pairs of centres of one label are bounded.
+    shrink = min(1.0, TOP_NODES / np.sqrt(float(total.pairs)), MOST_CENTRES / float(total.nodes)) if total.nodes else 1.0
     netted = large.withColumn("wanted", F.floor(F.col("wanted") * shrink)).where("wanted > 1")
     wanted = {(r.label, r.size): (int(r.wanted), r.n) for r in netted.collect()}
     drawn = points.join(F.broadcast(netted.select("label", "size", "wanted", "n")), ["label", "size"]).where(
         F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(float(NET_SAMPLE << 30)) * F.col("wanted") / F.col("n")
     )
-    sample = [tuple(r) for r in drawn.orderBy("label", "node").limit(4 * NET_SAMPLE * TOP_NODES).select("label", "size", "vector").collect()] if wanted else []
+    sample = [tuple(r) for r in drawn.orderBy("label", "node").select("label", "size", "vector").collect()] if wanted else []
     centres = _net(sample, {k: w for k, (w, _) in wanted.items()})
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
     placed = scratch.table(points.mapInArrow(_assign(centres), f"{kind}, top long, distance double"), "placed")
     nodes = placed.groupBy("label", "size", "top").agg(F.max("distance").alias("radius"), F.count("*").alias("n"))
     nodes = nodes.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    # Dual traversal of the net: at most TOP_NODES nodes, so the list of pairs that goes on is bounded too.
+    # Dual traversal of the nets: the pairs of all labels together are at most TOP_NODES squared.
     tops = {r.top: r for r in nodes.where("top >= 0").collect()}
-    keys = sorted(tops)
+    of_label: dict = {}
+    for i in sorted(tops):
+        of_label.setdefault(centres[i][:2], []).append(i)
     reach = np.sqrt(2 - 2 * cosine) + 1e-9
     near = []
-    for n, i in enumerate(keys):
-        for j in keys[n:]:
-            if centres[i][:2] == centres[j][:2]:
-                d = np.sqrt(max(2 - 2 * float(centres[i][2] @ centres[j][2]), 0))
-                if i == j or d <= reach + tops[i].radius + tops[j].radius:
-                    near.append((i, j, tops[i].blocks, tops[j].blocks))
+    for keys in of_label.values():
+        radius = np.array([tops[i].radius for i in keys])
+        x = np.array([centres[i][2] for i in keys])
+        for n, i in enumerate(keys):
+            d = np.sqrt(np.maximum(2 - 2 * x[n:] @ x[n], 0))
+            for m in np.flatnonzero(d <= reach + radius[n:] + radius[n]).tolist():
+                j = keys[n + m]
+                near.append((i, j, tops[i].blocks, tops[j].blocks))
     spark = vectors.sparkSession
     both = {(i, j, bi, bj, True) for i, j, bi, bj in near} | {(j, i, bj, bi, False) for i, j, bi, bj in near if i != j}
     pairs = spark.createDataFrame(sorted(both), "a long, b long, own int, others int, low boolean")
@@ -302,11 +315,15 @@ def similarity_links(
     named = (
         points.join(degrees, "node", "left").join(groups, "node", "left")
         .select(
-            F.col("label").alias("_label"), F.col("point").alias("_point"), F.col("vector").alias("_vector"),
+            F.col("label").alias("_label"), F.col("point").alias("_point"), F.col("vector").alias("_vector"), "first",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"),
         )
     )
     named = scratch.table(named, "named")
+    if not unique:
+        least = named.groupBy(F.col("component_id").alias("_root")).agg(F.min("first").alias("_least"))
+        named = named.join(least, F.col("component_id") == F.col("_root")).withColumn("component_id", F.col("_least")).drop("_root", "_least")
+    named = named.drop("first")
     out = rows.join(
         named, (rows.label == F.col("_label")) & (rows.point == F.col("_point")) & (rows.vector == F.col("_vector")), "left"
     )

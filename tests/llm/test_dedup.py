@@ -8,6 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from zonereach.llm import exact_dedup as exact_dedup_module
 from zonereach.llm.base import components
 from zonereach.llm.exact_dedup import DigestIndex, exact_dedup, resolve
 from zonereach.llm.simhash import Forest, blocks, hex_digits, links, near_dedup, near_groups, text_fingerprints
@@ -50,6 +51,33 @@ def roots(nodes, pairs):
     return {n: find(n) for n in nodes}
 
 
+def test_an_index_is_rebuilt_with_more_buckets(spark, scratch):
+    index = DigestIndex.temporary(spark, 4)
+    for low in (0, 40, 80):
+        resolve(index, spark.range(low, low + 60).selectExpr("id as doc_id", "concat('t', id) as text"), scratch)
+    name = f"rebuilt_{index.name}"
+    again = index.rebuilt(name, scratch.path("rebuilt"), 16)
+    try:
+        rows = lambda x: sorted((bytes(r.digest), r.keep_id, r.group_size) for r in x.entries().collect())
+        assert rows(again) == rows(index) and len(rows(index)) == 140
+        assert len(again.entries().inputFiles()) <= 16 < len(index.entries().inputFiles()) + 8
+        more = spark.createDataFrame([(500, "t3"), (501, "new")], "doc_id long, text string")
+        assert sorted((r.doc_id, r.kept) for r in resolve(again, more, scratch).collect()) == [(500, False), (501, True)]
+    finally:
+        again.drop()
+    assert exact_dedup_module.buckets_for(0) == 64 and exact_dedup_module.buckets_for(10**11) == 100_000
+
+
+def test_many_copies_of_one_row(spark, scratch, monkeypatch):
+    monkeypatch.setattr(exact_dedup_module, "COPY_RUN", 7)
+    rows = [(1, "a")] * 50 + [(2, "a")] * 7 + [(None, None)] * 15 + [(3, "")]
+    got = resolve(DigestIndex.temporary(spark, 4), spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in got) == sorted(
+        [(1, 2, 57, False)] * 50 + [(2, 2, 57, i == 0) for i in range(7)] + [(0, 3, 16, False)] * 15 + [(3, 3, 16, True)]
+    )
+
+
 def test_exact_groups(spark, cases, scratch):
     rows = cases.select("doc_id", "text").collect()
     by = defaultdict(list)

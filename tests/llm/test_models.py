@@ -109,6 +109,31 @@ def test_runs_carry_the_state(monkeypatch):
         assert np.allclose(auto.traverse(block.tokens, block.first), whole)
 
 
+def test_words_with_one_polynomial_hash_are_two(spark):
+    """Two letters by the parity of set bits: polynomials modulo a power of two cannot tell such words apart."""
+    twins = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1)]
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    train = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
+    df = spark.createDataFrame([(train, f"{twins[0]} and {twins[0]}"), (held, f"{twins[1]} and")], "doc_id long, text string")
+    assert results(backoff.backoff_scores(df)) == brute_scores(df.collect())
+    assert {r.doc_id: r.n_known for r in backoff.backoff_scores(df).collect()} == {train: 4, held: 2}
+
+
+def test_words_that_share_64_bits_are_two(spark, monkeypatch):
+    digest = backoff.xxhash.xxh3_128_digest
+    block = backoff.Block(pa.array(["one two three one", "", None]))
+    assert len(block.words) == 4 and len(block.marks) == 4
+    # Blocks that bring different words under the same first half: their counts stay apart by the second half.
+    monkeypatch.setattr(backoff.xxhash, "xxh3_128_digest", lambda w: b"\x07" * 8 + digest(w)[8:] if w in (b"one", b"two") else digest(w))
+    rows = []
+    for k, word in enumerate(("one", "two", "one")):
+        out = backoff._count(1)((pa.scalar(k),), pa.table({"text": [word], "training": [True]}))
+        rows.append(out)
+    answers = backoff._answer(pa.concat_tables(rows))
+    got = [backoff._numbers(x.as_py(), "<u8").tolist() for x in answers.column("word_counts")]
+    assert [sorted(g) for g in got] == [[2, 3], [1, 3], [2, 3]]
+
+
 def toy(rng, n):
     """Texts of harmless words; label 1 has a marked word, of a stem that never comes alone."""
     plain = ["the", "of", "sun", "tree", "walk", "house", "and", "green", "river"]

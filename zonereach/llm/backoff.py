@@ -5,7 +5,7 @@ leads to the root at the cost of the backoff weight. A text is scored in one tra
 the state and adds up log-probabilities.
 
 The model grows with the corpus, so no task and no broadcast ever holds it. Documents are dealt into blocks; a block
-sends the distinct words and pairs it has, with its training counts, to shards by range of their hash; a shard adds up
+sends the distinct words (128 bits each) and pairs (64 bits) it has, with its training counts, to shards by range; a shard adds up
 the blocks and answers each with the corpus counts of just its own keys, in the same order; the block then builds the
 part of the automaton that its texts can reach, which scores them exactly as the whole automaton would.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +35,22 @@ def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The tokens of a block of texts: hashes, first token a text, contexts."""
+    """The tokens of a block of texts: 64 bits of their digests, first token a text, contexts.
+
+    ``marks`` has 64 more bits for each distinct token in order, so that words are counted by 128 bits. The distinct
+    words of the block are told apart by their bytes before they are hashed.
+    """
 
     def __init__(self, texts: pa.Array):
         words = Words(texts, lower=True)
         n = np.diff(words.first)
         self.first = np.append(0, np.cumsum(n + 1))
-        self.tokens = np.insert(words.hashes(), words.first[1:], END)
+        known, place = words.distinct()
+        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in known), "<u8").reshape(-1, 2)
+        self.tokens = np.insert(digests[:, 0][place], words.first[1:], END)
+        keys = np.append(digests[:, 0], END)
+        self.words, at = np.unique(keys, return_index=True)
+        self.marks = np.append(digests[:, 1], END)[at]
         self.context = np.empty_like(self.tokens)
         self.context[1:] = self.tokens[:-1]
         self.context[self.first[:-1]] = BEGIN
@@ -71,7 +81,7 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-COUNTS = "shard int, block int, words binary, word_counts binary, pairs binary, pair_counts binary"
+COUNTS = "shard int, block int, words binary, marks binary, word_counts binary, pairs binary, pair_counts binary"
 ANSWERS = "block int, shard int, n long, v long, word_counts binary, pair_counts binary"
 
 
@@ -85,6 +95,9 @@ def _count(shards: int):
             at = _cuts(keys, shards)
             own = list(zip(at, at[1:]))
             out[f"{name}s"] = pa.array([_bytes(keys[a:b], "<u8") for a, b in own], pa.binary())
+            if name == "word":
+                marks = block.marks[np.searchsorted(block.words, keys)]
+                out["marks"] = pa.array([_bytes(marks[a:b], "<u8") for a, b in own], pa.binary())
             out[f"{name}_counts"] = pa.array([_bytes(counts[a:b], "<u4") for a, b in own], pa.binary())
         return pa.table(out).select([c.split()[0] for c in COUNTS.split(", ")])
 
@@ -98,8 +111,13 @@ def _answer(table: pa.Table) -> pa.Table:
         sizes = [len(k) for k in keys]
         keys = np.concatenate(keys)
         counts = np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column(f"{name}_counts")])
-        order = np.argsort(keys)
-        head = np.append(True, keys[order][1:] != keys[order][:-1]) if len(keys) else np.empty(0, bool)
+        if name == "word":
+            marks = np.concatenate([_numbers(x.as_py(), "<u8") for x in table.column("marks")])
+            order = np.lexsort((marks, keys))
+            head = np.append(True, (keys[order][1:] != keys[order][:-1]) | (marks[order][1:] != marks[order][:-1])) if len(keys) else np.empty(0, bool)
+        else:
+            order = np.argsort(keys)
+            head = np.append(True, keys[order][1:] != keys[order][:-1]) if len(keys) else np.empty(0, bool)
         which = np.empty(len(keys), np.int64)
         which[order] = np.cumsum(head) - 1
         totals = np.bincount(which, weights=counts).astype(np.int64) if len(keys) else np.empty(0, np.int64)

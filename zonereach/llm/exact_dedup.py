@@ -12,12 +12,24 @@ from ..session import Scratch, remove, shared_dir
 from .base import unused
 
 
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS = 64
+# Copies of one id and text are written out in runs of this many.
+COPY_RUN = 4096
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of about BUCKET_ROWS entries each."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 class DigestIndex:
     """Digests of all texts seen so far, one row per distinct text, in a table bucketed and sorted by digest.
 
-    ``add`` takes a batch, finds its new digests by a sort-merge anti-join (the index side is neither shuffled nor
-    sorted) and appends them; a digest that is there already keeps its first entry. The table lives in the shared
-    folder and outlasts the session: open it again with the same name and path.
+    ``add`` takes a batch, finds its new digests by a sort-merge anti-join and appends them; a digest that is there already
+    keeps its first entry. The index is not shuffled for that; its buckets are sorted again as they are read, since a
+    bucket has a file for each batch. The table lives in the shared folder and outlasts the session: open it again with
+    the same name and path. ``rebuilt`` makes one file of each bucket, and more buckets where the index has grown.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int = 64):
@@ -30,9 +42,9 @@ class DigestIndex:
             )
 
     @classmethod
-    def temporary(cls, spark: SparkSession, buckets: int = 64) -> DigestIndex:
-        """An empty index for one run; its table goes when the driver ends."""
-        index = cls(spark, f"digest_index_{uuid.uuid4().hex[:12]}", buckets=buckets)
+    def temporary(cls, spark: SparkSession, buckets: int | None = None, expected: int = 0) -> DigestIndex:
+        """An empty index for one run, with buckets for the ``expected`` rows; its table goes when the driver ends."""
+        index = cls(spark, f"digest_index_{uuid.uuid4().hex[:12]}", buckets=buckets or buckets_for(expected))
         atexit.register(remove, spark, index.path)
         atexit.register(index.drop)
         return index
@@ -40,6 +52,12 @@ class DigestIndex:
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def rebuilt(self, name: str, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """The same entries in a new index with ``buckets`` (default: as many as its entries need), a file each."""
+        index = DigestIndex(self.spark, name, path, buckets or buckets_for(self.entries().count()))
+        index._append(self.entries())
+        return index
+
     def drop(self) -> None:
         if self.spark.sparkContext._jsc is not None:
             self.spark.sql(f"drop table if exists {self.name}")
@@ -47,9 +65,11 @@ class DigestIndex:
     def add(self, groups: DataFrame) -> None:
         """Append the groups (digest, keep_id, group_size) whose digest is new."""
         known = self.entries().select("digest").hint("merge")
-        fresh = groups.join(known, "digest", "left_anti").select("digest", "keep_id", "group_size")
+        self._append(groups.join(known, "digest", "left_anti").select("digest", "keep_id", "group_size"))
+
+    def _append(self, entries: DataFrame) -> None:
         (
-            fresh.repartition(self.buckets, "digest")
+            entries.repartition(self.buckets, "digest")
             .write.mode("append")
             .format("parquet")
             .bucketBy(self.buckets, "digest")
@@ -88,7 +108,14 @@ def resolve(index: DigestIndex, docs: DataFrame, scratch: Scratch, doc_id: str =
         "doc_id",
         "keep_id",
         "group_size",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+        "copies",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPY_RUN}"))).alias("run"),
+        "digest",
+    ).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        F.explode(F.expr(f"sequence(run * {COPY_RUN} + 1, least(copies, (run + 1) * {COPY_RUN}))")).alias("copy"),
         "digest",
     ).select(
         "doc_id",

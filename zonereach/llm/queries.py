@@ -154,8 +154,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = DigestIndex.temporary(spark)
-    found = resolve(index, documents(spark, sf_dir), Scratch(spark, "op7"))
+    docs = documents(spark, sf_dir)
+    index = DigestIndex.temporary(spark, expected=docs.count())
+    found = resolve(index, docs, Scratch(spark, "op7"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -65,6 +65,18 @@ class Words:
         self.kind = kind[self.starts]
         self.first = np.searchsorted(self.starts, edges)
 
+    def distinct(self) -> tuple[list[bytes], np.ndarray]:
+        """The distinct words, told apart by their bytes, and the place of each word among them."""
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] += 1
+        inside[self.ends] -= 1
+        own = np.cumsum(inside[:-1], dtype=np.int8) > 0
+        offsets = np.append(0, np.cumsum(self.ends - self.starts)).astype(np.int64)
+        packed = np.ascontiguousarray(self.data[own])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+        coded = words.dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+
     def hashes(self, *prefixes: int):
         """A 64-bit hash of each word, and of its first bytes for each of ``prefixes``.
 

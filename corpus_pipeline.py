@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of equal texts the one with the largest doc_id stays."""
     configure(spark)
-    return drop_copies(DigestIndex.temporary(spark), docs, Scratch(spark, "dedup"))
+    return drop_copies(DigestIndex.temporary(spark, expected=docs.count()), docs, Scratch(spark, "dedup"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

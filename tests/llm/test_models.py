@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonereach.llm import backoff, importance, toxicity
+from zonereach.llm.base import least_by_hash
 from zonereach.llm.text_arrays import Words
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -251,3 +252,13 @@ def test_quality_without_labels(spark, cases, empty, scratch):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert importance.keep_good(spark, cases, none, scratch).count() == cases.count()
     assert importance.keep_good(spark, empty, none, scratch).count() == 0
+
+
+def test_a_sample_by_hash_is_the_smallest_hashes(spark):
+    df = spark.range(20_000).selectExpr("id as doc_id", "id % 2 as y").repartition(7)
+    for rows in (1, 50, 9_999, 30_000):
+        got = [r.doc_id for r in least_by_hash(df, "doc_id", rows).collect()]
+        assert got == [r.doc_id for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    # Little more than the sample is put in order.
+    plan = least_by_hash(df, "doc_id", 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (xxhash64(" in plan and least_by_hash(df.limit(0), "doc_id", 5).count() == 0

@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import Scratch, running
+from .base import Scratch, least_by_hash, running
 from .exact_dedup import digest
 from .mixing import uniform
 from .text_arrays import Words, mixed
@@ -116,7 +116,7 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 def labelled(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int) -> tuple[pa.Array, np.ndarray]:
     """A bounded sample of labelled texts: at most ``rows`` of each label by a hash of the id, none over ``most_bytes``."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").alias("y"))
-    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
+    picked = [least_by_hash(known.where(F.col("y") == y), "doc_id", rows) for y in (0, 1)]
     got = (
         docs.select("doc_id", _texts(docs, "text")).where(F.octet_length("text") <= most_bytes)
         .join(F.broadcast(picked[0].union(picked[1])), "doc_id").orderBy("doc_id", "y").limit(2 * rows).select("text", "y").toArrow()

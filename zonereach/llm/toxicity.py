@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import least_by_hash
 from .text_arrays import Words
 from .tokens import slices
 
@@ -222,7 +223,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, training: F.Column, r
     known = labels.where(training & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("y"))
     picked = None
     for y in (0, 1):
-        own = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+        own = least_by_hash(known.where(F.col("y") == y), "doc_id", rows)
         picked = own if picked is None else picked.union(own)
     got = (
         docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") <= most_bytes)

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Batches that go to Python: some thousand documents fill tens of megabytes, on both sides.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Fewer where rows are long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     # The same for the scans: a batch of 4096 texts is a few very large arrays on the heap.
     "spark.sql.parquet.columnarReaderBatchSize": "1024",
 }

@@ -64,4 +64,40 @@ def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sorted(int(n[2 : n.index("_")]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2 : n.index("_")]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """A data folder with labels for some of the cases: null and missing ids, null labels."""
+    labels = [(i, int(i % 7 != 0), 0) for i in range(60)] + [(None, 1, 0), (61, None, 1), (99999, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def chain(spark, docs, folder, scratch):
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = scratch.table(stage(spark, docs, folder), name)
+        out.append(docs)
+    return out
+
+
+def test_the_chain_on_nulls_ties_and_long_texts(spark, cases, folder, scratch):
+    raw, good, exact, near, mixed, packed = chain(spark, cases, folder, scratch)
+    assert all(df.columns == cases.columns for df in (good, exact, near, mixed))
+    texts = lambda df: [r.text or "" for r in df.select("text").collect()]
+    kept = texts(good)
+    # Every distinct text that is left stays once through exact dedup, and no stage brings in a new one.
+    assert sorted(texts(exact)) == sorted(set(kept)) and set(texts(near)) <= set(kept) and set(texts(mixed)) <= set(texts(near))
+    assert "A" * 3000 in kept and max(map(len, texts(near))) > 9000
+    ends, total = {}, {}
+    for r in packed.collect():
+        ends[r.sequence_id] = max(ends.get(r.sequence_id, 0), r.offset + r.length)
+        total[r.sequence_id] = total.get(r.sequence_id, 0) + r.length
+    assert ends == total and max(ends.values()) <= 1024
+    assert packed.where("doc_id is not null").select("doc_id").distinct().count() == mixed.where("doc_id is not null").select("doc_id").distinct().count()
+
+
+def test_the_chain_on_an_empty_table(spark, empty, folder, scratch):
+    assert [df.count() for df in chain(spark, empty, folder, scratch)] == [0] * 6

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import Scratch, least_by_hash, running
-from .exact_dedup import digest
+from .exact_dedup import DigestIndex, exact_dedup
 from .mixing import uniform
 from .text_arrays import Words, mixed
 from .tokens import slices
@@ -93,24 +93,12 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return sum((np.frombuffer(r.counts, np.int64) for r in sums.collect()), np.zeros(BUCKETS, np.int64))
 
 
-def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Each text of ``docs`` once, by its digest; null counts as the empty text. A partition drops its own copies before
-    the shuffle, so a large group brings one row from each."""
-
-    def first(batches):
-        seen = set()
-        for batch in batches:
-            fresh = []
-            for n, key in enumerate(batch.column(0).to_pylist()):
-                if key not in seen:
-                    seen.add(key)
-                    fresh.append(n)
-            if fresh:
-                yield batch.take(pa.array(fresh))
-
-    schema = "digest binary, text string"
-    texts = docs.select(digest(F.col(text)).alias("digest"), _texts(docs, text)).mapInArrow(first, schema)
-    return texts.repartition("digest").mapInArrow(first, schema).select("text")
+def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each text of ``docs`` once; null counts as the empty text. Digests and ids are shuffled, not the texts, unless copies
+    stand under one id."""
+    spark = docs.sparkSession
+    index = DigestIndex.temporary(spark, expected=docs.count())
+    return exact_dedup(index, docs.select(doc_id, text), Scratch(spark, "distinct"), doc_id, text).select(text)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int) -> tuple[pa.Array, np.ndarray]:
@@ -183,7 +171,8 @@ def resample(docs: DataFrame, scratch: Scratch, weights: Weights, doc_id: str =
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **bounds) -> DataFrame:
     """The drawn rows of ``docs``, with all columns. A document stays if any of its repeated rows is drawn; rows with a
-    null id stay if one of them is."""
+    null id stay if one of them is. Null and empty texts weigh 0 and are drawn like others; texts of any length are weighed
+    whole. Without good labels every document stays; an empty table gives an empty one."""
     drawn = scratch.table(resample(docs, scratch, learn(docs, labels, **bounds)), "drawn")
     # The ids of a partition are little beside its texts: hashing them saves sorting the texts.
     kept = drawn.where("kept").select(F.col("doc_id").alias("kept_id")).distinct().hint("shuffle_hash")

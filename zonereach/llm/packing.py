@@ -172,7 +172,9 @@ def pack(
 def pack_documents(docs: DataFrame, scratch: Scratch, tokenizer: str, end: int | None = 2, capacity: int = 1024, **names) -> DataFrame:
     """Encode, cut and pack whole documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Only lengths and checksums go through the packing; ``sequences`` joins the ids to their places.
+    Only lengths and checksums go through the packing; ``sequences`` joins the ids to their places. A null text is empty:
+    the end id alone. Texts of any length are encoded whole, repeated rows and rows with a null id are packed each by
+    itself, other columns are not read whatever their names. An empty table gives no rows.
     """
     pieces = token_pieces(docs, tokenizer, end, capacity, **names)
     narrow = scratch.table(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")

@@ -139,6 +139,27 @@ def test_similarity_links(spark, scratch, monkeypatch):
     assert similarity_links(df.limit(0), scratch, 0.93).count() == 0
 
 
+def test_medians_against_sorted_sums(spark):
+    from zonereach.llm.kd_shards import KEY_BITS, _medians
+
+    rng = np.random.default_rng(12)
+    rows = [(int(n), int(k), int(b)) for n, k, b in zip(rng.integers(0, 3, 4000), rng.integers(0, 1 << KEY_BITS, 4000), rng.integers(1, 900, 4000))]
+    rows += [(1, 5, 400)] * 300 + [(2, (1 << KEY_BITS) - 1, 10)] * 50
+    points = spark.createDataFrame(rows, "node int, key long, bytes long").repartition(4)
+    total = {n: sum(b for m, _, b in rows if m == n) for n in range(3)}
+    want = {0: total[0] * 1 / 3, 1: total[1] / 2, 2: total[2] * 23 / 24}
+    cuts = _medians(points, want, 200.0)
+    for n, w in want.items():
+        own = sorted((k, b) for m, k, b in rows if m == n)
+        below = sum(b for k, b in own if k < cuts[n])
+        weight = {}
+        for k, b in own:
+            weight[k] = weight.get(k, 0) + b
+        # No cut between two keys comes nearer by more than the precision, or the key that no cut can part.
+        best = min(abs(sum(b for k, b in own if k < c) - w) for c in [0, *weight, 1 << KEY_BITS])
+        assert abs(below - w) <= best + 200
+
+
 def row_links(rows, cosine):
     """Links of rows, each by its own vector; the component's smallest id over the rows it has."""
     x = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]

@@ -17,7 +17,8 @@ CROSS_SECTION = [
     "access_core", "access_all_levels", "access_keep_zero_demand", "xmfca", "contour_jobs_r5", "access_incremental",
     "catalog_coverage", "zones_table", "city_region", "poi_counts", "ev_counts", "city_summary", "point_in_polygon",
     "bbox_overlap", "dissolve_outline", "contiguous_catchment", "od_matrix_ingest", "od_compact_codes",
-    "acs_json_ingest", "origin_ols", "ratio_box_stats", "scale_rmse", "access_disadvantage", "corr_matrix",
+    "dissolve_rings", "contiguous_shell", "od_ingest_rejects", "od_ingest_partial", "acs_json_rejects", "text_rejects", "pair_sample_by_mode",
+    "means_by_position", "acs_json_ingest", "origin_ols", "ratio_box_stats", "scale_rmse", "access_disadvantage", "corr_matrix",
 ]
 NAMES = list(QUERIES) if os.environ.get("ZONEREACH_ALL") else CROSS_SECTION
 

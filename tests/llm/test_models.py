@@ -59,6 +59,50 @@ def brute_scores(rows):
     return sorted(out)
 
 
+def brute_scores_of_three(rows):
+    tokens = [words(r.text) + ["</end>"] for r in rows]
+    train = [["<begin>"] + t for t, r in zip(tokens, rows) if not held_out(r.doc_id)]
+    grams = [Counter(tuple(t[i : i + k]) for t in train for i in range(len(t) - k + 1)) for k in (1, 2, 3)]
+    n = sum(c for g, c in grams[0].items() if g != ("<begin>",))
+    v = sum(1 for g in grams[0] if g != ("<begin>",))
+
+    def p(context, w):
+        if not context:
+            freed = backoff.DISCOUNT * v / n / (v + 1) if n else 1 / (v + 1)
+            return max(grams[0][(w,)] - backoff.DISCOUNT, 0) / max(n, 1) + freed
+        seen = grams[len(context) - 1][context]
+        if not seen:
+            return p(context[1:], w)
+        m = backoff.PSEUDO * seen**backoff.GROWTH
+        return (grams[len(context)][(*context, w)] + m * p(context[1:], w)) / (seen + m)
+
+    out = []
+    for r, t in zip(rows, tokens):
+        before = ["<begin>"] + t
+        out.append((str(r.doc_id), round(sum(math.log10(p(tuple(before[max(0, i - 1) : i + 1]), w)) for i, w in enumerate(t)), 6)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("run", [1, 2, 256])
+def test_scores_of_order_three_match_brute_force(spark, cases, monkeypatch, run):
+    texts = [r.text or "" for r in cases.select("text").collect() if len(r.text or "") < 4000]
+    block = backoff.Block(pa.array(texts))
+    tables = []
+    for _, keys, _ in block.keys(3):
+        tables += backoff._counted(keys, np.ones(len(keys)))
+    auto = backoff.Automaton(*tables[:4], int(tables[1].sum()), len(tables[0]), *tables[4:])
+    monkeypatch.setattr(backoff, "RUN", 10_000)
+    whole = auto.traverse(block.tokens, block.first)
+    monkeypatch.setattr(backoff, "RUN", run)
+    assert np.allclose(auto.traverse(block.tokens, block.first), whole)
+    if run == 256:
+        for block_bytes in (3000, 10**9):
+            got = backoff.backoff_scores(cases, block_bytes=block_bytes, order=3).collect()
+            assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == brute_scores_of_three(cases.select("doc_id", "text").collect())
+    with pytest.raises(ValueError):
+        backoff.backoff_scores(cases, order=4)
+
+
 def results(df):
     return sorted(
         (str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 7), round(r.score, 7)) for r in df.collect()

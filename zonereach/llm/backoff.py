@@ -1,7 +1,7 @@
 """Language-model scores from a weighted backoff automaton over words.
 
-States are the root and one per context word; a state's arcs are the word pairs seen in training, and its failure arc
-leads to the root at the cost of the backoff weight. A text is scored in one traversal from left to right that carries
+States are the root, one per context word and, at order three, one per pair of words; a state's arcs are the n-grams seen
+in training, and its failure arc leads to the state of its shorter context at the cost of the backoff weight. A text is scored in one traversal from left to right that carries
 the state and adds up log-probabilities.
 
 The model grows with the corpus, so no task and no broadcast ever holds it. Documents are dealt into blocks; a block
@@ -56,6 +56,21 @@ class Block:
         self.context[self.first[:-1]] = BEGIN
         self.text = np.repeat(np.arange(len(n)), n + 1)
 
+    def triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places with two tokens before them, the begin among these, and the keys of the three."""
+        inner = np.ones(len(self.tokens), bool)
+        inner[self.first[:-1]] = False
+        at = np.flatnonzero(inner)
+        return at, pair_keys(pair_keys(self.context[at - 1], self.tokens[at - 1]), self.tokens[at])
+
+    def keys(self, order: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+        """Name, keys and texts of the n-grams of each length up to ``order``."""
+        out = [("word", self.tokens, self.text), ("pair", pair_keys(self.context, self.tokens), self.text)]
+        if order > 2:
+            at, keys = self.triples()
+            out.append(("gram", keys, self.text[at]))
+        return out
+
 
 def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and how often each stands in training."""
@@ -81,17 +96,29 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-COUNTS = "shard int, block int, words binary, marks binary, word_counts binary, pairs binary, pair_counts binary"
-ANSWERS = "block int, shard int, n long, v long, word_counts binary, pair_counts binary"
+def _names(order: int) -> list[str]:
+    return ["word", "pair", "gram"][:order]
+
+
+def _counts_schema(order: int) -> str:
+    return "shard int, block int, marks binary, " + ", ".join(f"{n}s binary, {n}_counts binary" for n in _names(order))
+
 
+def _answers_schema(order: int) -> str:
+    return "block int, shard int, n long, v long, " + ", ".join(f"{n}_counts binary" for n in _names(order))
 
-def _count(shards: int):
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _count(shards: int, order: int = 2):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block = Block(table.column("text").combine_chunks())
-        training = table.column("training").combine_chunks().to_numpy(zero_copy_only=False)[block.text]
+        training = table.column("training").combine_chunks().to_numpy(zero_copy_only=False)
         out = {"shard": pa.array(range(shards), pa.int32()), "block": pa.array([key[0].as_py()] * shards, pa.int32())}
-        for name, keys in (("word", block.tokens), ("pair", pair_keys(block.context, block.tokens))):
-            keys, counts = _counted(keys, training)
+        for name, keys, texts in block.keys(order):
+            keys, counts = _counted(keys, training[texts])
             at = _cuts(keys, shards)
             own = list(zip(at, at[1:]))
             out[f"{name}s"] = pa.array([_bytes(keys[a:b], "<u8") for a, b in own], pa.binary())
@@ -99,34 +126,35 @@ def _count(shards: int):
                 marks = block.marks[np.searchsorted(block.words, keys)]
                 out["marks"] = pa.array([_bytes(marks[a:b], "<u8") for a, b in own], pa.binary())
             out[f"{name}_counts"] = pa.array([_bytes(counts[a:b], "<u4") for a, b in own], pa.binary())
-        return pa.table(out).select([c.split()[0] for c in COUNTS.split(", ")])
+        return pa.table(out).select(_columns(_counts_schema(order)))
 
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
+    order = sum(f"{n}s" in table.column_names for n in _names(3))
     out = {"block": table.column("block"), "shard": table.column("shard")}
-    for name in ("word", "pair"):
+    for name in _names(order):
         keys = [_numbers(x.as_py(), "<u8") for x in table.column(f"{name}s")]
         sizes = [len(k) for k in keys]
         keys = np.concatenate(keys)
         counts = np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column(f"{name}_counts")])
         if name == "word":
             marks = np.concatenate([_numbers(x.as_py(), "<u8") for x in table.column("marks")])
-            order = np.lexsort((marks, keys))
-            head = np.append(True, (keys[order][1:] != keys[order][:-1]) | (marks[order][1:] != marks[order][:-1])) if len(keys) else np.empty(0, bool)
+            by = np.lexsort((marks, keys))
+            head = np.append(True, (keys[by][1:] != keys[by][:-1]) | (marks[by][1:] != marks[by][:-1])) if len(keys) else np.empty(0, bool)
         else:
-            order = np.argsort(keys)
-            head = np.append(True, keys[order][1:] != keys[order][:-1]) if len(keys) else np.empty(0, bool)
+            by = np.argsort(keys)
+            head = np.append(True, keys[by][1:] != keys[by][:-1]) if len(keys) else np.empty(0, bool)
         which = np.empty(len(keys), np.int64)
-        which[order] = np.cumsum(head) - 1
+        which[by] = np.cumsum(head) - 1
         totals = np.bincount(which, weights=counts).astype(np.int64) if len(keys) else np.empty(0, np.int64)
         if name == "word":
             out["n"] = pa.array([int(totals.sum())] * len(table), pa.int64())
             out["v"] = pa.array([int((totals > 0).sum())] * len(table), pa.int64())
         cuts = np.cumsum(sizes)[:-1]
         out[f"{name}_counts"] = pa.array([_bytes(x, "<u8") for x in np.split(totals[which], cuts)], pa.binary())
-    return pa.table(out).select([c.split()[0] for c in ANSWERS.split(", ")])
+    return pa.table(out).select(_columns(_answers_schema(order)))
 
 
 class Automaton:
@@ -136,9 +164,12 @@ class Automaton:
     the pseudo-counts m of the context: an arc weighs (c(hw) + m P(w)) / (c(h) + m), the failure arc m / (c(h) + m);
     the root's arcs weigh P(w), absolute discounting with what it frees spread over the V + 1 words, the unknown one
     included. The weights that leave a state sum to one over these words.
+
+    With ``grams`` a pair of words seen in training is a state too, and its failure arc leads to the state of its second
+    word: an arc weighs (c(uvw) + m P(w|v)) / (c(uv) + m), with the weights of that state for P.
     """
 
-    def __init__(self, words, word_counts, pairs, pair_counts, n: int, v: int):
+    def __init__(self, words, word_counts, pairs, pair_counts, n: int, v: int, grams=None, gram_counts=None):
         self.words, self.counts, self.n, self.v = words, word_counts, n, v
         freed = DISCOUNT * v / n / (v + 1) if n else 1.0 / (v + 1)
         self.root = np.maximum(word_counts - DISCOUNT, 0) / max(n, 1) + freed
@@ -150,41 +181,63 @@ class Automaton:
         pseudo = PSEUDO * np.maximum(self.seen, 1) ** GROWTH
         self.share = pseudo / (self.seen + pseudo)
         self.state_hash = np.concatenate([[np.uint64(0), BEGIN], words])
-        self.failure = np.log10(self.share)
-        self.log_root = np.log10(self.root)
+        self.grams, self.gram_counts = grams, gram_counts
+        seen = pair_counts.astype(np.float64)
+        pseudo = PSEUDO * np.maximum(seen, 1) ** GROWTH
+        self.pair_share = pseudo / (seen + pseudo)
+
+    @staticmethod
+    def _found(table: np.ndarray, counts: np.ndarray, keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key in the table, and its count; 0 for keys that are not there and where ``of`` is false."""
+        if not len(table):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+        return at, np.where(of & (table[at] == keys), counts[at], 0)
 
     def traverse(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each text.
 
-        Texts go side by side; a long one is cut into runs of RUN tokens. A run begins in the state that the token
-        before it leads to, which that token alone decides.
+        Texts go side by side; a long one is cut into runs of RUN tokens. A run begins in the state that the tokens
+        before it lead to, which the last ones alone decide: one, or two where pairs are states.
         """
         word = np.searchsorted(self.words, tokens)
-        starts, lengths, texts = [], [], np.diff(first)
+        texts = np.diff(first)
         pieces = -(-texts // RUN)
         text = np.repeat(np.arange(len(texts)), pieces)
         number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         starts = first[:-1][text] + number * RUN
         lengths = np.minimum(RUN, first[1:][text] - starts)
         order = np.argsort(-lengths, kind="stable")
-        starts, lengths, text = starts[order], lengths[order], text[order]
-        state = np.where(number[order] == 0, 1, word[starts - 1] + 2)
+        starts, lengths, text, number = starts[order], lengths[order], text[order], number[order]
+        state = np.where(number == 0, 1, word[starts - 1] + 2)
         state = np.where(self.seen[state] > 0, state, 0)
+        # The pair that is a state, or -1.
+        pair = np.full(len(starts), -1)
+        if self.grams is not None:
+            later = number > 0
+            back = starts[later] - 1
+            context = np.where(back == first[:-1][text[later]], BEGIN, tokens[back - 1])
+            at, count = self._found(self.pairs, self.pair_counts, pair_keys(context, tokens[back]), np.ones(len(back), bool))
+            pair[later] = np.where(count > 0, at, -1)
         total = np.zeros(len(starts))
         for step in range(int(lengths.max()) if len(lengths) else 0):
             live = int(np.searchsorted(-lengths, -step, side="left"))
             w, s = word[starts[:live] + step], state[:live]
-            key = pair_keys(self.state_hash[s], self.words[w])
-            arc = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            count = np.where((s > 0) & (self.pairs[arc] == key), self.pair_counts[arc], 0)
-            failed = count == 0
-            gain = np.empty(live)
-            # No arc: over the failure arc to the root, and from there.
-            gain[failed] = np.where(s[failed] > 0, self.failure[s[failed]], 0.0) + self.log_root[w[failed]]
-            on = ~failed
-            share = self.share[s[on]]
-            gain[on] = np.log10((1 - share) * count[on] / self.seen[s[on]] + share * self.root[w[on]])
-            total[:live] += gain
+            at, count = self._found(self.pairs, self.pair_counts, pair_keys(self.state_hash[s], self.words[w]), s > 0)
+            # No arc: over the failure arc to the root, and from there. The root itself has no failure.
+            share = np.where(s > 0, self.share[s], 1.0)
+            weight = share * self.root[w]
+            on = count > 0
+            weight[on] += (1 - share[on]) * count[on] / self.seen[s[on]]
+            if self.grams is not None:
+                p = pair[:live]
+                held = np.flatnonzero(p >= 0)
+                own = p[held]
+                _, third = self._found(self.grams, self.gram_counts, pair_keys(self.pairs[own], self.words[w[held]]), np.ones(len(held), bool))
+                share = self.pair_share[own]
+                weight[held] = share * weight[held] + (1 - share) * third / self.pair_counts[own]
+                pair[:live] = np.where(on & (self.words[w] != END), at, -1)
+            total[:live] += np.log10(weight)
             state[:live] = np.where(self.seen[w + 2] > 0, w + 2, 0)
         return np.bincount(text, weights=total, minlength=len(texts))
 
@@ -193,21 +246,24 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def _score(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
-    names = [c.split()[0] for c in SCORES.split(", ")]
+    names = _columns(SCORES)
     if not len(table):
         return pa.table({n: [] for n in names}).cast(
             pa.schema(list(zip(names, [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])))
         )
     block = Block(table.column("text").combine_chunks())
     answers = answers.take(pa.array(np.argsort(answers.column("shard").to_numpy())))
+    order = sum(f"{n}_counts" in answers.column_names for n in _names(3))
     n, v = (int(answers.column(c).to_numpy().sum()) for c in ("n", "v"))
-    word_counts, pair_counts = (
-        np.concatenate([_numbers(x.as_py(), "<u8") for x in answers.column(c)]).astype(np.int64) for c in ("word_counts", "pair_counts")
-    )
-    words, pairs = np.unique(block.tokens), np.unique(pair_keys(block.context, block.tokens))
-    if len(words) != len(word_counts) or len(pairs) != len(pair_counts):
-        raise RuntimeError("the block's texts changed between the passes")
-    automaton = Automaton(words, word_counts, pairs, pair_counts, n, v)
+    tables = []
+    for name, keys, _ in block.keys(order):
+        counts = np.concatenate([_numbers(x.as_py(), "<u8") for x in answers.column(f"{name}_counts")]).astype(np.int64)
+        keys = np.unique(keys)
+        if len(keys) != len(counts):
+            raise RuntimeError("the block's texts changed between the passes")
+        tables += [keys, counts]
+    automaton = Automaton(*tables[:4], n, v, *tables[4:])
+    words, word_counts = tables[:2]
     counts = word_counts[np.searchsorted(words, block.tokens)]
     base = np.log10((counts + BASE_ADD) / (n + BASE_ADD * (v + 1)))
     texts = len(table)
@@ -225,7 +281,7 @@ def _score(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa
 
 
 def backoff_scores(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: int = 10, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: int = 10, block_bytes: int = BLOCK_BYTES, order: int = 2
 ) -> DataFrame:
     """Score all texts: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -233,10 +289,13 @@ def backoff_scores(
     Words are lower-cased in A-Z; a text ends with one end token. Null and empty texts are the end token alone. Null
     ids count as empty text in the fold. Repeated rows count and are scored as often as they come. Without any
     training text all words are unknown (train_tokens 0). An empty table gives no rows. Other columns are not read.
+    ``order`` is the length of the longest n-grams: 2, or 3 with pairs of words as states that fail to their second word.
 
     A block has about ``block_bytes`` of text (a longer text is a block by itself); its words, pairs and their counts
     are what a task holds, and a shard as many keys as a block. Raise it with the executors' memory.
     """
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     fresh = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -248,6 +307,6 @@ def backoff_scores(
     # A hash of id and text: copies of an id or of a text do not make a block larger by themselves.
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int")
     blocks = rows.withColumn("block", block).repartition(count, "block")
-    counted = blocks.groupBy("block").applyInArrow(_count(count), COUNTS)
-    answers = counted.groupBy("shard").applyInArrow(_answer, ANSWERS)
+    counted = blocks.groupBy("block").applyInArrow(_count(count, order), _counts_schema(order))
+    answers = counted.groupBy("shard").applyInArrow(_answer, _answers_schema(order))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, SCORES)

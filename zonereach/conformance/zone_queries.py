@@ -569,31 +569,44 @@ BATCH = 4
 def matrices(i: Inputs, index: DataFrame) -> DataFrame:
     """Router responses of the requested blocks of four sources and four targets, in seconds; unknown pairs are null."""
     at = index.select("city", "level", F.col("geoid").alias("id"), "idx")
-    od = (
-        i.od_tenths.join(at.withColumnsRenamed({"id": "src", "idx": "si"}), ["city", "level", "src"])
+    pairs = (
+        i.pairs.withColumn("level", F.lit("BG"))
+        .join(at.withColumnsRenamed({"id": "src", "idx": "si"}), ["city", "level", "src"])
         .join(at.withColumnsRenamed({"id": "trg", "idx": "ti"}), ["city", "level", "trg"])
-        .withColumns({"src_off": F.expr(f"si div {BATCH} * {BATCH}"), "trg_off": F.expr(f"ti div {BATCH} * {BATCH}")})
+        .select(
+            "city", "level", F.expr(f"si div {BATCH} * {BATCH}").alias("src_off"), F.expr(f"ti div {BATCH} * {BATCH}").alias("trg_off"),
+            F.expr(f"si % {BATCH} * {BATCH} + ti % {BATCH}").alias("at"), "base", "dist",
+        )
     )
 
     def matrix(value):
         def cell(a, b):
-            return F.max(F.when((F.col("si") % BATCH == a) & (F.col("ti") % BATCH == b), value.cast("double")))
-
-        return F.array(*[F.array(*[cell(a, b) for b in range(BATCH)]) for a in range(BATCH)])
-
-    def asked(name):
-        """The last blocks have fewer sources and targets."""
-        cut = f"transform(slice({name}, 1, int(least({BATCH}, n - src_off))), r -> slice(r, 1, int(least({BATCH}, n - trg_off))))"
-        return F.expr(cut).alias(name)
-
-    sizes = index.groupBy("city", "level").agg(F.count("*").alias("n"))
-    return od.groupBy("city", "mode", "level", "src_off", "trg_off").agg(
-        matrix(F.col("dist")).alias("distances"), matrix(F.col("tenths") * 6).alias("durations")
-    ).join(sizes, ["city", "level"]).select(
-        "city", "mode", "level", "src_off", "trg_off", asked("distances"), asked("durations")
-    ).select(
-        "city", "mode", "level", "src_off", "trg_off",
-        F.to_json(F.struct("distances", "durations"), {"ignoreNullFields": "false"}).alias("response"),
+            return F.max(F.when(F.col("at") == a * BATCH + b, F.col(value)))
+
+        return F.array(*[F.array(*[cell(a, b) for b in range(BATCH)]) for a in range(BATCH)]).alias(value)
+
+    # The pairs come to their block as they are, and the cells of a block are gathered where they lie; the modes differ by
+    # a factor, so they are told apart as whole responses.
+    place = ["city", "level", "src_off", "trg_off"]
+    blocks = pairs.repartition(*place).groupBy(*place).agg(matrix("dist"), matrix("base"))
+    sizes = index.groupBy("city", "level").agg(F.count("*").alias("n"))  # a row per city, as many as there are area codes
+    cut = f"slice(%s, 1, int(least({BATCH}, n - src_off)))"
+    # The last blocks have fewer sources and targets.
+    row = f"slice(r, 1, int(least({BATCH}, n - trg_off)))"
+    return (
+        blocks.join(F.broadcast(sizes), ["city", "level"])
+        .selectExpr(
+            *place, f"transform({cut % 'dist'}, r -> transform({row}, x -> double(x))) as distances", f"{cut % 'base'} as base",
+            "n", "stack(3, 'Drive', 1, 'Bike', 2, 'Walk', 3) as (mode, f)",
+        )
+        .selectExpr(
+            "city", "mode", "level", "src_off", "trg_off", "distances",
+            f"transform(base, r -> transform({row}, x -> double(x * f * 6))) as durations",
+        )
+        .select(
+            "city", "mode", "level", "src_off", "trg_off",
+            F.to_json(F.struct("distances", "durations"), {"ignoreNullFields": "false"}).alias("response"),
+        )
     )
 
 

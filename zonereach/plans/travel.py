@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import units
@@ -81,14 +83,16 @@ def checked_matrices(matrices: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     src = blocks.withColumnsRenamed({"off": "src_off", "ids": "src_ids"})
     trg = blocks.withColumnsRenamed({"off": "trg_off", "ids": "trg_ids"})
-    # Only the keys are counted; the few repeated ones come to the responses.
-    again = matrices.groupBy(*REQUEST).agg(F.count("*").alias("_n")).where("_n > 1")
+    # Counted beside the responses, so that these are made once; those that lie by their request are not moved for it.
+    times = F.count("*").over(Window.partitionBy(*REQUEST))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUEST])
     read = F.from_json("response", f"{MATRIX}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = (
-        matrices.join(again, REQUEST, "left")
+        matrices.withColumn("_n", F.when(whole, times))
         .join(src, ["city", "level", "src_off"], "left")
         .join(trg, ["city", "level", "trg_off"], "left")
-        .select(*REQUEST, "_n", "src_ids", "trg_ids", F.col("response").isNull().alias("_null"), read.alias("r"))
+        # As a row of its own the matrix is read once; a plain column would be read again by each condition on it.
+        .select(*REQUEST, "_n", "src_ids", "trg_ids", F.col("response").isNull().alias("_null"), F.explode_outer(F.array(read)).alias("r"))
     )
 
     def misfit(name: str, sign: str) -> str:

@@ -212,3 +212,36 @@ def test_bad_lines_are_not_lost(spark, tmp_path):
     assert sorted(r.x for r in rows.select("x").collect() if r.x) == ["p", "t", "u"] and rows.select("n").where("n > 0").count() == 3
     assert sorted(r.line for r in rejects.collect()) == ["q,one", "r", "s,2,3"]
     assert {r.file.rsplit("/")[-1] for r in rejects.collect()} == {"a.csv"}
+
+
+def test_a_response_is_read_once(spark):
+    """The matrix is a value in the plan that conditions refer to, not an expression that each of them reads again."""
+    index = spark.createDataFrame([("c", "BG", i, f"z{i}") for i in range(3)], "city string, level string, idx long, geoid string")
+    m = spark.createDataFrame([("c", "Walk", "BG", 0, 0, None)], REQUESTS)
+    out = travel.od_from_matrices(m, travel.id_blocks(index, 2))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_unanswered_requests_are_listed_per_block(spark):
+    """The same as the requests without the answered ones, which are not joined to them."""
+    index = spark.createDataFrame([("c", "BG", i, f"z{i}") for i in range(7)] + [("d", "BG", i, f"y{i}") for i in range(2)], "city string, level string, idx long, geoid string")
+    modes = spark.createDataFrame([("Walk",), ("Bike",)], "mode string")
+    rows = [("c", "Walk", "BG", 0, 0), ("c", "Walk", "BG", 0, 0), ("c", "Walk", "BG", 1, 2), ("c", "Walk", "BG", 2, 3), ("c", "Bike", "BG", 6, 6),
+            ("d", None, "BG", 0, 0), ("d", "Walk", "BG", 0, 0), ("c", "Bike", "BG", 0, None), ("c", "Bike", "BG", 0, 40)]
+    checked = spark.createDataFrame([(*r, None) for r in rows], "city string, mode string, level string, src_off long, trg_off long, reason string")
+    everything = travel.requests(index, modes, 2)
+    want = sorted(tuple(r) for r in travel.matrix_rejects(checked, everything).collect())
+    some = travel.requests(index, modes, 2, answered=checked)
+    assert sorted(tuple(r) for r in travel.matrix_rejects(checked, unanswered=some).collect()) == want
+    assert len(want) == 2 * 16 + 2 - 3
+    # The answers move, the requests do not.
+    assert "LeftAnti" not in some._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_responses_of_unknown_requests_do_not_count_as_repeated(spark):
+    index = spark.createDataFrame([("c", "BG", i, f"z{i}") for i in range(2)], "city string, level string, idx long, geoid string")
+    cell = '{"distances": [[0, 1], [2, 3]], "durations": [[0, 60], [120, 60]]}'
+    m = spark.createDataFrame([("c", None, "BG", 0, 0, cell)] * 2 + [("c", "Walk", "BG", 0, 0, cell)] * 2, REQUESTS)
+    got = sorted((r["mode"] or "", r.reason or "") for r in travel.checked_matrices(m, travel.id_blocks(index, 2)).collect())
+    assert got == [("", ""), ("", ""), ("Walk", "repeated"), ("Walk", "repeated")]

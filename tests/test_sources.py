@@ -245,3 +245,20 @@ def test_responses_of_unknown_requests_do_not_count_as_repeated(spark):
     m = spark.createDataFrame([("c", None, "BG", 0, 0, cell)] * 2 + [("c", "Walk", "BG", 0, 0, cell)] * 2, REQUESTS)
     got = sorted((r["mode"] or "", r.reason or "") for r in travel.checked_matrices(m, travel.id_blocks(index, 2)).collect())
     assert got == [("", ""), ("", ""), ("Walk", "repeated"), ("Walk", "repeated")]
+
+
+def test_pairs_are_dealt_out_by_the_lines(spark, tmp_path, monkeypatch):
+    """Tasks follow the rows and not the bytes of the shuffle before the modes are told apart."""
+    from zonereach.sources import fixtures
+
+    spark.createDataFrame([(0, "N0", 0), (5, "N5", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(0, "R0")], "r_regionkey int, r_name string").write.parquet(str(tmp_path / "region.parquet"))
+    spark.range(40).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    lines = spark.range(4000).selectExpr("id % 400 as l_partkey", "id % 40 as l_suppkey")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(fixtures, "TASK_LINES", 250)
+    few = fixtures.Inputs(spark, str(tmp_path)).od
+    assert few.rdd.getNumPartitions() == 16
+    monkeypatch.setattr(fixtures, "TASK_LINES", 1_000_000)
+    many = fixtures.Inputs(spark, str(tmp_path)).od
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))

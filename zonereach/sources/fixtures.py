@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 
 
 TRACT_CODES = 1_000_000
+# Lines whose pairs one task should hold: with three modes to a pair, some hundred megabytes to be sorted for a writer.
+TASK_LINES = 250_000
 
 
 def _geoid(k: str, rk: str) -> str:
@@ -169,6 +171,14 @@ class Inputs:
             "geoid", "lpad(cast(ua * 1111 + 1 as string), 5, '0') as code", "name"
         )
 
+    @cached_property
+    def pair_tasks(self) -> int:
+        """Tasks that the pairs are dealt out to, by the number of lines (which Parquet keeps in its footers).
+
+        Rows multiply after that shuffle (modes, responses, text), so its bytes do not tell what a task will hold.
+        """
+        return max(self.spark.sparkContext.defaultParallelism, -(-self.table("lineitem").count() // TASK_LINES))
+
     @cached_property
     def pairs(self) -> DataFrame:
         """Distinct (src, trg) block-group pairs inside a city: base tenth-minutes and metres."""
@@ -205,6 +215,7 @@ class Inputs:
         )
         return (
             seen.unionByName(own)
+            .repartition(self.pair_tasks, "city", "rk_s", "za", "zb")
             .groupBy("city", "rk_s", "za", "zb")
             .agg(F.min("base").alias("base"), F.min("dist").alias("dist"))
             .selectExpr("city", f"{_geoid('za', 'rk_s')} as src", f"{_geoid('zb', 'rk_s')} as trg", "base", "dist")

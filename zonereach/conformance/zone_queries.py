@@ -570,8 +570,9 @@ def matrices(i: Inputs, index: DataFrame) -> DataFrame:
     """Router responses of the requested blocks of four sources and four targets, in seconds; unknown pairs are null."""
     at = index.select("city", "level", F.col("geoid").alias("id"), "idx")
     pairs = (
-        i.pairs.withColumn("level", F.lit("BG"))
-        .join(at.withColumnsRenamed({"id": "src", "idx": "si"}), ["city", "level", "src"])
+        # The level comes with the source's position: as a constant it would vanish from the keys below, and rows that lie by
+        # their block already would be moved again.
+        i.pairs.join(at.withColumnsRenamed({"id": "src", "idx": "si"}), ["city", "src"])
         .join(at.withColumnsRenamed({"id": "trg", "idx": "ti"}), ["city", "level", "trg"])
         .select(
             "city", "level", F.expr(f"si div {BATCH} * {BATCH}").alias("src_off"), F.expr(f"ti div {BATCH} * {BATCH}").alias("trg_off"),
@@ -588,7 +589,7 @@ def matrices(i: Inputs, index: DataFrame) -> DataFrame:
     # The pairs come to their block as they are, and the cells of a block are gathered where they lie; the modes differ by
     # a factor, so they are told apart as whole responses.
     place = ["city", "level", "src_off", "trg_off"]
-    blocks = pairs.repartition(*place).groupBy(*place).agg(matrix("dist"), matrix("base"))
+    blocks = pairs.repartition(i.pair_tasks, *place).groupBy(*place).agg(matrix("dist"), matrix("base"))
     sizes = index.groupBy("city", "level").agg(F.count("*").alias("n"))  # a row per city, as many as there are area codes
     cut = f"slice(%s, 1, int(least({BATCH}, n - src_off)))"
     # The last blocks have fewer sources and targets.

@@ -144,3 +144,21 @@ def test_landed_queries_match_sql(spark, name):
 
     ok, text = compare(spark, connect(FOLDER), name, bind(QUERIES[name]), ORACLES[name], FOLDER)
     assert ok, text
+
+
+def test_pairs_with_their_modes_in_an_array_land_as_rows(spark, data, tmp_path):
+    """Half the rows move, and the landed table, its units and fingerprints are the same."""
+    od, opport, sizes = data
+    packed = od.groupBy("city", "level", "src", "trg").agg(F.collect_list(F.struct("mode", "time_min")).alias("times"))
+    one = TravelTable.write(od, str(tmp_path / "one"), block_pairs=300, least_buckets=4)
+    two = TravelTable.write(packed, str(tmp_path / "two"), block_pairs=300, least_buckets=4, each="times")
+    assert two.rows().columns == one.rows().columns and rows(two.rows()) == rows(one.rows())
+    assert rows(two.units) == rows(one.units) and two.buckets == one.buckets
+    assert rows(two.access(opport, sizes)) == rows(acc.access(od, opport, sizes))
+
+
+def test_landed_times_are_those_of_all_levels(spark):
+    i = Inputs(spark, FOLDER)
+    names = ["city", "mode", "level", "src", "trg", "time_min"]
+    assert rows(travel_times(i).rows().select(*names)) == rows(i.od_levels.select(*names))
+    assert i.times_levels.count() * 3 == i.od_levels.count()

@@ -141,3 +141,19 @@ def test_plan_has_no_pair_product(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "l_extendedprice" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_pairs_of_one_level_are_shuffled_once(spark, tables):
+    """A level that is a constant is no key of the joins, so pairs dealt by it would be dealt again; weights do not travel."""
+    od, opport, zones = tables
+    one = acc.access(od.withColumn("level", F.lit("BG")), opport, zones)
+    plan = one._sc._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "simple")
+    keys = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert any("block#" in k for k in keys) and not any("block#" in k and "trg#" in k for k in keys)
+    dealt = acc.spread_pairs(od)
+    optimized = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("w_work") < optimized.index("RepartitionByExpression")
+    below = optimized[optimized.index("RepartitionByExpression"):]
+    assert "w_work" not in below
+    flat = lambda df: sorted((*r[:-1], round(r[-1], 9)) for r in df.collect())
+    assert flat(one) == flat(acc.access(od, opport, zones))

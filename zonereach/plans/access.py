@@ -22,6 +22,11 @@ def _sum_within(t: int, value: str, name: str, agg: str = "sum") -> Column:
 BLOCK_PAIRS = 2_000_000
 
 
+def dealt_by(by: Sequence[str] = UNIT) -> list[str]:
+    """How ``spread_pairs`` deals out its rows."""
+    return [*[c for c in by if c != "level"], "block"]
+
+
 def spread_pairs(
     od: DataFrame, params: DataFrame | None = None, block_pairs: int = BLOCK_PAIRS, by: Sequence[str] = UNIT
 ) -> DataFrame:
@@ -29,17 +34,18 @@ def spread_pairs(
 
     A unit's targets are cut into as many blocks as its pairs need, so a task holds many targets of one unit: sums
     by destination need no further shuffle, and sums by source combine many targets before they are shuffled. The
-    weights are computed here once, for the demand and for the access pass. The list of units that is broadcast has a
+    weights are computed where the pairs then lie, so they are not shuffled. The list of units that is broadcast has a
     row per city, mode and level: at most 100,000 five-digit cities times four modes times three levels.
     """
     units = od.groupBy(*by).agg(F.ceil(F.count("*") / block_pairs).alias("_blocks"))
-    return (
-        with_weights(od, params)
-        .join(F.broadcast(units), list(by))
-        .withColumn("block", F.pmod(F.xxhash64("trg"), F.col("_blocks")).cast("int"))
-        .select(*UNIT, "block", "src", "trg", "time_min", "w_work", "w_non")
-        .repartition(*by, "block")
+    dealt = (
+        od.join(F.broadcast(units), list(by))
+        # The level is in the block and not dealt by itself: as a constant it would be no key of the joins by unit and block.
+        .withColumn("block", F.xxhash64("level", F.pmod(F.xxhash64("trg"), F.col("_blocks"))))
+        .select(*UNIT, "block", "src", "trg", "time_min")
+        .repartition(*dealt_by(by))
     )
+    return with_weights(dealt, params).select(*UNIT, "block", "src", "trg", "time_min", "w_work", "w_non")
 
 
 def demand_potential(
@@ -157,7 +163,7 @@ def access(
     """
     od = od.where(F.col("time_min") <= max(thresholds))
     pairs = spread_pairs(od, params)
-    return placed_access(pairs, (*UNIT, "block"), opport, zones, thresholds, demand, keep_zero_demand, wide, measures)
+    return placed_access(pairs, dealt_by(), opport, zones, thresholds, demand, keep_zero_demand, wide, measures)
 
 
 def placed_access(
@@ -187,7 +193,7 @@ def cross_modal_access(
     """
     od = od.where(F.col("time_min") <= max(thresholds))
     pairs = spread_pairs(od, params, by=("city", "level"))
-    return placed_cross_modal(pairs, ("city", "level", "block"), opport, zones, thresholds)
+    return placed_cross_modal(pairs, dealt_by(("city", "level")), opport, zones, thresholds)
 
 
 def placed_cross_modal(

@@ -162,3 +162,27 @@ def test_landed_times_are_those_of_all_levels(spark):
     names = ["city", "mode", "level", "src", "trg", "time_min"]
     assert rows(travel_times(i).rows().select(*names)) == rows(i.od_levels.select(*names))
     assert i.times_levels.count() * 3 == i.od_levels.count()
+
+
+def test_times_made_of_other_columns_land_as_rows(spark, tmp_path):
+    """Only the columns that the times are made of are written down and dealt out."""
+    pairs = spark.createDataFrame([("c", "BG", str(s), str(t), 7 * s + t) for s in range(6) for t in range(5)], "city string, level string, src string, trg string, base long")
+    times = "array(struct('Walk' as mode, base / 10 as time_min), struct('Bike' as mode, base / 20 as time_min))"
+    one = TravelTable.write(pairs.select("city", "level", "src", "trg", F.inline(F.expr(times))), str(tmp_path / "one"))
+    two = TravelTable.write(pairs, str(tmp_path / "two"), each=times, of=["base"])
+    assert two.rows().columns == one.rows().columns and rows(two.rows()) == rows(one.rows())
+    assert rows(two.units) == rows(one.units)
+
+
+def test_pairs_of_tracts_are_summed_where_the_pairs_lie(spark):
+    """Coarser pairs are the means of their child pairs, and only pairs of counties are shuffled for it."""
+    i = Inputs(spark, FOLDER)
+    plan = i.pairs_levels._sc._jvm.PythonSQLUtils.explainString(i.pairs_levels._jdf.queryExecution(), "simple")
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(city#" in line and ("src" in line or "level" in line)]
+    want = {}
+    for r in i.pairs.collect():
+        for level, n in (("BG", 12), ("Tract", 11), ("County", 5)):
+            want.setdefault((r.city, level, r.src[:n], r.trg[:n]), []).append((r.base, r.dist))
+    want = {(*k, sum(b for b, _ in v) // len(v), min(d for _, d in v)) for k, v in want.items()}
+    got = [(r.city, r.level, r.src, r.trg, r.base, r.dist) for r in i.pairs_levels.collect()]
+    assert len(got) == len(want) and set(got) == want

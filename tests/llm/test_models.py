@@ -292,6 +292,27 @@ def test_copies_without_labels_stay(spark, scratch):
     assert kept.where(f"doc_id >= {10**9}").count() == copies.count() == 1500
 
 
+def test_driver_gets_no_texts(spark, cases, monkeypatch):
+    """The labelled sample and the sums stay with the executors: the driver gets counts and weights alone."""
+    taken, collect = [], type(cases).collect
+
+    def noted(df):
+        rows = collect(df)
+        taken.append((df.columns, len(rows)))
+        return rows
+
+    def refused(df):
+        raise AssertionError("texts come to the driver")
+
+    kind = type(cases)
+    monkeypatch.setattr(kind, "toArrow", refused)
+    monkeypatch.setattr(kind, "collect", noted)
+    labels = cases.where("doc_id is not null").select("doc_id", F.lit(1).alias("quality")).distinct()
+    learnt = importance.learn(cases, labels)
+    assert learnt.ratio.any() and learnt.level < 0
+    assert all("text" not in columns and (n <= 1 or columns == ["total"]) for columns, n in taken)
+
+
 def test_quality_without_labels(spark, cases, empty, scratch):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert importance.keep_good(spark, cases, none, scratch).count() == cases.count()

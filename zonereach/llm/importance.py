@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .base import Scratch, least_by_hash, running
 from .exact_dedup import DigestIndex, exact_dedup
@@ -68,8 +69,8 @@ def _texts(docs: DataFrame, text: str) -> F.Column:
 
 
 def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How often each bucket's n-grams stand in all texts. Tasks add up their own, and 32 streams of tasks again, so
-    the driver gets 32 vectors of fixed length whatever the input."""
+    """How often each bucket's n-grams stand in all texts. Tasks add up their own, 32 streams of tasks again, and one
+    task these, so the driver gets one vector of fixed length whatever the input."""
 
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
@@ -89,7 +90,7 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     schema = "stream long, counts binary"
     parts = docs.select(_texts(docs, text)).mapInArrow(count, schema)
-    sums = parts.repartition(PARTIAL_SUMS, "stream").mapInArrow(add, schema)
+    sums = parts.repartition(PARTIAL_SUMS, "stream").mapInArrow(add, schema).repartition(1).mapInArrow(add, schema)
     return sum((np.frombuffer(r.counts, np.int64) for r in sums.collect()), np.zeros(BUCKETS, np.int64))
 
 
@@ -101,15 +102,31 @@ def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return exact_dedup(index, docs.select(doc_id, text), Scratch(spark, "distinct"), doc_id, text).select(text)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int) -> tuple[pa.Array, np.ndarray]:
-    """A bounded sample of labelled texts: at most ``rows`` of each label by a hash of the id, none over ``most_bytes``."""
+def labelled(docs: DataFrame, labels: DataFrame, rows: int, most_bytes: int, scratch: Scratch) -> DataFrame:
+    """A bounded sample of labelled texts: at most ``rows`` of each label by a hash of the id, none over ``most_bytes``.
+
+    text, y and place, the row's place among those of its label in the order of doc_id. The texts stay with the executors.
+    """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").alias("y"))
     picked = [least_by_hash(known.where(F.col("y") == y), "doc_id", rows) for y in (0, 1)]
     got = (
         docs.select("doc_id", _texts(docs, "text")).where(F.octet_length("text") <= most_bytes)
-        .join(F.broadcast(picked[0].union(picked[1])), "doc_id").orderBy("doc_id", "y").limit(2 * rows).select("text", "y").toArrow()
+        .join(F.broadcast(picked[0].union(picked[1])), "doc_id").orderBy("doc_id", "y").limit(2 * rows)
     )
-    return got.column("text").combine_chunks().cast(pa.large_string()), got.column("y").to_numpy().astype(np.int64)
+    place = F.row_number().over(Window.partitionBy("y").orderBy("doc_id")) - 1  # of a bounded sample
+    return scratch.table(got.withColumn("place", place).select("text", "y", "place"), "sample")
+
+
+def text_sums(texts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The sum of the weights of each text's n-grams: total."""
+    shared = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                yield pa.RecordBatch.from_pydict({"total": Grams(batch.column(0).slice(a, b - a)).sums(shared.value)})
+
+    return texts.mapInArrow(run, "total double")
 
 
 class Weights:
@@ -126,20 +143,17 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_byte
     Three quarters of the sample make the target model; the rest set the level: the ``loss`` quantile of the good texts'
     weights, less MARGIN. Without good labels the ratio is 0 and every document is wanted.
     """
-    texts, y = labelled(docs, labels, rows, most_bytes)
-    good = np.flatnonzero(y == 1)
-    model, held = good[np.arange(len(good)) % 4 != 0], good[np.arange(len(good)) % 4 == 0]
-    if not len(model):
+    good = labelled(docs, labels, rows, most_bytes, Scratch(docs.sparkSession, "sample")).where("y = 1")
+    model, held = good.where("place % 4 != 0").select("text"), good.where("place % 4 = 0").select("text")
+    if model.isEmpty():
         return Weights(np.zeros(BUCKETS), -np.inf)
-    own = texts.take(pa.array(model))
-    target = sum((Grams(own.slice(a, b - a)).counts() for a, b in slices(own)), np.zeros(BUCKETS, np.int64))
+    target = corpus_counts(model)
     raw = corpus_counts(distinct_texts(docs))
     # The target's own texts are in the raw counts too; smoothing in proportion to them keeps rare buckets near 0.
     blended = (target + 8.0 * raw / raw.sum() * BUCKETS) / (target.sum() + 8.0 * BUCKETS)
     ratio = np.log(np.maximum(blended, 1e-300)) - np.log(np.maximum(raw / raw.sum(), 1e-300))
     ratio[raw == 0] = 0.0
-    own = texts.take(pa.array(held))
-    held_weights = np.concatenate([Grams(own.slice(a, b - a)).sums(ratio) for a, b in slices(own)] or [np.zeros(1)])
+    held_weights = np.array([r.total for r in text_sums(held, ratio).collect()] or [0.0])
     return Weights(ratio, min(0.0, float(np.quantile(held_weights, loss))) - MARGIN)
 
 

@@ -154,6 +154,23 @@ def test_runs_carry_the_state(monkeypatch):
         assert np.allclose(auto.traverse(block.tokens, block.first), whole)
 
 
+def test_tokens_are_numbered_once_and_never_searched(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(rng.choice(list("abcdefgh"), n)) for n in (0, 1, 5, 700)] + ["a b a", None])
+    table = pa.table({"doc_id": pa.array(range(len(texts))), "text": texts, "training": [True, False, True, True, False, True]})
+    answers = backoff._answer(backoff._count(1)((pa.scalar(0),), table))
+    block = backoff.Block(texts)
+    for name, keys, which, _ in block.tables(3):
+        own = {n: k for n, k, _ in block.keys(3)}[name]
+        assert (np.diff(keys.astype(object)) > 0).all() and (keys[which] == own).all() and set(which) == set(range(len(keys)))
+    counts = [np.concatenate([backoff._numbers(x.as_py(), "<u8") for x in answers.column(f"{n}_counts")]).astype(np.int64) for n in ("word", "pair")]
+    auto = backoff.Automaton(*[x for t, c in zip(block.tables(2), counts) for x in (t[1], c)], int(counts[0].sum()), int((counts[0] > 0).sum()))
+    searched = auto.traverse(block.tokens, block.first)
+    monkeypatch.setattr(backoff.Automaton, "_found", None)
+    got = backoff._score((pa.scalar(0),), table, answers)
+    assert got.column("score").to_pylist() == searched.tolist()
+
+
 def test_words_with_one_polynomial_hash_are_two(spark):
     """Two letters by the parity of set bits: polynomials modulo a power of two cannot tell such words apart."""
     twins = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1)]

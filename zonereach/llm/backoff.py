@@ -38,7 +38,8 @@ class Block:
     """The tokens of a block of texts: 64 bits of their digests, first token a text, contexts.
 
     ``marks`` has 64 more bits for each distinct token in order, so that words are counted by 128 bits. The distinct
-    words of the block are told apart by their bytes before they are hashed.
+    words of the block are told apart by their bytes before they are hashed. ``place`` is each token's number among the
+    distinct ones, so that no token is looked up by its hash.
     """
 
     def __init__(self, texts: pa.Array):
@@ -49,7 +50,8 @@ class Block:
         digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in known), "<u8").reshape(-1, 2)
         self.tokens = np.insert(digests[:, 0][place], words.first[1:], END)
         keys = np.append(digests[:, 0], END)
-        self.words, at = np.unique(keys, return_index=True)
+        self.words, at, number = np.unique(keys, return_index=True, return_inverse=True)
+        self.place = np.insert(number[place], words.first[1:], number[-1])
         self.marks = np.append(digests[:, 1], END)[at]
         self.context = np.empty_like(self.tokens)
         self.context[1:] = self.tokens[:-1]
@@ -71,6 +73,21 @@ class Block:
             out.append(("gram", keys, self.text[at]))
         return out
 
+    def tables(self, order: int) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the n-grams of each length: name, distinct keys in order, the number of each n-gram among them, its text."""
+        (name, _, text), *longer = self.keys(order)
+        return [(name, self.words, self.place, text), *((n, *_numbered(keys), of) for n, keys, of in longer)]
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the number of each key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    head = np.append(True, ordered[1:] != ordered[:-1])[: len(keys)]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(head) - 1
+    return ordered[head], which
+
 
 def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and how often each stands in training."""
@@ -117,14 +134,13 @@ def _count(shards: int, order: int = 2):
         block = Block(table.column("text").combine_chunks())
         training = table.column("training").combine_chunks().to_numpy(zero_copy_only=False)
         out = {"shard": pa.array(range(shards), pa.int32()), "block": pa.array([key[0].as_py()] * shards, pa.int32())}
-        for name, keys, texts in block.keys(order):
-            keys, counts = _counted(keys, training[texts])
+        for name, keys, which, texts in block.tables(order):
+            counts = np.bincount(which, weights=training[texts], minlength=len(keys))
             at = _cuts(keys, shards)
             own = list(zip(at, at[1:]))
             out[f"{name}s"] = pa.array([_bytes(keys[a:b], "<u8") for a, b in own], pa.binary())
             if name == "word":
-                marks = block.marks[np.searchsorted(block.words, keys)]
-                out["marks"] = pa.array([_bytes(marks[a:b], "<u8") for a, b in own], pa.binary())
+                out["marks"] = pa.array([_bytes(block.marks[a:b], "<u8") for a, b in own], pa.binary())
             out[f"{name}_counts"] = pa.array([_bytes(counts[a:b], "<u4") for a, b in own], pa.binary())
         return pa.table(out).select(_columns(_counts_schema(order)))
 
@@ -194,13 +210,21 @@ class Automaton:
         at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
         return at, np.where(of & (table[at] == keys), counts[at], 0)
 
-    def traverse(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def traverse(self, tokens: np.ndarray, first: np.ndarray, word: np.ndarray | None = None, arc: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each text.
 
-        Texts go side by side; a long one is cut into runs of RUN tokens. A run begins in the state that the tokens
+        ``word`` and ``arc`` are the numbers of the tokens among the words, and of each token with the one before it among
+        the pairs, where they are known; the arc is the one that leads on from the state of that token before. Texts go side by side; a long one is cut into runs of RUN tokens. A run begins in the state that the tokens
         before it lead to, which the last ones alone decide: one, or two where pairs are states.
         """
-        word = np.searchsorted(self.words, tokens)
+        if word is None:
+            word = np.searchsorted(self.words, tokens)
+        if arc is None:
+            context = np.append(BEGIN, tokens[:-1])[: len(tokens)]
+            context[first[:-1]] = BEGIN
+            arc, arc_counts = self._found(self.pairs, self.pair_counts, pair_keys(context, tokens), np.ones(len(tokens), bool))
+        else:
+            arc_counts = self.pair_counts[arc]
         texts = np.diff(first)
         pieces = -(-texts // RUN)
         text = np.repeat(np.arange(len(texts)), pieces)
@@ -222,8 +246,10 @@ class Automaton:
         total = np.zeros(len(starts))
         for step in range(int(lengths.max()) if len(lengths) else 0):
             live = int(np.searchsorted(-lengths, -step, side="left"))
-            w, s = word[starts[:live] + step], state[:live]
-            at, count = self._found(self.pairs, self.pair_counts, pair_keys(self.state_hash[s], self.words[w]), s > 0)
+            here = starts[:live] + step
+            w, s, at = word[here], state[:live], arc[here]
+            # The root has no pairs: a context never seen is no state, and its arcs are not there.
+            count = np.where(s > 0, arc_counts[here], 0)
             # No arc: over the failure arc to the root, and from there. The root itself has no failure.
             share = np.where(s > 0, self.share[s], 1.0)
             weight = share * self.root[w]
@@ -255,17 +281,17 @@ def _score(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa
     answers = answers.take(pa.array(np.argsort(answers.column("shard").to_numpy())))
     order = sum(f"{n}_counts" in answers.column_names for n in _names(3))
     n, v = (int(answers.column(c).to_numpy().sum()) for c in ("n", "v"))
-    tables = []
-    for name, keys, _ in block.keys(order):
+    tables, places = [], []
+    for name, keys, which, _ in block.tables(order):
         counts = np.concatenate([_numbers(x.as_py(), "<u8") for x in answers.column(f"{name}_counts")]).astype(np.int64)
-        keys = np.unique(keys)
         if len(keys) != len(counts):
             raise RuntimeError("the block's texts changed between the passes")
         tables += [keys, counts]
+        places.append(which)
     automaton = Automaton(*tables[:4], n, v, *tables[4:])
-    words, word_counts = tables[:2]
-    counts = word_counts[np.searchsorted(words, block.tokens)]
-    base = np.log10((counts + BASE_ADD) / (n + BASE_ADD * (v + 1)))
+    word_counts = tables[1]
+    counts = word_counts[block.place]
+    base = np.log10((word_counts + BASE_ADD) / (n + BASE_ADD * (v + 1)))[block.place]
     texts = len(table)
     return pa.table(
         {
@@ -275,7 +301,7 @@ def _score(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa
             "n_known": pa.array(np.bincount(block.text, weights=counts > 0, minlength=texts).astype(np.int64)),
             "train_tokens": pa.array(np.full(texts, n, np.int64)),
             "base_score": pa.array(np.bincount(block.text, weights=base, minlength=texts)),
-            "score": pa.array(automaton.traverse(block.tokens, block.first)),
+            "score": pa.array(automaton.traverse(block.tokens, block.first, *places[:2])),
         }
     )
 

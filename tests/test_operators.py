@@ -229,6 +229,44 @@ def test_contiguous_catchment_takes_the_largest_part(spark):
     assert areas["t2"] == pytest.approx(6378137.0 * math.radians(xs[1] - xs[0]) * (up(ys[1]) - up(ys[0])))
 
 
+def test_catchments_are_solved_where_their_members_lie(spark, tmp_path):
+    rng = random.Random(4)
+    cells = [(i, j) for i in range(7) for j in range(7)]
+    zones = grid(spark, cells)
+    rows = [(f"c{t % 2}", t % 3, f"t{t}", f"{i:02d}{j:02d}") for t in range(20) for i, j in rng.sample(cells, 25)]
+    members = spark.createDataFrame(rows + rows[:30], "city string, block int, trg string, geoid string")
+    by, place = ["city", "block", "trg"], (4, "city", "block")
+    members.repartition(*place).write.format("parquet").option("path", str(tmp_path / "m")).bucketBy(4, "city", "block").saveAsTable("members_in_place")
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(kept, ("-1", "false")):
+            spark.conf.set(c, v)
+        placed = dissolve.contiguous_catchments(spark.table("members_in_place"), zones, by, place)
+        assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+        got = {(r.trg, r.geoid, r.part) for r in placed.collect()}
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+        spark.sql("drop table members_in_place")
+    for t in {r[2] for r in rows}:
+        left, parts = {(int(r[3][:2]), int(r[3][2:])) for r in rows if r[2] == t}, []
+        while left:
+            part, todo = set(), [left.pop()]
+            while todo:
+                x, y = todo.pop()
+                part.add((x, y))
+                near = {(x + 1, y), (x - 1, y), (x, y + 1), (x, y - 1)} & left
+                left -= near
+                todo += near
+            parts.append(part)
+        sizes = {min(f"{x:02d}{y:02d}" for x, y in p): p for p in parts}
+        mine = {part for trg, _, part in got if trg == t}
+        assert len(mine) == 1 and mine <= set(sizes)
+        assert {g for trg, g, _ in got if trg == t} == {f"{x:02d}{y:02d}" for x, y in sizes[next(iter(mine))]}
+    plain = dissolve.contiguous_catchments(members, zones, by).collect()
+    assert {(r.trg, r.geoid, r.part) for r in plain} == got and len(plain) == len(got)
+
+
 def test_relational_helpers(spark):
     a = spark.createDataFrame([(1, "x", 2.0), (2, None, None), (3, "y", float("inf"))], "k int, s string, v double")
     assert [r.k for r in a.where(relational.not_in(F.col("s"), ["x"])).collect()] == [2, 3]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text, units
 from ..operators import cover, dissolve, ranking, relational, rings, rollup, spatial, stats
 from ..plans import feeds, opportunities as opp, travel, zones as zn
+from ..plans.travel_table import PLACE
 from ..session import cut_lineage
 from ..sources import readers
 from ..sources.fixtures import Inputs, with_geometry
@@ -464,9 +465,14 @@ def contiguous_catchment(i: Inputs) -> DataFrame:
     return rounded(largest_parts(i).select("mode", "trg", "geoid", "part", "part_area"), 0)
 
 
+CATCHMENT = [*PLACE, "mode", "trg"]
+
+
 def largest_parts(i: Inputs) -> DataFrame:
-    members = travel_times(i).rows().where("level = 'BG' and time_min <= 30").select("mode", "trg", F.col("src").alias("geoid"))
-    return dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), ["mode", "trg"])
+    """The largest parts, lying as the travel times lie: city, level, block, mode, trg, geoid, part, part_area."""
+    times = travel_times(i)
+    members = times.rows().where("level = 'BG' and time_min <= 30").select(*CATCHMENT, F.col("src").alias("geoid"))
+    return dissolve.contiguous_catchments(members, i.zone_shapes.where("level = 'BG'"), CATCHMENT, (times.buckets, *PLACE))
 
 
 @query(
@@ -481,9 +487,11 @@ def largest_parts(i: Inputs) -> DataFrame:
 )
 def contiguous_outline(i: Inputs) -> DataFrame:
     """Outline of the largest contiguous part of every catchment."""
-    parts = largest_parts(i).select("mode", "trg", "geoid")
-    lines = dissolve.outline(parts.join(i.zone_shapes.where("level = 'BG'").select("geoid", "geometry"), "geoid"), ["mode", "trg"])
-    return lines.groupBy("mode", "trg").agg(F.count("*").alias("n_segments"), F.sum("x1").alias("sum_x"), F.sum("y1").alias("sum_y"))
+    parts = largest_parts(i).select(*CATCHMENT, "geoid")
+    shapes = dissolve.zones_of(parts, i.zone_shapes.where("level = 'BG'").select("geoid", "geometry"), (travel_times(i).buckets, *PLACE))
+    lines = dissolve.outline(parts.join(shapes, [*PLACE, "geoid"]), CATCHMENT)
+    sums = lines.groupBy(*CATCHMENT).agg(F.count("*").alias("n_segments"), F.sum("x1").alias("sum_x"), F.sum("y1").alias("sum_y"))
+    return sums.select("mode", "trg", "n_segments", "sum_x", "sum_y")
 
 
 @query(

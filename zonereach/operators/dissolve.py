@@ -70,77 +70,103 @@ def zone_links(zones: DataFrame) -> DataFrame:
     return clean.unionByName(chained).distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """Nodes of an edge list (a, b) with the smallest node of their component: node, component.
+def connected_components(edges: DataFrame, within: Sequence[str] = (), place: tuple | None = None) -> DataFrame:
+    """Nodes of an edge list (a, b) with the smallest node of their component: within..., node, component.
 
     Alternates two steps until the edges stop changing: every node sends its larger neighbours to its smallest
     neighbour, then its smaller ones. Each step is a min aggregate and a join, the number of rounds grows with
     the logarithm of the node count. Each round's edges are a table in the shared folder, which the next round removes.
+    Nodes are the same only where the columns ``within`` are. With ``place`` (a number of buckets, then some of these
+    columns) the tables are bucketed, and edges that lie so are not moved in any round.
     """
+    within = list(within)
     scratch = Scratch(edges.sparkSession, "components")
-    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = scratch.table(links, "edges")
+    keep = (lambda df: scratch.placed(df, "edges", place[0], place[1:])) if place else (lambda df: scratch.table(df, "edges"))
+    u = [*within, "u"]
+    edges = keep(edges.where("a <> b").select(*within, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
     def signature(df: DataFrame):
         # Two independent order-free sums; each hash is widened so that the sums cannot overflow.
-        h = F.xxhash64("u", "v").cast("decimal(20,0)")
-        g = F.xxhash64("v", "u").cast("decimal(20,0)")
+        h = F.xxhash64(*within, "u", "v").cast("decimal(20,0)")
+        g = F.xxhash64(*within, "v", "u").cast("decimal(20,0)")
         return df.agg(F.count("*"), F.sum(h), F.sum(g)).first()
 
     def large_star(e: DataFrame) -> DataFrame:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
+        both = e.selectExpr(*within, "inline(array(struct(u, v), struct(v as u, u as v)))")
+        m = both.groupBy(*u).agg(F.min("v").alias("_m")).select(*u, F.least("u", "_m").alias("m"))
         # Every larger neighbour v of u is sent to m(u).
-        return both.where("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        return both.where("v > u").join(m, u).select(*within, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
         # Here u > v, so all neighbours of u in this orientation are smaller.
-        m = e.groupBy("u").agg(F.min("v").alias("m"))
-        moved = e.join(m, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return moved.unionByName(m.select("u", F.col("m").alias("v"))).distinct()
+        m = e.groupBy(*u).agg(F.min("v").alias("m"))
+        own = "struct(u, m as v)"
+        return e.join(m, u).selectExpr(*within, f"inline(if(v = m, array({own}), array(struct(v as u, m as v), {own})))").distinct()
 
     before = None
     after = signature(edges)
     while after != before:
         before = after
-        moved = scratch.table(small_star(large_star(edges)), "edges")
+        moved = keep(small_star(large_star(edges)))
         scratch.drop(edges)
         edges = moved
         after = signature(edges)
-    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return stars.unionByName(roots)
+    return edges.selectExpr(*within, "inline(array(struct(u as node, v as component), struct(v as node, v as component)))").distinct()
 
 
-def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str]) -> DataFrame:
+# Members of catchments that one task should hold.
+BLOCK_MEMBERS = 2_000_000
+
+
+def contiguous_catchments(members: DataFrame, zones: DataFrame, by: Sequence[str], place: tuple | None = None) -> DataFrame:
     """Largest contiguous part of every catchment: by..., geoid, part, part_area.
 
     ``members``: by..., geoid; ``zones``: geoid, level, geometry. Catchments of all destinations are solved
-    together: a node is (catchment, zone), and an edge needs both zones in the catchment. The part with the
+    together: a node is a zone in a catchment, and an edge needs both zones in the catchment. The part with the
     largest area in Web Mercator (square metres) wins, ties go to the smallest part label.
+
+    ``place`` tells how the members lie already: a number of buckets, then some columns of ``by``. Without it they are
+    dealt out once, by blocks of catchments. What a block has to know of its zones comes to it, one row per zone, and
+    all that follows is done where the members lie.
     """
     by = list(by)
     scratch = Scratch(zones.sparkSession, "catchments")
-    # Nodes are numbers, which the rounds of the component search carry; names come back at the end.
-    base = scratch.table(members.select(*by, "geoid").distinct().withColumn("_node", F.monotonically_increasing_id()), "nodes")
-    links = zone_links(zones).select("a", "b")
+    if place:
+        key = by
+    else:
+        members = scratch.table(members.select(*by, "geoid"), "members")
+        place = (max(8, -(-members.count() // BLOCK_MEMBERS)), "_block")
+        members = members.withColumn("_block", F.pmod(F.xxhash64(*by), F.lit(place[0]))).repartition(*place)
+        key = [*by, "_block"]
+    base = scratch.placed(members.select(*key, "geoid").distinct(), "members", *_split(place))
+    area = geo.area(geo.polygon_to_mercator(F.col("geometry")))
+    near = zone_links(zones).groupBy(F.col("a").alias("geoid")).agg(F.collect_list("b").alias("_near"))
+    facts = zones.select("geoid", area.alias("_area")).join(near, "geoid", "left")
+    own = scratch.placed(zones_of(base, facts, place), "zones", *_split(place))
     edges = (
-        base.select(*by, F.col("geoid").alias("a"), F.col("_node").alias("_na"))
-        .join(links, "a")
-        .join(base.select(*by, F.col("geoid").alias("b"), F.col("_node").alias("_nb")), [*by, "b"])
-        .select(F.col("_na").alias("a"), F.col("_nb").alias("b"))
+        base.join(own.where("_near is not null"), [*place[1:], "geoid"])
+        .select(*key, F.col("geoid").alias("a"), F.explode("_near").alias("b"))
+        .join(base.withColumnRenamed("geoid", "b"), [*key, "b"])
     )
-    parts = connected_components(edges).withColumnRenamed("node", "_node")
-    area = geo.area(geo.polygon_to_mercator(F.col("geometry")))
-    sized = scratch.table(
-        base.join(parts, "_node", "left")
-        .withColumn("_part", F.coalesce("component", "_node"))
-        .join(zones.select("geoid", area.alias("_area")), "geoid")
-        .select(*by, "geoid", "_part", "_area"),
-        "sized",
+    parts = connected_components(edges, key, place).withColumnRenamed("node", "geoid")
+    # A component is named by its smallest zone, which is the label of the part.
+    sized = (
+        base.join(parts, [*key, "geoid"], "left")
+        .withColumn("part", F.coalesce("component", "geoid"))
+        .join(own.select(*place[1:], "geoid", "_area"), [*place[1:], "geoid"])
+        .select(*key, "geoid", "part", "_area")
     )
-    totals = sized.groupBy(*by, "_part").agg(F.min("geoid").alias("part"), F.sum("_area").alias("part_area"))
-    best = totals.groupBy(*by).agg(
-        F.min(F.struct((-F.round("part_area")).alias("neg"), "part", "part_area", "_part")).alias("_best")
-    ).select(*by, F.col("_best._part").alias("_part"), F.col("_best.part").alias("part"), F.col("_best.part_area").alias("part_area"))
-    return sized.select(*by, "geoid", "_part").join(best, [*by, "_part"]).select(*by, "geoid", "part", "part_area")
+    totals = sized.groupBy(*key, "part").agg(F.sum("_area").alias("part_area"))
+    best = totals.groupBy(*key).agg(
+        F.min(F.struct((-F.round("part_area")).alias("neg"), "part", "part_area")).alias("_best")
+    ).select(*key, F.col("_best.part").alias("part"), F.col("_best.part_area").alias("part_area"))
+    return sized.drop("_area").join(best, [*key, "part"]).select(*by, "geoid", "part", "part_area")
+
+
+def _split(place: tuple) -> tuple[int, list[str]]:
+    return place[0], list(place[1:])
+
+
+def zones_of(rows: DataFrame, facts: DataFrame, place: tuple) -> DataFrame:
+    """``facts`` (geoid, more) of the zones that each place of ``rows`` has, dealt out to where these rows lie."""
+    return rows.select(*place[1:], "geoid").distinct().join(facts, "geoid").repartition(*place)

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,8 +96,18 @@ class Scratch:
         out._zonereach_path = path
         return out
 
+    def placed(self, df: DataFrame, name: str, buckets: int, by: Sequence[str]) -> DataFrame:
+        """The same, bucketed by columns: joins and groups on these and others find the rows where they lie."""
+        path, table = self.path(name), f"zonereach_{uuid.uuid4().hex}"
+        df.write.format("parquet").option("path", path).bucketBy(buckets, *by).saveAsTable(table)
+        out = self.spark.table(table)
+        out._zonereach_path, out._zonereach_name = path, table
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
+            if hasattr(t, "_zonereach_name"):
+                self.spark.sql(f"drop table if exists {t._zonereach_name}")
             remove(self.spark, t._zonereach_path)
 
 

@@ -5,12 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonereach.conformance import ORACLES, QUERIES, bind
-from zonereach.conformance.products import access_slice, travel_times
+from zonereach.conformance import products
+from zonereach.conformance.products import access_slice, access_units, travel_times
 from zonereach.plans import access as acc
 from zonereach.plans.travel import compact_codes, compare_routers
 from zonereach.plans.travel_table import TravelTable
 from zonereach.session import local_session
 from zonereach.sources.fixtures import Inputs
+from zonereach.sources.unit_store import fingerprints
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -186,3 +188,31 @@ def test_pairs_of_tracts_are_summed_where_the_pairs_lie(spark):
     want = {(*k, sum(b for b, _ in v) // len(v), min(d for _, d in v)) for k, v in want.items()}
     got = [(r.city, r.level, r.src, r.trg, r.base, r.dist) for r in i.pairs_levels.collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_pairs_are_dealt_out_by_numbers_alone(spark):
+    i = Inputs(spark, FOLDER)
+    assert {t for _, t in i.pair_numbers.dtypes} <= {"int", "bigint"}
+    # Each region has its city, and the pairs of all three levels carry it.
+    cities = {r.rk: r.city for r in i.counties.select("rk", "city").distinct().collect()}
+    got = {(r.s, r.city) for r in i.pairs_levels.select(F.substring("src", 1, 2).cast("int").alias("s"), "city").distinct().collect()}
+    assert got == {(rk + 1, city) for rk, city in cities.items()}
+
+
+def test_opportunities_are_made_once(spark):
+    i = Inputs(spark, FOLDER)
+    found = products.opportunities(i)
+    assert products.opportunities(Inputs(spark, FOLDER)) is found
+    assert rows(found.select("geoid", "level", "kind", "opport")) == rows(i.opport.select("geoid", "level", "kind", "opport"))
+    assert "lineitem" not in access_units(i)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fingerprints_are_exact_sums(spark):
+    df = spark.range(5000).selectExpr("id % 3 as city", "id * 7919 as x", "if(id % 5 = 0, null, cast(id as string)) as y")
+    plan = fingerprints(df, ["city"])
+    want = {r.city: (r.n, r.s) for r in df.groupBy("city").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")).cast("string").alias("s")).collect()}
+    assert {r.city: (r.pairs, r.fingerprint) for r in plan.collect()} == want
+    # No row is summed as a decimal.
+    below = plan._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "partial_sum" in below and "decimal" not in below

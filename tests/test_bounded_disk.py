@@ -1,9 +1,11 @@
 """What jobs hold on disk: shuffles go with their job, sums meet few blocks, samples and answers are not shuffled whole."""
 
+import random
 
 from pyspark.sql import functions as F
 
 from zonereach.conformance import QUERIES, bind, zone_queries
+from zonereach.operators.relational import joined_head, shuffled_head
 from zonereach.plans import travel
 from zonereach.sources.fixtures import Inputs
 
@@ -31,6 +33,36 @@ def test_shuffles_go_with_their_job(spark):
     assert rows(df) == want  # once more, shuffled again
 
 
+def test_sample_of_a_join_is_that_of_the_whole_join(spark):
+    rng = random.Random(5)
+    side = [(rng.choice(["a", "b", None]), f"s{n % 211}", f"t{n}") for n in range(3000)]
+    left = spark.createDataFrame([(*k, n) for n, k in enumerate(side)], "mode string, src string, trg string, x int")
+    # Few of the rows of b have a partner, and some have two.
+    kept = [k for k in side if k[0] != "b" or int(k[2][1:]) % 97 == 0]
+    right = spark.createDataFrame([(*k, n) for n, k in enumerate([*kept, *kept[:100]])], "mode string, src string, trg string, y int")
+    keys, seen = ["mode", "src", "trg"], []
+
+    def join(only):
+        one, other = only(left), only(right)
+        seen.append(one.count() + other.count())
+        return one.join(other, keys)
+
+    for by in ([], ["mode"]):
+        sizes = (left.groupBy(*by) if by else left).agg(F.count("*").alias("_size"))
+        got = joined_head(join, sizes, keys, 9, 20, by)
+        want = shuffled_head(left.join(right, keys), keys, 9, 20, by)
+        assert got.columns == want.columns
+        assert rows(got.select(*keys)) == rows(want.select(*keys)) and got.count() >= 20
+    assert seen[0] < 400  # of 5,000
+    assert joined_head(lambda only: only(left.limit(0)).join(only(right), keys), left.limit(0).agg(F.count("*").alias("_size")), keys, 9, 20).count() == 0
+
+
+def test_samples_join_candidates_only(spark):
+    for name in ("pair_sample", "pair_sample_by_mode"):
+        df = bind(QUERIES[name])(spark, FOLDER)
+        assert not any("Join" in line for line in lines(df)), name  # candidates were written down
+
+
 def test_counted_requests_are_as_many_as_the_listed_ones(spark):
     index = spark.createDataFrame([(c, "BG", f"{c}{n:03d}", n) for c, k in (("a", 9), ("b", 4), ("d", 1)) for n in range(k)], "city string, level string, geoid string, idx long")
     modes = spark.createDataFrame([("Walk",), ("Bike",)], "mode string")

@@ -2,12 +2,17 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from zonereach.conformance import QUERIES, bind, zone_queries
+from zonereach.conformance.products import access_store
 from zonereach.operators.relational import joined_head, shuffled_head
+from zonereach.plans import access as acc
 from zonereach.plans import travel
+from zonereach.plans.travel_table import TravelTable
 from zonereach.sources.fixtures import Inputs
+from zonereach.sources.unit_store import UnitStore
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -33,6 +38,55 @@ def test_shuffles_go_with_their_job(spark):
     assert rows(df) == want  # once more, shuffled again
 
 
+@pytest.fixture(scope="module")
+def near(spark):
+    """Zones in two counties, each of which reaches the twelve that follow it in its county."""
+    rng, pairs = random.Random(3), []
+    for county in ("01001", "01003"):
+        ids = [f"{county}{n:06d}1" for n in range(400)]
+        pairs += [("c", m, "BG", s, t, float(rng.randint(1, 100))) for at, s in enumerate(ids) for t in ids[at : at + 12] for m in ("Drive", "Walk")]
+    return spark.createDataFrame(pairs, "city string, mode string, level string, src string, trg string, time_min double")
+
+
+def test_blocks_are_neighbourhoods(spark, near, tmp_path):
+    table = TravelTable.write(near, str(tmp_path / "t"), block_pairs=1500)
+    total, landed = near.count(), table.rows()
+    wanted = -(-total // 1500)
+    assert rows(landed.select(*near.columns)) == rows(near)
+    per = landed.groupBy("block").agg(F.count("*").alias("n"), F.min("trg").alias("a"), F.max("trg").alias("z")).orderBy("a").collect()
+    assert len(per) == wanted and max(r.n for r in per) <= 1500 * 1.3
+    # Blocks follow each other in the order of the ids, so a target has one block and a source two at most.
+    assert [r.block for r in per] == list(range(wanted)) and all(x.z < y.a for x, y in zip(per, per[1:]))
+    assert landed.groupBy("src").agg(F.countDistinct("block").alias("n")).agg(F.max("n")).first()[0] <= 2
+    # Another table takes the same blocks, also for targets of its own before, between and after the others.
+    own = [("c", "Walk", "BG", "010010000001", t, 5.0) for t in ("000000000001", "010010001001", "010020000001", "999999999991")]
+    other = TravelTable.write(near.union(spark.createDataFrame(own, near.schema)), str(tmp_path / "u"), like=table)
+    assert rows(table.compare(other, "a", "b")) == rows(travel.compare_routers(near, near, "a", "b"))
+    sizes = near.selectExpr("src as geoid").distinct().selectExpr("geoid", "7 as popu", "3 as labor")
+    opport = sizes.selectExpr("geoid", "'BG' as level", "'Jobs: All' as kind", "2L as opport")
+    assert rows(table.access(opport, sizes)) == rows(acc.access(near, opport, sizes))
+
+
+def test_units_are_computed_in_bounded_runs(spark, tmp_path):
+    store = UnitStore(spark, str(tmp_path / "s"), by=("city", "mode"), slices=("measure",), sort=("kind",), dealt=True)
+    asked = []
+
+    def compute(todo):
+        asked.append([tuple(r) for r in todo.collect()])
+        return todo.selectExpr("city", "mode", "explode(array('x', 'y')) as measure", "'a' as kind")
+
+    units = [("a", "D", 6, "1"), ("a", "W", 6, "1"), ("b", "D", 30, "1"), ("b", "W", 1, "1"), (None, "W", 1, None)]
+    units = spark.createDataFrame(units, "city string, mode string, pairs long, fingerprint string")
+    assert store.update(units, compute, run_pairs=10) == 5
+    assert [len(x) for x in asked] == [3, 1, 1] and sorted(sum(asked, []), key=str) == sorted([(r.city, r["mode"]) for r in units.collect()], key=str)
+    assert store.rows().count() == 10 and len(list((tmp_path / "s" / "commits").glob("run=*"))) == 3
+    assert store.update(units, compute, run_pairs=10) == 0 and len(asked) == 3
+
+
+def test_saved_access_is_not_dealt_out_as_long_rows(spark):
+    assert access_store(Inputs(spark, FOLDER), "store-of-a-test").dealt
+
+
 def test_sample_of_a_join_is_that_of_the_whole_join(spark):
     rng = random.Random(5)
     side = [(rng.choice(["a", "b", None]), f"s{n % 211}", f"t{n}") for n in range(3000)]
